@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 from pyspark.sql.window import WindowSpec
 
-from sidelines.operators.ranking import ascending, row_index, same_keys
+from sidelines.operators.ranking import ascending, join_keys, row_index
 from sidelines.session import BLOCK_ROWS, HOT_KEY_ROWS, row_setting
 
 _INDEX = "_index"
@@ -135,10 +135,9 @@ def with_history(df: DataFrame, entity: Sequence[str], order: Sequence[str],
     if not hot:
         return _windowed(df, entity, order, columns)
     on = list(hot[0].asDict())
-    few = F.broadcast(df.sparkSession.createDataFrame(hot, df.select(*on).schema))
-    is_hot = same_keys(df, few, on)
-    usual = _windowed(df.join(few, is_hot, "left_anti"), entity, order, columns)
-    split = _in_blocks(df.join(few, is_hot, "left_semi"), entity, order, columns)
+    few = df.sparkSession.createDataFrame(hot, df.select(*on).schema)
+    usual = _windowed(join_keys(df, few, on, "left_anti", small=True), entity, order, columns)
+    split = _in_blocks(join_keys(df, few, on, "left_semi", small=True), entity, order, columns)
     return usual.unionByName(split)
 
 
@@ -184,6 +183,4 @@ def _with_carried(rows: DataFrame, entity, running) -> DataFrame:
         sums += [F.sum(value).alias(total), F.count(value).alias(count)]
         carried += [F.sum(total).over(earlier).alias(total), F.sum(count).over(earlier).alias(count)]
     per_block = rows.groupBy(*entity, _HOME).agg(*sums).select(*entity, _HOME, *carried)
-    names = [n for name in running for n in _carried_names(name)]
-    joined = rows.join(per_block, same_keys(rows, per_block, [*entity, _HOME]), "left")
-    return joined.select(*[rows[c] for c in rows.columns], *[per_block[n] for n in names])
+    return join_keys(rows, per_block, [*entity, _HOME], "left")

@@ -27,12 +27,14 @@ def ascending(columns: Sequence[str]) -> list[Column]:
     return [F.col(c).asc_nulls_last() for c in columns]
 
 
-def same_keys(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
-    """Null-safe equality on all keys: a NULL key is a group like any other."""
+def join_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str, small: bool = False) -> DataFrame:
+    """Join on keys of which NULL is a value like any other. ``small`` says that the right side is bounded."""
+    right = right.withColumnsRenamed({key: f"_right_{key}" for key in keys})
     condition = F.lit(True)
     for key in keys:
-        condition = condition & left[key].eqNullSafe(right[key])
-    return condition
+        condition = condition & F.col(key).eqNullSafe(F.col(f"_right_{key}"))
+    joined = left.join(F.broadcast(right) if small else right, condition, how)
+    return joined.drop(*[f"_right_{key}" for key in keys])
 
 
 def _placed(df: DataFrame, order: Sequence[str]) -> DataFrame:
@@ -55,9 +57,8 @@ def row_index(df: DataFrame, keys: Sequence[str], order: Sequence[str], name: st
     shifts = stretches.select(
         *keys, _PART,
         (F.coalesce(F.sum("_rows").over(earlier), F.lit(0)) - F.col("_first")).alias("_shift"))
-    joined = rows.join(F.broadcast(shifts), same_keys(rows, shifts, [*keys, _PART]))
-    return joined.select(*[rows[c] for c in df.columns],
-                         (rows[_AT] + shifts["_shift"]).alias(name))
+    joined = join_keys(rows, shifts, [*keys, _PART], "inner", small=True)
+    return joined.select(*df.columns, (F.col(_AT) + F.col("_shift")).alias(name))
 
 
 def prefix_sums(df: DataFrame, order: Sequence[str], values: Sequence[str]) -> DataFrame:

@@ -77,15 +77,12 @@ def logistic_pipeline(features: Sequence[str], label: str, n_train: int) -> Pipe
         _assembler(features, "_raw"),
         StandardScaler(inputCol="_raw", outputCol="_features", withMean=True, withStd=True),
         LogisticRegression(featuresCol="_features", labelCol=label, maxIter=1000, regParam=1.0 / max(n_train, 1),
-                           standardization=False, rawPredictionCol="_margin", probabilityCol="_probability",
-                           predictionCol="_prediction")])
+                           standardization=False)])
 
 
 def boosted_pipeline(features: Sequence[str], label: str, rounds: int, weight: str | None = None) -> Pipeline:
     trees = GBTClassifier(featuresCol="_features", labelCol=label, maxDepth=4, stepSize=0.05, maxIter=rounds,
-                          subsamplingRate=0.8, featureSubsetStrategy="0.8", seed=SEED,
-                          rawPredictionCol="_margin", predictionCol="_prediction")
-    # the label is already 0/1, and the trees write their class probabilities to "probability"
+                          subsamplingRate=0.8, featureSubsetStrategy="0.8", seed=SEED)
     if weight is not None:
         trees = trees.setWeightCol(weight)
     return Pipeline(stages=[_assembler(features, "_features"), trees])
@@ -93,9 +90,7 @@ def boosted_pipeline(features: Sequence[str], label: str, rounds: int, weight: s
 
 def predict(model: PipelineModel, df: DataFrame) -> DataFrame:
     """Add ``probability`` (of class 1), unrounded."""
-    scored = model.transform(df)
-    vector = "_probability" if "_probability" in scored.columns else "probability"
-    return scored.withColumn("_p", vector_to_array(vector)[1]).select(*df.columns, F.col("_p").alias("probability"))
+    return model.transform(df).select(*df.columns, vector_to_array("probability")[1].alias("probability"))
 
 
 def with_class_weight(train: DataFrame, label: str) -> DataFrame:

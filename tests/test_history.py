@@ -1,0 +1,134 @@
+"""Windows over an entity's history, whole and in blocks."""
+
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from conftest import rows
+from sidelines.operators.history import (Following, Previous, Rolling, RowsInFrame, Running, hot_keys, with_history)
+from sidelines.operators.ranking import ntile, prefix_sums, row_index
+
+SPECS = {
+    "r3": Rolling("v", 3), "prior3": Rolling("v", 3, current=False), "prior4_min2": Rolling("v", 4, False, 2),
+    "n3": RowsInFrame(3), "prev": Previous("v"), "next": Following("v"),
+    "run": Running("v"), "run_before": Running("v", current=False, min_count=2),
+}
+
+
+def brute(history):
+    """Every column of SPECS by plain loops."""
+    def mean(values, least=1):
+        known = [v for v in values if v is not None]
+        return sum(known) / len(known) if len(known) >= max(least, 1) else None
+
+    out = []
+    for i, (t, v) in enumerate(history):
+        values = [x for _, x in history]
+        out.append((t, mean(values[max(0, i - 2):i + 1]), mean(values[max(0, i - 3):i]),
+                    mean(values[max(0, i - 4):i], 2), min(i + 1, 3), values[i - 1] if i else None,
+                    values[i + 1] if i + 1 < len(values) else None, mean(values[:i + 1]), mean(values[:i], 2)))
+    return out
+
+
+@pytest.fixture(scope="module")
+def data(spark):
+    """One entity holds most of the rows, one is NULL, some are tiny; values are NULL now and then."""
+    rng = random.Random(7)
+    table = []
+    for entity, n in [("big", 300), ("mid", 60), (None, 45), ("small", 9), ("one", 1)]:
+        for t in range(n):
+            table.append((entity, t, rng.choice([None, float(rng.randint(0, 50))])))
+    rng.shuffle(table)
+    return spark.createDataFrame(table, "e string, t int, v double"), table
+
+
+def expected(table):
+    out = {}
+    for entity in {e for e, _, _ in table}:
+        history = sorted((t, v) for e, t, v in table if e == entity)
+        history = sorted(((t, v) for e, t, v in table if e == entity), key=lambda x: x[0])
+        for row in brute(history):
+            out[(entity, row[0])] = row[1:]
+    return out
+
+
+def check(df, table):
+    want = expected(table)
+    got = {(r["e"], r["t"]): tuple(r[c] for c in SPECS) for r in df.collect()}
+    assert set(got) == set(want)
+    for key, values in want.items():
+        for a, b in zip(got[key], values):
+            assert (a is None and b is None) or a == pytest.approx(b, abs=1e-9), (key, got[key], values)
+
+
+def test_plain_windows(spark, data):
+    df, table = data
+    check(with_history(df, ["e"], ["t"], SPECS, hot=[]), table)
+
+
+@pytest.mark.parametrize("block", ["1", "4", "7", "50", "1000"])
+def test_blocks_give_the_same(spark, data, block):
+    df, table = data
+    spark.conf.set("spark.sidelines.hotKeyRows", "40")
+    spark.conf.set("spark.sidelines.blockRows", block)
+    try:
+        hot = hot_keys(df.select("e"), ["e"])
+        assert {r["e"] for r in hot} == {"big", "mid", None}
+        check(with_history(df, ["e"], ["t"], SPECS), table)
+    finally:
+        spark.conf.unset("spark.sidelines.hotKeyRows")
+        spark.conf.unset("spark.sidelines.blockRows")
+
+
+def test_blocks_of_a_finer_entity(spark, data, split_hot_keys):
+    """Hot players found by player, windows by player and season (one of them NULL)."""
+    df, _ = data
+    seasonal = df.withColumn("s", F.when(F.col("t") % 50 < 40, F.floor(F.col("t") / 50)))
+    hot = hot_keys(df.select("e"), ["e"])
+    specs = {"m": Running("v", current=False, min_count=2)}
+    whole = with_history(seasonal, ["e", "s"], ["t"], specs, hot=[])
+    split = with_history(seasonal, ["e", "s"], ["t"], specs, hot=hot)
+    as_rounded = [F.round("m", 9).alias("m")]
+    assert rows(whole.select("e", "s", "t", *as_rounded)) == rows(split.select("e", "s", "t", *as_rounded))
+
+
+def test_no_more_hot_keys_than_partitions(spark):
+    spark.conf.set("spark.sidelines.hotKeyRows", "1")
+    try:
+        df = spark.range(300).select((F.col("id") % 100).alias("e"))
+        assert len(hot_keys(df, ["e"])) == 8
+    finally:
+        spark.conf.unset("spark.sidelines.hotKeyRows")
+
+
+def test_row_index_counts_per_key(spark):
+    df = spark.range(1000).select((F.col("id") % 3).alias("k"), F.xxhash64("id").alias("o"), "id")
+    got = row_index(df, ["k"], ["o"], "n")
+    from pyspark.sql import Window as W
+    want = df.withColumn("n", F.row_number().over(W.partitionBy("k").orderBy("o")) - 1)
+    assert rows(got, "k", "id", "n") == rows(want, "k", "id", "n")
+
+
+@pytest.mark.parametrize("n", [0, 1, 3, 4, 5, 10, 103])
+def test_ntile_sizes(spark, n):
+    got = rows(ntile(spark.range(n), 4, ["id"], "q"))
+    buckets = [q for _, q in sorted(got)]
+    size, extra = divmod(n, 4)
+    assert buckets == [q for q in range(1, 5) for _ in range(size + (q <= extra))]
+
+
+def test_ntile_equals_the_window_with_ties(spark):
+    from pyspark.sql import Window as W
+    df = spark.range(5000).select("id", (F.col("id") % 7).cast("double").alias("x"))
+    want = df.withColumn("q", F.ntile(4).over(W.orderBy("x", "id")))
+    assert rows(ntile(df, 4, ["x", "id"], "q"), "id", "q") == rows(want, "id", "q")
+
+
+def test_prefix_sums(spark):
+    df = spark.range(500).select(F.xxhash64("id").alias("o"), (F.col("id") % 11).alias("v"))
+    total, want = 0, []
+    for o, v in sorted(tuple(r) for r in df.collect()):
+        want.append((o, v, total))
+        total += v
+    assert sorted(tuple(r) for r in prefix_sums(df, ["o"], ["v"]).collect()) == want
