@@ -12,7 +12,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Row
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 from pyspark.sql.window import WindowSpec
@@ -33,13 +33,12 @@ class Rolling:
     rows: int
     current: bool = True
     min_count: int = 1
+    lookahead = 0
 
     @property
     def lookback(self) -> int:
         return self.rows - 1 if self.current else self.rows
 
-    lookahead = 0
-
     def over(self, window: WindowSpec) -> Column:
         frame = window.rowsBetween(-self.lookback, 0 if self.current else -1)
         mean = F.avg(self.value).over(frame)
@@ -85,15 +84,17 @@ class Following:
 
 @dataclass(frozen=True)
 class Running:
-    """Mean of everything so far, with or without the current row."""
+    """Mean of everything so far, with or without the current row; starts anew for each value of ``within``."""
 
     value: str
     current: bool = True
     min_count: int = 1
+    within: tuple[str, ...] = ()
     lookback = 0
     lookahead = 0
 
     def over(self, window: WindowSpec, own: Column | None = None, carried: tuple[str, str] | None = None) -> Column:
+        """``own`` tells rows from copies of a neighbouring block, ``carried`` names the earlier blocks' totals."""
         frame = window.rowsBetween(W.unboundedPreceding, 0 if self.current else -1)
         value = F.col(self.value).cast("double")
         if own is not None:
@@ -108,42 +109,58 @@ class Running:
 Spec = Rolling | RowsInFrame | Previous | Following | Running
 
 
-def hot_keys(rows: DataFrame, keys: Sequence[str]) -> list[Row]:
-    """Keys that hold more rows than one task should sort.
+def hot_keys(rows: DataFrame, key: str) -> list:
+    """Values of the key that hold more rows than one task should sort; NULL may be one of them.
 
-    ``rows`` needs only the key columns, and may be any table with at least as many rows per key as the one
-    to be windowed. No more keys come back than there are shuffle partitions: a key beyond the largest
-    ``p`` holds less than a ``p``-th of the rows, which is an ordinary partition.
+    ``rows`` needs only the key column, and may be any table with at least as many rows per key as the one to
+    be windowed. No more values come back than there are shuffle partitions: a key beyond the largest ``p``
+    holds less than a ``p``-th of the rows, which is an ordinary partition.
     """
     spark = rows.sparkSession
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    counts = rows.groupBy(*keys).agg(F.count("*").alias("_rows"))
-    found = (counts.filter(F.col("_rows") > row_setting(spark, HOT_KEY_ROWS))
+    found = (rows.groupBy(key).agg(F.count("*").alias("_rows"))
+             .filter(F.col("_rows") > row_setting(spark, HOT_KEY_ROWS))
              .orderBy(F.desc("_rows")).limit(partitions).collect())
-    return [Row(**{k: r[k] for k in keys}) for r in found]
+    return [row[key] for row in found]
 
 
-def with_history(df: DataFrame, entity: Sequence[str], order: Sequence[str],
-                 columns: Mapping[str, Spec], hot: list[Row] | None = None) -> DataFrame:
+def with_history(df: DataFrame, entity: str, order: Sequence[str], columns: Mapping[str, Spec],
+                 hot: list | None = None) -> DataFrame:
     """Add ``columns`` computed over each entity's rows in ``order``.
 
     ``order`` must identify a row within the entity (a date alone does not: two contests can share it).
-    ``hot`` is the result of ``hot_keys`` on some of the entity columns; None asks for it here.
+    ``hot`` is the result of ``hot_keys`` on the entity; None asks for it here.
     """
     if hot is None:
-        hot = hot_keys(df.select(*entity), entity)
+        hot = hot_keys(df.select(entity), entity)
     if not hot:
         return _windowed(df, entity, order, columns)
-    on = list(hot[0].asDict())
-    few = df.sparkSession.createDataFrame(hot, df.select(*on).schema)
-    usual = _windowed(join_keys(df, few, on, "left_anti", small=True), entity, order, columns)
-    split = _in_blocks(join_keys(df, few, on, "left_semi", small=True), entity, order, columns)
-    return usual.unionByName(split)
+    # plain predicates on the key, which the optimizer moves down to the scans on both sides of the split
+    key, values = F.col(entity), [value for value in hot if value is not None]
+    is_hot = key.isin(values)
+    if None in hot:
+        usual, split = df.filter(~is_hot), df.filter(is_hot | key.isNull())
+    else:
+        usual, split = df.filter(~is_hot | key.isNull()), df.filter(is_hot)
+    return _windowed(usual, entity, order, columns).unionByName(_in_blocks(split, entity, order, columns))
+
+
+def _coarse_first(columns) -> list[tuple[tuple[str, ...], dict]]:
+    """The columns grouped by the finer key they start anew for, the plain ones first.
+
+    A window by a finer key then finds its rows already partitioned by the entity and needs no shuffle.
+    """
+    groups: dict[tuple[str, ...], dict] = {(): {}}
+    for name, spec in columns.items():
+        groups.setdefault(getattr(spec, "within", ()), {})[name] = spec
+    return list(groups.items())
 
 
 def _windowed(df: DataFrame, entity, order, columns) -> DataFrame:
-    window = W.partitionBy(*entity).orderBy(*ascending(order))
-    return df.select("*", *[spec.over(window).alias(name) for name, spec in columns.items()])
+    for within, specs in _coarse_first(columns):
+        window = W.partitionBy(entity, *within).orderBy(*ascending(order))
+        df = df.select("*", *[spec.over(window).alias(name) for name, spec in specs.items()])
+    return df
 
 
 def _in_blocks(df: DataFrame, entity, order, columns) -> DataFrame:
@@ -151,10 +168,11 @@ def _in_blocks(df: DataFrame, entity, order, columns) -> DataFrame:
     lookahead = max(spec.lookahead for spec in columns.values())
     size = max(row_setting(df.sparkSession, BLOCK_ROWS), lookback, lookahead, 1)
 
-    rows = row_index(df, entity, order, _INDEX).withColumn(_HOME, F.floor(F.col(_INDEX) / size))
-    running = {name: spec for name, spec in columns.items() if isinstance(spec, Running)}
-    if running:
-        rows = _with_carried(rows, entity, running)
+    rows = row_index(df, [entity], order, _INDEX).withColumn(_HOME, F.floor(F.col(_INDEX) / size))
+    running = {name for name, spec in columns.items() if isinstance(spec, Running)}
+    for within, specs in _coarse_first({name: columns[name] for name in running}):
+        if specs:
+            rows = _with_carried(rows, [entity, *within], specs)
 
     place = F.col(_INDEX) % size
     copies = F.array_compact(F.array(
@@ -162,25 +180,27 @@ def _in_blocks(df: DataFrame, entity, order, columns) -> DataFrame:
         F.when(place >= size - lookback, F.col(_HOME) + 1),
         F.when((place < lookahead) & (F.col(_HOME) > 0), F.col(_HOME) - 1)))
     blocks = rows.withColumn(_BLOCK, F.explode(copies))
-    window = W.partitionBy(*entity, _BLOCK).orderBy(_INDEX)
     own = F.col(_BLOCK) == F.col(_HOME)
-    values = [(spec.over(window, own, _carried_names(name)) if name in running else spec.over(window)).alias(name)
-              for name, spec in columns.items()]
-    return blocks.select("*", *values).filter(own).select(*df.columns, *columns)
+    for within, specs in _coarse_first(columns):
+        window = W.partitionBy(entity, _BLOCK, *within).orderBy(_INDEX)
+        blocks = blocks.select("*", *[
+            (spec.over(window, own, _carried_names(name)) if name in running else spec.over(window)).alias(name)
+            for name, spec in specs.items()])
+    return blocks.filter(own).select(*df.columns, *columns)
 
 
 def _carried_names(name: str) -> tuple[str, str]:
     return f"_sum_{name}", f"_count_{name}"
 
 
-def _with_carried(rows: DataFrame, entity, running) -> DataFrame:
-    """Join to every row the sum and count of its entity's earlier blocks: one small row per block."""
+def _with_carried(rows: DataFrame, keys, running) -> DataFrame:
+    """Join to every row the sum and count of its key's earlier blocks: one small row per key and block."""
     sums, carried = [], []
-    earlier = W.partitionBy(*entity).orderBy(_HOME).rowsBetween(W.unboundedPreceding, -1)
+    earlier = W.partitionBy(*keys).orderBy(_HOME).rowsBetween(W.unboundedPreceding, -1)
     for name, spec in running.items():
         total, count = _carried_names(name)
         value = F.col(spec.value).cast("double")
         sums += [F.sum(value).alias(total), F.count(value).alias(count)]
         carried += [F.sum(total).over(earlier).alias(total), F.sum(count).over(earlier).alias(count)]
-    per_block = rows.groupBy(*entity, _HOME).agg(*sums).select(*entity, _HOME, *carried)
-    return join_keys(rows, per_block, [*entity, _HOME], "left")
+    per_block = rows.groupBy(*keys, _HOME).agg(*sums).select(*keys, _HOME, *carried)
+    return join_keys(rows, per_block, [*keys, _HOME], "left")

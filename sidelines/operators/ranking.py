@@ -75,17 +75,37 @@ def prefix_sums(df: DataFrame, order: Sequence[str], values: Sequence[str]) -> D
                       for v in values]))
 
 
-def bucket_of(index: Column, total: int, buckets: int) -> Column:
-    """The NTILE rule: bucket sizes differ by at most one and the larger ones come first."""
-    size, larger = divmod(total, buckets)
-    in_larger = index < larger * (size + 1)
-    if size == 0:
-        return (index + 1).cast("int")
-    return (F.when(in_larger, F.floor(index / (size + 1)))
-            .otherwise(larger + F.floor((index - larger * (size + 1)) / size)) + 1).cast("int")
-
+def ntile(df: DataFrame, buckets: int, value: str, ties: Sequence[str], name: str) -> DataFrame:
+    """NTILE over all rows ordered by ``value`` (NULL last); ``ties`` order the rows of one value.
 
-def ntile(df: DataFrame, buckets: int, order: Sequence[str], name: str) -> DataFrame:
-    """NTILE over all rows. ``order`` must identify a row."""
-    indexed = row_index(df, [], order, "_index")
-    return indexed.withColumn(name, bucket_of(F.col("_index"), indexed.count(), buckets)).drop("_index")
+    Bucket sizes differ by at most one and the larger buckets come first. Which bucket a value belongs to
+    follows from the number of rows per distinct value, so the rows themselves are not sorted. Only the
+    values that a bucket boundary cuts through (fewer than there are buckets) need their rows numbered.
+    """
+    rows = written(df, "ntile")
+    total = rows.count()
+    size, larger = divmod(total, buckets)
+    starts = [k * size + min(k, larger) for k in range(1, buckets)]  # first position of the later buckets
+    per_value = prefix_sums(rows.groupBy(value).agg(F.count("*").alias("_rows")), [value], ["_rows"])
+    holds_a_start = F.lit(False)
+    for start in starts:
+        holds_a_start = holds_a_start | F.lit(start).between(F.col("_rows_before"),
+                                                             F.col("_rows_before") + F.col("_rows") - 1)
+    edges = per_value.filter(holds_a_start).select(value, "_rows_before", "_rows").collect()
+
+    x = F.col(value)
+    bucket, position = F.lit(1), F.lit(None).cast("long")
+    cut = F.lit(False)
+    for edge, before, count in edges:
+        same = x.eqNullSafe(F.lit(edge))
+        beyond = F.lit(False) if edge is None else (x.isNull() | (x > edge))
+        inside = [start for start in starts if before <= start < before + count]
+        for start in inside:
+            bucket = bucket + ((beyond | same) if start == before else beyond).cast("int")
+        if inside != [before]:
+            cut = cut | same
+            position = F.when(same, F.col("_index") + before).otherwise(position)
+    whole = rows.filter(~cut).withColumn(name, bucket)
+    of_position = sum(((position >= start).cast("int") for start in starts), F.lit(1))
+    numbered = row_index(rows.filter(cut), [value], ties, "_index").withColumn(name, of_position).drop("_index")
+    return whole.unionByName(numbered)

@@ -3,9 +3,8 @@
 from __future__ import annotations
 
 import re
-from pathlib import Path
 
-_LOOKUP = Path(__file__).parent / "sources" / "team_conferences.csv"
+from sidelines.sources import conferences
 
 # Named subqueries; each query gets the ones it mentions, and those that they mention.
 _CTE = {
@@ -324,10 +323,12 @@ _SQL = {
         SELECT player_id, full_name, {_r('age_years')}, {_r('decline_gap')}, {_r('rolling_load_index')} FROM latest_played
         WHERE age_years IS NOT NULL AND decline_gap IS NOT NULL AND rolling_load_index IS NOT NULL""",
     "gap_histogram": """
-        SELECT CAST(CASE WHEN hi = lo THEN 1 ELSE least(40, 1 + floor((decline_gap - lo) / (hi - lo) * 40)) END AS INTEGER)
-                   AS bin, count(*) AS n_players
-        FROM latest_played, (SELECT min(decline_gap) AS lo, max(decline_gap) AS hi FROM latest_played)
-        WHERE decline_gap IS NOT NULL GROUP BY 1""",
+        SELECT CAST(CASE WHEN hi = lo THEN 1 ELSE least(40, 1 + (gap - lo) * 40 // (hi - lo)) END AS INTEGER) AS bin,
+               count(*) AS n_players
+        FROM (SELECT *, min(gap) OVER () AS lo, max(gap) OVER () AS hi
+              FROM (SELECT CAST(round(CAST(decline_gap AS DECIMAL(28,9)), 6) * 1000000 AS BIGINT) AS gap
+                    FROM latest_played WHERE decline_gap IS NOT NULL))
+        GROUP BY 1""",
     "team_trend": f"""
         SELECT abbreviation, game_date, game_id, {_r('rolling_win_pct')}, {_r('rolling_point_diff')}
         FROM form f LEFT JOIN teams t ON t.team_id = f.team_id""",
@@ -509,8 +510,7 @@ _CTE["day_scores"] = """
 
 
 def _lookup_values() -> str:
-    rows = [line.split(",") for line in _LOOKUP.read_text().splitlines()[1:]]
-    return ", ".join("('" + "', '".join(row) + "')" for row in rows)
+    return ", ".join("('" + "', '".join(row) + "')" for row in conferences.rows())
 
 
 def _needed(sql: str, found: list[str]) -> list[str]:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Row
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
@@ -18,18 +18,18 @@ TEAM_ORDER = ["game_date", "game_id"]
 PLAYER_ORDER = ["game_date", "game_id"]
 
 # The entities too big for one task, from ``hot_keys``; None looks for them in the narrowest table at hand.
-Hot = list[Row] | None
+Hot = list | None
 
 
-def _hot_players(rows: DataFrame, hot: Hot) -> list[Row]:
-    return hot_keys(rows.select("player_id"), ["player_id"]) if hot is None else hot
+def _hot_players(rows: DataFrame, hot: Hot) -> list:
+    return hot_keys(rows.select("player_id"), "player_id") if hot is None else hot
 
 
 def rolling_team_win_pct(games: DataFrame, teams: DataFrame, hot: Hot = None) -> DataFrame:
     """Each team's share of wins over its last 10 contests, the current one included."""
     rows = (team_long(completed(games)).select("team_id", "game_date", "game_id", "won")
             .withColumn("_won", F.col("won").cast("int")))
-    rolled = with_history(rows, ["team_id"], TEAM_ORDER,
+    rolled = with_history(rows, "team_id", TEAM_ORDER,
                           {"_pct": Rolling("_won", 10), "games_in_window": RowsInFrame(10)}, hot)
     return (rolled.join(teams.select("team_id", "abbreviation"), "team_id")
             .select("team_id", "abbreviation", "game_date", "game_id", "won",
@@ -44,7 +44,7 @@ def player_efficiency_decline(stats: DataFrame, games: DataFrame, players: DataF
     """
     rows = (_long_outings(stats).select("player_id", "game_id", S.true_shooting().alias("_ts"))
             .join(games.select("game_id", "game_date"), "game_id"))
-    rolled = with_history(rows, ["player_id"], PLAYER_ORDER,
+    rolled = with_history(rows, "player_id", PLAYER_ORDER,
                           {"_recent": Rolling("_ts", 5), "_base": Running("_ts")}, _hot_players(stats, hot))
     return (rolled.filter(F.col("_recent") < F.col("_base") - DECLINE_THRESHOLD)
             .join(players.select("player_id", "full_name"), "player_id")
@@ -107,7 +107,7 @@ def team_shooting(stats: DataFrame) -> DataFrame:
 def days_rest(games: DataFrame, hot: Hot = None) -> DataFrame:
     """Days since each team's previous contest. A team's first contest is dropped."""
     rows = team_long(completed(games)).select("team_id", "game_id", "game_date")
-    return (with_history(rows, ["team_id"], TEAM_ORDER, {"_previous": Previous("game_date")}, hot)
+    return (with_history(rows, "team_id", TEAM_ORDER, {"_previous": Previous("game_date")}, hot)
             .filter(F.col("_previous").isNotNull())
             .withColumn("days_rest", F.datediff("game_date", "_previous")).drop("_previous"))
 
@@ -134,10 +134,10 @@ def load_and_next(stats: DataFrame, games: DataFrame, tracking: DataFrame, hot:
     """Each long outing's load and the TS% of the player's next one."""
     rows = (_long_outings(stats)
             .select("player_id", "game_id", "minutes", S.true_shooting().alias("ts_pct"))
-            .join(games.select("game_id", "game_date"), "game_id")
             .join(tracking.select("player_id", "game_id", "distance_miles"), ["player_id", "game_id"], "left")
+            .join(games.select("game_id", "game_date"), "game_id")
             .select("player_id", "game_id", "game_date", S.load_index().alias("load_index"), "ts_pct"))
-    return with_history(rows, ["player_id"], PLAYER_ORDER, {"next_ts_pct": Following("ts_pct")},
+    return with_history(rows, "player_id", PLAYER_ORDER, {"next_ts_pct": Following("ts_pct")},
                         _hot_players(stats, hot))
 
 
@@ -157,7 +157,7 @@ def load_next_corr(stats, games, tracking, hot: Hot = None) -> DataFrame:
 def _next_by_quartile(rows: DataFrame) -> DataFrame:
     """Quartiles over all rows; then only rows with a next contest are averaged."""
     ranked = ntile(rows.select("load_index", "player_id", "game_id", "next_ts_pct"), 4,
-                   ["load_index", "player_id", "game_id"], "load_quartile")
+                   "load_index", ["player_id", "game_id"], "load_quartile")
     return (ranked.filter(F.col("next_ts_pct").isNotNull()).groupBy("load_quartile")
             .agg(S.round_half_up(F.avg("next_ts_pct"), 3).alias("avg_next_game_ts_pct"), F.count("*").alias("n")))
 
@@ -173,7 +173,7 @@ def load_quartile_dashboard(player_features: DataFrame, hot: Hot = None) -> Data
     """The same from the player feature table: all outings, short ones included, with labels."""
     rows = (player_features.filter(F.col("load_index").isNotNull())
             .select("player_id", "game_id", "game_date", "load_index", "ts_pct"))
-    following = with_history(rows, ["player_id"], PLAYER_ORDER, {"next_ts_pct": Following("ts_pct")}, hot)
+    following = with_history(rows, "player_id", PLAYER_ORDER, {"next_ts_pct": Following("ts_pct")}, hot)
     label = F.lit(None).cast("string")
     for quartile, text in QUARTILE_LABELS.items():
         label = F.when(F.col("load_quartile") == quartile, text).otherwise(label)

@@ -50,12 +50,17 @@ def risk_landscape(player_features: DataFrame) -> DataFrame:
 
 
 def gap_histogram(player_features: DataFrame, bins: int = HISTOGRAM_BINS) -> DataFrame:
-    """Players per equal-width bin of the decline gap; the largest value belongs to the last bin."""
-    gaps = latest_per_player(player_features).select("decline_gap").dropna()
-    low = gaps.agg(F.min("decline_gap")).scalar()
-    high = gaps.agg(F.max("decline_gap")).scalar()
+    """Players per equal-width bin of the decline gap; the largest value belongs to the last bin.
+
+    The gap is taken in whole millionths, so that a value on the edge of a bin falls on the same side of it
+    however its digits came about.
+    """
+    gaps = (latest_per_player(player_features).select("decline_gap").dropna()
+            .select((F.round(F.col("decline_gap").cast("decimal(28,9)"), 6) * 1_000_000).cast("long").alias("gap")))
+    low = gaps.agg(F.min("gap")).scalar()
+    high = gaps.agg(F.max("gap")).scalar()
     bin_ = F.when(low == high, F.lit(1)).otherwise(
-        F.least(F.width_bucket("decline_gap", low, high, F.lit(bins)), F.lit(bins)))
+        F.least(F.floor(F.try_divide((F.col("gap") - low) * bins, high - low)) + 1, F.lit(bins)))
     return (gaps.select(bin_.cast("int").alias("bin")).groupBy("bin")
             .agg(F.count("*").alias("n_players")).orderBy("bin"))
 

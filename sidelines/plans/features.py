@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sidelines.functions import scalars as S
@@ -20,47 +20,46 @@ PLAYER_FEATURES = ["player_id", "full_name", "game_id", "game_date", "season", "
                    "load_index", "rolling_load_index", "days_rest", "is_back_to_back", "age_years"]
 
 
-def team_form(games: DataFrame, hot: list[Row] | None = None) -> DataFrame:
+def team_form(games: DataFrame, hot: list | None = None) -> DataFrame:
     """Lagged form and rest per team and contest: one shuffle on the team."""
     rows = (team_long(completed(games))
             .withColumn("won", F.col("won").cast("int"))
             .withColumn("_diff", F.col("team_score") - F.col("opponent_score")))
-    return with_history(rows, ["team_id"], ORDER, {
+    return with_history(rows, "team_id", ORDER, {
         "rolling_win_pct": Rolling("won", TEAM_WINDOW, current=False),
         "rolling_point_diff": Rolling("_diff", TEAM_WINDOW, current=False),
         "_previous": Previous("game_date"),
     }, hot).withColumn("days_rest", F.datediff("game_date", "_previous"))
 
 
-def team_game_features(games: DataFrame, hot: list[Row] | None = None) -> DataFrame:
+def team_game_features(games: DataFrame, hot: list | None = None) -> DataFrame:
     return (with_opponent(team_form(games, hot), {"rolling_win_pct": "opponent_rolling_win_pct"})
             .withColumn("is_back_to_back", S.back_to_back("days_rest")).select(*TEAM_FEATURES))
 
 
 def player_game_features(stats: DataFrame, games: DataFrame, tracking: DataFrame, players: DataFrame,
-                         hot: list[Row] | None = None, played_only: bool = False) -> DataFrame:
+                         hot: list | None = None, played_only: bool = False) -> DataFrame:
     """Rows of contests without a result stay, without date and season, and sort last (unless ``played_only``).
 
     The season mean is partitioned more finely than the other windows, so it needs no shuffle of its own;
     players are joined last, on the same key again.
     """
     if hot is None:
-        hot = hot_keys(stats.select("player_id"), ["player_id"])
+        hot = hot_keys(stats.select("player_id"), "player_id")
     rows = (stats.select("player_id", "game_id", "team_id", F.col("minutes").cast("double").alias("minutes"),
                          "points", S.true_shooting().alias("ts_pct"))
             .join(tracking.select("player_id", "game_id", "distance_miles"), ["player_id", "game_id"], "left")
             .join(completed(games).select("game_id", "game_date", "season"), "game_id",
                   "inner" if played_only else "left")
             .withColumn("load_index", S.load_index()))
-    rolled = with_history(rows, ["player_id"], ORDER, {
+    rolled = with_history(rows, "player_id", ORDER, {
         "rolling_ts_pct": Rolling("ts_pct", PLAYER_WINDOW, current=False, min_count=2),
         "rolling_minutes": Rolling("minutes", PLAYER_WINDOW, current=False),
         "rolling_load_index": Rolling("load_index", PLAYER_WINDOW, current=False),
         "_previous": Previous("game_date"),
+        "_season_mean": Running("ts_pct", current=False, min_count=2, within=("season",)),
     }, hot)
-    seasonal = with_history(rolled, ["player_id", "season"], ORDER,
-                            {"_season_mean": Running("ts_pct", current=False, min_count=2)}, hot)
-    return (seasonal
+    return (rolled
             # rows without a season belong to no season
             .withColumn("season_to_date_ts_pct", F.when(F.col("season").isNotNull(), F.col("_season_mean")))
             .withColumn("ts_pct_decline_gap", F.col("rolling_ts_pct") - F.col("season_to_date_ts_pct"))

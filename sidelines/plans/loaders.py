@@ -12,6 +12,7 @@ from sidelines.operators import quality as Q
 from sidelines.operators.keyed import first_per_key
 from sidelines.schemas import KEYS, PARTS, SCHEMAS
 from sidelines.sources import files
+from sidelines.sources.conferences import conference_lookup
 from sidelines.sources.snapshots import SnapshotTable
 
 STAT_COLUMNS = {"pts": "points", "reb": "rebounds", "oreb": "offensive_reb", "dreb": "defensive_reb",
@@ -106,7 +107,7 @@ def load_bulk(spark: SparkSession, folder: str, tables: WarehouseTables) -> None
     folder = folder.rstrip("/")
     details = files.read_csv(spark, f"{folder}/games_details.csv")
 
-    teams = teams_from_bulk(files.read_csv(spark, f"{folder}/teams.csv"), files.conference_lookup(spark))
+    teams = teams_from_bulk(files.read_csv(spark, f"{folder}/teams.csv"), conference_lookup(spark))
     tables["teams"].upsert(Q.validate_teams(teams, content_order(teams)))
 
     players = players_from_bulk(files.read_csv(spark, f"{folder}/players.csv"), details)

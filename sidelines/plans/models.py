@@ -119,10 +119,10 @@ def train_decline(player_features: DataFrame, rounds: int = DECLINE_ROUNDS):
 
 
 def _fit_and_measure(data: DataFrame, label: str, keys, features, boosted_rounds: int | None, weighted=False):
-    split = stratified_split(data.select(*keys, *features, label), label, keys, TEST_SHARE, SEED)
-    # fitting passes over the training rows many times
-    split = split.persist()
+    # read many times: to split, to fit and to measure
+    data = data.select(*keys, *features, label).persist()
     try:
+        split = stratified_split(data, label, keys, TEST_SHARE, SEED)
         train, test = split.filter(~F.col("is_test")), split.filter("is_test")
         if boosted_rounds is None:
             pipeline = logistic_pipeline(features, label, train.count())
@@ -132,10 +132,10 @@ def _fit_and_measure(data: DataFrame, label: str, keys, features, boosted_rounds
             pipeline = boosted_pipeline(features, label, boosted_rounds, "_weight" if weighted else None)
         model = pipeline.fit(train)
         measured = binary_metrics(predict(model, test), "probability", label)
-        # one row of numbers; taken now, while the split is cached
+        # one row of numbers; taken now, while the rows are cached
         metrics = data.sparkSession.createDataFrame(measured.collect(), measured.schema)
     finally:
-        split.unpersist()
+        data.unpersist()
     return model, metrics
 
 

@@ -21,6 +21,14 @@ def backfill_labels(predictions: DataFrame, games: DataFrame) -> DataFrame:
             .select(*predictions.columns))
 
 
+def newly_labelled(predictions: DataFrame, games: DataFrame) -> DataFrame:
+    """Only the predictions that ``backfill_labels`` would change: what an upsert of the log has to write."""
+    results = games.filter(F.col("home_score").isNotNull()).select("game_id", "home_win")
+    return (predictions.filter(F.col("actual_label").isNull()).join(results, "game_id")
+            .select("game_id", "model_version_id", F.col("home_win").alias("actual_label"))
+            .filter(F.col("actual_label").isNotNull()))
+
+
 def weekly_metrics(predictions: DataFrame, games: DataFrame) -> DataFrame:
     """Accuracy, log loss and Brier score per model and week (Monday). Plain averages, combined before the shuffle."""
     scored = (predictions.filter(F.col("actual_label").isNotNull())

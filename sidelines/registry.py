@@ -16,7 +16,7 @@ from sidelines.operators import quality as Q
 from sidelines.operators.history import hot_keys
 from sidelines.plans import analytics, dashboard, features, loaders, models, monitoring
 from sidelines.session import shared_dir
-from sidelines.sources import files
+from sidelines.sources import conferences, files
 from sidelines.sources.star import StarDomain
 from sidelines.streaming import jobs
 
@@ -31,6 +31,11 @@ def query(build: Query) -> Query:
     return build
 
 
+def run_on(name: str, tables) -> DataFrame:
+    """A query over any source of the domain tables, for example a ``Warehouse``."""
+    return _QUERIES[name](tables)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     def bound(build: Query):
         return lambda spark, sf_dir: build(StarDomain(spark, sf_dir))
@@ -47,11 +52,11 @@ def rounded(df: DataFrame, places: int = 6) -> DataFrame:
 # Where to look for entities too big for one task: the fact table's key columns, the narrowest scan there is.
 
 def hot_teams(d):
-    return hot_keys(d.team_keys, ["team_id"])
+    return hot_keys(d.team_keys, "team_id")
 
 
 def hot_players(d):
-    return hot_keys(d.player_keys, ["player_id"])
+    return hot_keys(d.player_keys, "player_id")
 
 
 def _team_features(d):
@@ -391,8 +396,8 @@ def bio_update(d):
 
 def _with_abbreviation(d):
     """Suppliers with a real team abbreviation each, except that nine of 45 are unknown."""
-    lookup = files.conference_lookup(d.spark)
-    names = F.array(*[F.lit(r["abbreviation"]) for r in lookup.orderBy("abbreviation").collect()])
+    lookup = conferences.conference_lookup(d.spark)
+    names = F.array(*[F.lit(row[0]) for row in sorted(conferences.rows())])
     slot = (F.col("s_suppkey") % 45).cast("int")
     code = F.when(slot < 36, F.get(names, slot)).otherwise(F.concat(F.lit("X"), slot.cast("string")))
     return d.table("supplier").select("s_suppkey", code.alias("abbreviation")), lookup

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from datetime import date, timedelta
-from pathlib import Path
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -14,8 +13,6 @@ from pyspark.sql import types as T
 from sidelines.functions import scalars as S
 from sidelines.operators.keyed import first_per_key
 
-CONFERENCES = str(Path(__file__).with_name("team_conferences.csv"))
-
 
 def read_csv(spark: SparkSession, path: str) -> DataFrame:
     """All columns as text, names in lower case. Nothing is inferred; the loaders cast what they need."""
@@ -38,12 +35,6 @@ def col_or(df: DataFrame, names: Sequence[str] | str, default=None, type_: str =
     return F.lit(default).cast(type_)
 
 
-def conference_lookup(spark: SparkSession) -> DataFrame:
-    """The fixed lookup of 36 team abbreviations, read on the driver: it is part of the package."""
-    lines = Path(CONFERENCES).read_text().splitlines()
-    return spark.createDataFrame([line.split(",") for line in lines[1:]], "abbreviation string, conference string, division string")
-
-
 def with_lookup(df: DataFrame, lookup: DataFrame, key: str) -> DataFrame:
     """Left join with a lookup that ships with the package and therefore fits every executor."""
     return df.join(F.broadcast(lookup), key, "left")

@@ -26,9 +26,12 @@ class StarDomain:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
+        self._tables: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        if name not in self._tables:
+            self._tables[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        return self._tables[name]
 
     # Key columns of tables at least as long as the ones to be windowed: enough to look for hot keys.
 
@@ -88,32 +91,29 @@ class StarDomain:
 
     @cached_property
     def _lines(self) -> DataFrame:
-        """Order lines, the first per (player, contest)."""
+        """Order lines, the first per (player, contest). Both tables made from it stay partitioned by that key."""
+        lines = self.table("lineitem").select(
+            F.col("l_partkey").alias("player_id"), S.pad_id("l_orderkey").alias("game_id"), "l_linenumber",
+            "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_returnflag")
         return keyed.first_per_key(
-            self.table("lineitem").drop("l_shipdate", "l_linestatus"), ["l_partkey", "l_orderkey"],
+            lines, ["player_id", "game_id"],
             [F.col(c).asc() for c in ("l_linenumber", "l_suppkey", "l_quantity", "l_extendedprice")])
 
-    @staticmethod
-    def _stats_of(lines: DataFrame) -> DataFrame:
+    @cached_property
+    def stats(self) -> DataFrame:
         fga = F.col("l_quantity").cast("int") % 20
         hundredths = F.round(100 * F.col("l_discount")).cast("int")
         fgm = F.floor(fga * (30 + 5 * hundredths) / 100).cast("int")
         fta = F.col("l_linenumber") % 3
-        return lines.select(
-            F.col("l_partkey").alias("player_id"), S.pad_id("l_orderkey").alias("game_id"),
-            F.col("l_suppkey").alias("team_id"), F.col("l_quantity").alias("minutes"),
+        return self._lines.select(
+            "player_id", "game_id", F.col("l_suppkey").alias("team_id"), F.col("l_quantity").alias("minutes"),
             (2 * fgm + fta).alias("points"), fgm.alias("fgm"), fga.alias("fga"),
             fta.alias("ftm"), fta.alias("fta"))
 
-    @cached_property
-    def stats(self) -> DataFrame:
-        return self._stats_of(self._lines)
-
     @cached_property
     def tracking(self) -> DataFrame:
         return (self._lines.filter("l_returnflag = 'A'")
-                .select(F.col("l_partkey").alias("player_id"), S.pad_id("l_orderkey").alias("game_id"),
-                        (F.round(100 * F.col("l_tax")) / 2).alias("distance_miles")))
+                .select("player_id", "game_id", (F.round(100 * F.col("l_tax")) / 2).alias("distance_miles")))
 
     @cached_property
     def predictions(self) -> DataFrame:

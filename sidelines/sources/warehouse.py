@@ -6,7 +6,6 @@ from collections.abc import Iterable
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from sidelines.operators.schedule import team_long
 
@@ -35,9 +34,12 @@ class Warehouse:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
+        self._tables: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.root}/{name}")
+        if name not in self._tables:
+            self._tables[name] = self.spark.read.parquet(f"{self.root}/{name}")
+        return self._tables[name]
 
     def __getattr__(self, name: str) -> DataFrame:
         if name in TABLES:
@@ -59,15 +61,12 @@ class Warehouse:
     @classmethod
     def build(cls, domain, root: str, names: Iterable[str] = TABLES) -> "Warehouse":
         """Write the domain tables, each replaced as a whole."""
+        warehouse = cls(domain.spark, root)
         for name in names:
-            materialize(getattr(domain, name), f"{root.rstrip('/')}/{name}")
-        return cls(domain.spark, root)
+            warehouse._tables[name] = materialize(getattr(domain, name), f"{warehouse.root}/{name}")
+        return warehouse
 
 
 def read_database_table(spark: SparkSession, url: str, table: str, **options: str) -> DataFrame:
     """A table of a live database. Give partitionColumn, lowerBound, upperBound and numPartitions for a large one."""
     return spark.read.format("jdbc").options(url=url, dbtable=table, **options).load()
-
-
-def read_completed_games(games: DataFrame) -> DataFrame:
-    return games.filter(F.col("home_score").isNotNull())

@@ -64,7 +64,7 @@ def check(df, table):
 
 def test_plain_windows(spark, data):
     df, table = data
-    check(with_history(df, ["e"], ["t"], SPECS, hot=[]), table)
+    check(with_history(df, "e", ["t"], SPECS, hot=[]), table)
 
 
 @pytest.mark.parametrize("block", ["1", "4", "7", "50", "1000"])
@@ -73,31 +73,37 @@ def test_blocks_give_the_same(spark, data, block):
     spark.conf.set("spark.sidelines.hotKeyRows", "40")
     spark.conf.set("spark.sidelines.blockRows", block)
     try:
-        hot = hot_keys(df.select("e"), ["e"])
-        assert {r["e"] for r in hot} == {"big", "mid", None}
-        check(with_history(df, ["e"], ["t"], SPECS), table)
+        hot = hot_keys(df.select("e"), "e")
+        assert set(hot) == {"big", "mid", None}
+        check(with_history(df, "e", ["t"], SPECS), table)
     finally:
         spark.conf.unset("spark.sidelines.hotKeyRows")
         spark.conf.unset("spark.sidelines.blockRows")
 
 
-def test_blocks_of_a_finer_entity(spark, data, split_hot_keys):
-    """Hot players found by player, windows by player and season (one of them NULL)."""
-    df, _ = data
-    seasonal = df.withColumn("s", F.when(F.col("t") % 50 < 40, F.floor(F.col("t") / 50)))
-    hot = hot_keys(df.select("e"), ["e"])
-    specs = {"m": Running("v", current=False, min_count=2)}
-    whole = with_history(seasonal, ["e", "s"], ["t"], specs, hot=[])
-    split = with_history(seasonal, ["e", "s"], ["t"], specs, hot=hot)
-    as_rounded = [F.round("m", 9).alias("m")]
-    assert rows(whole.select("e", "s", "t", *as_rounded)) == rows(split.select("e", "s", "t", *as_rounded))
+def test_means_that_start_anew_within_an_entity(spark, data, split_hot_keys):
+    """By entity and season, of which one is NULL and one comes back after another."""
+    df, table = data
+    seasonal = df.withColumn("s", F.when(F.col("t") % 50 < 40, F.floor(F.col("t") / 50) % 3))
+    specs = {"all": Running("v"), "m": Running("v", current=False, min_count=2, within=("s",)), "prev": Previous("v")}
+    rounded = [*("e", "s", "t"), F.round("m", 9).alias("m"), F.round("all", 9).alias("all"), "prev"]
+    whole = rows(with_history(seasonal, "e", ["t"], specs, hot=[]).select(*rounded))
+    assert rows(with_history(seasonal, "e", ["t"], specs).select(*rounded)) == whole
+
+    def season(t):
+        return t // 50 % 3 if t % 50 < 40 else None
+
+    values = {(e, t): v for e, t, v in table}
+    for e, s, t, m, _, _ in whole:
+        before = [values[e, u] for u in range(t) if season(u) == s and values[e, u] is not None]
+        assert m == (pytest.approx(sum(before) / len(before)) if len(before) >= 2 else None)
 
 
 def test_no_more_hot_keys_than_partitions(spark):
     spark.conf.set("spark.sidelines.hotKeyRows", "1")
     try:
         df = spark.range(300).select((F.col("id") % 100).alias("e"))
-        assert len(hot_keys(df, ["e"])) == 8
+        assert len(hot_keys(df, "e")) == 8
     finally:
         spark.conf.unset("spark.sidelines.hotKeyRows")
 
@@ -112,17 +118,19 @@ def test_row_index_counts_per_key(spark):
 
 @pytest.mark.parametrize("n", [0, 1, 3, 4, 5, 10, 103])
 def test_ntile_sizes(spark, n):
-    got = rows(ntile(spark.range(n), 4, ["id"], "q"))
+    got = rows(ntile(spark.range(n).withColumn("t", F.lit(0)), 4, "id", ["t"], "q"), "id", "q")
     buckets = [q for _, q in sorted(got)]
     size, extra = divmod(n, 4)
     assert buckets == [q for q in range(1, 5) for _ in range(size + (q <= extra))]
 
 
-def test_ntile_equals_the_window_with_ties(spark):
+@pytest.mark.parametrize("distinct", [1, 2, 3, 4, 7, 2000])
+def test_ntile_equals_the_window_with_ties(spark, distinct):
     from pyspark.sql import Window as W
-    df = spark.range(5000).select("id", (F.col("id") % 7).cast("double").alias("x"))
-    want = df.withColumn("q", F.ntile(4).over(W.orderBy("x", "id")))
-    assert rows(ntile(df, 4, ["x", "id"], "q"), "id", "q") == rows(want, "id", "q")
+    value = F.when(F.col("id") % 13 != 0, (F.col("id") % distinct).cast("double"))
+    df = spark.range(5000).select("id", value.alias("x"))
+    want = df.withColumn("q", F.ntile(4).over(W.orderBy(F.col("x").asc_nulls_last(), "id")))
+    assert rows(ntile(df, 4, "x", ["id"], "q"), "id", "q") == rows(want, "id", "q")
 
 
 def test_prefix_sums(spark):
