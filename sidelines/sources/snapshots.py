@@ -12,7 +12,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -30,55 +30,57 @@ class SnapshotTable:
         self.spark, self.root, self.schema, self.keys = spark, root.rstrip("/"), schema, list(keys)
         self.part = F.regexp_replace(F.expr(part).cast("string"), "[^0-9A-Za-z]", "_")
 
-    def _log(self) -> DataFrame:
+    def _entries(self) -> list[Row]:
+        """The log of versions: one row per write and part."""
         try:
-            return self.spark.read.schema(_LOG).parquet(f"{self.root}/versions")
+            return self.spark.read.schema(_LOG).parquet(f"{self.root}/versions").collect()
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
-            return self.spark.createDataFrame([], _LOG)
+            return []
 
-    def _paths(self) -> dict[str, str]:
+    @staticmethod
+    def _paths(entries: Sequence[Row]) -> dict[str, str]:
         """Part -> folder of its newest version, counting from the last time the table was replaced as a whole."""
-        log = self._log()
-        since = log.filter("whole").agg(F.max("version")).first()[0] or 0
-        newest = (log.filter((F.col("version") >= since) & F.col("part").isNotNull())
-                  .groupBy("part").agg(F.max_by("path", "version").alias("path")))
-        return {row["part"]: row["path"] for row in newest.collect()}
+        since = max((e["version"] for e in entries if e["whole"]), default=0)
+        current = [e for e in entries if e["version"] >= since and e["part"] is not None]
+        return {e["part"]: e["path"] for e in sorted(current, key=lambda e: e["version"])}
 
     def _read(self, paths: Sequence[str]) -> DataFrame:
         if not paths:
-            return self.spark.createDataFrame([], self.schema)
+            return self.spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in self.schema.fields])
         return self.spark.read.schema(self.schema).parquet(*paths)
 
     def read(self) -> DataFrame:
-        return self._read(sorted(self._paths().values()))
+        return self._read(sorted(self._paths(self._entries()).values()))
 
     def has_delivery(self, delivery: str) -> bool:
-        return self._log().filter(F.col("delivery") == delivery).first() is not None
+        return any(e["delivery"] == delivery for e in self._entries())
 
-    def _publish(self, df: DataFrame, whole: bool, delivery: str | None) -> None:
-        version = (self._log().agg(F.max("version")).first()[0] or 0) + 1
+    def _publish(self, df: DataFrame, entries: Sequence[Row], whole: bool, delivery: str | None) -> None:
+        version = max((e["version"] for e in entries), default=0) + 1
         folder = f"{self.root}/v{version:06d}"
         columns = [F.col(f.name).cast(f.dataType).alias(f.name) for f in self.schema.fields]
         # a version without a row in the log is the rest of a failed attempt
         (df.select(*columns).withColumn(_PART, self.part)
          .write.mode("overwrite").partitionBy(_PART).parquet(folder))
         layout = T.StructType([*self.schema.fields, T.StructField(_PART, T.StringType())])
-        parts = [r[0] for r in self.spark.read.schema(layout).parquet(folder).select(_PART).distinct().collect()]
-        rows = [(version, whole, part, f"{folder}/{_PART}={part}", delivery) for part in parts]
-        rows = rows or [(version, whole, None, None, delivery)]
-        self.spark.createDataFrame(rows, _LOG).coalesce(1).write.mode("append").parquet(f"{self.root}/versions")
+        parts = self.spark.read.schema(layout).parquet(folder).select(
+            F.lit(version).cast("long").alias("version"), F.lit(whole).alias("whole"), F.col(_PART).alias("part"),
+            F.concat(F.lit(f"{folder}/{_PART}="), _PART).alias("path"), F.lit(delivery).cast("string").alias("delivery"))
+        if parts.first() is None:  # a write without rows still counts as a version
+            parts = self.spark.createDataFrame([(version, whole, None, None, delivery)], _LOG)
+        parts.distinct().coalesce(1).write.mode("append").parquet(f"{self.root}/versions")
 
     def replace(self, df: DataFrame, delivery: str | None = None) -> None:
-        self._publish(df, True, delivery)
+        self._publish(df, self._entries(), True, delivery)
 
     def _merge(self, incoming: DataFrame, merge, delivery: str | None) -> None:
         staged = written(incoming, "staged")
         touched = {r[0] for r in staged.select(self.part).distinct().collect()}
-        present = self._paths()
-        existing = self._read(sorted(path for part, path in present.items() if part in touched))
-        self._publish(merge(existing, staged, self.keys), False, delivery)
+        entries = self._entries()
+        existing = self._read(sorted(path for part, path in self._paths(entries).items() if part in touched))
+        self._publish(merge(existing, staged, self.keys), entries, False, delivery)
 
     def upsert(self, incoming: DataFrame, delivery: str | None = None) -> None:
         """Insert or overwrite by key. The incoming rows must be unique on the key."""

@@ -13,6 +13,8 @@ def spark(tmp_path_factory):
     session = get_session(
         "tests", "local[8]",
         **{"spark.sql.shuffle.partitions": "8", "spark.driver.memory": "8g",
+           # on a few rows compiling a plan takes longer than running it; the oracle check runs compiled plans
+           "spark.sql.codegen.wholeStage": "false", "spark.ui.showConsoleProgress": "false",
            "spark.checkpoint.dir": str(tmp_path_factory.mktemp("checkpoints")),
            "spark.sql.streaming.stateStore.providerClass":
                "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider"})
