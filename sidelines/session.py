@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import tempfile
 import uuid
 
@@ -38,13 +39,15 @@ def row_setting(spark: SparkSession, key: str) -> int:
     return int(spark.conf.get(key, str(_DEFAULTS[key])))
 
 
+@functools.cache
+def _folder_for_tests(application_id: str) -> str:
+    return tempfile.mkdtemp(prefix="sidelines-checkpoints-")
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors can reach. Only where the cluster names none (tests) is one made up."""
     named = spark.conf.get("spark.checkpoint.dir", None)
-    if named is None:
-        named = tempfile.mkdtemp(prefix="sidelines-checkpoints-")
-        spark.conf.set("spark.checkpoint.dir", named)
-    return named.rstrip("/")
+    return (named or _folder_for_tests(spark.sparkContext.applicationId)).rstrip("/")
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
