@@ -44,15 +44,40 @@ def _folder_for_tests(application_id: str) -> str:
     return tempfile.mkdtemp(prefix="sidelines-checkpoints-")
 
 
+@functools.cache
+def _removed_at_exit(application_id: str, folder: str) -> str:
+    """Make ``folder`` and have it removed when the driver's JVM ends."""
+    context = SparkSession.active().sparkContext
+    path = context._jvm.org.apache.hadoop.fs.Path(folder)
+    store = path.getFileSystem(context._jsc.hadoopConfiguration())
+    store.mkdirs(path)
+    store.deleteOnExit(path)
+    return folder
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors can reach. Only where the cluster names none (tests) is one made up."""
+    """This application's part of the folder that all executors reach; it goes when the application ends.
+
+    Only a local session that names none (tests) gets one made up: elsewhere the executors would write to their own
+    disks, where nobody finds it.
+    """
+    application = spark.sparkContext.applicationId
     named = spark.conf.get("spark.checkpoint.dir", None)
-    return (named or _folder_for_tests(spark.sparkContext.applicationId)).rstrip("/")
+    if not named:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("spark.checkpoint.dir has to name a folder that all executors share")
+        named = _folder_for_tests(application)
+    return _removed_at_exit(application, f"{named.rstrip('/')}/sidelines-{application}")
+
+
+def new_folder(spark: SparkSession, name: str) -> str:
+    """A folder's name, used by nothing else, below ``shared_dir``."""
+    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: cuts lineage, survives lost executors."""
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    path = new_folder(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
