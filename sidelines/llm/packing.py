@@ -7,6 +7,9 @@ becomes least. Rows are complete per task: a task that runs again replaces its s
 
 from __future__ import annotations
 
+import functools
+import json
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -20,34 +23,65 @@ from tokenizers import Tokenizer
 PIECES = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long")
 _TYPES = {**{c.split()[0]: pa.int64() for c in PIECES.split(", ")}, "ids": pa.binary()}
 ID_BYTES = 4
+STEP = 128  # documents whose words are in memory at a time
 
 
 class WordIds:
     """Token ids (packed, little-endian, 4 bytes each) of whole texts, looked up word by word.
 
-    Only for tokenizers that never join characters across a blank or a line end, as those whose pre-tokenizer drops
-    white space. Words seen before come from a table of at most ``most_words`` words, which begins anew when it is full.
+    Only for tokenizers that drop white space, fold A-Z to lower case and part letters from punctuation before they look
+    for tokens. Words seen before come from a table of at most ``most_words`` words, which begins anew when it is full.
     """
 
-    def __init__(self, tokenizer_json: str, most_words: int = 400_000):
+    _ENDED = re.compile(rb"(.*[a-z])([^a-z0-9\x80-\xff]+)", re.DOTALL)
+
+    def __init__(self, tokenizer_json: str, most_words: int = 500_000):
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
         self.most_words = most_words
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.known: dict[str, bytes] = {"": b""}
-
-    def _encode(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        suffix = json.loads(tokenizer_json)["model"].get("end_of_word_suffix")
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
+        self.ends = np.zeros(self.tokenizer.get_vocab_size(), bool)  # of words
+        self.ends[[i for token, i in vocabulary.items() if suffix and token.endswith(suffix)]] = True
+        self.known: dict[bytes, bytes] = {}
+
+    def _encode(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
+
+    def _learn(self, words: list[bytes]) -> None:
+        """Put words into the table: a word and the punctuation after it are looked up each for itself."""
+        parts = {w: m.groups() if not w.isalpha() and (m := self._ENDED.fullmatch(w)) else (w,) for w in words}
+        new = list({p for ps in parts.values() for p in ps}.difference(self.known))
+        letters = [p for p in new if p.decode().isalpha()]  # each a single word to the tokenizer
+        for i in range(0, len(letters), 1000):
+            some = letters[i:i + 1000]
+            ids = self._encode(b" ".join(some).decode())
+            last = np.flatnonzero(self.ends[ids]) + 1
+            if len(last) == len(some):
+                packed, cuts = ids.tobytes(), [0, *(last * ID_BYTES).tolist()]
+                self.known.update((w, packed[m:n]) for w, m, n in zip(some, cuts, cuts[1:]))
+        for p in new:
+            if p not in self.known:
+                self.known[p] = self._encode(p.decode()).tobytes()
+        for w, ps in parts.items():
+            if len(ps) > 1:
+                self.known[w] = self.known[ps[0]] + self.known[ps[1]]
 
     def __call__(self, texts: list[str]) -> list[bytes]:
-        whole = [any(a in t for a in self.added) for t in texts]  # an added token may hold blanks
-        words = [[] if w else t.replace("\n", " ").split(" ") for t, w in zip(texts, whole)]
         if len(self.known) > self.most_words:
-            self.known = {"": b""}
-        new = list({w for ws in words for w in ws} - self.known.keys())
-        for i in range(0, len(new), 4096):
-            self.known.update(zip(new[i:i + 4096], self._encode(new[i:i + 4096])))
+            self.known.clear()
+        whole = [any(a in t for a in self.added) for t in texts]  # an added token may be part of any word
+        words = [[] if w else t.encode().lower().split() for t, w in zip(texts, whole)]
+        new = set().union(*words).difference(self.known)
+        self._learn(list(new))
         look = self.known.__getitem__
-        return [self._encode([t])[0] if w else b"".join(map(look, ws)) for t, w, ws in zip(texts, whole, words)]
+        return [self._encode(t).tobytes() if w else b"".join(map(look, ws)) for t, w, ws in zip(texts, whole, words)]
+
+
+@functools.lru_cache(maxsize=2)
+def word_ids(tokenizer_json: str) -> WordIds:
+    """One table for all tasks that a Python worker runs one after the other."""
+    return WordIds(tokenizer_json)
 
 
 class Windows:
@@ -156,7 +190,7 @@ def pack(documents: DataFrame, tokenizer_json: str, size: int = 2048, end_id: in
     end = end_id.to_bytes(ID_BYTES, "little")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids_of, windows = WordIds(vocabulary.value), Windows(size)
+        ids_of, windows = word_ids(vocabulary.value), Windows(size)
         sequence = TaskContext.get().partitionId() << 32
         found: list[tuple] = []
 
@@ -175,22 +209,23 @@ def pack(documents: DataFrame, tokenizer_json: str, size: int = 2048, end_id: in
             return pa.RecordBatch.from_arrays([pa.array(c, _TYPES[n]) for c, n in zip(columns, names)], names)
 
         for rows in batches:
-            ids_by_row = ids_of([t or "" for t in rows.column("text").to_pylist()])
-            for doc_id, ids in zip(rows.column("doc_id").to_pylist(), ids_by_row):
-                ids += end
-                total = len(ids) // ID_BYTES
-                rest = (doc_id, 0, ids, total)
-                while rest and len(rest[2]) >= size * ID_BYTES:
-                    head, rest = cut(rest, size)
-                    emit([head])
-                if rest:
-                    full = windows.place(rest, len(rest[2]) // ID_BYTES)
-                    if full:
-                        emit(full)
-                if windows.n > most_open:
-                    for window in windows.close():
-                        emit(window)
-            yield batch()
+            for i in range(0, len(rows), STEP):
+                some = rows.slice(i, STEP)
+                ids_by_row = ids_of([t or "" for t in some.column("text").to_pylist()])
+                for doc_id, ids in zip(some.column("doc_id").to_pylist(), ids_by_row):
+                    ids += end
+                    rest = (doc_id, 0, ids, len(ids) // ID_BYTES)
+                    while rest and len(rest[2]) >= size * ID_BYTES:
+                        head, rest = cut(rest, size)
+                        emit([head])
+                    if rest:
+                        full = windows.place(rest, len(rest[2]) // ID_BYTES)
+                        if full:
+                            emit(full)
+                    if windows.n > most_open:
+                        for window in windows.close():
+                            emit(window)
+                yield batch()
         for window in windows.close():
             emit(window)
         yield batch()

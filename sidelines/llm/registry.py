@@ -6,9 +6,11 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from sidelines.llm import packing, url_filters, warc
+from sidelines.llm import decontamination, line_dedup, packing, simhash, token_counts, url_filters, warc
 from sidelines.llm.sql import ORACLES
+from sidelines.session import new_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -27,6 +29,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op1_line_dedup(spark, sf_dir):
+    """Two deliveries, the second one looked up in the filters of the first."""
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    index = line_dedup.LineIndex(spark, new_folder(spark, "lines"))
+    half = F.pmod(F.xxhash64("doc_id"), F.lit(2))
+    for delivery in range(2):
+        index.insert(documents.filter(half == delivery))
+    kept = index.clean(documents)
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
 @query
 def op2_packing(spark, sf_dir):
     tokenizer = packing.read_tokenizer(public_tokenizers.path("word_bpe_49k.json"))
@@ -39,12 +53,28 @@ def op3_url_filters(spark, sf_dir):
     return url_filters.judge(table(spark, sf_dir, "pages"), rules).drop("url")
 
 
+@query
+def op4_simhash(spark, sf_dir):
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query
+def op5_token_counts(spark, sf_dir):
+    heads, tails = token_counts.pieces_of(public_tokenizers.path("piece_bpe_32k.model"))
+    return token_counts.token_counts(table(spark, sf_dir, "documents").select("doc_id", "text"), heads, tails).drop("text")
+
+
 @query
 def op6_warc(spark, sf_dir):
     records = warc.archived(spark, table(spark, sf_dir, "pages"), payloads=False)
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+@query
+def op9_decontamination(spark, sf_dir):
+    return decontamination.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def queries() -> dict[str, Query]:
     return dict(_QUERIES)
 
