@@ -8,6 +8,7 @@ number of characters; every document meets every shard.
 from __future__ import annotations
 
 import math
+from bisect import bisect_left
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -84,7 +85,9 @@ class Index:
             weights = {t: math.log(1 + (n_units - frequency[t] + 0.5) / (frequency[t] + 0.5)) * n * (K1 + 1) / (n + long)
                        for t, n in Counter(words).items()}
             scored.append((sum(weights.values()), item, weights))
-        scored.sort(key=lambda s: s[0])  # similar totals share a block, which keeps its bounds low
+        # Units with the same most frequent term, thus mostly in one language, and of similar totals share blocks: a
+        # term's bound is then low in the blocks of other languages.
+        scored.sort(key=lambda s: (max((frequency[t], t) for t in s[2]), s[0]))
         self.item_of = [item for _, item, _ in scored]
         lists = defaultdict(list)
         for unit, (total, _, weights) in enumerate(scored):
@@ -102,7 +105,8 @@ class Index:
                                        block_most))
             for block, most in block_most.items():
                 self.bounds[i, block // self.group] = max(most, self.bounds[i, block // self.group])
-        self.most = self.bounds.max(axis=1)
+        self.coarse = np.ascontiguousarray(self.bounds.reshape(len(lists), -1, GROUPS // 8).max(axis=2))
+        self.most = self.coarse.max(axis=1)
 
     def wand(self, terms: list[int]) -> list[tuple[int, float]]:
         """All units that score at least the threshold for a window with these distinct terms: (unit, score)."""
@@ -138,8 +142,8 @@ class Index:
                 target = unit
             for cursor in cursors[:pivot + 1]:
                 units, at = cursor[2].units, cursor[1]
-                while at < len(units) and units[at] < target:
-                    at += 1
+                if at < len(units) and units[at] < target:
+                    at = bisect_left(units, target, at)
                 cursor[0], cursor[1] = (units[at] if at < len(units) else end), at
             cursors = [c for c in cursors if c[0] < end]
         return found
@@ -159,22 +163,26 @@ class Index:
         begins[first] = True
         follows = ~begins[chunk]  # also in the window that began a chunk before
         n = len(self.lists)
-        key = np.unique(np.concatenate([chunk * n + terms, (chunk[follows] - 1) * n + terms[follows]]))
-        window, term = key // n, key % n
-        possible = np.bincount(window, self.most[term], first[-1]) >= self.threshold - 1e-4
-        kept = possible[window]
-        window, term = window[kept], term[kept]
-        if not len(window):
-            return
-        cuts = np.r_[0, np.nonzero(np.diff(window))[0] + 1]
+        key = np.sort(np.concatenate([chunk * n + terms, (chunk[follows] - 1) * n + terms[follows]]))
+        window, term = np.divmod(key[np.diff(key, prepend=-1) > 0], n)
+        for bounds in (self.most[:, None], self.coarse, self.bounds):  # fewer windows are left for each finer bound
+            if len(window):
+                kept = self._reach(window, term, bounds) >= self.threshold - 1e-4
+                window, term = window[kept], term[kept]
+        for part in np.split(np.arange(len(window)), np.flatnonzero(np.diff(window)) + 1) if len(window) else []:
+            document = int(np.searchsorted(first, window[part[0]], "right")) - 1
+            yield document, int(window[part[0]] - first[document]) * UNIT, term[part].tolist()
+
+    @staticmethod
+    def _reach(window: np.ndarray, term: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+        """For each (window, term), in order of windows: the most that the window's terms reach together in a column."""
+        cuts = np.r_[0, np.flatnonzero(np.diff(window)) + 1]
+        reach = np.empty(len(cuts), np.float32)
         for low in range(0, len(cuts), 4_000):
             at = cuts[low:low + 4_000]
             stop = cuts[low + 4_000] if low + 4_000 < len(cuts) else len(window)
-            reach = np.add.reduceat(self.bounds[term[at[0]:stop]], at - at[0], axis=0).max(axis=1)
-            ends = np.r_[at[1:], stop]
-            for i in np.nonzero(reach >= self.threshold - 1e-4)[0]:
-                document = int(np.searchsorted(first, window[at[i]], "right")) - 1
-                yield document, int(window[at[i]] - first[document]) * UNIT, term[at[i]:ends[i]].tolist()
+            reach[low:low + 4_000] = np.add.reduceat(bounds[term[at[0]:stop]], at - at[0], axis=0).max(axis=1)
+        return np.repeat(reach, np.diff(np.r_[cuts, len(window)]))
 
     def matches(self, texts: list[str | None]) -> list[list[dict]]:
         """For each text the items that it holds, each with its best score and its overlaps."""
