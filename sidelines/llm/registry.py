@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sidelines.llm import decontamination, line_dedup, packing, simhash, token_counts, url_filters, warc
+from sidelines.llm import (decontamination, line_dedup, packing, quality_rules, simhash, token_counts, url_filters,
+                           warc)
 from sidelines.llm.sql import ORACLES
 from sidelines.session import new_folder
 
@@ -70,6 +71,12 @@ def op6_warc(spark, sf_dir):
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+@query
+def op7_quality_rules(spark, sf_dir):
+    rows = quality_rules.judged(table(spark, sf_dir, "documents").select("doc_id", "source", "text"), keep_text=False)
+    return rows.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
 @query
 def op9_decontamination(spark, sf_dir):
     return decontamination.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))

@@ -14,6 +14,32 @@ ORACLES = {
         FROM parts LEFT JOIN rules
           ON (host = rule_host OR suffix(host, '.' || rule_host)) AND prefix(path, rule_path)
         QUALIFY row_number() OVER (PARTITION BY n ORDER BY length(rule_host || rule_path) DESC NULLS LAST) = 1""",
+    "op7_quality_rules": r"""
+        WITH docs AS (SELECT doc_id, source, coalesce(text, '') AS t, row_number() OVER () AS n FROM documents),
+        split AS (SELECT n, t, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS w,
+                         list_filter(string_split(t, chr(10)), l -> regexp_matches(l, '[^\x20\x09-\x0D]')) AS l FROM docs),
+        spots AS (SELECT n, w, unnest(range(1, len(w) - 3)) AS i FROM split),
+        windows AS (SELECT n, i, count(*) OVER (PARTITION BY n, w[i:i + 4]) AS found FROM spots),
+        again AS (SELECT n, count(DISTINCT i + k) AS words
+                  FROM (SELECT n, i, unnest(range(5)) AS k FROM windows WHERE found > 1) GROUP BY n),
+        m AS (SELECT d.doc_id, d.source, len(w) AS n_words, length(array_to_string(w, '')) AS word_chars,
+                     length(d.t) - length(regexp_replace(d.t, '[#*$%&|<>]', '', 'g')) AS n_symbols,
+                     len(l) AS n_lines, len(l) - len(list_distinct(l)) AS n_dup_lines, coalesce(words, 0) AS n_repeat_words
+              FROM docs d JOIN split USING (n) LEFT JOIN again USING (n)),
+        failed AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM m),
+        rules AS (SELECT *, base_failed OR 10 * n_symbols > n_words OR 2 * n_dup_lines > n_lines
+                            OR word_chars < 2 * n_words OR word_chars > 15 * n_words AS rule_failed FROM failed),
+        hosts AS (SELECT source, count(*) AS docs, count(*) FILTER (rule_failed) AS bad FROM rules GROUP BY source),
+        sums AS (SELECT sum(docs) AS n, sum(bad) / sum(docs) AS mean, count(*) AS hosts,
+                        sum(bad * (bad / docs)) / sum(docs) AS square FROM hosts),
+        spread AS (SELECT mean, mean * (1 - mean) AS noise, square - mean * mean - hosts * (mean * (1 - mean)) / n AS between
+                   FROM sums),
+        prior AS (SELECT mean, CASE WHEN between > 0 THEN greatest(2.0, least(1000.0, noise / between - 1)) ELSE 1000.0 END AS weight
+                  FROM spread),
+        rates AS (SELECT source, (bad + mean * weight) / (docs + weight) AS rate FROM hosts, prior)
+        SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+               NOT rule_failed AND rate <= 0.5 AS kept
+        FROM rules JOIN rates ON rules.source IS NOT DISTINCT FROM rates.source""",
     "op6_warc": r"""
         WITH payloads AS (SELECT page_id, encode(coalesce(html, '')) AS p FROM pages),
         raw AS (SELECT page_id, octet_length(p) AS payload_bytes, sha1(p) AS digest,
