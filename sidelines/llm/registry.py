@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sidelines.llm import (decontamination, line_dedup, packing, quality_rules, simhash, token_counts, url_filters,
-                           warc)
+from sidelines.llm import (chat, decontamination, line_dedup, packing, pii, quality_rules, simhash, token_counts,
+                           url_filters, warc)
 from sidelines.llm.sql import ORACLES
 from sidelines.session import new_folder
 
@@ -77,11 +77,24 @@ def op7_quality_rules(spark, sf_dir):
     return rows.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+@query
+def op8_chat_formatting(spark, sf_dir):
+    return chat.formatted(table(spark, sf_dir, "conversations"))
+
+
 @query
 def op9_decontamination(spark, sf_dir):
     return decontamination.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+@query
+def op10_pii(spark, sf_dir):
+    found = pii.personal_data(table(spark, sf_dir, "documents"))
+    counts = [F.size(kind).cast("long").alias(f"n_{kind}") for kind in pii.KINDS]
+    return found.select("doc_id", *counts, F.sha2(pii.listed(*pii.KINDS), 256).alias("base_sha256"),
+                        pii.listed(*pii.KINDS, *pii.TERM_KINDS).alias("spans"))
+
+
 def queries() -> dict[str, Query]:
     return dict(_QUERIES)
 

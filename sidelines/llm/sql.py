@@ -17,7 +17,7 @@ ORACLES = {
     "op7_quality_rules": r"""
         WITH docs AS (SELECT doc_id, source, coalesce(text, '') AS t, row_number() OVER () AS n FROM documents),
         split AS (SELECT n, t, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS w,
-                         list_filter(string_split(t, chr(10)), l -> regexp_matches(l, '[^\x20\x09-\x0D]')) AS l FROM docs),
+                         list_filter(string_split(t, chr(10)), lambda l: regexp_matches(l, '[^\x20\x09-\x0D]')) AS l FROM docs),
         spots AS (SELECT n, w, unnest(range(1, len(w) - 3)) AS i FROM split),
         windows AS (SELECT n, i, count(*) OVER (PARTITION BY n, w[i:i + 4]) AS found FROM spots),
         again AS (SELECT n, count(DISTINCT i + k) AS words
