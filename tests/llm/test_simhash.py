@@ -1,0 +1,121 @@
+import numpy as np
+import pytest
+import xxhash
+from pyspark.sql import functions as F
+
+from sidelines.llm import simhash
+from sidelines.llm.common import components
+
+
+def plain_fingerprint(text):
+    words = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
+    for c in "\t\n\x0b\x0c\r":
+        words = words.replace(c, " ")
+    words = [w for w in words.split(" ") if w]
+    if not words:
+        return 0
+    n = max(1, len(words) - 2)
+    hashes = [xxhash.xxh64(" ".join(words[i:i + 3]).encode(), seed=42).intdigest() for i in range(n)]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > n)
+
+
+def plain_roots(nodes, near):
+    root = {n: n for n in nodes}
+
+    def find(n):
+        while root[n] != n:
+            n = root[n]
+        return n
+
+    for a, b in near:
+        a, b = find(a), find(b)
+        root[max(a, b)] = min(a, b)
+    return {n: find(n) for n in nodes}
+
+
+def plain_components(rows):
+    prints = {i: plain_fingerprint(t) for i, t in enumerate(t for _, t in rows)}
+    near = [(i, j) for i in prints for j in prints if i < j and (prints[i] ^ prints[j]).bit_count() <= 2]
+    roots = plain_roots(prints, near)
+    ids = {}
+    for i, (doc, _) in enumerate(rows):
+        if doc is not None:
+            ids[roots[i]] = min(doc, ids.get(roots[i], doc))
+    return sorted(((d, f"{prints[i]:016x}", ids.get(roots[i])) for i, (d, _) in enumerate(rows)), key=str)
+
+
+def test_documents_equal_brute_force(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    rows = [tuple(r) for r in docs.select("doc_id", "text").collect()]
+    found = simhash.near_duplicates(docs).collect()
+    assert sorted(map(tuple, found), key=str) == plain_components(rows)
+    assert len({r["component_id"] for r in found}) < len(rows)
+
+
+ODD = [(3, None), (2, ""), (None, " \n\t"), (7, "One"), (6, "one  "), (9, "É é"), (5, "é É"), (1, "a b c d"), (1, "a b c d"), (8, "A\x0bB\tc\rD"),
+       (4, "\x1c x"), (None, "only null"), (None, "only null"), (11, "w " * 50_000), (10, "W\n" * 50_000)]
+
+
+def test_odd_texts_equal_brute_force(spark):
+    docs = spark.createDataFrame([(d, t, "x") for d, t in ODD], "doc_id int, text string, fp string").repartition(3)
+    assert sorted(map(tuple, simhash.near_duplicates(docs).collect()), key=str) == plain_components(ODD)
+    assert simhash.near_duplicates(docs.limit(0)).count() == 0
+
+
+def clustered(random, n):
+    """Random fingerprints, with chains of near ones and a dense cluster."""
+    fps = random.integers(0, 1 << 64, n, dtype=np.uint64).tolist()
+    for i in range(0, n // 2):
+        fps.append(fps[i] ^ (1 << int(random.integers(64))) ^ (1 << int(random.integers(64))))
+    chain = fps[0]
+    for b in range(0, 40, 2):
+        chain ^= 3 << b
+        fps.append(chain)
+    fps += [fps[1] ^ (1 << i) ^ (1 << j) ^ (1 << k) for i in range(12) for j in range(i) for k in range(j)]
+    return sorted(set(fps))
+
+
+@pytest.mark.parametrize("tile_rows", [50_000, 3])
+def test_links_connect_what_all_pairs_connect(spark, tile_rows, monkeypatch):
+    monkeypatch.setattr(simhash._Home, "ROWS", 8)
+    monkeypatch.setattr(simhash._Home, "COLUMNS", 16)
+    fps = clustered(np.random.default_rng(3), 300)
+    signed = np.array(fps, np.uint64).view(np.int64).tolist()
+    frame = spark.createDataFrame([(f,) for f in signed], "fp long")
+    found = simhash.links(frame, 2, tile_rows).collect()
+    pairs = [(r["a"] % (1 << 64), r["b"] % (1 << 64)) for r in found]
+    near = [(a, b) for i, a in enumerate(fps) for b in fps[:i] if (a ^ b).bit_count() <= 2]
+    assert plain_roots(fps, pairs) == plain_roots(fps, near)
+    assert len(pairs) < len(near)
+
+
+def test_one_of_each(spark):
+    rows = [(d, t, f"s{i % 2}") for i, (d, t) in enumerate(ODD)]
+    docs = spark.createDataFrame(rows, "doc_id int, text string, _tag string").repartition(3)
+    kept = simhash.one_of_each(docs)
+    assert kept.columns == docs.columns and kept.dtypes == docs.dtypes
+    found = kept.collect()
+    roots = {r[2]: r for r in plain_components(ODD)}
+    assert len(found) == len({(c if c is not None else "null") for c in roots})
+    assert {r["doc_id"] for r in found} == set(roots)
+    again = sorted(map(str, simhash.one_of_each(docs.union(docs)).collect()))
+    assert again == sorted(map(str, found))
+    assert simhash.one_of_each(docs.limit(0)).count() == 0
+
+
+def test_components_of_chains_stars_and_cycles(spark):
+    random = np.random.default_rng(0)
+    edges = [(i, i + 1) for i in range(100, 180)] + [(500, i) for i in range(501, 560)] + [(1, 2), (2, 3), (3, 1), (7, 7)]
+    edges += [(int(a), int(b)) for a, b in random.integers(1000, 1200, (150, 2))]
+    frame = spark.createDataFrame(edges, "a long, b long")
+    found = {r["node"]: r["root"] for r in components(frame).collect()}
+    expected = plain_roots({n for e in edges for n in e}, edges)
+    single = {n for n in expected if not any(n in e and e[0] != e[1] for e in edges)}
+    assert found == {n: r for n, r in expected.items() if n not in single}
+    assert components(frame.limit(0)).count() == 0
+
+
+def test_counts_of_quarters(spark):
+    df = spark.createDataFrame([(-1,), (0,), (1 << 62,)], "fp long")
+    rows = df.select(*simhash._levels(F.col("fp"))).collect()
+    assert [tuple(r) for r in rows] == [(16, 16, 16, 16), (0, 0, 0, 0), (0, 0, 0, 1)]
