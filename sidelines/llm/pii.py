@@ -168,8 +168,10 @@ def personal_data(documents: DataFrame, hint: float = 0.75, remove: float = 0.9,
 
 def listed(*kinds: str) -> Column:
     """``kind:start:end`` of the spans in these columns, by kind and then start, comma-joined."""
-    parts = [F.transform(F.col(kind), lambda s, kind=kind: F.concat_ws(":", F.lit(kind), s["start"], s["end"])) for kind in kinds]
-    return F.array_join(F.concat(*parts), ",")
+    def part(kind: str) -> Column:
+        return F.transform(F.col(kind), lambda s: F.concat_ws(":", F.lit(kind), s["start"], s["end"]))
+
+    return F.array_join(F.concat(*map(part, kinds)), ",")
 
 
 def sanitised(documents: DataFrame, hint: float = 0.75, remove: float = 0.9, support: int = 3) -> DataFrame:
@@ -178,11 +180,14 @@ def sanitised(documents: DataFrame, hint: float = 0.75, remove: float = 0.9, sup
     Entities become their kind in brackets, hints ``[TERM]``, and terms that disclose more are taken out. Where
     spans overlap, the one that starts first is replaced, of several the longest. A null text stays null.
     """
+    instead = {kind: f"[{kind.upper()}]" for kind in KINDS} | dict(zip(TERM_KINDS, ("", "[TERM]")))
+
+    def replaced(kind: str) -> Column:
+        return F.transform(F.col(kind), lambda s: F.struct(
+            s["start"].alias("start"), (-s["end"]).alias("upto"), F.lit(instead[kind]).alias("by")))
+
     spans_of = personal_data(documents, hint, remove, support)
-    places = F.array_sort(F.concat(*[F.transform(F.col(kind), lambda s, kind=kind: F.struct(
-        s["start"].alias("start"), (-s["end"]).alias("upto"),
-        F.lit("" if kind == TERM_KINDS[0] else "[TERM]" if kind == TERM_KINDS[1] else f"[{kind.upper()}]").alias("by")))
-        for kind in (*KINDS, *TERM_KINDS)]))
+    places = F.array_sort(F.concat(*map(replaced, instead)))
     spans_of = spans_of.select(F.col("doc_id").alias("_of"), F.col("tkey").alias("_key"), places.alias("_places")).distinct()
     rows = beside_row(documents, _doc_id=F.col("doc_id"), _text=F.col("text"))
     rows = rows.withColumn("_tkey", F.xxhash64(F.coalesce("_text", F.lit(""))))
