@@ -1,0 +1,64 @@
+from sidelines.llm import chat
+
+SCHEMA = "conv_id long, turn long, role string, text string"
+A = "The first message has a line of words.\nAnd a second line, about rivers.\nShort."
+B = "On Monday, Ann wrote:\n> The first message has  a line of WORDS.\n> And a second line about rivers\n\nI agree with these rivers."
+C = "> > The first message has a line of words.\n>> And a second line, about rivers.\n> I agree with these rivers!\nSo do I, and the lakes."
+D = "Something else that quotes nothing at all."
+E = "> Something else that quotes nothing at all.\n>\n> Never said by anybody here.\nFine."
+
+
+def found(spark, rows, **options):
+    frame = spark.createDataFrame(rows, SCHEMA)
+    return {(r["conv_id"], r["turn"]): r for r in chat.linked(frame, **options).collect()}
+
+
+def test_nested_quotations_lead_to_their_messages(spark):
+    rows = [(1, i, "user" if i % 2 == 0 else "assistant", t) for i, t in enumerate([A, B, D, C, E])]
+    by = found(spark, rows)
+    assert [by[1, i]["reply_to"] for i in range(5)] == [None, 0, None, 1, 2]
+    assert [by[1, i]["thread"] for i in range(5)] == [0, 0, 2, 0, 2]
+    assert [by[1, i]["content"] for i in range(5)] == [A, "I agree with these rivers.", D, "So do I, and the lakes.", "Fine."]
+    # two lines and their run at level 2, one line at level 1; the run leaves out a line of the original
+    assert (by[1, 3]["n_quoted"], by[1, 3]["n_linked"]) == (4, 3)
+    assert 0 < by[1, 4]["n_linked"] < by[1, 4]["n_quoted"]
+
+
+def test_replies_follow_what_they_answer(spark):
+    rows = [(1, i, "user", t) for i, t in enumerate([A, B, D, C, E])] + [(0, 0, None, None)]
+    ordered = chat.formatted(spark.createDataFrame(rows[::-1], SCHEMA)).collect()
+    assert [(r["conv_id"], r["turn"]) for r in ordered] == [(0, 0), (1, 0), (1, 1), (1, 3), (1, 2), (1, 4)]
+    assert ordered[0]["message"] == "<|unknown|>\n\n<|end|>" and ordered[2]["message"] == "<|user|>\nI agree with these rivers.\n<|end|>"
+
+
+def test_only_earlier_messages_of_the_conversation_are_originals(spark):
+    quote = "> Something else that quotes nothing at all.\nyes"
+    by = found(spark, [(1, 0, "u", quote), (1, 1, "u", D), (2, 0, "u", D), (2, 1, "u", D), (2, 2, "u", quote), (3, 5, "u", quote)])
+    assert by[1, 0]["reply_to"] is None and by[3, 5]["reply_to"] is None
+    assert by[2, 2]["reply_to"] == 0  # the first that says so
+
+
+def test_a_quote_that_was_wrapped_anew(spark):
+    wrapped = "> The first message has\n> a line of words. And a second line,\n> about rivers. Short.\nok"
+    assert found(spark, [(1, 0, "u", A), (1, 1, "u", wrapped)])[1, 1]["reply_to"] == 0
+
+
+def test_odd_rows_and_columns(spark):
+    deep = ">" * 20_000 + " Something else that quotes nothing at all."
+    rows = [(None, 1, "u", D), (1, None, "u", D), (1, 1, None, None), (1, 2, "u", ""), (1, 3, "u", D), (1, 3, "u", D),
+            (1, 4, "u", deep), (1, 4, "u", deep), (1, 5, "u", "> x\n" * 20_000 + "> " + D), (1, 6, "u", "a > b\n  plain"), (1, 7, "u", ">\n>>\n")]
+    frame = spark.createDataFrame([(*r, "mine") for r in rows], SCHEMA + ", thread string")
+    result = chat.linked(frame)
+    assert result.columns == ["conv_id", "turn", "role", "text", "thread", "content", "reply_to", "n_quoted", "n_linked"]
+    got = result.collect()
+    assert len(got) == len(rows)
+    by = {(r["conv_id"], r["turn"]): r for r in got}
+    assert by[1, 4]["reply_to"] == 3 and by[1, 5]["reply_to"] == 3 and by[1, 6]["content"] == "a > b\n  plain"
+    assert by[1, 7]["content"] == "" and by[None, 1]["reply_to"] is None
+    assert chat.linked(frame.limit(0)).count() == 0
+
+
+def test_the_given_conversations_hold_no_quotations(spark):
+    messages = spark.read.parquet("/root/testdata/sf0.001/conversations.parquet")
+    rows = chat.formatted(messages).collect()
+    assert len(rows) == messages.count() and all(r["reply_to"] is None and r["thread"] == r["turn"] for r in rows)

@@ -1,0 +1,116 @@
+from collections import Counter
+
+import numpy as np
+import pytest
+
+from sidelines.llm import decontamination as d
+
+
+@pytest.fixture(scope="module")
+def tables(spark):
+    return [spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "benchmark")]
+
+
+def test_whole_items_are_found_and_nothing_else(spark, tables):
+    documents, items = tables
+    texts = {r["doc_id"]: r["text"] for r in documents.collect()}
+    benchmark = [(r["item_id"], r["text"]) for r in items.collect()]
+    expected = {(doc, item) for doc, t in texts.items() for item, i in benchmark
+                if b" ".join(d.words_of(i)) in b" ".join(d.words_of(t))}
+    found = d.contaminated(documents, items).collect()
+    assert {(r["doc_id"], r["item_id"]) for r in found} == expected and len(found) == len(expected) > 10
+    assert all(r["overlap"] >= 0.8 and r["score"] >= 0.6 for r in found)
+    kept = d.without_leaks(documents, items)
+    assert kept.columns == documents.columns
+    assert {r["doc_id"] for r in kept.collect()} == set(texts) - {doc for doc, _ in expected}
+
+
+def some_index(random, n_items, threshold):
+    common = [f"c{i}".encode() for i in range(30)]
+    rare = [f"r{i}".encode() for i in range(400)]
+
+    def text(n):
+        return [random.choice(common) if random.random() < 0.6 else random.choice(rare) for _ in range(n)]
+
+    items = [(i, b" ".join(text(random.integers(5, 120))).decode()) for i in range(n_items)]
+    units = [u for _, t in items for u in d.units_of(d.words_of(t))]
+    frequency = Counter(t for u in units for t in set(u))
+    return items, text, d.Index(items, frequency, len(units), sum(map(len, units)) / len(units), threshold)
+
+
+@pytest.mark.parametrize("threshold", [0.2, 0.45, 0.7])
+def test_wand_retrieves_all_above_the_threshold(threshold):
+    random = np.random.default_rng(7)
+    items, text, index = some_index(random, 150, threshold)
+    scores = np.zeros((len(index.lists), len(index.item_of)))
+    for term, postings in enumerate(index.lists):
+        scores[term, postings.units] = postings.weights
+    assert np.allclose(scores.sum(axis=0), 1)
+    n = 0
+    for k in range(300):
+        words = text(96) if k % 3 else d.words_of(items[k // 3][1])[:96]
+        terms = sorted({index.term_id[w] for w in words if w in index.term_id})
+        total = scores[terms].sum(axis=0)
+        clear = {u for u in range(len(total)) if total[u] >= threshold + 1e-9}
+        maybe = {u for u in range(len(total)) if total[u] >= threshold - 1e-9}
+        found = {u for u, _ in index.wand(terms)}
+        assert clear <= found <= maybe
+        assert not clear or next(index.candidates([words]), None) is not None
+        n += len(clear)
+    assert n > 0
+
+
+def test_windows_hold_every_unit_whole():
+    random = np.random.default_rng(9)
+    items, text, index = some_index(random, 60, 0.999)
+    for k, (item_id, item) in enumerate(items):
+        document = text(int(random.integers(0, 200))) + d.words_of(item) + text(int(random.integers(0, 100)))
+        found = index.matches([b" ".join(document).decode()])[0]
+        assert item_id in {m["item_id"] for m in found}, k
+
+
+ITEM = "Which of these rivers runs through seven countries before it ends?\nThe long winding river Zambar of the north"
+
+
+def test_case_punctuation_and_small_changes(spark):
+    items = spark.createDataFrame([(5, ITEM), (6, None), (7, ""), (8, "too short"), (5, ITEM), (9, "one two three four five")],
+                                  "item_id int, text string")
+    other = "nothing of the kind " * 40
+    rows = [(1, f"{other}\n{ITEM.upper().replace(' ', '  ,')}! {other}"), (2, ITEM.split("\n")[0]), (3, ITEM.split("\n")[1]),
+            (4, ITEM.replace("seven", "nine")), (5, " ".join(reversed(ITEM.split()))), (6, None), (7, ""), (None, ITEM), (8, ITEM), (8, ITEM),
+            (9, "x " * 100_000 + ITEM), (10, "One, two three; four FIVE"), (11, "too short")]
+    docs = spark.createDataFrame([(*r, "m") for r in rows], "doc_id long, text string, matches string")
+    found = {(r["doc_id"], r["item_id"]) for r in d.contaminated(docs, items).collect()}
+    assert found == {(1, 5), (None, 5), (8, 5), (9, 5), (10, 9)}
+    kept = d.without_leaks(docs, items)
+    assert kept.columns == docs.columns and sorted(r["doc_id"] for r in kept.collect()) == [2, 3, 4, 5, 6, 7, 11]
+
+
+def test_an_edit_that_leaves_four_fifths(spark):
+    words = [f"w{i}" for i in range(60)]
+    items = spark.createDataFrame([(1, " ".join(words[:50]) + ". " + " ".join(words[50:]))], "item_id long, text string")
+    once, often = list(words), list(words)
+    once[20] = "edited"
+    for i in range(0, 60, 9):
+        often[i] = "edited"
+    docs = spark.createDataFrame([(1, " ".join(once)), (2, " ".join(often))], "doc_id long, text string")
+    assert [r["doc_id"] for r in d.contaminated(docs, items).collect()] == [1]
+
+
+def test_empty_tables_and_several_shards(spark, tables):
+    documents, items = tables
+    assert d.contaminated(documents.limit(0), items).count() == 0
+    assert d.contaminated(documents, items.limit(0)).count() == 0
+    whole = sorted(map(str, d.contaminated(documents, items).collect()))
+    shards = list(d.indexes(items, shard_chars=2000))
+    assert len(shards) > 3
+    texts = documents.collect()
+    found = {(r["doc_id"], m["item_id"]) for s in shards for r, ms in zip(texts, s.matches([t["text"] for t in texts])) for m in ms}
+    assert len(found) == len(whole)
+
+
+def test_question_and_answer():
+    assert d.question_and_answer("a b\nc d\n") == ("a b", "c d")
+    assert d.question_and_answer("Is it? Yes it is.") == ("Is it?", " Yes it is.")
+    assert d.question_and_answer("only one.") == ("only one.", "")
+    assert d.question_and_answer("") == ("", "")
