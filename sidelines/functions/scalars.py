@@ -13,7 +13,6 @@ NEW_SEASON_MONTH = 8
 ID_WIDTH = 10
 DAYS_PER_YEAR = 365.25
 PROBABILITY_FLOOR = 1e-6
-BULK_MINUTES = r"^\s*(\d+(?:\.\d+)?)(?::(\d+))?\s*$"
 LIVE_CLOCK = r"^\s*([+-]?\d+)\s*:\s*([+-]?\d+)\s*$"
 FEET_INCHES = r"^\s*(\d+)\s*-\s*(\d+)\s*$"
 
@@ -128,12 +127,25 @@ def parse_minutes(raw, live: bool = False) -> Column:
         seconds = F.regexp_extract(text, LIVE_CLOCK, 2).try_cast("int")
         clock = F.when(text.rlike(LIVE_CLOCK), F.round(minutes + seconds / 60, 2))
         return F.when(text.contains(":"), F.coalesce(clock, F.lit(0.0))).otherwise(numeric_or_zero(text))
-    minutes = F.floor(F.regexp_extract(text, BULK_MINUTES, 1).try_cast("double"))
-    seconds = F.coalesce(F.regexp_extract(text, BULK_MINUTES, 2).try_cast("int"), F.lit(0))
-    parsed = F.when(text.rlike(BULK_MINUTES), F.round(minutes + seconds / 60, 2))
+    parts = F.split(F.trim(text), ":")
+    minutes, seconds = _unsigned(F.get(parts, F.lit(0)), "double"), _unsigned(F.get(parts, F.lit(1)), "int")
+    parsed = (F.when(F.size(parts) == 1, F.floor(minutes).cast("double"))
+              .when(F.size(parts) == 2, F.round(F.floor(minutes) + seconds / 60, 2)))
     return F.coalesce(parsed, F.lit(0.0))
 
 
+def _unsigned(text: Column, type_: str) -> Column:
+    """A number written with digits alone, or with one point if the type has fractions; else NULL."""
+    signs = "0123456789." if type_ == "double" else "0123456789"
+    return F.when(F.translate(text, signs, "") == "", text.try_cast(type_))
+
+
+def whole(c, type_: str = "long") -> Column:
+    """A whole number, also one written with a fraction of zeros as in '1610612740.0'; anything else is NULL."""
+    value = _col(c).try_cast("decimal(38,6)")
+    return F.when(value == F.floor(value), value.try_cast(type_))
+
+
 def parse_height(raw) -> Column:
     """'6-9' -> 81 inches; anything else is NULL."""
     text = _col(raw).cast("string")

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from datetime import date
+import uuid
+from datetime import UTC, date, datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,6 +32,34 @@ class WarehouseTables:
         return SnapshotTable(self.spark, f"{self.root}/{name}", SCHEMAS[name], KEYS[name],
                              PARTS.get(name, "'all'"))
 
+    def report(self, run: str, table: str, losses: DataFrame) -> None:
+        """Append what a run left out of a table: ``losses(reason, n_rows)``."""
+        rows = losses.select(F.lit(run).alias("run"), F.lit(table).alias("table_name"), "reason", "n_rows")
+        rows.coalesce(1).write.mode("append").parquet(f"{self.root}/load_report")
+
+    def load_report(self) -> DataFrame:
+        """``(run, table_name, reason, n_rows)`` of all runs that reported something."""
+        return self.spark.read.schema(LOAD_REPORT).parquet(f"{self.root}/load_report")
+
+
+LOAD_REPORT = "run string, table_name string, reason string, n_rows long"
+
+
+def _store(tables: WarehouseTables, name: str, typed: DataFrame, run: str, delivery: str | None = None) -> DataFrame:
+    """Report what the rules of a table and its keys leave out of ``typed``, and upsert the rest, which is returned."""
+    rows = Q.numeric_stats(typed) if name == "player_game_stats" else typed
+    rules = {"teams": lambda: Q.team_rules(), "players": lambda: Q.player_rules(), "games": lambda: Q.game_rules(rows),
+             "player_game_stats": lambda: [Q.plausible_player_ids(), *Q.stats_rules(rows)],
+             "player_tracking_stats": lambda: Q.tracking_rules(rows)}[name]()
+    if name == "player_game_stats":  # a missing id is reported as such
+        rules = [*rules[1:2], rules[0], *rules[2:]]
+    tables.report(run, name, Q.load_report(rows, rules, KEYS[name]))
+    good = first_per_key(Q.clean(rows, rules), KEYS[name], content_order(rows))
+    if name == "games":
+        good = with_home_win(good)
+    tables[name].upsert(good, delivery)
+    return good
+
 
 def content_order(df: DataFrame) -> list[Column]:
     """Which copy of a key is first. Files have no row order in Spark, so the row's content decides."""
@@ -41,7 +70,7 @@ def content_order(df: DataFrame) -> list[Column]:
 
 def teams_from_bulk(raw: DataFrame, lookup: DataFrame) -> DataFrame:
     merged = files.with_lookup(raw, lookup, "abbreviation")
-    return merged.select(F.col("team_id").try_cast("long").alias("team_id"), "abbreviation",
+    return merged.select(S.whole("team_id").alias("team_id"), "abbreviation",
                          files.col_or(raw, ["nickname", "name"]).alias("name"), "conference", "division")
 
 
@@ -65,26 +94,23 @@ def with_supplement(players: DataFrame, details: DataFrame, order: list[Column]
 
 def players_from_bulk(raw: DataFrame, details: DataFrame) -> DataFrame:
     """Position and birth date are left out on purpose: an upsert must not clear what the bio job filled in."""
-    typed = raw.withColumn("player_id", F.col("player_id").try_cast("long"))
+    typed = raw.withColumn("player_id", S.whole("player_id"))
     latest = latest_team_per_player(typed)
     out = latest.select("player_id", files.col_or(raw, ["player_name", "full_name"]).alias("full_name"),
-                        files.col_or(raw, "team_id").try_cast("long").alias("team_id"))
-    details = details.withColumns({"player_id": F.col("player_id").try_cast("long"),
-                                   "team_id": F.col("team_id").try_cast("long")})
+                        S.whole(files.col_or(raw, "team_id")).alias("team_id"))
+    details = details.withColumns({"player_id": S.whole("player_id"),
+                                   "team_id": S.whole("team_id")})
     return with_supplement(out, details)
 
 
 def games_from_bulk(raw: DataFrame) -> DataFrame:
-    def whole(name):
-        return F.col(name).try_cast("double").cast("int")
-
     return raw.select(
         S.pad_id("game_id").alias("game_id"), F.col("game_date_est").try_cast("date").alias("game_date"),
-        S.season_of_year(F.col("season").try_cast("int")).alias("season"),
+        S.season_of_year(S.whole("season", "int")).alias("season"),
         F.lit("Regular Season").alias("season_type"),
-        F.col("home_team_id").try_cast("long").alias("home_team_id"),
-        F.col("visitor_team_id").try_cast("long").alias("away_team_id"),
-        whole("pts_home").alias("home_score"), whole("pts_away").alias("away_score"))
+        S.whole("home_team_id").alias("home_team_id"),
+        S.whole("visitor_team_id").alias("away_team_id"),
+        S.whole("pts_home", "int").alias("home_score"), S.whole("pts_away", "int").alias("away_score"))
 
 
 def with_home_win(games: DataFrame) -> DataFrame:
@@ -92,59 +118,59 @@ def with_home_win(games: DataFrame) -> DataFrame:
 
 
 def stats_from_bulk(raw: DataFrame) -> DataFrame:
-    typed = raw.withColumn("player_id", F.col("player_id").try_cast("long"))
-    plausible = Q.clean(typed, [Q.plausible_player_ids()])
     started = F.col("start_position").isNotNull() if "start_position" in raw.columns else F.lit(False)
-    return plausible.select(
-        "player_id", S.pad_id("game_id").alias("game_id"), F.col("team_id").try_cast("long").alias("team_id"),
+    return raw.select(
+        S.whole("player_id").alias("player_id"), S.pad_id("game_id").alias("game_id"), S.whole("team_id").alias("team_id"),
         S.parse_minutes("min").alias("minutes"),
         *[files.col_or(raw, source).try_cast("double").alias(target) for source, target in STAT_COLUMNS.items()],
         started.alias("started"))
 
 
-def load_bulk(spark: SparkSession, folder: str, tables: WarehouseTables) -> None:
-    """Teams, players, games and box scores, in the order of their references."""
-    folder = folder.rstrip("/")
+def load_bulk(spark: SparkSession, folder: str, tables: WarehouseTables, run: str | None = None) -> str:
+    """Teams, players, games and box scores, in the order of their references. Returns the run's name in the report."""
+    folder, run = folder.rstrip("/"), run or new_run()
     details = files.read_csv(spark, f"{folder}/games_details.csv")
 
-    teams = teams_from_bulk(files.read_csv(spark, f"{folder}/teams.csv"), conference_lookup(spark))
-    tables["teams"].upsert(Q.validate_teams(teams, content_order(teams)))
-
-    players = players_from_bulk(files.read_csv(spark, f"{folder}/players.csv"), details)
-    tables["players"].upsert(Q.validate_players(players, content_order(players)))
+    teams, lookup = files.read_csv(spark, f"{folder}/teams.csv"), conference_lookup(spark)
+    unmapped = files.unmapped_keys(teams, lookup, "abbreviation")
+    tables.report(run, "teams", unmapped.groupBy(F.concat(F.lit("no conference for "), "abbreviation").alias("reason"))
+                  .agg(F.lit(0).cast("long").alias("n_rows")))  # the row is kept
+    _store(tables, "teams", teams_from_bulk(teams, lookup), run)
+    _store(tables, "players", players_from_bulk(files.read_csv(spark, f"{folder}/players.csv"), details), run)
+    _store(tables, "games", games_from_bulk(files.read_csv(spark, f"{folder}/games.csv")), run)
+    _store(tables, "player_game_stats", stats_from_bulk(details), run)
+    return run
 
-    games = with_home_win(games_from_bulk(files.read_csv(spark, f"{folder}/games.csv")))
-    tables["games"].upsert(Q.validate_games(games, content_order(games)))
 
-    stats = stats_from_bulk(details)
-    tables["player_game_stats"].upsert(Q.validate_player_game_stats(stats, content_order(stats)))
+def new_run() -> str:
+    return f"{datetime.now(UTC):%Y-%m-%dT%H:%M:%S}-{uuid.uuid4().hex[:8]}"
 
 
 # --- the landed feed ----------------------------------------------------------------------------------------
 
-def load_landed(spark: SparkSession, landing: str, tables: WarehouseTables, start: date, end: date) -> None:
+def load_landed(spark: SparkSession, landing: str, tables: WarehouseTables, start: date, end: date,
+                run: str | None = None) -> str:
     """Contests of a range of days, then the box scores and tracking rows of exactly these contests."""
-    landing = landing.rstrip("/")
+    landing, run = landing.rstrip("/"), run or new_run()
     header = files.in_range(files.read_landing(spark, f"{landing}/header", files.HEADER_FEED), "GAME_DATE", start, end)
     lines = files.in_range(files.read_landing(spark, f"{landing}/line_score", files.LINE_SCORE_FEED),
                            "GAME_DATE", start, end)
-    games = files.merge_scoreboard(header, lines)
-    games = with_home_win(Q.validate_games(games, content_order(games)))
-    tables["games"].upsert(games)
+    games = _store(tables, "games", files.merge_scoreboard(header, lines), run)
 
     wanted = games.select("game_id")
-    box = files.canonical_box(files.read_landing(spark, f"{landing}/box", files.BOX_FEED))
-    upsert_box(tables, box.join(wanted, "game_id", "left_semi"))
-    tracking = files.canonical_tracking(files.read_landing(spark, f"{landing}/tracking", files.TRACKING_FEED))
-    upsert_tracking(tables, tracking.join(wanted, "game_id", "left_semi"))
+    box = files.read_landing(spark, f"{landing}/box", files.BOX_FEED, files.BOX_COLUMNS)
+    upsert_box(tables, files.canonical_box(box).join(wanted, "game_id", "left_semi"), run)
+    tracking = files.read_landing(spark, f"{landing}/tracking", files.TRACKING_FEED, files.TRACKING_COLUMNS)
+    upsert_tracking(tables, files.canonical_tracking(tracking).join(wanted, "game_id", "left_semi"), run)
+    return run
 
 
-def upsert_box(tables: WarehouseTables, box: DataFrame, delivery: str | None = None) -> None:
-    tables["player_game_stats"].upsert(Q.validate_player_game_stats(box, content_order(box)), delivery)
+def upsert_box(tables: WarehouseTables, box: DataFrame, run: str, delivery: str | None = None) -> None:
+    _store(tables, "player_game_stats", box, run, delivery)
 
 
-def upsert_tracking(tables: WarehouseTables, tracking: DataFrame, delivery: str | None = None) -> None:
-    tables["player_tracking_stats"].upsert(Q.validate_tracking_stats(tracking, content_order(tracking)), delivery)
+def upsert_tracking(tables: WarehouseTables, tracking: DataFrame, run: str, delivery: str | None = None) -> None:
+    _store(tables, "player_tracking_stats", tracking, run, delivery)
 
 
 # --- biographies --------------------------------------------------------------------------------------------

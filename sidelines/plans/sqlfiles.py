@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from pathlib import Path
 
@@ -11,10 +12,23 @@ from pyspark.sql import DataFrame, SparkSession
 from sidelines.sources.warehouse import preview
 
 
+# What a semicolon or a comment mark can be part of, and what it can be.
+_TOKEN = re.compile(r"""
+    (?P<literal> '(?:[^'\\]|\\.)*' | "(?:[^"\\]|\\.)*" | `[^`]*` )
+  | (?P<comment> --[^\n]* | /\*.*?\*/ )
+  | (?P<end> ; )
+  | (?P<other> . )""", re.VERBOSE | re.DOTALL)
+
+
 def statements(text: str) -> list[str]:
-    """Drop the lines that are comments, then split at the semicolons."""
-    code = "\n".join(line for line in text.splitlines() if not line.strip().startswith("--"))
-    return [s.strip() for s in code.split(";") if s.strip()]
+    """The statements of a file, without comments. Inside of a literal or a quoted name nothing is a mark."""
+    found = [""]
+    for token in _TOKEN.finditer(text):
+        if token.lastgroup == "end":
+            found.append("")
+        else:
+            found[-1] += " " if token.lastgroup == "comment" else token.group()
+    return [statement for statement in map(str.strip, found) if statement]
 
 
 def run_text(spark: SparkSession, text: str) -> Iterator[tuple[int, DataFrame | None, str | None]]:

@@ -5,38 +5,48 @@ from __future__ import annotations
 from pyspark.sql import types as T
 
 _TYPES = {
-    "int": T.IntegerType(), "long": T.LongType(), "str": T.StringType(), "date": T.DateType(),
-    "bool": T.BooleanType(), "double": T.DoubleType(), "ts": T.TimestampType(),
-    "num52": T.DecimalType(5, 2), "num54": T.DecimalType(5, 4), "num74": T.DecimalType(7, 4),
-    "metrics": T.MapType(T.StringType(), T.DoubleType()),
+    "INT": T.IntegerType(), "BIGINT": T.LongType(), "STRING": T.StringType(), "DATE": T.DateType(),
+    "BOOLEAN": T.BooleanType(), "DOUBLE": T.DoubleType(), "TIMESTAMP": T.TimestampType(),
+    "DECIMAL(5,2)": T.DecimalType(5, 2), "DECIMAL(5,4)": T.DecimalType(5, 4), "DECIMAL(7,4)": T.DecimalType(7, 4),
+    "MAP<STRING,DOUBLE>": T.MapType(T.StringType(), T.DoubleType()),
 }
 
 
-def _table(spec: str) -> T.StructType:
-    fields = (part.split(":") for part in spec.split())
+def table(ddl: str) -> T.StructType:
+    """The schema of a column list; unlike Spark's own parser it needs no session."""
+    fields = (column.split() for column in ddl.split(", "))
     return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in fields])
 
 
-TEAMS = _table("team_id:long abbreviation:str name:str conference:str division:str")
-PLAYERS = _table("player_id:long full_name:str position:str birth_date:date height_inches:int "
-                 "weight_lbs:int team_id:long")
-GAMES = _table("game_id:str game_date:date season:str season_type:str home_team_id:long away_team_id:long "
-               "home_score:int away_score:int home_win:bool")
-PLAYER_GAME_STATS = _table(
-    "player_id:long game_id:str team_id:long minutes:num52 points:double rebounds:double "
-    "offensive_reb:double defensive_reb:double assists:double steals:double blocks:double "
-    "turnovers:double fouls:double fgm:double fga:double fg3m:double fg3a:double ftm:double fta:double "
-    "plus_minus:double usage_rate:num52 started:bool")
-PLAYER_TRACKING_STATS = _table("player_id:long game_id:str distance_miles:num52 avg_speed_mph:num52 "
-                               "touches:double drives:double secondary_ast:double contested_shots:double")
-INJURY_REPORTS = _table("player_id:long report_date:date status:str description:str")
-MODEL_VERSIONS = _table("model_version_id:long model_name:str version_tag:str trained_at:ts metrics:metrics")
-GAME_PREDICTIONS = _table("game_id:str model_version_id:long predicted_home_win_prob:num54 "
-                          "predicted_label:bool actual_label:bool predicted_at:ts")
-PLAYER_DECLINE_PREDICTIONS = _table("player_id:long game_id:str model_version_id:long "
-                                    "decline_risk_score:num54 decline_flag:bool predicted_at:ts")
-MODEL_MONITORING_LOG = _table("model_version_id:long week_start:date n_predictions:long accuracy:num54 "
-                              "log_loss:num74 brier_score:num74 notes:str logged_at:ts")
+# The columns of the tables.
+TEAMS = table("team_id BIGINT, abbreviation STRING, name STRING, conference STRING, division STRING")
+PLAYERS = table(
+    "player_id BIGINT, full_name STRING, position STRING, birth_date DATE, height_inches INT, weight_lbs INT, "
+    "team_id BIGINT")
+GAMES = table(
+    "game_id STRING, game_date DATE, season STRING, season_type STRING, home_team_id BIGINT, away_team_id "
+    "BIGINT, home_score INT, away_score INT, home_win BOOLEAN")
+PLAYER_GAME_STATS = table(
+    "player_id BIGINT, game_id STRING, team_id BIGINT, minutes DECIMAL(5,2), points DOUBLE, rebounds DOUBLE, "
+    "offensive_reb DOUBLE, defensive_reb DOUBLE, assists DOUBLE, steals DOUBLE, blocks DOUBLE, turnovers "
+    "DOUBLE, fouls DOUBLE, fgm DOUBLE, fga DOUBLE, fg3m DOUBLE, fg3a DOUBLE, ftm DOUBLE, fta DOUBLE, plus_minus "
+    "DOUBLE, usage_rate DECIMAL(5,2), started BOOLEAN")
+PLAYER_TRACKING_STATS = table(
+    "player_id BIGINT, game_id STRING, distance_miles DECIMAL(5,2), avg_speed_mph DECIMAL(5,2), touches DOUBLE, "
+    "drives DOUBLE, secondary_ast DOUBLE, contested_shots DOUBLE")
+INJURY_REPORTS = table("player_id BIGINT, report_date DATE, status STRING, description STRING")
+MODEL_VERSIONS = table(
+    "model_version_id BIGINT, model_name STRING, version_tag STRING, trained_at TIMESTAMP, metrics "
+    "MAP<STRING,DOUBLE>")
+GAME_PREDICTIONS = table(
+    "game_id STRING, model_version_id BIGINT, predicted_home_win_prob DECIMAL(5,4), predicted_label BOOLEAN, "
+    "actual_label BOOLEAN, predicted_at TIMESTAMP")
+PLAYER_DECLINE_PREDICTIONS = table(
+    "player_id BIGINT, game_id STRING, model_version_id BIGINT, decline_risk_score DECIMAL(5,4), decline_flag "
+    "BOOLEAN, predicted_at TIMESTAMP")
+MODEL_MONITORING_LOG = table(
+    "model_version_id BIGINT, week_start DATE, n_predictions BIGINT, accuracy DECIMAL(5,4), log_loss "
+    "DECIMAL(7,4), brier_score DECIMAL(7,4), notes STRING, logged_at TIMESTAMP")
 
 KEYS = {
     "teams": ["team_id"],

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Collection, Sequence
 from datetime import date, timedelta
 
 from pyspark.errors import AnalysisException
@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 from sidelines.functions import scalars as S
 from sidelines.operators.keyed import first_per_key
+from sidelines.schemas import table
 
 
 def read_csv(spark: SparkSession, path: str) -> DataFrame:
@@ -48,19 +49,17 @@ def unmapped_keys(df: DataFrame, lookup: DataFrame, key: str) -> DataFrame:
 
 # --- the landed feed ---------------------------------------------------------------------------------------
 
-def _feed(spec: str) -> T.StructType:
-    kinds = {"s": T.StringType(), "n": T.DoubleType(), "i": T.LongType(), "d": T.DateType()}
-    return T.StructType([T.StructField(name, kinds[kind]) for name, kind in
-                         (part.split(":") for part in spec.split())])
-
-
-# Column names of the feed are fixed values.
-HEADER_FEED = _feed("GAME_DATE:d GAME_ID:s HOME_TEAM_ID:i VISITOR_TEAM_ID:i")
-LINE_SCORE_FEED = _feed("GAME_DATE:d SEQ:i TEAM_ID:i PTS:n")
-BOX_FEED = _feed("GAME_ID:s PLAYER_ID:i TEAM_ID:i MIN:s PTS:n REB:n OREB:n DREB:n AST:n STL:n BLK:n TO:n PF:n "
-                 "FGM:n FGA:n FG3M:n FG3A:n FTM:n FTA:n PLUS_MINUS:n START_POSITION:s")
-TRACKING_FEED = _feed("GAME_ID:s PLAYER_ID:i DIST:n AVG_SPEED:n TCHS:n DRIVES:n SAST:n CFGA:n")
-BIO_FEED = _feed("PLAYER_ID:i POSITION:s BIRTHDATE:s HEIGHT:s WEIGHT:s")
+# The columns of the feed and their names in the tables.
+HEADER_FEED = table("GAME_DATE DATE, GAME_ID STRING, HOME_TEAM_ID BIGINT, VISITOR_TEAM_ID BIGINT")
+LINE_SCORE_FEED = table("GAME_DATE DATE, SEQ BIGINT, TEAM_ID BIGINT, PTS DOUBLE")
+BOX_FEED = table(
+    "GAME_ID STRING, PLAYER_ID BIGINT, TEAM_ID BIGINT, MIN STRING, PTS DOUBLE, REB DOUBLE, OREB DOUBLE, DREB "
+    "DOUBLE, AST DOUBLE, STL DOUBLE, BLK DOUBLE, TO DOUBLE, PF DOUBLE, FGM DOUBLE, FGA DOUBLE, FG3M DOUBLE, "
+    "FG3A DOUBLE, FTM DOUBLE, FTA DOUBLE, PLUS_MINUS DOUBLE, START_POSITION STRING")
+TRACKING_FEED = table(
+    "GAME_ID STRING, PLAYER_ID BIGINT, DIST DOUBLE, AVG_SPEED DOUBLE, TCHS DOUBLE, DRIVES DOUBLE, SAST DOUBLE, "
+    "CFGA DOUBLE")
+BIO_FEED = table("PLAYER_ID BIGINT, POSITION STRING, BIRTHDATE STRING, HEIGHT STRING, WEIGHT STRING")
 
 BOX_COLUMNS = {"PTS": "points", "REB": "rebounds", "OREB": "offensive_reb", "DREB": "defensive_reb",
                "AST": "assists", "STL": "steals", "BLK": "blocks", "TO": "turnovers", "PF": "fouls",
@@ -70,9 +69,22 @@ TRACKING_COLUMNS = {"DIST": "distance_miles", "AVG_SPEED": "avg_speed_mph", "TCH
                     "DRIVES": "drives", "SAST": "secondary_ast", "CFGA": "contested_shots"}
 
 
-def read_landing(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Landed JSON rows. ``schema`` names the columns that the feed delivers."""
-    return spark.read.schema(schema).json(path)
+def read_landing(spark: SparkSession, path: str, schema: T.StructType, counts: Collection[str] = ()) -> DataFrame:
+    """Landed JSON rows, one per line. ``schema`` names the columns that the feed can deliver."""
+    return from_lines(spark.read.text(path), schema, counts)
+
+
+def from_lines(lines: DataFrame, schema: T.StructType, counts: Collection[str] = ()) -> DataFrame:
+    """Rows of JSON ``lines(value)``. One of the ``counts`` that a record does not have is 0, one that it has as null is
+    null; a line that is no record has nulls only, which the rules of its table reject and report."""
+    rows = lines.select(F.from_json("value", schema).alias("row"), F.json_object_keys("value").alias("there"))
+
+    def value(name: str) -> Column:
+        own = F.col(f"row.{name}")
+        absent = F.col("there").isNotNull() & ~F.array_contains("there", name)
+        return (F.when(absent, F.lit(0.0)).otherwise(own) if name in counts else own).alias(name)
+
+    return rows.select(*map(value, schema.names))
 
 
 def canonical_box(df: DataFrame) -> DataFrame:

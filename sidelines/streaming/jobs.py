@@ -6,6 +6,8 @@ checkpoint folder given by the caller.
 
 from __future__ import annotations
 
+from collections.abc import Collection
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -20,11 +22,10 @@ _MONDAY = "4 days"
 
 
 def read_landed_stream(spark: SparkSession, path: str, schema: T.StructType,
-                       files_per_batch: int | None = None) -> DataFrame:
-    reader = spark.readStream.schema(schema)
-    if files_per_batch:
-        reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return reader.json(path)
+                       files_per_batch: int = 100, counts: Collection[str] = ()) -> DataFrame:
+    """Landed JSON rows as they arrive, so many files in a batch at most."""
+    lines = spark.readStream.option("maxFilesPerTrigger", files_per_batch).text(path)
+    return files.from_lines(lines, schema, counts)
 
 
 def ingest_box_scores(box: DataFrame, tables: loaders.WarehouseTables, checkpoint: str) -> StreamingQuery:
@@ -33,7 +34,7 @@ def ingest_box_scores(box: DataFrame, tables: loaders.WarehouseTables, checkpoin
         # a new checkpoint counts its batches from 0 again, so the number alone does not name a batch
         delivery = f"{checkpoint}#{batch_id}"
         if not tables["player_game_stats"].has_delivery(delivery):
-            loaders.upsert_box(tables, files.canonical_box(batch), delivery)
+            loaders.upsert_box(tables, files.canonical_box(batch), delivery, delivery)
 
     return (box.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
             .trigger(availableNow=True).start())

@@ -4,6 +4,7 @@ from datetime import date
 import pytest
 
 from conftest import rows
+from sidelines.functions import scalars as S
 from sidelines.plans import loaders
 from sidelines.schemas import GAMES, KEYS, PARTS, SCHEMAS
 from sidelines.sources import files
@@ -57,6 +58,24 @@ def test_bulk_load(spark, bulk, tables):
     assert before == {name: rows(tables[name].read()) for name in before}
 
 
+def test_rows_in_are_rows_kept_and_rows_reported(spark, bulk, tables):
+    with open(f"{bulk}/games_details.csv", "a") as file:
+        file.write("21900001,1.0,10.0,Ann,G,18:06,20,5,4,8,15\n21900001,1,14.5,Eve,,1,1,1,1,1,1\n,1,10,Ann,,1,1,1,1,1,1\n")
+    run = loaders.load_bulk(spark, bulk, tables)
+    report = tables.load_report().filter(f"run = '{run}'")
+    lost = {(t, r): n for t, r, n in rows(report, "table_name", "reason", "n_rows")}
+    assert lost == {("teams", "no conference for XXX"): 0, ("teams", "missing team_id or abbreviation or name"): 1,
+                    ("games", "home and away team are the same"): 1, ("player_game_stats", "implausible player id"): 1,
+                    ("player_game_stats", "fgm > fga"): 1, ("player_game_stats", "repeated key"): 1,
+                    ("player_game_stats", "missing player_id or game_id or team_id"): 2}
+    assert tables["player_game_stats"].read().count() + sum(n for (t, _), n in lost.items() if t == "player_game_stats") == 7
+
+
+def test_whole_numbers_may_carry_a_fraction_of_zeros(spark):
+    df = spark.createDataFrame([("1610612740.0",), ("7",), ("7.5",), ("x",), (None,), ("1e3",), (" 8 ",)], "v string")
+    assert [r[0] for r in df.select(S.whole("v")).collect()] == [1610612740, 7, None, None, None, 1000, 8]
+
+
 def test_missing_file(spark, tmp_path):
     with pytest.raises(FileNotFoundError, match="teams.csv"):
         files.read_csv(spark, str(tmp_path / "teams.csv"))
@@ -97,15 +116,18 @@ def test_landed_load(spark, tables, tmp_path):
         {"GAME_ID": "22300502", "PLAYER_ID": 10, "TEAM_ID": 1, "MIN": "30:30", "PTS": 12}])
     write_json(landing / "tracking", [
         {"GAME_ID": "22300500", "PLAYER_ID": 10, "DIST": 2.5, "AVG_SPEED": 4.1},
-        {"GAME_ID": "22300500", "PLAYER_ID": 11, "DIST": 25.0, "AVG_SPEED": 4.1}])
+        {"GAME_ID": "22300500", "PLAYER_ID": 11, "DIST": 25.0, "AVG_SPEED": 4.1},
+        {"GAME_ID": "22300500", "PLAYER_ID": 12, "AVG_SPEED": 4.1}, {"GAME_ID": "22300500", "PLAYER_ID": 13, "DIST": None}])
     start, end = files.date_range(days=1, today=date(2024, 1, 6))
     loaders.load_landed(spark, str(landing), tables, start, end)
     assert rows(tables["games"].read(), "game_id", "season", "home_score", "away_score", "home_win") == [
         ("0022300500", "2023-24", 100, 90, True), ("0022300501", "2023-24", None, None, None)]
     stats = tables["player_game_stats"].read()
     assert rows(stats.selectExpr("player_id", "cast(minutes as double)", "points", "started", "plus_minus")) == [
-        (10, 30.5, 12.0, True, None), (11, 0.0, 0.0, False, None)]
-    assert rows(tables["player_tracking_stats"].read(), "player_id") == [(10,)]
+        (10, 30.5, 12.0, True, 0.0), (11, 0.0, 0.0, False, 0.0)]
+    tracking = tables["player_tracking_stats"].read()
+    assert rows(tracking.selectExpr("player_id", "cast(distance_miles as double)", "touches")) == [(10, 2.5, 0.0), (12, 0.0, 0.0)]
+    assert ("player_tracking_stats", "implausible distance", 2) in rows(tables.load_report(), "table_name", "reason", "n_rows")
 
 
 def test_a_column_the_feed_lacks_counts_as_zero(spark):
