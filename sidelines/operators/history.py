@@ -1,10 +1,10 @@
 """Columns computed over the time-ordered rows of an entity (a team's or a player's contests).
 
-Usually this is a plain window: one shuffle on the entity serves all columns. A window, however, sorts an
-entity in one task, which fails when one entity holds a large part of the rows. ``hot_keys`` finds such
-entities with one narrow count; their rows alone take another way: they are numbered in order, cut into
-blocks of equal size, and the few rows that a frame needs from the neighbouring block are copied into it.
-Unbounded means add the totals of all earlier blocks. Both ways give the same values.
+A window over an entity sorts all of its rows in one task, which fails when one entity holds a large part of the table.
+So every history is cut into blocks of time (years, unless told otherwise), and an entity and block is what a task
+sorts. What a row needs from earlier blocks is small and comes from one row per entity and block: the last few rows
+before the block, the first one after it, and totals. Sums are exact (whole numbers or fixed-scale decimals), so the
+values do not depend on where the blocks are cut or in which order anything is added.
 """
 
 from __future__ import annotations
@@ -14,15 +14,18 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql import Window as W
-from pyspark.sql.window import WindowSpec
 
-from sidelines.operators.ranking import ascending, join_keys, row_index
-from sidelines.session import BLOCK_ROWS, HOT_KEY_ROWS, row_setting
+from sidelines.operators.ranking import ascending
+from sidelines.session import HISTORY_BLOCK, setting
 
-_INDEX = "_index"
-_HOME = "_home"
-_BLOCK = "_block"
+# Of an entity and block; NULL is a value like any other, for which a flag stands beside a filler.
+_ENTITY, _BLOCK = ("_entity_none", "_entity"), ("_block_none", "_block")
+_KEY = [*_ENTITY, *_BLOCK]
+_AT, _TAIL, _NEXT, _BEFORE, _WITHIN = "_edge_at", "_edge_tail", "_edge_next", "_edge_before", "_edge_within"
+# Fractions are added to twelve places.
+_FIXED, _TOTAL = "decimal(24,12)", "decimal(34,12)"  # with more digits an addition would round
 
 
 @dataclass(frozen=True)
@@ -33,53 +36,30 @@ class Rolling:
     rows: int
     current: bool = True
     min_count: int = 1
-    lookahead = 0
 
     @property
     def lookback(self) -> int:
         return self.rows - 1 if self.current else self.rows
 
-    def over(self, window: WindowSpec) -> Column:
-        frame = window.rowsBetween(-self.lookback, 0 if self.current else -1)
-        mean = F.avg(self.value).over(frame)
-        if self.min_count <= 1:
-            return mean
-        return F.when(F.count(self.value).over(frame) >= self.min_count, mean)
-
 
 @dataclass(frozen=True)
 class RowsInFrame:
     """How many rows the rolling frame holds, the current one included."""
 
     rows: int
-    lookahead = 0
-
-    @property
-    def lookback(self) -> int:
-        return self.rows - 1
-
-    def over(self, window: WindowSpec) -> Column:
-        return F.count("*").over(window.rowsBetween(-self.lookback, 0))
+    lookback = 0
 
 
 @dataclass(frozen=True)
 class Previous:
     value: str
     lookback = 1
-    lookahead = 0
-
-    def over(self, window: WindowSpec) -> Column:
-        return F.lag(self.value).over(window)
 
 
 @dataclass(frozen=True)
 class Following:
     value: str
     lookback = 0
-    lookahead = 1
-
-    def over(self, window: WindowSpec) -> Column:
-        return F.lead(self.value).over(window)
 
 
 @dataclass(frozen=True)
@@ -91,116 +71,158 @@ class Running:
     min_count: int = 1
     within: tuple[str, ...] = ()
     lookback = 0
-    lookahead = 0
-
-    def over(self, window: WindowSpec, own: Column | None = None, carried: tuple[str, str] | None = None) -> Column:
-        """``own`` tells rows from copies of a neighbouring block, ``carried`` names the earlier blocks' totals."""
-        frame = window.rowsBetween(W.unboundedPreceding, 0 if self.current else -1)
-        value = F.col(self.value).cast("double")
-        if own is not None:
-            value = F.when(own, value)
-        total, count = F.sum(value).over(frame), F.count(value).over(frame)
-        if carried is not None:
-            total = F.coalesce(total, F.lit(0.0)) + F.coalesce(F.col(carried[0]), F.lit(0.0))
-            count = count + F.coalesce(F.col(carried[1]), F.lit(0))
-        return F.when(count >= max(self.min_count, 1), total / count)
 
 
 Spec = Rolling | RowsInFrame | Previous | Following | Running
 
 
-def hot_keys(rows: DataFrame, key: str) -> list:
-    """Values of the key that hold more rows than one task should sort; NULL may be one of them.
+def _zero(kind: T.DataType) -> Column:
+    if isinstance(kind, (T.DateType, T.TimestampType)):
+        return F.lit("1970-01-01").cast(kind)
+    return (F.lit("") if isinstance(kind, T.StringType) else F.lit(0)).cast(kind)
 
-    ``rows`` needs only the key column, and may be any table with at least as many rows per key as the one to
-    be windowed. No more values come back than there are shuffle partitions: a key beyond the largest ``p``
-    holds less than a ``p``-th of the rows, which is an ordinary partition.
-    """
-    spark = rows.sparkSession
-    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    found = (rows.groupBy(key).agg(F.count("*").alias("_rows"))
-             .filter(F.col("_rows") > row_setting(spark, HOT_KEY_ROWS))
-             .orderBy(F.desc("_rows")).limit(partitions).collect())
-    return [row[key] for row in found]
 
+def _flagged(value: Column, kind: T.DataType, names: tuple[str, str]) -> list[Column]:
+    """Whether the value is NULL (which sorts last), and the value without NULL."""
+    return [value.isNull().alias(names[0]), F.coalesce(value, _zero(kind)).alias(names[1])]
 
-def with_history(df: DataFrame, entity: str, order: Sequence[str], columns: Mapping[str, Spec],
-                 hot: list | None = None) -> DataFrame:
-    """Add ``columns`` computed over each entity's rows in ``order``.
 
-    ``order`` must identify a row within the entity (a date alone does not: two contests can share it).
-    ``hot`` is the result of ``hot_keys`` on the entity; None asks for it here.
-    """
-    if hot is None:
-        hot = hot_keys(df.select(entity), entity)
-    if not hot:
-        return _windowed(df, entity, order, columns)
-    # plain predicates on the key, which the optimizer moves down to the scans on both sides of the split
-    key, values = F.col(entity), [value for value in hot if value is not None]
-    is_hot = key.isin(values)
-    if None in hot:
-        usual, split = df.filter(~is_hot), df.filter(is_hot | key.isNull())
-    else:
-        usual, split = df.filter(~is_hot | key.isNull()), df.filter(is_hot)
-    return _windowed(usual, entity, order, columns).unionByName(_in_blocks(split, entity, order, columns))
+class _Exact:
+    """Sums of a column without rounding: of whole numbers as longs, of others as decimals of twelve places."""
 
+    def __init__(self, df: DataFrame, value: str):
+        whole = isinstance(df.schema[value].dataType, (T.IntegralType, T.BooleanType))
+        self.value, self.total = value, "bigint" if whole else _TOTAL
+        self.term = (lambda c: c.cast("bigint")) if whole else (lambda c: c.cast(_FIXED))
 
-def _coarse_first(columns) -> list[tuple[tuple[str, ...], dict]]:
-    """The columns grouped by the finer key they start anew for, the plain ones first.
+    def sum(self, column: Column) -> Column:
+        return F.sum(self.term(column))
 
-    A window by a finer key then finds its rows already partitioned by the entity and needs no shuffle.
+    def mean(self, total: Column, n: Column) -> Column:
+        """Decimals are divided as such: a cast to double first would depend on how Spark happens to hold them."""
+        return total / n if self.total == "bigint" else (total / n).cast("double")
+
+    def zero(self) -> Column:
+        return F.lit(0).cast(self.total)
+
+    def plus(self, a: Column, b: Column) -> Column:
+        a, b = (F.coalesce(c.cast(self.total), self.zero()) for c in (a, b))
+        return (a + b).cast(self.total)
+
+
+def with_history(df: DataFrame, entity: str, order: Sequence[str], columns: Mapping[str, Spec],
+                 block: Column | None = None) -> DataFrame:
+    """Add ``columns`` computed over each entity's rows in ``order`` (ascending, NULL last).
+
+    ``order`` must identify a row within the entity (a date alone does not: two contests can share it). ``block`` must not
+    fall while the order rises; left out, it is the year (or what ``spark.sidelines.historyBlock`` says) of the first
+    column of the order, a date.
     """
-    groups: dict[tuple[str, ...], dict] = {(): {}}
+    if block is None:
+        block = F.trunc(order[0], setting(df.sparkSession, HISTORY_BLOCK))
+    kind = df.select(block.alias("b")).schema["b"].dataType
+    keyed = df.select("*", *_flagged(F.col(entity), df.schema[entity].dataType, _ENTITY), *_flagged(block, kind, _BLOCK))
+    exact = {spec.value: _Exact(df, spec.value) for spec in columns.values() if isinstance(spec, (Rolling, Running))}
+    in_block = W.partitionBy(*_KEY).orderBy(*ascending(order))
+    local: dict[str, Column] = {_AT: F.row_number().over(in_block)}
     for name, spec in columns.items():
-        groups.setdefault(getattr(spec, "within", ()), {})[name] = spec
-    return list(groups.items())
+        local |= _local(name, spec, exact, in_block)
+    rows = keyed.select("*", *[column.alias(name) for name, column in local.items()])
+    edges = _edges(keyed, in_block, columns, exact)
+    joined = rows.join(edges, _KEY, "left")
+    return joined.select(*df.columns, *[_value(name, spec, exact).alias(name) for name, spec in columns.items()])
 
 
-def _windowed(df: DataFrame, entity, order, columns) -> DataFrame:
-    for within, specs in _coarse_first(columns):
-        window = W.partitionBy(entity, *within).orderBy(*ascending(order))
-        df = df.select("*", *[spec.over(window).alias(name) for name, spec in specs.items()])
-    return df
+def _within(names: tuple[str, ...]) -> str:
+    return "_".join((_WITHIN, *names))
 
 
-def _in_blocks(df: DataFrame, entity, order, columns) -> DataFrame:
-    lookback = max(spec.lookback for spec in columns.values())
-    lookahead = max(spec.lookahead for spec in columns.values())
-    size = max(row_setting(df.sparkSession, BLOCK_ROWS), lookback, lookahead, 1)
-
-    rows = row_index(df, [entity], order, _INDEX).withColumn(_HOME, F.floor(F.col(_INDEX) / size))
-    running = {name for name, spec in columns.items() if isinstance(spec, Running)}
-    for within, specs in _coarse_first({name: columns[name] for name in running}):
-        if specs:
-            rows = _with_carried(rows, [entity, *within], specs)
-
-    place = F.col(_INDEX) % size
-    copies = F.array_compact(F.array(
-        F.col(_HOME),
-        F.when(place >= size - lookback, F.col(_HOME) + 1),
-        F.when((place < lookahead) & (F.col(_HOME) > 0), F.col(_HOME) - 1)))
-    blocks = rows.withColumn(_BLOCK, F.explode(copies))
-    own = F.col(_BLOCK) == F.col(_HOME)
-    for within, specs in _coarse_first(columns):
-        window = W.partitionBy(entity, _BLOCK, *within).orderBy(_INDEX)
-        blocks = blocks.select("*", *[
-            (spec.over(window, own, _carried_names(name)) if name in running else spec.over(window)).alias(name)
-            for name, spec in specs.items()])
-    return blocks.filter(own).select(*df.columns, *columns)
-
-
-def _carried_names(name: str) -> tuple[str, str]:
+def _parts(name: str) -> tuple[str, str]:
     return f"_sum_{name}", f"_count_{name}"
 
 
-def _with_carried(rows: DataFrame, keys, running) -> DataFrame:
-    """Join to every row the sum and count of its key's earlier blocks: one small row per key and block."""
-    sums, carried = [], []
-    earlier = W.partitionBy(*keys).orderBy(_HOME).rowsBetween(W.unboundedPreceding, -1)
-    for name, spec in running.items():
-        total, count = _carried_names(name)
-        value = F.col(spec.value).cast("double")
-        sums += [F.sum(value).alias(total), F.count(value).alias(count)]
-        carried += [F.sum(total).over(earlier).alias(total), F.sum(count).over(earlier).alias(count)]
-    per_block = rows.groupBy(*keys, _HOME).agg(*sums).select(*keys, _HOME, *carried)
-    return join_keys(rows, per_block, [*keys, _HOME], "left")
+def _local(name: str, spec: Spec, exact: dict[str, _Exact], in_block) -> dict[str, Column]:
+    """What the rows of the block itself give."""
+    if isinstance(spec, RowsInFrame):
+        return {}
+    if isinstance(spec, Previous):
+        return {f"_own_{name}": F.lag(spec.value).over(in_block)}
+    if isinstance(spec, Following):
+        return {f"_own_{name}": F.lead(spec.value).over(in_block), f"_last_{name}": F.lead(F.lit(True)).over(in_block).isNull()}
+    begin = -spec.lookback if isinstance(spec, Rolling) else W.unboundedPreceding
+    window = in_block if isinstance(spec, Rolling) else _starting_anew(in_block, spec.within)
+    frame = window.rowsBetween(begin, 0 if spec.current else -1)
+    term = exact[spec.value].term(F.col(spec.value))
+    total, count = _parts(name)
+    return {total: F.sum(term).over(frame), count: F.count(term).over(frame)}
+
+
+def _starting_anew(in_block, within: tuple[str, ...]):
+    return in_block.partitionBy(*_KEY, *within) if within else in_block
+
+
+def _edges(keyed: DataFrame, in_block, columns: Mapping[str, Spec], exact: dict[str, _Exact]) -> DataFrame:
+    """A row per entity and block: the last rows before it, the first after it, and the totals up to it."""
+    lookback = max(spec.lookback for spec in columns.values())
+    back = sorted({s.value for s in columns.values() if isinstance(s, (Rolling, Previous))})
+    ahead = sorted({s.value for s in columns.values() if isinstance(s, Following)})
+    running = {name: spec for name, spec in columns.items() if isinstance(spec, Running)}
+    within = sorted({spec.within for spec in running.values() if spec.within})
+    known = sorted({spec.value for spec in running.values()})
+
+    late = F.lead(F.lit(True), max(lookback, 1)).over(in_block).isNull()
+    marked = keyed.select("*", F.row_number().over(in_block).alias(_AT), late.alias("_late"))
+    tail = [F.sort_array(F.collect_list(F.when(F.col("_late"), F.struct(_AT, *back)))).alias("_own")] if lookback else []
+    first = F.max(F.when(F.col(_AT) == 1, F.struct(F.lit(True).alias("there"), *ahead)))
+    sums = [column for v in known for column in (exact[v].sum(F.col(v)).alias(f"_s_{v}"),
+                                                 F.count(exact[v].term(F.col(v))).alias(f"_c_{v}"))]
+    blocks = marked.groupBy(*_KEY).agg(F.count("*").alias("_rows"), first.alias("_first"), *tail, *sums)
+    by_time = W.partitionBy(*_ENTITY).orderBy(*_BLOCK)
+    earlier = by_time.rowsBetween(W.unboundedPreceding, -1)
+    found = [F.sum("_rows").over(earlier).alias(_BEFORE), F.lead("_first").over(by_time).alias(_NEXT)]
+    if lookback:
+        # every block has a row, so these blocks hold enough
+        found.append(F.flatten(F.collect_list("_own").over(by_time.rowsBetween(-lookback, -1))).alias(_TAIL))
+    found += [F.sum(f"_{k}_{v}").over(earlier).alias(f"_{k}_before_{v}") for v in known for k in "sc"]
+    edges = blocks.select(*_KEY, *found)
+    for names in within:
+        edges = edges.join(_totals_within(keyed, names, known, sums, _within(names)), _KEY, "left")
+    return edges
+
+
+def _totals_within(keyed: DataFrame, within: tuple[str, ...], known: list[str], sums: list[Column], name: str) -> DataFrame:
+    """Per entity and block the totals up to it for each value of ``within`` that occurs in the block."""
+    parts = keyed.groupBy(*_KEY, *within).agg(*sums)
+    earlier = W.partitionBy(*_ENTITY, *within).orderBy(*_BLOCK).rowsBetween(W.unboundedPreceding, -1)
+    carried = parts.select(*_KEY, *within, *[F.sum(f"_{k}_{v}").over(earlier).alias(f"_{k}_before_{v}")
+                                             for v in known for k in "sc"])
+    return carried.groupBy(*_KEY).agg(F.collect_list(F.struct(
+        F.struct(*within).alias("of"), *[f"_{k}_before_{v}" for v in known for k in "sc"])).alias(name))
+
+
+def _value(name: str, spec: Spec, exact: dict[str, _Exact]) -> Column:
+    """What the block and the edge before or after it give together."""
+    at = F.col(_AT)
+    if isinstance(spec, RowsInFrame):
+        return F.least(F.lit(spec.rows).cast("bigint"), at + F.coalesce(_BEFORE, F.lit(0)))
+    if isinstance(spec, Previous):
+        return F.when(at == 1, F.get(_TAIL, F.size(_TAIL) - 1)[spec.value]).otherwise(F.col(f"_own_{name}"))
+    if isinstance(spec, Following):
+        return F.when(F.col(f"_last_{name}"), F.col(_NEXT)[spec.value]).otherwise(F.col(f"_own_{name}"))
+    how = exact[spec.value]
+    if isinstance(spec, Rolling):
+        missing = spec.lookback + 1 - at  # rows of the frame that lie before the block
+        size = F.size(_TAIL)
+        there = F.when((missing > 0) & (size > 0), F.slice(_TAIL, F.greatest(size - missing, F.lit(0)) + 1, missing))
+        terms = F.filter(F.transform(there, lambda x: how.term(x[spec.value])), lambda x: x.isNotNull())
+        carried = (F.aggregate(terms, how.zero(), lambda a, x: (a + x).cast(how.total)),
+                   F.greatest(F.size(terms), F.lit(0)))  # the size of no array is -1 or NULL
+    elif spec.within:
+        rows = F.filter(_within(spec.within), lambda x: x["of"].eqNullSafe(F.struct(*spec.within)))
+        row = F.get(rows, F.lit(0))
+        carried = row[f"_s_before_{spec.value}"], row[f"_c_before_{spec.value}"]
+    else:
+        carried = F.col(f"_s_before_{spec.value}"), F.col(f"_c_before_{spec.value}")
+    total, count = _parts(name)
+    n = F.col(count) + F.coalesce(carried[1], F.lit(0))
+    return F.when(n >= max(spec.min_count, 1), how.mean(how.plus(F.col(total), carried[0]), n))

@@ -7,8 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from sidelines.functions import scalars as S
-from sidelines.operators.history import (Following, Previous, Rolling, RowsInFrame, Running, hot_keys,
-                                         with_history)
+from sidelines.operators.history import Following, Previous, Rolling, RowsInFrame, Running, with_history
 from sidelines.operators.ranking import ntile
 from sidelines.operators.schedule import completed, team_long
 
@@ -17,27 +16,20 @@ DECLINE_THRESHOLD = 0.05
 TEAM_ORDER = ["game_date", "game_id"]
 PLAYER_ORDER = ["game_date", "game_id"]
 
-# The entities too big for one task, from ``hot_keys``; None looks for them in the narrowest table at hand.
-Hot = list | None
 
-
-def _hot_players(rows: DataFrame, hot: Hot) -> list:
-    return hot_keys(rows.select("player_id"), "player_id") if hot is None else hot
-
-
-def rolling_team_win_pct(games: DataFrame, teams: DataFrame, hot: Hot = None) -> DataFrame:
+def rolling_team_win_pct(games: DataFrame, teams: DataFrame) -> DataFrame:
     """Each team's share of wins over its last 10 contests, the current one included."""
     rows = (team_long(completed(games)).select("team_id", "game_date", "game_id", "won")
             .withColumn("_won", F.col("won").cast("int")))
     rolled = with_history(rows, "team_id", TEAM_ORDER,
-                          {"_pct": Rolling("_won", 10), "games_in_window": RowsInFrame(10)}, hot)
+                          {"_pct": Rolling("_won", 10), "games_in_window": RowsInFrame(10)})
     return (rolled.join(teams.select("team_id", "abbreviation"), "team_id")
             .select("team_id", "abbreviation", "game_date", "game_id", "won",
                     S.round_half_up("_pct", 3).alias("rolling_10_win_pct"), "games_in_window")
             .orderBy("team_id", "game_date", "game_id"))
 
 
-def player_efficiency_decline(stats: DataFrame, games: DataFrame, players: DataFrame, hot: Hot = None) -> DataFrame:
+def player_efficiency_decline(stats: DataFrame, games: DataFrame, players: DataFrame) -> DataFrame:
     """Games in which a player's last-5 TS% is more than 0.05 below their average so far.
 
     The average runs over the whole career, not the season. Names are joined to the few rows that remain.
@@ -45,7 +37,7 @@ def player_efficiency_decline(stats: DataFrame, games: DataFrame, players: DataF
     rows = (_long_outings(stats).select("player_id", "game_id", S.true_shooting().alias("_ts"))
             .join(games.select("game_id", "game_date"), "game_id"))
     rolled = with_history(rows, "player_id", PLAYER_ORDER,
-                          {"_recent": Rolling("_ts", 5), "_base": Running("_ts")}, _hot_players(stats, hot))
+                          {"_recent": Rolling("_ts", 5), "_base": Running("_ts")})
     return (rolled.filter(F.col("_recent") < F.col("_base") - DECLINE_THRESHOLD)
             .join(players.select("player_id", "full_name"), "player_id")
             .select("player_id", "full_name", "game_id", "game_date",
@@ -104,16 +96,16 @@ def team_shooting(stats: DataFrame) -> DataFrame:
             .select("game_id", "team_id", S.safe_ratio("_made", "_attempted").alias("team_fg_pct")))
 
 
-def days_rest(games: DataFrame, hot: Hot = None) -> DataFrame:
+def days_rest(games: DataFrame) -> DataFrame:
     """Days since each team's previous contest. A team's first contest is dropped."""
     rows = team_long(completed(games)).select("team_id", "game_id", "game_date")
-    return (with_history(rows, "team_id", TEAM_ORDER, {"_previous": Previous("game_date")}, hot)
+    return (with_history(rows, "team_id", TEAM_ORDER, {"_previous": Previous("game_date")})
             .filter(F.col("_previous").isNotNull())
             .withColumn("days_rest", F.datediff("game_date", "_previous")).drop("_previous"))
 
 
-def back_to_back_fatigue(games: DataFrame, stats: DataFrame, hot: Hot = None) -> DataFrame:
-    return (days_rest(games, hot).join(team_shooting(stats), ["game_id", "team_id"])
+def back_to_back_fatigue(games: DataFrame, stats: DataFrame) -> DataFrame:
+    return (days_rest(games).join(team_shooting(stats), ["game_id", "team_id"])
             .groupBy(S.rest_bucket("days_rest", "back_to_back (1 day rest)").alias("rest_bucket"))
             .agg(F.count("*").alias("n_games"), S.round_half_up(F.avg("team_fg_pct"), 4).alias("avg_team_fg_pct"),
                  F.min("days_rest").alias("_sort"))
@@ -130,15 +122,14 @@ def back_to_back_summary(team_features: DataFrame, stats: DataFrame) -> DataFram
             .orderBy("sort_key"))
 
 
-def load_and_next(stats: DataFrame, games: DataFrame, tracking: DataFrame, hot: Hot = None) -> DataFrame:
+def load_and_next(stats: DataFrame, games: DataFrame, tracking: DataFrame) -> DataFrame:
     """Each long outing's load and the TS% of the player's next one."""
     rows = (_long_outings(stats)
             .select("player_id", "game_id", "minutes", S.true_shooting().alias("ts_pct"))
             .join(tracking.select("player_id", "game_id", "distance_miles"), ["player_id", "game_id"], "left")
             .join(games.select("game_id", "game_date"), "game_id")
             .select("player_id", "game_id", "game_date", S.load_index().alias("load_index"), "ts_pct"))
-    return with_history(rows, "player_id", PLAYER_ORDER, {"next_ts_pct": Following("ts_pct")},
-                        _hot_players(stats, hot))
+    return with_history(rows, "player_id", PLAYER_ORDER, {"next_ts_pct": Following("ts_pct")})
 
 
 def correlation(x: str, y: str) -> Column:
@@ -148,8 +139,8 @@ def correlation(x: str, y: str) -> Column:
     return F.try_divide(F.covar_pop(a, b), F.stddev_pop(a) * F.stddev_pop(b))
 
 
-def load_next_corr(stats, games, tracking, hot: Hot = None) -> DataFrame:
-    return (load_and_next(stats, games, tracking, hot).filter(F.col("next_ts_pct").isNotNull())
+def load_next_corr(stats, games, tracking) -> DataFrame:
+    return (load_and_next(stats, games, tracking).filter(F.col("next_ts_pct").isNotNull())
             .agg(correlation("load_index", "next_ts_pct").alias("load_vs_next_game_ts_corr"),
                  F.count("*").alias("n_observations")))
 
@@ -162,18 +153,18 @@ def _next_by_quartile(rows: DataFrame) -> DataFrame:
             .agg(S.round_half_up(F.avg("next_ts_pct"), 3).alias("avg_next_game_ts_pct"), F.count("*").alias("n")))
 
 
-def load_quartiles(stats, games, tracking, hot: Hot = None) -> DataFrame:
-    return _next_by_quartile(load_and_next(stats, games, tracking, hot)).orderBy("load_quartile")
+def load_quartiles(stats, games, tracking) -> DataFrame:
+    return _next_by_quartile(load_and_next(stats, games, tracking)).orderBy("load_quartile")
 
 
 QUARTILE_LABELS = {1: "Q1 (lowest)", 2: "Q2", 3: "Q3", 4: "Q4 (highest)"}
 
 
-def load_quartile_dashboard(player_features: DataFrame, hot: Hot = None) -> DataFrame:
+def load_quartile_dashboard(player_features: DataFrame) -> DataFrame:
     """The same from the player feature table: all outings, short ones included, with labels."""
     rows = (player_features.filter(F.col("load_index").isNotNull())
             .select("player_id", "game_id", "game_date", "load_index", "ts_pct"))
-    following = with_history(rows, "player_id", PLAYER_ORDER, {"next_ts_pct": Following("ts_pct")}, hot)
+    following = with_history(rows, "player_id", PLAYER_ORDER, {"next_ts_pct": Following("ts_pct")})
     label = F.lit(None).cast("string")
     for quartile, text in QUARTILE_LABELS.items():
         label = F.when(F.col("load_quartile") == quartile, text).otherwise(label)

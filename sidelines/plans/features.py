@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sidelines.functions import scalars as S
-from sidelines.operators.history import Previous, Rolling, Running, hot_keys, with_history
+from sidelines.operators.history import Previous, Rolling, Running, with_history
 from sidelines.operators.schedule import completed, team_long, with_opponent
 
 TEAM_WINDOW = 10
@@ -20,7 +20,7 @@ PLAYER_FEATURES = ["player_id", "full_name", "game_id", "game_date", "season", "
                    "load_index", "rolling_load_index", "days_rest", "is_back_to_back", "age_years"]
 
 
-def team_form(games: DataFrame, hot: list | None = None) -> DataFrame:
+def team_form(games: DataFrame) -> DataFrame:
     """Lagged form and rest per team and contest: one shuffle on the team."""
     rows = (team_long(completed(games))
             .withColumn("won", F.col("won").cast("int"))
@@ -29,23 +29,21 @@ def team_form(games: DataFrame, hot: list | None = None) -> DataFrame:
         "rolling_win_pct": Rolling("won", TEAM_WINDOW, current=False),
         "rolling_point_diff": Rolling("_diff", TEAM_WINDOW, current=False),
         "_previous": Previous("game_date"),
-    }, hot).withColumn("days_rest", F.datediff("game_date", "_previous"))
+    }).withColumn("days_rest", F.datediff("game_date", "_previous"))
 
 
-def team_game_features(games: DataFrame, hot: list | None = None) -> DataFrame:
-    return (with_opponent(team_form(games, hot), {"rolling_win_pct": "opponent_rolling_win_pct"})
+def team_game_features(games: DataFrame) -> DataFrame:
+    return (with_opponent(team_form(games), {"rolling_win_pct": "opponent_rolling_win_pct"})
             .withColumn("is_back_to_back", S.back_to_back("days_rest")).select(*TEAM_FEATURES))
 
 
 def player_game_features(stats: DataFrame, games: DataFrame, tracking: DataFrame, players: DataFrame,
-                         hot: list | None = None, played_only: bool = False) -> DataFrame:
+                         played_only: bool = False) -> DataFrame:
     """Rows of contests without a result stay, without date and season, and sort last (unless ``played_only``).
 
     The season mean is partitioned more finely than the other windows, so it needs no shuffle of its own;
     players are joined last, on the same key again.
     """
-    if hot is None:
-        hot = hot_keys(stats.select("player_id"), "player_id")
     rows = (stats.select("player_id", "game_id", "team_id", F.col("minutes").cast("double").alias("minutes"),
                          "points", S.true_shooting().alias("ts_pct"))
             .join(tracking.select("player_id", "game_id", "distance_miles"), ["player_id", "game_id"], "left")
@@ -58,7 +56,7 @@ def player_game_features(stats: DataFrame, games: DataFrame, tracking: DataFrame
         "rolling_load_index": Rolling("load_index", PLAYER_WINDOW, current=False),
         "_previous": Previous("game_date"),
         "_season_mean": Running("ts_pct", current=False, min_count=2, within=("season",)),
-    }, hot)
+    })
     return (rolled
             # rows without a season belong to no season
             .withColumn("season_to_date_ts_pct", F.when(F.col("season").isNotNull(), F.col("_season_mean")))

@@ -13,7 +13,6 @@ from pyspark.sql import types as T
 from sidelines.functions import scalars as S
 from sidelines.operators import keyed, schedule
 from sidelines.operators import quality as Q
-from sidelines.operators.history import hot_keys
 from sidelines.plans import analytics, dashboard, features, loaders, models, monitoring
 from sidelines.session import shared_dir
 from sidelines.sources import conferences, files
@@ -49,39 +48,29 @@ def rounded(df: DataFrame, places: int = 6) -> DataFrame:
                        else F.col(f.name) for f in df.schema.fields])
 
 
-# Where to look for entities too big for one task: the fact table's key columns, the narrowest scan there is.
-
-def hot_teams(d):
-    return hot_keys(d.team_keys, "team_id")
-
-
-def hot_players(d):
-    return hot_keys(d.player_keys, "player_id")
-
-
 def _team_features(d):
-    return features.team_game_features(d.games, hot_teams(d))
+    return features.team_game_features(d.games)
 
 
 def _player_features(d):
-    return features.player_game_features(d.stats, d.games, d.tracking, d.players, hot_players(d))
+    return features.player_game_features(d.stats, d.games, d.tracking, d.players)
 
 
 def _played_features(d):
     """Without contests that have no result yet: in the test data nearly every player's last one is such."""
-    return features.player_game_features(d.stats, d.games, d.tracking, d.players, hot_players(d), played_only=True)
+    return features.player_game_features(d.stats, d.games, d.tracking, d.players, played_only=True)
 
 
 # --- analytic queries --------------------------------------------------------------------------------------
 
 @query
 def rolling_team_win_pct(d):
-    return analytics.rolling_team_win_pct(d.games, d.teams, hot_teams(d))
+    return analytics.rolling_team_win_pct(d.games, d.teams)
 
 
 @query
 def player_efficiency_decline(d):
-    return analytics.player_efficiency_decline(d.stats, d.games, d.players, hot_players(d))
+    return analytics.player_efficiency_decline(d.stats, d.games, d.players)
 
 
 @query
@@ -96,7 +85,7 @@ def home_edge(d):
 
 @query
 def back_to_back_fatigue(d):
-    return analytics.back_to_back_fatigue(d.games, d.stats, hot_teams(d))
+    return analytics.back_to_back_fatigue(d.games, d.stats)
 
 
 @query
@@ -111,17 +100,17 @@ def team_shooting(d):
 
 @query
 def load_next_corr(d):
-    return rounded(analytics.load_next_corr(d.stats, d.games, d.tracking, hot_players(d)))
+    return rounded(analytics.load_next_corr(d.stats, d.games, d.tracking))
 
 
 @query
 def load_quartiles(d):
-    return analytics.load_quartiles(d.stats, d.games, d.tracking, hot_players(d))
+    return analytics.load_quartiles(d.stats, d.games, d.tracking)
 
 
 @query
 def load_quartile_dashboard(d):
-    return analytics.load_quartile_dashboard(_player_features(d), hot_players(d))
+    return analytics.load_quartile_dashboard(_player_features(d))
 
 
 @query

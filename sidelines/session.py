@@ -1,4 +1,4 @@
-"""Session defaults and the two settings that the skew handling reads."""
+"""Session defaults and the shared folder."""
 
 from __future__ import annotations
 
@@ -8,12 +8,10 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-# An entity with more rows than this is not sorted in a single task.
-HOT_KEY_ROWS = "spark.sidelines.hotKeyRows"
-# Rows per block when the history of such an entity is cut up.
-BLOCK_ROWS = "spark.sidelines.blockRows"
+# How long a block of an entity's history is: year, quarter or month. Results do not depend on it.
+HISTORY_BLOCK = "spark.sidelines.historyBlock"
 
-_DEFAULTS = {HOT_KEY_ROWS: 2_000_000, BLOCK_ROWS: 1_000_000}
+_DEFAULTS = {HISTORY_BLOCK: "year"}
 
 
 def get_session(app: str = "sidelines", master: str | None = None, **conf: str) -> SparkSession:
@@ -35,8 +33,8 @@ def get_session(app: str = "sidelines", master: str | None = None, **conf: str)
     return builder.getOrCreate()
 
 
-def row_setting(spark: SparkSession, key: str) -> int:
-    return int(spark.conf.get(key, str(_DEFAULTS[key])))
+def setting(spark: SparkSession, key: str) -> str:
+    return spark.conf.get(key, _DEFAULTS[key])
 
 
 @functools.cache

@@ -33,16 +33,6 @@ class StarDomain:
             self._tables[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
         return self._tables[name]
 
-    # Key columns of tables at least as long as the ones to be windowed: enough to look for hot keys.
-
-    @cached_property
-    def team_keys(self) -> DataFrame:
-        return self.table("lineitem").select(F.col("l_suppkey").alias("team_id"))
-
-    @cached_property
-    def player_keys(self) -> DataFrame:
-        return self.table("lineitem").select(F.col("l_partkey").alias("player_id"))
-
     @cached_property
     def teams(self) -> DataFrame:
         # nation and region have 25 and 5 rows by definition of the star schema

@@ -23,15 +23,12 @@ def spark(tmp_path_factory):
     session.stop()
 
 
-@pytest.fixture
-def split_hot_keys(spark):
-    """Make every entity with more than 20 rows a hot one, cut into blocks of 7 rows."""
-    settings = {"spark.sidelines.hotKeyRows": "20", "spark.sidelines.blockRows": "7"}
-    for key, value in settings.items():
-        spark.conf.set(key, value)
-    yield
-    for key in settings:
-        spark.conf.unset(key)
+@pytest.fixture(params=["month", "quarter"])
+def history_block(spark, request):
+    """Cut histories into other blocks than years."""
+    spark.conf.set("spark.sidelines.historyBlock", request.param)
+    yield request.param
+    spark.conf.unset("spark.sidelines.historyBlock")
 
 
 def rows(df, *order):

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import rows
-from sidelines.operators.history import (Following, Previous, Rolling, RowsInFrame, Running, hot_keys, with_history)
+from sidelines.operators.history import Following, Previous, Rolling, RowsInFrame, Running, with_history
 from sidelines.operators.ranking import ntile, prefix_sums, row_index
 
 SPECS = {
@@ -62,52 +62,65 @@ def check(df, table):
             assert (a is None and b is None) or a == pytest.approx(b, abs=1e-9), (key, got[key], values)
 
 
-def test_plain_windows(spark, data):
+@pytest.mark.parametrize("length", [1, 4, 7, 50, 1000])
+def test_blocks_of_any_length(spark, data, length):
     df, table = data
-    check(with_history(df, "e", ["t"], SPECS, hot=[]), table)
-
-
-@pytest.mark.parametrize("block", ["1", "4", "7", "50", "1000"])
-def test_blocks_give_the_same(spark, data, block):
-    df, table = data
-    spark.conf.set("spark.sidelines.hotKeyRows", "40")
-    spark.conf.set("spark.sidelines.blockRows", block)
+    check(with_history(df, "e", ["t"], SPECS, F.floor(F.col("t") / length)), table)
+
+
+def test_values_are_equal_to_the_last_bit_however_the_rows_are_cut(spark):
+    """Fractions that doubles can't hold, in blocks of any length and any number of partitions."""
+    df = spark.range(4000).select(
+        F.when(F.col("id") % 3 < 2, F.lit(0)).otherwise(F.col("id") % 50).alias("e"), F.col("id").alias("t"),
+        F.when(F.col("id") % 11 != 0, F.xxhash64("id") % 1000 / 7.0).alias("v"), (F.col("id") % 700 < 350).alias("s"))
+    specs = {**SPECS, "within": Running("v", within=("s",))}
+    found = set()
+    for length, partitions in ((1, 8), (13, 3), (700, 1), (10_000, 5)):
+        spark.conf.set("spark.sql.shuffle.partitions", partitions)
+        result = with_history(df.repartition(partitions, "v"), "e", ["t"], specs, F.floor(F.col("t") / length))
+        found.add(result.agg(F.count("*"), F.bit_xor(F.xxhash64("e", "t", *specs))).first())
+    spark.conf.set("spark.sql.shuffle.partitions", 8)
+    assert len(found) == 1 and found.pop()[0] == 4000
+
+
+def test_an_entity_with_most_rows_goes_to_many_tasks(spark):
+    df = spark.range(20_000).select(F.lit(7).alias("e"), F.col("id").alias("t"), (F.col("id") % 5).alias("v"))
+    result = with_history(df, "e", ["t"], SPECS, F.floor(F.col("t") / 500))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
-        hot = hot_keys(df.select("e"), "e")
-        assert set(hot) == {"big", "mid", None}
-        check(with_history(df, "e", ["t"], SPECS), table)
+        per_task = [n for n, in result.groupBy(F.spark_partition_id()).count().select("count").collect()]
     finally:
-        spark.conf.unset("spark.sidelines.hotKeyRows")
-        spark.conf.unset("spark.sidelines.blockRows")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert len(per_task) == 8 and max(per_task) < 10_000
+
+
+def test_building_starts_no_job(spark, data):
+    df, _ = data
+    spark.sparkContext.setJobGroup("building", "")
+    with_history(df, "e", ["t"], SPECS, F.floor(F.col("t") / 7))
+    found = spark.sparkContext.statusTracker().getJobIdsForGroup("building")
+    spark.sparkContext.setJobGroup("", "")
+    assert not found
 
 
-def test_means_that_start_anew_within_an_entity(spark, data, split_hot_keys):
+def test_means_that_start_anew_within_an_entity(spark, data):
     """By entity and season, of which one is NULL and one comes back after another."""
     df, table = data
     seasonal = df.withColumn("s", F.when(F.col("t") % 50 < 40, F.floor(F.col("t") / 50) % 3))
     specs = {"all": Running("v"), "m": Running("v", current=False, min_count=2, within=("s",)), "prev": Previous("v")}
-    rounded = [*("e", "s", "t"), F.round("m", 9).alias("m"), F.round("all", 9).alias("all"), "prev"]
-    whole = rows(with_history(seasonal, "e", ["t"], specs, hot=[]).select(*rounded))
-    assert rows(with_history(seasonal, "e", ["t"], specs).select(*rounded)) == whole
+    found = [rows(with_history(seasonal, "e", ["t"], specs, F.floor(F.col("t") / n)).select("e", "s", "t", "m", "all", "prev"))
+             for n in (9, 60, 1000)]
+    assert found[0] == found[1] == found[2]
 
     def season(t):
         return t // 50 % 3 if t % 50 < 40 else None
 
     values = {(e, t): v for e, t, v in table}
-    for e, s, t, m, _, _ in whole:
+    for e, s, t, m, _, _ in found[0]:
         before = [values[e, u] for u in range(t) if season(u) == s and values[e, u] is not None]
         assert m == (pytest.approx(sum(before) / len(before)) if len(before) >= 2 else None)
 
 
-def test_no_more_hot_keys_than_partitions(spark):
-    spark.conf.set("spark.sidelines.hotKeyRows", "1")
-    try:
-        df = spark.range(300).select((F.col("id") % 100).alias("e"))
-        assert len(hot_keys(df, "e")) == 8
-    finally:
-        spark.conf.unset("spark.sidelines.hotKeyRows")
-
-
 def test_row_index_counts_per_key(spark):
     df = spark.range(1000).select((F.col("id") % 3).alias("k"), F.xxhash64("id").alias("o"), "id")
     got = row_index(df, ["k"], ["o"], "n")

@@ -53,6 +53,6 @@ def test_every_oracle_has_a_query():
 @pytest.mark.parametrize("name", [
     "rolling_team_win_pct", "player_efficiency_decline", "back_to_back_fatigue", "load_next_corr", "load_quartiles",
     "team_features", "player_features", "load_quartile_dashboard"])
-def test_split_histories_equal_duckdb(spark, duck, name, split_hot_keys):
-    """The same queries with nearly every team and player treated as too big for one task."""
+def test_other_blocks_of_history_equal_duckdb(spark, duck, name, history_block):
+    """The same queries with histories cut more finely."""
     test_query_equals_duckdb(spark, duck, name)

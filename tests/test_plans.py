@@ -38,26 +38,21 @@ def scans(text):
     return [line for line in text.splitlines() if "FileScan" in line]
 
 
-def test_one_shuffle_serves_all_team_windows(warehouse, plan):
-    text = plan(features.team_form(warehouse.games, hot=[]))
-    assert text.count("Exchange") == 1 and "hashpartitioning(team_id," in text
-    assert len(scans(text)) == 1 and "IsNotNull(home_score)" in scans(text)[0]
+def test_one_shuffle_of_the_rows_serves_all_team_windows(warehouse, plan):
+    """The rows once, by team and block, and the columns for the blocks' edges; the rest has a row per block."""
+    text = plan(features.team_form(warehouse.games))
+    assert text.count("Exchange hashpartitioning(_entity_none, _entity, _block_none, _block") == 3
+    assert text.count("Exchange hashpartitioning(_entity_none, _entity, ") == 4 and text.count("Exchange") == 4
+    assert "IsNotNull(home_score)" in scans(text)[0]
 
 
-def test_season_means_need_no_shuffle_of_their_own(warehouse, plan):
+def test_players_are_shuffled_once_for_all_windows(warehouse, plan):
     w = warehouse
-    text = plan(features.player_game_features(w.stats, w.games, w.tracking, w.players, hot=[]))
-    # tracking and games on their keys (two sides each), the players' windows, the player names
-    assert text.count("Exchange hashpartitioning(player_id, ") == 4 and text.count("Exchange") == 6
+    text = plan(features.player_game_features(w.stats, w.games, w.tracking, w.players))
     assert "hashpartitioning(player_id, season" not in text
     assert "fgm" not in "".join(scans(text))
 
 
-def test_the_opponent_costs_one_shuffle(warehouse, plan):
-    text = plan(features.team_game_features(warehouse.games, hot=[]))
-    assert text.count("Exchange") == 2 and "Join" not in text
-
-
 def test_home_and_away_need_one_scan_and_partial_sums(warehouse, plan):
     text = plan(analytics.home_away_splits(warehouse.games, warehouse.teams))
     assert len([s for s in scans(text) if "home_score" in s]) == 1
@@ -66,23 +61,15 @@ def test_home_and_away_need_one_scan_and_partial_sums(warehouse, plan):
 
 def test_names_are_joined_after_the_filter(warehouse, plan):
     w = warehouse
-    text = plan(analytics.player_efficiency_decline(w.stats, w.games, w.players, hot=[]))
-    assert text.count("Exchange hashpartitioning(player_id, ") == 2
+    text = plan(analytics.player_efficiency_decline(w.stats, w.games, w.players))
+    assert text.count("Exchange hashpartitioning(player_id, ") == 2  # names, and the rows that are left
     assert any("GreaterThanOrEqual(minutes,10.0)" in s for s in scans(text))
 
 
-def test_the_split_of_hot_players_reaches_the_scan(spark, warehouse, plan):
-    w = warehouse
-    text = plan(analytics.load_and_next(w.stats, w.games, w.tracking, hot=[7, 8]))
-    usual = [s for s in scans(text) if "minutes" in s and "placed-" not in s]
-    assert usual and all("player_id" in re.search(r"PushedFilters: \[(.*?)\]", s).group(1) for s in usual)
-    assert "Union" in text and "_block" in text
-
-
 def test_no_query_puts_all_rows_into_one_partition(spark, warehouse, plan):
     w = warehouse
-    for df in (analytics.load_quartiles(w.stats, w.games, w.tracking, hot=[]),
-               analytics.rolling_team_win_pct(w.games, w.teams, hot=[])):
+    for df in (analytics.load_quartiles(w.stats, w.games, w.tracking),
+               analytics.rolling_team_win_pct(w.games, w.teams)):
         for line in plan(df).splitlines():
             # only totals, never rows, are brought together
             assert "SinglePartition" not in line
