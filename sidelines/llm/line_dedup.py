@@ -188,8 +188,12 @@ class LineIndex:
         self._finish("delete")
 
     def repeated(self) -> DataFrame:
-        """``(doc_id, keys)``: for each document the keys of lines that a smaller doc_id holds too."""
-        shared = self.refs().filter("n_docs > 1")
+        """``(doc_id, keys)``: for each document the keys of lines that a smaller doc_id holds too.
+
+        The shared keys are written first: the join then reads both sides as they were dealt out, so that adaptive
+        execution can split a line that very many documents hold.
+        """
+        shared = written(self.refs().filter("n_docs > 1"), "shared-lines")
         return (self.postings().join(shared, KEY).filter("doc_id <> first_doc")
                 .groupBy("doc_id").agg(F.collect_list(F.struct(*KEY)).alias("keys")))
 
