@@ -19,6 +19,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
+from tokenizers.pre_tokenizers import WhitespaceSplit
 
 PIECES = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long")
 _TYPES = {**{c.split()[0]: pa.int64() for c in PIECES.split(", ")}, "ids": pa.binary()}
@@ -30,12 +31,12 @@ class WordIds:
     """Token ids (packed, little-endian, 4 bytes each) of whole texts, looked up word by word.
 
     Only for tokenizers that drop white space, fold A-Z to lower case and part letters from punctuation before they look
-    for tokens. Words seen before come from a table of at most ``most_words`` words, which begins anew when it is full.
+    for tokens, and leave a word of a-z as it is. Words seen before come from a table of at most ``most_words`` words, which begins anew when it is full.
     """
 
     _ENDED = re.compile(rb"(.*[a-z])([^a-z0-9\x80-\xff]+)", re.DOTALL)
 
-    def __init__(self, tokenizer_json: str, most_words: int = 500_000):
+    def __init__(self, tokenizer_json: str, most_words: int = 1_200_000):
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
         self.most_words = most_words
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
@@ -44,22 +45,27 @@ class WordIds:
         self.ends = np.zeros(self.tokenizer.get_vocab_size(), bool)  # of words
         self.ends[[i for token, i in vocabulary.items() if suffix and token.endswith(suffix)]] = True
         self.known: dict[bytes, bytes] = {}
+        self.bare = Tokenizer.from_str(tokenizer_json)  # for words of a-z, which need no preparation
+        self.bare.normalizer, self.bare.pre_tokenizer = None, WhitespaceSplit()
 
-    def _encode(self, text: str) -> np.ndarray:
-        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
+    def _encode(self, text: str, tokenizer: Tokenizer | None = None) -> np.ndarray:
+        tokenizer = tokenizer or self.tokenizer
+        return np.array(tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
 
     def _learn(self, words: list[bytes]) -> None:
         """Put words into the table: a word and the punctuation after it are looked up each for itself."""
         parts = {w: m.groups() if not w.isalpha() and (m := self._ENDED.fullmatch(w)) else (w,) for w in words}
         new = list({p for ps in parts.values() for p in ps}.difference(self.known))
-        letters = [p for p in new if p.decode().isalpha()]  # each a single word to the tokenizer
-        for i in range(0, len(letters), 1000):
-            some = letters[i:i + 1000]
-            ids = self._encode(b" ".join(some).decode())
-            last = np.flatnonzero(self.ends[ids]) + 1
-            if len(last) == len(some):
-                packed, cuts = ids.tobytes(), [0, *(last * ID_BYTES).tolist()]
-                self.known.update((w, packed[m:n]) for w, m, n in zip(some, cuts, cuts[1:]))
+        plain = [p for p in new if p.isalpha()]
+        letters = [p for p in new if not p.isascii() and p.decode().isalpha()]
+        for words, tokenizer in ((plain, self.bare), (letters, self.tokenizer)):  # each a single word to the tokenizer
+            for i in range(0, len(words), 1000):
+                some = words[i:i + 1000]
+                ids = self._encode(b" ".join(some).decode(), tokenizer)
+                last = np.flatnonzero(self.ends[ids]) + 1
+                if len(last) == len(some):
+                    packed, cuts = ids.tobytes(), [0, *(last * ID_BYTES).tolist()]
+                    self.known.update((w, packed[m:n]) for w, m, n in zip(some, cuts, cuts[1:]))
         for p in new:
             if p not in self.known:
                 self.known[p] = self._encode(p.decode()).tobytes()
