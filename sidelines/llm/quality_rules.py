@@ -96,8 +96,9 @@ def judged(documents: DataFrame, host: str = "source", text: str = "text", max_r
 
     A document stays if it fails no rule itself and its host is not rejected: the host's shrunk failure rate is at most
     ``max_rate``. A null host is a host of its own; a null or empty text has no words and fails. All rows and columns
-    stay (``keep_text=False`` leaves the text out); columns of the results' names are replaced. The measured rows are
-    written once, and the hosts join back to them, broadcast only if Spark sees that they are few.
+    stay (``keep_text=False`` leaves the text out); columns of the results' names are replaced. The measured rows and then
+    the hosts are written, so that Spark knows how many hosts there are before it joins them back to the documents: few
+    are broadcast, many are shuffled, where adaptive execution can split a host with most of the documents.
     """
     rows = with_measures(beside_row(documents, _text=F.col(text), _host=F.col(host)), "_text").drop("_text")
     columns = documents.columns
@@ -107,7 +108,7 @@ def judged(documents: DataFrame, host: str = "source", text: str = "text", max_r
     # a flag beside the host, as null equals nothing in a join
     rows = rows.withColumn("_host", F.struct(F.col("_host").isNull().alias("none"), F.coalesce("_host", F.lit("")).alias("name")))
     rows = written(rows.withColumn("_failed", rule_failed(F.col("m"))), "measured")
-    rates = host_rates(rows.select(F.col("_host").alias("host"), F.col("_failed").alias("failed")))
+    rates = written(host_rates(rows.select(F.col("_host").alias("host"), F.col("_failed").alias("failed"))), "hosts")
     found = rows.join(rates.select(F.col("host").alias("_host"), "rate"), "_host")
     m = F.col("m")
     names = ("n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words")
