@@ -10,7 +10,7 @@ values do not depend on where the blocks are cut or in which order anything is a
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -23,7 +23,8 @@ from sidelines.session import HISTORY_BLOCK, setting
 # Of an entity and block; NULL is a value like any other, for which a flag stands beside a filler.
 _ENTITY, _BLOCK = ("_entity_none", "_entity"), ("_block_none", "_block")
 _KEY = [*_ENTITY, *_BLOCK]
-_AT, _TAIL, _NEXT, _BEFORE, _WITHIN = "_edge_at", "_edge_tail", "_edge_next", "_edge_before", "_edge_within"
+_AT, _NEXT, _BEFORE, _WITHIN = "_edge_at", "_edge_next", "_edge_before", "_edge_within"
+_LAST, _SUMS, _COUNTS = "_edge_last", "_edge_sums", "_edge_counts"
 # Fractions are added to twelve places.
 _FIXED, _TOTAL = "decimal(24,12)", "decimal(34,12)"  # with more digits an addition would round
 
@@ -70,6 +71,7 @@ class Running:
     current: bool = True
     min_count: int = 1
     within: tuple[str, ...] = ()
+    alone: bool = False  # no other block has rows that count
     lookback = 0
 
 
@@ -111,15 +113,20 @@ class _Exact:
 
 
 def with_history(df: DataFrame, entity: str, order: Sequence[str], columns: Mapping[str, Spec],
-                 block: Column | None = None) -> DataFrame:
+                 block: Column | str | None = None) -> DataFrame:
     """Add ``columns`` computed over each entity's rows in ``order`` (ascending, NULL last).
 
     ``order`` must identify a row within the entity (a date alone does not: two contests can share it). ``block`` must not
     fall while the order rises; left out, it is the year (or what ``spark.sidelines.historyBlock`` says) of the first
-    column of the order, a date.
+    column of the order, a date. A mean that starts anew within the column that is the block needs nothing from others.
     """
+    columns = {name: replace(spec, alone=True)
+               if isinstance(block, str) and isinstance(spec, Running) and spec.within == (block,) else spec
+               for name, spec in columns.items()}
     if block is None:
         block = F.trunc(order[0], setting(df.sparkSession, HISTORY_BLOCK))
+    elif isinstance(block, str):
+        block = F.col(block)
     kind = df.select(block.alias("b")).schema["b"].dataType
     keyed = df.select("*", *_flagged(F.col(entity), df.schema[entity].dataType, _ENTITY), *_flagged(block, kind, _BLOCK))
     exact = {spec.value: _Exact(df, spec.value) for spec in columns.values() if isinstance(spec, (Rolling, Running))}
@@ -150,7 +157,7 @@ def _local(name: str, spec: Spec, exact: dict[str, _Exact], in_block) -> dict[st
     if isinstance(spec, Following):
         return {f"_own_{name}": F.lead(spec.value).over(in_block), f"_last_{name}": F.lead(F.lit(True)).over(in_block).isNull()}
     begin = -spec.lookback if isinstance(spec, Rolling) else W.unboundedPreceding
-    window = in_block if isinstance(spec, Rolling) else _starting_anew(in_block, spec.within)
+    window = in_block if isinstance(spec, Rolling) or spec.alone else _starting_anew(in_block, spec.within)
     frame = window.rowsBetween(begin, 0 if spec.current else -1)
     term = exact[spec.value].term(F.col(spec.value))
     total, count = _parts(name)
@@ -166,38 +173,64 @@ def _edges(keyed: DataFrame, in_block, columns: Mapping[str, Spec], exact: dict[
     lookback = max(spec.lookback for spec in columns.values())
     back = sorted({s.value for s in columns.values() if isinstance(s, (Rolling, Previous))})
     ahead = sorted({s.value for s in columns.values() if isinstance(s, Following)})
-    running = {name: spec for name, spec in columns.items() if isinstance(spec, Running)}
-    within = sorted({spec.within for spec in running.values() if spec.within})
-    known = sorted({spec.value for spec in running.values()})
-
-    late = F.lead(F.lit(True), max(lookback, 1)).over(in_block).isNull()
-    marked = keyed.select("*", F.row_number().over(in_block).alias(_AT), late.alias("_late"))
-    tail = [F.sort_array(F.collect_list(F.when(F.col("_late"), F.struct(_AT, *back)))).alias("_own")] if lookback else []
-    first = F.max(F.when(F.col(_AT) == 1, F.struct(F.lit(True).alias("there"), *ahead)))
-    sums = [column for v in known for column in (exact[v].sum(F.col(v)).alias(f"_s_{v}"),
-                                                 F.count(exact[v].term(F.col(v))).alias(f"_c_{v}"))]
-    blocks = marked.groupBy(*_KEY).agg(F.count("*").alias("_rows"), first.alias("_first"), *tail, *sums)
+    running = [spec for spec in columns.values() if isinstance(spec, Running) and not spec.alone]
+    within = sorted({spec.within for spec in running if spec.within})
+    known = sorted({spec.value for spec in running})
+
+    # The last row of a block knows all of it: its number, its last rows and its sums up to there.
+    so_far = in_block.rowsBetween(W.unboundedPreceding, 0)
+    ends = [F.row_number().over(in_block).alias("_rows"), F.lead(F.lit(True)).over(in_block).isNull().alias("_ends")]
+    if lookback:
+        ends.append(F.collect_list(F.struct(*back)).over(in_block.rowsBetween(1 - lookback, 0)).alias("_own"))
+    if ahead:
+        ends.append(F.first(F.struct(*ahead)).over(so_far).alias("_first"))
+    for v in known:
+        term = exact[v].term(F.col(v))
+        ends += [F.sum(term).over(so_far).alias(f"_s_{v}"), F.count(term).over(so_far).alias(f"_c_{v}")]
+    blocks = keyed.select(*_KEY, *ends).filter("_ends")
     by_time = W.partitionBy(*_ENTITY).orderBy(*_BLOCK)
     earlier = by_time.rowsBetween(W.unboundedPreceding, -1)
-    found = [F.sum("_rows").over(earlier).alias(_BEFORE), F.lead("_first").over(by_time).alias(_NEXT)]
+    found = [F.sum("_rows").over(earlier).alias(_BEFORE)]
+    if ahead:
+        found.append(F.lead("_first").over(by_time).alias(_NEXT))
     if lookback:
         # every block has a row, so these blocks hold enough
-        found.append(F.flatten(F.collect_list("_own").over(by_time.rowsBetween(-lookback, -1))).alias(_TAIL))
+        found.append(F.flatten(F.collect_list("_own").over(by_time.rowsBetween(-lookback, -1))).alias("_tail"))
     found += [F.sum(f"_{k}_{v}").over(earlier).alias(f"_{k}_before_{v}") for v in known for k in "sc"]
     edges = blocks.select(*_KEY, *found)
+    if lookback:
+        edges = edges.select("*", *_of_tail(columns, exact)).drop("_tail")
     for names in within:
-        edges = edges.join(_totals_within(keyed, names, known, sums, _within(names)), _KEY, "left")
+        edges = edges.join(_totals_within(keyed, names, known, exact), _KEY, "left")
     return edges
 
 
-def _totals_within(keyed: DataFrame, within: tuple[str, ...], known: list[str], sums: list[Column], name: str) -> DataFrame:
+def _of_tail(columns: Mapping[str, Spec], exact: dict[str, _Exact]) -> list[Column]:
+    """The last values before the block, and the sums and counts of the last 1, 2, ... of them as arrays."""
+    def last(value: str, j: int) -> Column:
+        return F.get("_tail", F.size("_tail") - j)[value]
+
+    found = [last(v, 1).alias(f"{_LAST}_{v}") for v in sorted({s.value for s in columns.values() if isinstance(s, Previous)})]
+    for v in sorted({s.value for s in columns.values() if isinstance(s, Rolling)}):
+        sums, counts = [exact[v].zero()], [F.lit(0).cast("bigint")]
+        for j in range(1, 1 + max(s.lookback for s in columns.values() if isinstance(s, Rolling) and s.value == v)):
+            term = exact[v].term(last(v, j))
+            sums.append(exact[v].plus(sums[-1], term))
+            counts.append(counts[-1] + F.when(term.isNotNull(), 1).otherwise(0))
+        found += [F.array(*sums).alias(f"{_SUMS}_{v}"), F.array(*counts).alias(f"{_COUNTS}_{v}")]
+    return found
+
+
+def _totals_within(keyed: DataFrame, within: tuple[str, ...], known: list[str], exact: dict[str, _Exact]) -> DataFrame:
     """Per entity and block the totals up to it for each value of ``within`` that occurs in the block."""
+    sums = [column for v in known for column in (exact[v].sum(F.col(v)).alias(f"_s_{v}"),
+                                                 F.count(exact[v].term(F.col(v))).alias(f"_c_{v}"))]
     parts = keyed.groupBy(*_KEY, *within).agg(*sums)
     earlier = W.partitionBy(*_ENTITY, *within).orderBy(*_BLOCK).rowsBetween(W.unboundedPreceding, -1)
     carried = parts.select(*_KEY, *within, *[F.sum(f"_{k}_{v}").over(earlier).alias(f"_{k}_before_{v}")
                                              for v in known for k in "sc"])
     return carried.groupBy(*_KEY).agg(F.collect_list(F.struct(
-        F.struct(*within).alias("of"), *[f"_{k}_before_{v}" for v in known for k in "sc"])).alias(name))
+        F.struct(*within).alias("of"), *[f"_{k}_before_{v}" for v in known for k in "sc"])).alias(_within(within)))
 
 
 def _value(name: str, spec: Spec, exact: dict[str, _Exact]) -> Column:
@@ -206,17 +239,15 @@ def _value(name: str, spec: Spec, exact: dict[str, _Exact]) -> Column:
     if isinstance(spec, RowsInFrame):
         return F.least(F.lit(spec.rows).cast("bigint"), at + F.coalesce(_BEFORE, F.lit(0)))
     if isinstance(spec, Previous):
-        return F.when(at == 1, F.get(_TAIL, F.size(_TAIL) - 1)[spec.value]).otherwise(F.col(f"_own_{name}"))
+        return F.when(at == 1, F.col(f"{_LAST}_{spec.value}")).otherwise(F.col(f"_own_{name}"))
     if isinstance(spec, Following):
         return F.when(F.col(f"_last_{name}"), F.col(_NEXT)[spec.value]).otherwise(F.col(f"_own_{name}"))
     how = exact[spec.value]
     if isinstance(spec, Rolling):
-        missing = spec.lookback + 1 - at  # rows of the frame that lie before the block
-        size = F.size(_TAIL)
-        there = F.when((missing > 0) & (size > 0), F.slice(_TAIL, F.greatest(size - missing, F.lit(0)) + 1, missing))
-        terms = F.filter(F.transform(there, lambda x: how.term(x[spec.value])), lambda x: x.isNotNull())
-        carried = (F.aggregate(terms, how.zero(), lambda a, x: (a + x).cast(how.total)),
-                   F.greatest(F.size(terms), F.lit(0)))  # the size of no array is -1 or NULL
+        before = F.greatest(spec.lookback + 1 - at, F.lit(0))  # rows of the frame that lie before the block
+        carried = F.get(f"{_SUMS}_{spec.value}", before), F.get(f"{_COUNTS}_{spec.value}", before)
+    elif spec.alone:
+        carried = F.lit(None), F.lit(None)
     elif spec.within:
         rows = F.filter(_within(spec.within), lambda x: x["of"].eqNullSafe(F.struct(*spec.within)))
         row = F.get(rows, F.lit(0))

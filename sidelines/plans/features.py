@@ -41,8 +41,8 @@ def player_game_features(stats: DataFrame, games: DataFrame, tracking: DataFrame
                          played_only: bool = False) -> DataFrame:
     """Rows of contests without a result stay, without date and season, and sort last (unless ``played_only``).
 
-    The season mean is partitioned more finely than the other windows, so it needs no shuffle of its own;
-    players are joined last, on the same key again.
+    A season is a block of a player's history (its label rises with the dates), so that the mean over the season so far
+    needs nothing from other blocks. Players are joined last.
     """
     rows = (stats.select("player_id", "game_id", "team_id", F.col("minutes").cast("double").alias("minutes"),
                          "points", S.true_shooting().alias("ts_pct"))
@@ -56,7 +56,7 @@ def player_game_features(stats: DataFrame, games: DataFrame, tracking: DataFrame
         "rolling_load_index": Rolling("load_index", PLAYER_WINDOW, current=False),
         "_previous": Previous("game_date"),
         "_season_mean": Running("ts_pct", current=False, min_count=2, within=("season",)),
-    })
+    }, block="season")
     return (rolled
             # rows without a season belong to no season
             .withColumn("season_to_date_ts_pct", F.when(F.col("season").isNotNull(), F.col("_season_mean")))

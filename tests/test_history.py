@@ -103,6 +103,13 @@ def test_building_starts_no_job(spark, data):
     assert not found
 
 
+def test_a_mean_within_the_block_itself(spark, data):
+    df, _ = data
+    blocks = df.withColumn("s", F.floor(F.col("t") / 50))
+    specs = {"m": Running("v", within=("s",)), "r": Rolling("v", 7), "all": Running("v")}
+    assert (rows(with_history(blocks, "e", ["t"], specs, "s")) == rows(with_history(blocks, "e", ["t"], specs, F.floor(F.col("t") / 6))))
+
+
 def test_means_that_start_anew_within_an_entity(spark, data):
     """By entity and season, of which one is NULL and one comes back after another."""
     df, table = data
