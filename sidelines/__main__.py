@@ -32,6 +32,10 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     predict = jobs.add_parser("log-predictions")
     predict.add_argument("--model", default=models.BOOSTED_MODEL)
     predict.add_argument("--version", default="v1")
+    for name in ("score-outcomes", "score-decline"):
+        score = jobs.add_parser(name)
+        score.add_argument("requests", help="Parquet table of requests")
+        score.add_argument("out", help="folder for the scored and the refused requests")
     jobs.add_parser("update-monitoring")
     jobs.add_parser("accuracy").add_argument("--model")
     jobs.add_parser("analytics")
@@ -68,6 +72,10 @@ def main(argv: list[str] | None = None) -> None:
             show(jobs.train(args.model, args.rounds))
         case "log-predictions":
             jobs.log_predictions(args.model, args.version)
+        case "score-outcomes":
+            jobs.score_outcomes(spark.read.parquet(args.requests)).write.mode("overwrite").parquet(args.out)
+        case "score-decline":
+            jobs.score_decline(spark.read.parquet(args.requests)).write.mode("overwrite").parquet(args.out)
         case "update-monitoring":
             show(jobs.update_monitoring())
         case "accuracy":

@@ -80,6 +80,15 @@ class Jobs:
         log.insert_if_absent(models.new_predictions(model, self.derived("team_game_features"), log.read(), version_id, names))
         return version_id
 
+    def score_outcomes(self, requests: DataFrame) -> DataFrame:
+        """Outcome probabilities of the requests, by the models that have been trained; none is lost."""
+        trained = {name: models.load_model(self._model(name))[0] for name in (models.BASELINE_MODEL, models.BOOSTED_MODEL)
+                   if models.is_saved(self.spark, self._model(name))}
+        return models.score_outcomes(requests, trained)
+
+    def score_decline(self, requests: DataFrame) -> DataFrame:
+        return models.score_decline(requests, models.load_model(self._model(models.DECLINE_MODEL))[0])
+
     def update_monitoring(self) -> DataFrame:
         """Fill in known outcomes, log the weekly quality and return the drift alerts."""
         games, log = self.tables["games"].read(), self.tables["game_predictions"]

@@ -16,8 +16,8 @@ _CTE = {
                     THEN year(o_orderdate) || '-' || printf('%02d', (year(o_orderdate) + 1) % 100)
                     ELSE (year(o_orderdate) - 1) || '-' || printf('%02d', year(o_orderdate) % 100) END AS season,
                h.l_suppkey AS home_team_id, a.l_suppkey AS away_team_id,
-               CASE WHEN o_orderstatus <> 'P' THEN h.q END AS home_score,
-               CASE WHEN o_orderstatus <> 'P' THEN a.q END AS away_score
+               CASE WHEN o_orderdate < TIMESTAMP '2001-06-01' THEN h.q END AS home_score,
+               CASE WHEN o_orderdate < TIMESTAMP '2001-06-01' THEN a.q END AS away_score
         FROM orders JOIN pairs p ON p.l_orderkey = o_orderkey
         JOIN sides h ON h.l_orderkey = o_orderkey AND h.l_suppkey = CASE WHEN o_orderkey % 2 = 0 THEN lo ELSE hi END
         JOIN sides a ON a.l_orderkey = o_orderkey AND a.l_suppkey = CASE WHEN o_orderkey % 2 = 0 THEN hi ELSE lo END""",
@@ -100,9 +100,6 @@ _CTE = {
     "latest": """
         SELECT *, season_to_date_ts_pct - rolling_ts_pct AS decline_gap FROM pf
         QUALIFY row_number() OVER (PARTITION BY player_id ORDER BY game_date DESC NULLS FIRST, game_id DESC) = 1""",
-    "latest_played": """
-        SELECT *, season_to_date_ts_pct - rolling_ts_pct AS decline_gap FROM pf WHERE game_date IS NOT NULL
-        QUALIFY row_number() OVER (PARTITION BY player_id ORDER BY game_date DESC, game_id DESC) = 1""",
     "shooting": """
         SELECT game_id, team_id, CASE WHEN sum(fga) > 0 THEN CAST(sum(fgm) AS DOUBLE) / CAST(sum(fga) AS DOUBLE) END AS pct
         FROM stats GROUP BY 1, 2""",
@@ -195,7 +192,7 @@ _CTE = {
                CASE WHEN p_size % 7 <> 0 THEN DATE '1970-01-01' + CAST(p_partkey % 9000 AS INTEGER) END AS birth_date,
                CASE WHEN p_size % 5 <> 0 THEN CAST(12 * (5 + p_size % 3) + p_partkey % 12 AS INTEGER) END AS height_inches,
                CASE WHEN p_size % 4 <> 0 THEN CAST(150 + p_partkey % 150 AS INTEGER) END AS weight_lbs
-        FROM part WHERE p_partkey % 3 <> 0""",
+        FROM part""",
     "codes": """
         SELECT s_suppkey, coalesce(l.abbreviation, 'X' || s_suppkey % 45) AS abbreviation
         FROM supplier LEFT JOIN (SELECT *, row_number() OVER (ORDER BY abbreviation) - 1 AS slot FROM lookup) l
@@ -318,16 +315,16 @@ _SQL = {
     "decline_flags": f"""
         SELECT player_id, full_name, {_r('rolling_ts_pct', 3)}, {_r('season_to_date_ts_pct', 3)}, {_r('decline_gap', 3)},
                {_r('rolling_load_index', 3)}, {_r('age_years', 3)}
-        FROM latest_played WHERE decline_gap > CAST(0.05 AS DOUBLE)""",
+        FROM latest WHERE decline_gap > CAST(0.05 AS DOUBLE)""",
     "risk_landscape": f"""
-        SELECT player_id, full_name, {_r('age_years')}, {_r('decline_gap')}, {_r('rolling_load_index')} FROM latest_played
+        SELECT player_id, full_name, {_r('age_years')}, {_r('decline_gap')}, {_r('rolling_load_index')} FROM latest
         WHERE age_years IS NOT NULL AND decline_gap IS NOT NULL AND rolling_load_index IS NOT NULL""",
     "gap_histogram": """
         SELECT CAST(CASE WHEN hi = lo THEN 1 ELSE least(40, 1 + (gap - lo) * 40 // (hi - lo)) END AS INTEGER) AS bin,
                count(*) AS n_players
         FROM (SELECT *, min(gap) OVER () AS lo, max(gap) OVER () AS hi
               FROM (SELECT CAST(round(CAST(decline_gap AS DECIMAL(28,9)), 6) * 1000000 AS BIGINT) AS gap
-                    FROM latest_played WHERE decline_gap IS NOT NULL))
+                    FROM latest WHERE decline_gap IS NOT NULL))
         GROUP BY 1""",
     "team_trend": f"""
         SELECT abbreviation, game_date, game_id, {_r('rolling_win_pct')}, {_r('rolling_point_diff')}
@@ -406,10 +403,10 @@ _SQL = {
         FROM requests WHERE w > 1 OR b2b > 1 GROUP BY 1""",
     "upsert": """
         SELECT team_id, abbreviation,
-               CASE WHEN team_id % 4 < 2 THEN 'New ' || name ELSE name END AS name,
+               CASE WHEN team_id % 4 < 2 OR team_id % 10 >= 7 THEN 'New ' || name ELSE name END AS name,
                CASE WHEN team_id % 10 < 7 THEN conference END AS conference,
-               CASE WHEN team_id % 4 < 2 THEN CASE WHEN team_id % 3 <> 0 THEN division END ELSE division END AS division
-        FROM teams WHERE team_id % 10 < 7 OR team_id % 4 < 2""",
+               CASE WHEN (team_id % 4 >= 2 AND team_id % 10 < 7) OR team_id % 3 <> 0 THEN division END AS division
+        FROM teams""",
     "insert_if_absent": f"""
         SELECT game_id, model_version_id,
                {_r('CASE WHEN k % 5 < 3 THEN prob ELSE 1 - prob END', 6, 'predicted_home_win_prob')},
@@ -420,7 +417,7 @@ _SQL = {
                CASE WHEN p.birth_date IS NULL THEN position END AS position,
                CASE WHEN p.birth_date IS NULL THEN height_inches END AS height_inches,
                CASE WHEN p.birth_date IS NULL THEN weight_lbs END AS weight_lbs
-        FROM players p LEFT JOIN bio b ON b.player_id = p.player_id""",
+        FROM players p LEFT JOIN bio b ON b.player_id = p.player_id AND b.player_id % 3 <> 0""",
     "ref_lookup_join": """
         SELECT s_suppkey, c.abbreviation, conference, division
         FROM codes c LEFT JOIN lookup l ON l.abbreviation = c.abbreviation""",
@@ -495,8 +492,7 @@ _SQL = {
                      -avg(CASE WHEN y = 1 THEN ln(q) ELSE ln(1 - q) END) AS log_loss, avg((q - y) * (q - y)) AS brier_score
               FROM (SELECT *, greatest(p, 0.000001::DOUBLE) AS q
                     FROM (SELECT o_orderkey, o_orderdate, (o_orderkey * 7919 % 1000) / 1000.0::DOUBLE AS p,
-                                 CAST(o_custkey % 2 = 0 AS INTEGER) AS y FROM orders)) GROUP BY 1, 2)
-        WHERE week_start + INTERVAL 7 DAY <= (SELECT max(o_orderdate) - INTERVAL 3 DAY FROM orders)""",
+                                 CAST(o_custkey % 2 = 0 AS INTEGER) AS y FROM orders)) GROUP BY 1, 2)""",
     "stream_first_deliveries": "SELECT DISTINCT l_partkey, l_orderkey FROM lineitem",
     "stream_label_predictions": f"""
         SELECT CAST(o_orderkey AS VARCHAR) AS game_id, 1 + o_orderkey % 2 AS model_version_id,

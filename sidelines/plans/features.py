@@ -37,9 +37,8 @@ def team_game_features(games: DataFrame) -> DataFrame:
             .withColumn("is_back_to_back", S.back_to_back("days_rest")).select(*TEAM_FEATURES))
 
 
-def player_game_features(stats: DataFrame, games: DataFrame, tracking: DataFrame, players: DataFrame,
-                         played_only: bool = False) -> DataFrame:
-    """Rows of contests without a result stay, without date and season, and sort last (unless ``played_only``).
+def player_game_features(stats: DataFrame, games: DataFrame, tracking: DataFrame, players: DataFrame) -> DataFrame:
+    """Rows of contests without a result stay, without date and season, and sort last.
 
     A season is a block of a player's history (its label rises with the dates), so that the mean over the season so far
     needs nothing from other blocks. Players are joined last.
@@ -47,8 +46,7 @@ def player_game_features(stats: DataFrame, games: DataFrame, tracking: DataFrame
     rows = (stats.select("player_id", "game_id", "team_id", F.col("minutes").cast("double").alias("minutes"),
                          "points", S.true_shooting().alias("ts_pct"))
             .join(tracking.select("player_id", "game_id", "distance_miles"), ["player_id", "game_id"], "left")
-            .join(completed(games).select("game_id", "game_date", "season"), "game_id",
-                  "inner" if played_only else "left")
+            .join(completed(games).select("game_id", "game_date", "season"), "game_id", "left")
             .withColumn("load_index", S.load_index()))
     rolled = with_history(rows, "player_id", ORDER, {
         "rolling_ts_pct": Rolling("ts_pct", PLAYER_WINDOW, current=False, min_count=2),

@@ -9,11 +9,12 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sidelines.functions import scalars as S
 from sidelines.operators.keyed import absent_from
+from sidelines.operators.quality import request_rules, required, with_reason
 from sidelines.operators.ranking import prefix_sums
 from sidelines.operators.schedule import with_opponent
 from sidelines.operators.split import stratified_split
@@ -157,6 +158,11 @@ def save_model(model: PipelineModel, path: str) -> None:
     model.write().overwrite().save(path)
 
 
+def is_saved(spark: SparkSession, path: str) -> bool:
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(folder)
+
+
 def load_model(path: str) -> tuple[PipelineModel, list[str]]:
     model = PipelineModel.load(path)
     return model, model.stages[0].getInputCols()
@@ -226,19 +232,27 @@ def score_route(requests: DataFrame, boosted_available: bool = True) -> DataFram
 
 
 def score_outcomes(requests: DataFrame, models: Mapping[str, PipelineModel]) -> DataFrame:
-    """Score a table of requests. The label comes from the unrounded probability."""
-    routed = score_route(requests, BOOSTED_MODEL in models)
-    parts = [predict(model, routed.filter(F.col("model_used") == name)) for name, model in models.items()]
-    scored = parts[0]
-    for part in parts[1:]:
-        scored = scored.unionByName(part)
+    """Every request, scored or with the reason why it is ``refused``: values out of range, or no model for it.
+
+    The label comes from the unrounded probability.
+    """
+    routed = score_route(with_reason(requests, request_rules()).withColumnRenamed("reason", "refused"), BOOSTED_MODEL in models)
+    no_model = F.when(~F.col("model_used").isin(list(models)), F.concat(F.lit("no model "), "model_used"))
+    routed = routed.withColumn("refused", F.coalesce("refused", no_model))
+    scored = routed.filter(F.col("refused").isNotNull()).withColumn("probability", F.lit(None).cast("double"))
+    for name, model in models.items():
+        own = routed.filter((F.col("model_used") == name) & F.col("refused").isNull())
+        scored = scored.unionByName(predict(model, own))
     return (scored.withColumn("home_win_probability", F.round("probability", 4))
             .withColumn("predicted_home_win", F.col("probability") >= 0.5).drop("probability"))
 
 
 def score_decline(requests: DataFrame, model: PipelineModel) -> DataFrame:
-    return (predict(model, requests)
-            .withColumn("decline_risk_score", F.round("probability", 4))
+    """Every request, scored, or ``refused`` if a feature is missing."""
+    marked = with_reason(requests, [required(*DECLINE_FEATURES)]).withColumnRenamed("reason", "refused")
+    scored = (predict(model, marked.filter(F.col("refused").isNull()))
+              .unionByName(marked.filter(F.col("refused").isNotNull()).withColumn("probability", F.lit(None).cast("double"))))
+    return (scored.withColumn("decline_risk_score", F.round("probability", 4))
             .withColumn("decline_flag", F.col("probability") >= 0.5).drop("probability"))
 
 

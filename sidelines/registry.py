@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 from datetime import date
 
@@ -14,7 +13,7 @@ from sidelines.functions import scalars as S
 from sidelines.operators import keyed, schedule
 from sidelines.operators import quality as Q
 from sidelines.plans import analytics, dashboard, features, loaders, models, monitoring
-from sidelines.session import shared_dir
+from sidelines.session import new_folder
 from sidelines.sources import conferences, files
 from sidelines.sources.star import StarDomain
 from sidelines.streaming import jobs
@@ -56,11 +55,6 @@ def _player_features(d):
     return features.player_game_features(d.stats, d.games, d.tracking, d.players)
 
 
-def _played_features(d):
-    """Without contests that have no result yet: in the test data nearly every player's last one is such."""
-    return features.player_game_features(d.stats, d.games, d.tracking, d.players, played_only=True)
-
-
 # --- analytic queries --------------------------------------------------------------------------------------
 
 @query
@@ -154,17 +148,17 @@ def latest_per_player(d):
 
 @query
 def decline_flags(d):
-    return dashboard.decline_flags(_played_features(d))
+    return dashboard.decline_flags(_player_features(d))
 
 
 @query
 def risk_landscape(d):
-    return rounded(dashboard.risk_landscape(_played_features(d)))
+    return rounded(dashboard.risk_landscape(_player_features(d)))
 
 
 @query
 def gap_histogram(d):
-    return dashboard.gap_histogram(_played_features(d))
+    return dashboard.gap_histogram(_player_features(d))
 
 
 @query
@@ -238,9 +232,9 @@ def parse_minutes(d):
 
 
 def _bio(d):
-    """Bio rows for two parts in three, some of them malformed."""
+    """A bio row for every part, some of them malformed."""
     key, size = F.col("p_partkey"), F.col("p_size")
-    return d.table("part").filter(key % 3 != 0).select(
+    return d.table("part").select(
         key.alias("PLAYER_ID"), F.concat("p_type", F.lit("-"), "p_name").alias("POSITION"),
         F.when(size % 7 == 0, "unknown").otherwise(
             F.date_format(F.date_add(F.lit("1970-01-01").cast("date"), (key % 9000).cast("int")),
@@ -355,7 +349,7 @@ def domain_violations(d):
 def upsert(d):
     key = F.col("team_id")
     existing = d.teams.filter(key % 10 < 7)
-    incoming = d.teams.filter(key % 4 < 2).select(
+    incoming = d.teams.filter((key % 4 < 2) | (key % 10 >= 7)).select(
         "team_id", "abbreviation", F.concat(F.lit("New "), "name").alias("name"),
         F.when(key % 3 != 0, F.col("division")).alias("division"))
     return keyed.upsert(existing, incoming, ["team_id"])
@@ -378,7 +372,7 @@ def bio_backlog(d):
 def bio_update(d):
     columns = {c: F.lit(None).cast(t) for c, t in
                [("position", "string"), ("height_inches", "int"), ("weight_lbs", "int")]}
-    return loaders.apply_bio(d.players.withColumns(columns), loaders.parsed_bio(_bio(d)))
+    return loaders.apply_bio(d.players.withColumns(columns), loaders.parsed_bio(_bio(d).filter("PLAYER_ID % 3 <> 0")))
 
 
 # --- loading -----------------------------------------------------------------------------------------------
@@ -512,17 +506,24 @@ def _stream(d, name):
     return d.spark.readStream.schema(d.table(name).schema).parquet(f"{d.sf_dir}/{name}.parque[t]")
 
 
+def _in_batches(d, rows: DataFrame, name: str) -> DataFrame:
+    """The rows as a stream of nine files in no order of time, two to a batch."""
+    folder = new_folder(d.spark, name)
+    rows.repartition(9, *rows.columns).write.parquet(folder)
+    return d.spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 2).parquet(folder)
+
+
 def _drained(d, stream: DataFrame, name: str) -> DataFrame:
     """Run the stream over everything present and read what it wrote."""
-    folder = f"{shared_dir(d.spark)}/{name}-{uuid.uuid4().hex}"
+    folder = new_folder(d.spark, name)
     jobs.append_to(stream, f"{folder}/out", f"{folder}/progress").awaitTermination()
     return d.spark.read.schema(stream.schema).parquet(f"{folder}/out")
 
 
-def _prediction_stream(d):
+def _predictions(orders: DataFrame) -> DataFrame:
     key = F.col("o_orderkey")
     prob = (key * 7919 % 1000) / F.lit(1000.0)
-    return _stream(d, "orders").select(
+    return orders.select(
         key.cast("string").alias("game_id"), (1 + key % 2).alias("model_version_id"),
         prob.alias("predicted_home_win_prob"), (prob >= 0.5).alias("predicted_label"),
         (F.col("o_custkey") % 2 == 0).alias("actual_label"), F.col("o_orderdate").cast("timestamp").alias("predicted_at"))
@@ -530,20 +531,22 @@ def _prediction_stream(d):
 
 @query
 def stream_weekly_quality(d):
-    rows = _prediction_stream(d)
-    return rounded(_drained(d, jobs.weekly_quality(rows, "predicted_at", "3 days"), "weekly-quality"))
+    stream, folder = _in_batches(d, _predictions(d.table("orders")), "predictions"), new_folder(d.spark, "weekly-quality")
+    jobs.weekly_quality(stream, "predicted_at", f"{folder}/out", f"{folder}/progress").awaitTermination()
+    return rounded(jobs.weekly_metrics_of(d.spark.read.parquet(f"{folder}/out")))
 
 
 @query
 def stream_first_deliveries(d):
-    rows = _stream(d, "lineitem").select("l_partkey", "l_orderkey", F.col("l_shipdate").cast("timestamp").alias("arrived"))
-    unique = jobs.first_deliveries(rows, ["l_partkey", "l_orderkey"], "arrived", "7 days")
-    return _drained(d, unique.select("l_partkey", "l_orderkey"), "first-deliveries")
+    rows = d.table("lineitem").select("l_partkey", "l_orderkey", F.col("l_shipdate").cast("timestamp").alias("arrived"))
+    stream, folder = _in_batches(d, rows, "deliveries"), new_folder(d.spark, "first-deliveries")
+    jobs.first_deliveries(stream, ["l_partkey", "l_orderkey"], "arrived", f"{folder}/out", f"{folder}/progress").awaitTermination()
+    return d.spark.read.parquet(f"{folder}/out").select("l_partkey", "l_orderkey")
 
 
 @query
 def stream_label_predictions(d):
-    predictions = _prediction_stream(d).withColumn("actual_label", F.lit(None).cast("boolean"))
+    predictions = _predictions(_stream(d, "orders")).withColumn("actual_label", F.lit(None).cast("boolean"))
     key = F.col("o_orderkey")
     outcomes = _stream(d, "orders").filter(F.col("o_orderstatus") != "P").select(
         key.cast("string").alias("game_id"),

@@ -6,19 +6,19 @@ checkpoint folder given by the caller.
 
 from __future__ import annotations
 
-from collections.abc import Collection
+from collections.abc import Callable, Collection
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from sidelines.operators.keyed import first_per_key
 from sidelines.plans import loaders
 from sidelines.plans.monitoring import quality_metrics
 from sidelines.sources import files
 
-# F.window counts from 1970-01-01, a Thursday; four days later is a Monday.
-_MONDAY = "4 days"
+_BATCH = T.StructField("batch", T.IntegerType())
 
 
 def read_landed_stream(spark: SparkSession, path: str, schema: T.StructType,
@@ -40,21 +40,46 @@ def ingest_box_scores(box: DataFrame, tables: loaders.WarehouseTables, checkpoin
             .trigger(availableNow=True).start())
 
 
-def first_deliveries(rows: DataFrame, keys: list[str], event_time: str, delay: str) -> DataFrame:
-    """Keep the first delivery of each key. State is held for ``delay`` of event time."""
-    return rows.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(keys)
+def _each_batch(stream: DataFrame, checkpoint: str, apply: Callable[[DataFrame, int], None]) -> StreamingQuery:
+    return (stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True).start())
+
+
+def first_deliveries(stream: DataFrame, keys: list[str], event_time: str, path: str, checkpoint: str) -> StreamingQuery:
+    """Append the first delivery of each key to the table at ``path``, however late and in however many batches it comes.
+
+    A batch keeps its earliest row of each key that no other batch has stored. Its folder carries its number, so that a
+    batch that is delivered again replaces itself.
+    """
+    def apply(batch: DataFrame, batch_id: int) -> None:
+        first = first_per_key(batch, keys, [F.col(event_time).asc_nulls_last(), F.xxhash64(*batch.columns)])
+        if batch_id:
+            stored = batch.sparkSession.read.schema(T.StructType([*batch.schema.fields, _BATCH])).parquet(path)
+            first = first.join(stored.filter(F.col("batch") < batch_id).select(*keys), keys, "left_anti")
+        first.select(*batch.columns).write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
 
+    return _each_batch(stream, checkpoint, apply)
 
-def weekly_quality(scored: DataFrame, event_time: str, delay: str) -> DataFrame:
-    """Accuracy, log loss and Brier score per model and closed week (Monday to Sunday).
 
-    A week is emitted when the watermark passes its end. Rows that come later still are dropped here; the
-    batch job over the whole log counts them.
+def weekly_quality(scored: DataFrame, event_time: str, path: str, checkpoint: str) -> StreamingQuery:
+    """Store each batch's counts and means per model and week (Monday to Sunday); ``weekly_metrics_of`` adds them up.
+
+    Nothing is late: a row that comes after its week has been reported corrects it.
     """
-    week = F.window(event_time, "7 days", "7 days", _MONDAY)
-    return (scored.filter(F.col("actual_label").isNotNull()).withWatermark(event_time, delay)
-            .groupBy("model_version_id", week.alias("_week")).agg(*quality_metrics())
-            .withColumn("week_start", F.col("_week.start").cast("date")).drop("_week"))
+    week = F.date_trunc("week", event_time).cast("date").alias("week_start")
+
+    def apply(batch: DataFrame, batch_id: int) -> None:
+        (batch.filter(F.col("actual_label").isNotNull()).groupBy("model_version_id", week).agg(*quality_metrics())
+         .write.mode("overwrite").parquet(f"{path}/batch={batch_id}"))
+
+    return _each_batch(scored, checkpoint, apply)
+
+
+def weekly_metrics_of(parts: DataFrame) -> DataFrame:
+    """Accuracy, log loss and Brier score per model and week from the parts that batches stored."""
+    n = F.sum("n_predictions")
+    means = [(F.sum(F.col(c) * F.col("n_predictions")) / n).alias(c) for c in ("accuracy", "log_loss", "brier_score")]
+    return parts.groupBy("model_version_id", "week_start").agg(n.alias("n_predictions"), *means)
 
 
 def label_predictions(predictions: DataFrame, outcomes: DataFrame, delay: str, horizon: str) -> DataFrame:

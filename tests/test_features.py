@@ -75,8 +75,6 @@ def test_player_features(spark):
     assert out["g9"]["rolling_minutes"] == 50.0
     assert out["g9"]["days_rest"] is None and out["g9"]["is_back_to_back"] == 0
     assert out["g1"]["age_years"] == pytest.approx(8766 / 365.25)
-    assert set(player_game_features(stats, games, tracking, players, played_only=True)
-               .select("game_id").toPandas()["game_id"]) == {f"g{i}" for i in range(1, 8)}
 
 
 def test_teams_without_home_or_away_contests_disappear(spark):

@@ -132,6 +132,12 @@ def test_boosted_comparison_scoring_and_log(spark, baseline, team_features):
     assert scored.count() == requests.count()
     bad = scored.filter("(days_rest is null) != (model_used = 'game_outcome_logreg') or home_win_probability not between 0 and 1")
     assert bad.count() == 0
+    assert scored.filter("(refused is null) != (home_win_probability is not null)").count() == 0
+    assert 0 < scored.filter("refused is not null").count() < scored.count()
+    boosted = models.score_outcomes(requests, {models.BOOSTED_MODEL: model})
+    assert boosted.count() == requests.count() and "no model game_outcome_logreg" in {r[0] for r in boosted.select("refused").collect()}
+    lacking = requests.limit(3).withColumn("rolling_point_diff", F.lit(None).cast("double"))
+    assert {r["refused"][:7] for r in models.score_outcomes(lacking, {models.BOOSTED_MODEL: model}).collect()} == {"missing"}
     only = models.score_outcomes(requests, {models.BASELINE_MODEL: baseline[0]})
     assert rows(only.select("model_used").distinct()) == [("game_outcome_logreg",)]
 
@@ -149,6 +155,9 @@ def test_decline_model(spark, player_features):
     requests = models.decline_training(player_features).select("player_id", "game_id", *models.DECLINE_FEATURES)
     scored = models.score_decline(requests, model)
     assert scored.filter("decline_risk_score between 0 and 1").count() == requests.count()
+    lacking = requests.limit(2).withColumn("rolling_minutes", F.lit(None).cast("double"))
+    refused = models.score_decline(lacking, model).collect()
+    assert len(refused) == 2 and all(r["refused"] and r["decline_flag"] is None for r in refused)
 
 
 def test_class_weight(spark):

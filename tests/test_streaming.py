@@ -58,11 +58,11 @@ def test_weekly_quality_equals_batch(spark, tmp_path):
     start = datetime(2024, 1, 1, 12)
     events = [(f"g{i}", 1 + i % 2, (i * 37 % 100) / 100, i * 37 % 100 >= 50, i % 3 == 0, start + timedelta(hours=13 * i))
               for i in range(60)]
-    flush = [("flush", 9, 0.5, True, True, start + timedelta(days=120))]
-    stream = stream_of(spark, tmp_path / "in", PREDICTIONS, [events[:25], events[25:], flush])
-    jobs.append_to(jobs.weekly_quality(stream, "predicted_at", "1 day"), str(tmp_path / "out"),
-                   str(tmp_path / "progress")).awaitTermination()
-    got = spark.read.parquet(str(tmp_path / "out"))
+    late_first = [events[40:], events[:25], events[25:40]]
+    stream = stream_of(spark, tmp_path / "in", PREDICTIONS, late_first)
+    jobs.weekly_quality(stream, "predicted_at", str(tmp_path / "out"), str(tmp_path / "progress")).awaitTermination()
+    assert len(list((tmp_path / "out").glob("batch=*"))) == 3
+    got = jobs.weekly_metrics_of(spark.read.parquet(str(tmp_path / "out")))
     table = spark.createDataFrame(events, PREDICTIONS)
     games = table.select("game_id", F.col("predicted_at").cast("date").alias("game_date"))
     want = monitoring.weekly_metrics(table, games)
@@ -73,12 +73,16 @@ def test_weekly_quality_equals_batch(spark, tmp_path):
 def test_first_deliveries(spark, tmp_path):
     t = datetime(2024, 1, 1)
     schema = "player_id long, game_id string, points int, arrived timestamp"
-    batches = [[(1, "a", 5, t), (2, "a", 6, t)], [(1, "a", 50, t + timedelta(hours=1)), (1, "b", 7, t + timedelta(hours=1))]]
-    stream = jobs.first_deliveries(stream_of(spark, tmp_path / "in", schema, batches), ["player_id", "game_id"],
-                                   "arrived", "2 days")
-    jobs.append_to(stream, str(tmp_path / "out"), str(tmp_path / "progress")).awaitTermination()
-    assert rows(spark.read.parquet(str(tmp_path / "out")), "player_id", "game_id", "points") == [
-        (1, "a", 5), (1, "b", 7), (2, "a", 6)]
+    batches = [[(1, "a", 5, t + timedelta(days=400)), (2, "a", 6, t), (2, "a", 60, t + timedelta(hours=2))],
+               [(1, "a", 50, t), (1, "b", 7, t - timedelta(days=900))], [(2, "a", 8, t), (3, "c", 9, t)]]
+    stream = stream_of(spark, tmp_path / "in", schema, batches)
+    out = str(tmp_path / "out")
+    jobs.first_deliveries(stream, ["player_id", "game_id"], "arrived", out, str(tmp_path / "progress")).awaitTermination()
+    want = [(1, "a", 5), (1, "b", 7), (2, "a", 6), (3, "c", 9)]
+    assert rows(spark.read.parquet(out), "player_id", "game_id", "points") == want
+    # all batches once more, into the same table: each replaces itself
+    jobs.first_deliveries(stream, ["player_id", "game_id"], "arrived", out, str(tmp_path / "again")).awaitTermination()
+    assert rows(spark.read.parquet(out), "player_id", "game_id", "points") == want
 
 
 def test_predictions_meet_late_outcomes(spark, tmp_path):
