@@ -81,9 +81,9 @@ def main(argv: list[str] | None = None) -> None:
         case "accuracy":
             show(jobs.accuracy_history(args.model))
         case "analytics":
-            for name, result in jobs.analytic_queries().items():
+            for name, build in jobs.analytic_queries().items():
                 print(f"== {name}")
-                show(result)
+                show(build())
         case "run-sql":
             for name in SCHEMAS:
                 jobs.tables[name].read().createOrReplaceTempView(name)

