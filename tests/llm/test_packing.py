@@ -1,3 +1,4 @@
+import functools
 import json
 import struct
 import zlib
@@ -22,8 +23,13 @@ def tokenizer():
     return packing.read_tokenizer(PATH)
 
 
+@functools.cache
+def loaded(tokenizer):
+    return Tokenizer.from_str(tokenizer)
+
+
 def expected(tokenizer, text):
-    return [*Tokenizer.from_str(tokenizer).encode(text or "", add_special_tokens=False).ids, 1]
+    return [*loaded(tokenizer).encode(text or "", add_special_tokens=False).ids, 1]
 
 
 def check(pieces, ids_by_doc, size=2048):
