@@ -27,13 +27,13 @@ def ascending(columns: Sequence[str]) -> list[Column]:
     return [F.col(c).asc_nulls_last() for c in columns]
 
 
-def join_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str, small: bool = False) -> DataFrame:
-    """Join on keys of which NULL is a value like any other. ``small`` says that the right side is bounded."""
+def join_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
+    """Join on keys of which NULL is a value like any other."""
     right = right.withColumnsRenamed({key: f"_right_{key}" for key in keys})
     condition = F.lit(True)
     for key in keys:
         condition = condition & F.col(key).eqNullSafe(F.col(f"_right_{key}"))
-    joined = left.join(F.broadcast(right) if small else right, condition, how)
+    joined = left.join(right, condition, how)
     return joined.drop(*[f"_right_{key}" for key in keys])
 
 
@@ -48,8 +48,7 @@ def row_index(df: DataFrame, keys: Sequence[str], order: Sequence[str], name: st
     """Add the 0-based position of each row among the rows of its key (of all rows if there is no key).
 
     ``order`` must identify a row within its key. Beside the range shuffle there is only one more table,
-    with a row per partition and key that meets in it; it is broadcast, so without ``keys`` it has one row
-    per partition, and callers with ``keys`` pass only keys that are few (see ``hot_keys``).
+    with a row per partition and key that meets in it; Spark broadcasts it if it is small.
     """
     rows = _placed(df, [*keys, *order])
     stretches = rows.groupBy(*keys, _PART).agg(F.min(_AT).alias("_first"), F.count("*").alias("_rows"))
@@ -57,7 +56,7 @@ def row_index(df: DataFrame, keys: Sequence[str], order: Sequence[str], name: st
     shifts = stretches.select(
         *keys, _PART,
         (F.coalesce(F.sum("_rows").over(earlier), F.lit(0)) - F.col("_first")).alias("_shift"))
-    joined = join_keys(rows, shifts, [*keys, _PART], "inner", small=True)
+    joined = join_keys(rows, shifts, [*keys, _PART], "inner")
     return joined.select(*df.columns, (F.col(_AT) + F.col("_shift")).alias(name))
 
 
@@ -69,7 +68,7 @@ def prefix_sums(df: DataFrame, order: Sequence[str], values: Sequence[str]) -> D
     offsets = totals.select(
         _PART, *[F.coalesce(F.sum(f"_{v}").over(earlier_parts), F.lit(0)).alias(f"_{v}") for v in values])
     earlier_rows = W.partitionBy(_PART).orderBy(_AT).rowsBetween(W.unboundedPreceding, -1)
-    return (rows.join(F.broadcast(offsets), _PART)
+    return (rows.join(offsets, _PART)
             .select(*df.columns,
                     *[(F.col(f"_{v}") + F.coalesce(F.sum(v).over(earlier_rows), F.lit(0))).alias(f"{v}_before")
                       for v in values]))

@@ -37,14 +37,14 @@ def col_or(df: DataFrame, names: Sequence[str] | str, default=None, type_: str =
 
 
 def with_lookup(df: DataFrame, lookup: DataFrame, key: str) -> DataFrame:
-    """Left join with a lookup that ships with the package and therefore fits every executor."""
-    return df.join(F.broadcast(lookup), key, "left")
+    """Left join with a lookup."""
+    return df.join(lookup, key, "left")
 
 
 def unmapped_keys(df: DataFrame, lookup: DataFrame, key: str) -> DataFrame:
     """Keys without an entry in the lookup."""
     return (df.select(key).filter(F.col(key).isNotNull()).distinct()
-            .join(F.broadcast(lookup.select(key)), key, "left_anti"))
+            .join(lookup.select(key), key, "left_anti"))
 
 
 # --- the landed feed ---------------------------------------------------------------------------------------
