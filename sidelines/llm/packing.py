@@ -36,7 +36,7 @@ class WordIds:
 
     _ENDED = re.compile(rb"(.*[a-z])([^a-z0-9\x80-\xff]+)", re.DOTALL)
 
-    def __init__(self, tokenizer_json: str, most_words: int = 1_200_000):
+    def __init__(self, tokenizer_json: str, most_words: int = 400_000):
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
         self.most_words = most_words
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
@@ -45,8 +45,8 @@ class WordIds:
         self.ends = np.zeros(self.tokenizer.get_vocab_size(), bool)  # of words
         self.ends[[i for token, i in vocabulary.items() if suffix and token.endswith(suffix)]] = True
         self.known: dict[bytes, bytes] = {}
-        self.bare = Tokenizer.from_str(tokenizer_json)  # for words of a-z, which need no preparation
-        self.bare.normalizer, self.bare.pre_tokenizer = None, WhitespaceSplit()
+        self.bare = Tokenizer(self.tokenizer.model)  # for words of a-z, which need no preparation
+        self.bare.pre_tokenizer = WhitespaceSplit()
 
     def _encode(self, text: str, tokenizer: Tokenizer | None = None) -> np.ndarray:
         tokenizer = tokenizer or self.tokenizer
