@@ -31,12 +31,13 @@ class WordIds:
     """Token ids (packed, little-endian, 4 bytes each) of whole texts, looked up word by word.
 
     Only for tokenizers that drop white space, fold A-Z to lower case and part letters from punctuation before they look
-    for tokens, and leave a word of a-z as it is. Words seen before come from a table of at most ``most_words`` words, which begins anew when it is full.
+    for tokens, and leave a word of a-z as it is. Words seen before come from a table; when it holds ``most_words`` it becomes
+    the older one, from which words that come again are taken over, and the one that was older goes.
     """
 
     _ENDED = re.compile(rb"(.*[a-z])([^a-z0-9\x80-\xff]+)", re.DOTALL)
 
-    def __init__(self, tokenizer_json: str, most_words: int = 400_000):
+    def __init__(self, tokenizer_json: str, most_words: int = 300_000):
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
         self.most_words = most_words
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
@@ -45,6 +46,7 @@ class WordIds:
         self.ends = np.zeros(self.tokenizer.get_vocab_size(), bool)  # of words
         self.ends[[i for token, i in vocabulary.items() if suffix and token.endswith(suffix)]] = True
         self.known: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
         self.bare = Tokenizer(self.tokenizer.model)  # for words of a-z, which need no preparation
         self.bare.pre_tokenizer = WhitespaceSplit()
 
@@ -54,6 +56,8 @@ class WordIds:
 
     def _learn(self, words: list[bytes]) -> None:
         """Put words into the table: a word and the punctuation after it are looked up each for itself."""
+        self.known.update((w, self.older[w]) for w in words if w in self.older)
+        words = [w for w in words if w not in self.known]
         parts = {w: m.groups() if not w.isalpha() and (m := self._ENDED.fullmatch(w)) else (w,) for w in words}
         new = list({p for ps in parts.values() for p in ps}.difference(self.known))
         plain = [p for p in new if p.isalpha()]
@@ -75,7 +79,7 @@ class WordIds:
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         if len(self.known) > self.most_words:
-            self.known.clear()
+            self.older, self.known = self.known, {}
         whole = [any(a in t for a in self.added) for t in texts]  # an added token may be part of any word
         words = [[] if w else t.encode().lower().split() for t, w in zip(texts, whole)]
         new = set().union(*words).difference(self.known)
