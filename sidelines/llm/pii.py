@@ -1,8 +1,9 @@
 """Personal data in texts: patterns, and terms that give it away by the company they keep in the corpus.
 
-The patterns find protected entities (addresses and numbers). A term near an entity discloses it if, over all documents, the
+The patterns find protected entities (addresses and numbers). A term discloses an entity if, over whole documents, the
 pointwise mutual information of the two comes close to the information content of the entity: whoever reads the term can
-then infer the entity. Such terms are generalised, or removed where the disclosure is nearly complete.
+then infer the entity. Such terms are generalised, or removed where the disclosure is nearly complete, wherever they stand
+in the documents that hold the entity.
 
 Nothing here leaves the JVM. Repeated groups in patterns are possessive, which Java runs as a loop and not by recursion.
 """
@@ -27,7 +28,7 @@ _PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 # A whole word of letters, perhaps with a mark after it.
 _TERM = r"(?<!\S)\p{L}{4,}+(?=[.,;:!?]?(?!\S))"
 SPAN = "struct<start:int,end:int,match:string>"
-NEAR = 80  # characters on either side of an entity
+STRIDE = 64  # matches whose places are added up together
 
 
 def _let(value: Column, use: Callable[[Column], Column]) -> Column:
@@ -38,7 +39,7 @@ def _let(value: Column, use: Callable[[Column], Column]) -> Column:
 def spans(text: Column, pattern: str) -> Column:
     """``array<struct<start, end, match>>``, in characters: the matches, and their places from the pieces between them."""
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    zero = F.struct(F.lit(0).alias("at"), F.array().cast(f"array<{SPAN}>").alias("out"))
+    none = F.array().cast(f"array<{SPAN}>")
 
     def add(state: Column, part: Column) -> Column:
         start = state["at"] + F.length(part["piece"])
@@ -46,10 +47,21 @@ def spans(text: Column, pattern: str) -> Column:
         span = F.struct(start.alias("start"), end.alias("end"), part["match"].alias("match"))
         return F.struct(end.alias("at"), F.concat(state["out"], F.array(span)).alias("out"))
 
+    def strides(parts: Column) -> Column:
+        """Places within a stride, then moved by where it begins: a list that grows by each match would be copied as often."""
+        own = F.transform(F.sequence(F.lit(0), ((F.size(parts) - 1) / STRIDE).cast("int")), lambda k: F.aggregate(
+            F.slice(parts, k * STRIDE + 1, F.lit(STRIDE)), F.struct(F.lit(0).alias("at"), none.alias("out")), add))
+        return _let(own, lambda own: F.flatten(F.zip_with(own, begins(own), lambda o, by: F.transform(
+            o["out"], lambda s: F.struct((s["start"] + by).alias("start"), (s["end"] + by).alias("end"), s["match"].alias("match"))))))
+
+    def begins(own: Column) -> Column:
+        return F.aggregate(own, F.array(F.lit(0)), lambda at, o: F.concat(at, F.array(F.element_at(at, -1) + o["at"])),
+                           lambda at: F.slice(at, F.lit(1), F.size(own)))
+
     pieces = F.split(text, pattern, -1)
     parts = F.zip_with(found, F.slice(pieces, F.lit(1), F.size(found)),
                        lambda m, p: F.struct(m.alias("match"), p.alias("piece")))
-    return F.aggregate(parts, zero, add, lambda state: state["out"])
+    return _let(parts, lambda parts: F.when(F.size(parts) > 0, strides(parts)).otherwise(none))
 
 
 def _digits(match: Column) -> Column:
@@ -84,48 +96,39 @@ def base_spans(text: Column) -> dict[str, Column]:
     return dict(zip(KINDS, (email, ip, card, phone)))
 
 
-def _terms_near(text: Column, span: Column) -> Column:
-    """Spans of the terms on either side of an entity; words that the window cuts or that touch the entity are no terms."""
-    before = text.substr(F.greatest(F.lit(0), span["start"] - NEAR) + 1, F.least(F.lit(NEAR), span["start"]))
-    after = text.substr(span["end"] + 1, F.lit(NEAR))
-
-    def shifted(context: Column, by: Column, left_open: Column, right_open: Column) -> Column:
-        whole = F.filter(spans(context, _TERM), lambda t: ((t["start"] > 0) | left_open)
-                         & ((t["end"] < F.length(context)) | right_open))
-        return F.transform(whole, lambda t: F.struct((t["start"] + by).alias("start"), (t["end"] + by).alias("end"),
-                                                     F.lower(t["match"]).alias("term")))
-
-    return F.concat(
-        _let(before, lambda c: shifted(c, span["start"] - F.length(c), span["start"] <= NEAR, F.lit(False))),
-        _let(after, lambda c: shifted(c, span["end"], F.lit(False), span["end"] + F.length(c) >= F.length(text))))
-
-
 def _found(rows: DataFrame, text: str) -> DataFrame:
-    """``rows`` with a key of the text, an array of spans per kind, and ``mentions``: entities with the terms near them."""
+    """``rows`` with a key of the text, an array of spans per kind, the distinct ``entities``, and beside them all ``words``.
+
+    Words are the terms of the whole text with their places; a text without entities has none.
+    """
     rows = rows.withColumn("_t", F.coalesce(F.col(text), F.lit(""))).withColumn("tkey", F.xxhash64("_t"))
     rows = rows.withColumns(base_spans(F.col("_t")))
 
-    def mentions(kind: str) -> Column:
-        return F.transform(F.col(kind), lambda s: F.struct(
-            F.xxhash64(F.lit(kind), _digits(s["match"]) if kind in ("card", "phone") else F.lower(s["match"])).alias("entity"),
-            _terms_near(F.col("_t"), s).alias("terms")))
+    def entities(kind: str) -> Column:
+        return F.transform(F.col(kind), lambda s: F.xxhash64(
+            F.lit(kind), _digits(s["match"]) if kind in ("card", "phone") else F.lower(s["match"])))
 
-    rows = rows.withColumn("mentions", F.concat(*[mentions(kind) for kind in KINDS]))
+    rows = rows.withColumn("entities", F.array_distinct(F.concat(*[entities(kind) for kind in KINDS])))
+    words = F.transform(spans(F.col("_t"), _TERM), lambda t: F.struct(
+        F.xxhash64(F.lower(t["match"])).alias("term"), t["start"].alias("start"), t["end"].alias("end")))
+    rows = rows.withColumn("words", F.when(F.size("entities") > 0, words))
     places = {kind: F.transform(F.col(kind), lambda s: F.struct(s["start"], s["end"])) for kind in KINDS}
     return rows.withColumns(places).drop("_t")
 
 
-def disclosing_terms(mentions: DataFrame, documents: DataFrame, text: str, hint: float = 0.75, remove: float = 0.9,
-                     support: int = 3) -> DataFrame:
-    """``(entity, term, kind)``: terms that give entities away, from ``mentions(doc_id, tkey, entity, term)``.
+def disclosing_terms(held: DataFrame, words: DataFrame, documents: DataFrame, text: str, hint: float = 0.75,
+                     remove: float = 0.9, support: int = 3) -> DataFrame:
+    """``(entity, term, kind)``: terms that give entities away, from ``held(doc_id, tkey, entity)``, without repetitions,
+    and ``words(doc_id, tkey, words)``, a row per document that holds an entity.
 
     Their disclosure is the mutual information of term and entity over the entity's information content, which is 1 if
-    the term occurs only near the entity. All counts are documents, a term's over the whole corpus; a pair counts from
-    ``support`` documents on, since rarer company proves nothing.
+    the term occurs only in documents with the entity. All counts are whole documents, a term's over the whole corpus; a
+    pair counts from ``support`` documents on, since rarer company proves nothing.
     """
-    mentions = mentions.distinct()
-    pairs = mentions.groupBy("entity", "term").agg(F.count("*").alias("both")).filter(F.col("both") >= support)
-    entities = mentions.select("doc_id", "tkey", "entity").distinct().groupBy("entity").agg(F.count("*").alias("of_entity"))
+    entities = held.groupBy("entity").agg(F.count("*").alias("of_entity")).filter(F.col("of_entity") >= support)
+    pairs = (_beside(held.join(entities.select("entity"), "entity"), words)
+             .select("entity", F.explode(F.array_distinct(F.col("words.term"))).alias("term"))
+             .groupBy("entity", "term").agg(F.count("*").alias("both")).filter(F.col("both") >= support))
     terms = F.transform(F.regexp_extract_all(F.lower(text), F.lit(_TERM), F.lit(0)), lambda t: F.xxhash64(t))
     spread = (documents.select(F.explode(F.array_distinct(terms)).alias("term"))
               .groupBy("term").agg(F.count("*").alias("of_term")))
@@ -138,25 +141,34 @@ def disclosing_terms(mentions: DataFrame, documents: DataFrame, text: str, hint:
             .select("entity", "term", F.when(F.col("disclosure") >= remove, TERM_KINDS[0]).otherwise(TERM_KINDS[1]).alias("kind")))
 
 
+def _beside(held: DataFrame, words: DataFrame) -> DataFrame:
+    """``held`` with the words of its documents."""
+    words = words.select(F.col("doc_id").alias("of_doc"), F.col("tkey").alias("of_text"), "words")
+    return held.join(words, F.col("doc_id").eqNullSafe(F.col("of_doc")) & (F.col("tkey") == F.col("of_text")))
+
+
 def personal_data(documents: DataFrame, hint: float = 0.75, remove: float = 0.9, support: int = 3) -> DataFrame:
     """``(doc_id, tkey, email, ip, card, phone, term, hint)`` for every row of ``documents(doc_id, text)``.
 
-    The six are arrays of ``(start, end)``, in characters, in order. ``tkey`` is a hash of the text, so that rows of one doc_id
+    The six are arrays of ``(start, end)``, in characters, in order. Terms and hints are all places of a disclosing term in the
+    documents that hold its entity; other documents keep the term. ``tkey`` is a hash of the text, so that rows of one doc_id
     with different texts are kept apart. A null text is an empty one and has no spans; repeated rows stay; a null
     doc_id is kept. An empty table gives no rows; other columns are ignored.
     """
     rows = documents.select(F.col("doc_id").alias("doc_id"), F.col("text").alias("text"))
     found = written(_found(rows, "text").drop("text"), "personal-data")
-    near = (found.select("doc_id", "tkey", F.explode("mentions").alias("m"))
-            .select("doc_id", "tkey", "m.entity", F.explode("m.terms").alias("t"))
-            .select("doc_id", "tkey", "entity", F.xxhash64("t.term").alias("term"), "t.start", "t.end"))
-    told = disclosing_terms(near.select("doc_id", "tkey", "entity", "term"), rows, "text", hint, remove, support)
-    # a term near several entities goes if it has to for one: "term" comes after "hint"
-    extra = (near.join(told, ["entity", "term"]).groupBy("doc_id", "tkey", "start", "end").agg(F.max("kind").alias("kind"))
+    once = found.filter("words is not null").dropDuplicates(["doc_id", "tkey"])
+    held, words = once.select("doc_id", "tkey", F.explode("entities").alias("entity")), once.select("doc_id", "tkey", "words")
+    told = written(disclosing_terms(held, words, rows, "text", hint, remove, support), "disclosing-terms")
+    # a term that discloses several entities goes if it has to for one: "term" comes after "hint"
+    extra = (_beside(held.join(told.select("entity").distinct(), "entity"), words)
+             .select("doc_id", "tkey", "entity", F.explode("words").alias("w"))
+             .select("doc_id", "tkey", "entity", "w.term", "w.start", "w.end")
+             .join(told, ["entity", "term"]).groupBy("doc_id", "tkey", "start", "end").agg(F.max("kind").alias("kind"))
              .groupBy(F.col("doc_id").alias("of_doc"), F.col("tkey").alias("of_text"))
              .agg(F.sort_array(F.collect_list(F.struct("start", "end", "kind"))).alias("extra")))
-    rows = found.drop("mentions").join(extra, F.col("doc_id").eqNullSafe(F.col("of_doc"))
-                                       & (F.col("tkey") == F.col("of_text")), "left")
+    rows = found.drop("entities", "words").join(extra, F.col("doc_id").eqNullSafe(F.col("of_doc"))
+                                                & (F.col("tkey") == F.col("of_text")), "left")
 
     def of(kind: str) -> Column:
         none = F.array().cast("array<struct<start:int,end:int>>")

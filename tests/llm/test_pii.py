@@ -81,6 +81,35 @@ def test_terms_that_give_an_entity_away(spark):
     assert all(not r["term"] and not r["hint"] for i, r in found.items() if i >= 6)
 
 
+def test_terms_far_from_the_entity_are_counted_and_marked_everywhere_in_its_documents(spark):
+    far = "people write about other people " * 10
+    texts = [f"Zanzibar {far} write to bob@corp.com {far} {i} Zanzibar, {far} zanzibar" for i in range(6)]
+    texts += [f"{far} {i}" for i in range(400)]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r["doc_id"]: r for r in pii.personal_data(frame).collect()}
+    for i in range(6):
+        assert [texts[i][s["start"]:s["end"]] for s in found[i]["term"]] == ["Zanzibar", "Zanzibar", "zanzibar"]
+        assert not found[i]["hint"]
+    assert all(not r["term"] and not r["hint"] for i, r in found.items() if i >= 6)
+    assert not any("zanzibar" in r["text"].lower() for r in pii.sanitised(frame).collect())
+
+
+def test_a_term_goes_by_the_share_of_whole_documents(spark):
+    """Within 80 characters the word would be with the address in three documents of six."""
+    far = "people write about other people " * 10
+    texts = [f"bob@corp.com {far if i % 2 else ''} harbour" for i in range(6)] + [far] * 400
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r["doc_id"]: r for r in pii.personal_data(frame).collect()}
+    assert all([texts[i][s["start"]:s["end"]] for s in found[i]["term"]] == ["harbour"] for i in range(6))
+
+
+def test_places_of_many_matches(spark):
+    texts = ["é ab " * n for n in (0, 1, 63, 64, 65, 128, 129, 5000)]
+    frame = spark.createDataFrame(list(enumerate(texts)), "i int, text string")
+    for r in frame.select("i", pii.spans(F.col("text"), "ab").alias("s")).collect():
+        assert [(s["start"], s["end"], s["match"]) for s in r["s"]] == [(*m.span(), "ab") for m in re.finditer("ab", texts[r["i"]])]
+
+
 def test_support_is_needed(spark):
     texts = ["Zanzibar knows a@b.com", "Zanzibar knows a@b.com"] + ["other words here"] * 50
     frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
