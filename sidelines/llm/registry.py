@@ -61,8 +61,8 @@ def op4_simhash(spark, sf_dir):
 
 @query
 def op5_token_counts(spark, sf_dir):
-    heads, tails = token_counts.pieces_of(public_tokenizers.path("piece_bpe_32k.model"))
-    return token_counts.token_counts(table(spark, sf_dir, "documents").select("doc_id", "text"), heads, tails).drop("text")
+    vocabulary = token_counts.vocabulary_of(public_tokenizers.path("piece_bpe_32k.model"))
+    return token_counts.token_counts(table(spark, sf_dir, "documents").select("doc_id", "text"), **vocabulary).drop("text")
 
 
 @query
