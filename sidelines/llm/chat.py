@@ -32,31 +32,46 @@ def quote_lines(text: Column) -> Column:
 
 
 def _passages(lines: Column) -> Column:
-    """Runs of lines of one level, and their single lines: ``array<struct<level, text>>``."""
-    def runs(ls: Column) -> Column:
-        begins = F.filter(F.transform(ls, lambda x, i: F.when(
-            (i == 0) | (F.get(ls, i - 1)["level"] != x["level"]), i)), lambda i: i.isNotNull())
+    """Runs of lines of one level, their paragraphs (between empty lines), and single lines: ``array<struct<level, text>>``."""
+    def runs(ls: Column, *same: Callable[[Column], Column]) -> Column:
+        def begin(x: Column, i: Column) -> Column:
+            changes = i == 0
+            for of in same:
+                changes = changes | (of(F.get(ls, i - 1)) != of(x))
+            return F.when(changes, i)
+
+        begins = F.filter(F.transform(ls, begin), lambda i: i.isNotNull())
         return _let(begins, lambda b: F.transform(b, lambda start, k: F.struct(
             F.get(ls, start)["level"].alias("level"),
             F.array_join(F.transform(F.slice(ls, start + 1, F.coalesce(F.get(b, k + 1), F.size(ls)) - start),
                                      lambda x: x["text"]), "\n").alias("text"))))
 
-    return _let(lines, lambda ls: F.array_distinct(F.concat(runs(ls), ls)))
+    def level(x: Column) -> Column:
+        return x["level"]
+
+    def is_empty(x: Column) -> Column:
+        return ~F.rlike(x["text"], F.lit(r"[^\s\p{Z}]"))
+
+    return _let(lines, lambda ls: F.array_distinct(F.concat(runs(ls, level), runs(ls, level, is_empty), ls)))
 
 
 def normalised(text: Column) -> Column:
-    """Lower case, with single blanks for anything but letters and digits: what mail programs change does not count."""
-    return F.btrim(F.regexp_replace(F.lower(text), r"[^\p{L}\p{N}]+", " "))
+    """Lower case, with single blanks for anything but letters and digits: what mail programs change does not count.
+
+    A text of signs alone, such as an emoji, is taken without its white space.
+    """
+    words = F.btrim(F.regexp_replace(F.lower(text), r"[^\p{L}\p{N}]+", " "))
+    return F.when(words != "", words).otherwise(F.regexp_replace(text, r"[\s\p{Z}]+", ""))
 
 
-def linked(messages: DataFrame, min_chars: int = 12) -> DataFrame:
+def linked(messages: DataFrame, min_chars: int = 1) -> DataFrame:
     """``messages(conv_id, turn, role, text)``, all rows and columns, with the reply structure.
 
     ``content``: the text without quoted lines and the lines that introduce them; ``reply_to``: the turn whose own words are
     quoted most (in characters, by the outermost quotation that can be traced; then the later turn), null if none is;
     ``thread``: the smallest turn that is reached over such links; ``n_quoted``, ``n_linked``: quoted passages, and those
-    that were traced. A passage is a run of lines of one quote level, or a single line, of at least ``min_chars`` normalised
-    characters; it comes from the first message of the conversation that has it in its own words, before the quoting one.
+    that were traced. A passage is a run of lines of one quote level, a paragraph of it, or a single line, of at least
+    ``min_chars`` normalised characters, that is any that is not empty; it comes from the first message of the conversation that has it in its own words, before the quoting one.
 
     A null text has an empty content. Messages without a conversation or turn are not linked; rows of one turn share their
     links; an empty table gives no rows. Originals are one row per passage, so that no pairs arise within a group.
@@ -103,7 +118,7 @@ def own_words(text: Column) -> Column:
     return F.btrim(_let(quote_lines(text), kept), F.lit("\n"))
 
 
-def formatted(messages: DataFrame, min_chars: int = 12) -> DataFrame:
+def formatted(messages: DataFrame, min_chars: int = 1) -> DataFrame:
     """``conv_id, thread, turn, reply_to, role, content, n_quoted, n_linked, message``, ordered as a reader would reply.
 
     Within a conversation threads follow their first turn and messages their turn, so that an original comes before what

@@ -43,6 +43,29 @@ def test_a_quote_that_was_wrapped_anew(spark):
     assert found(spark, [(1, 0, "u", A), (1, 1, "u", wrapped)])[1, 1]["reply_to"] == 0
 
 
+def test_short_messages_that_are_quoted(spark):
+    said = ["Take the red or the blue line.", "Which one?", "Yes, please.", "好的。", "🙂", "x"]
+    rows = [(1, i, "u", t) for i, t in enumerate(said)]
+    rows += [(1, len(said) + i, "u", f"> {t}\nSo it is, number {i}.") for i, t in enumerate(said)] + [(1, 99, "u", "> Nobody.\n>\u00a0\nno")]
+    by = found(spark, rows)
+    assert [by[1, len(said) + i]["reply_to"] for i in range(len(said))] == list(range(len(said)))
+    assert all((by[1, len(said) + i]["n_quoted"], by[1, len(said) + i]["n_linked"]) == (1, 1) for i in range(len(said)))
+    assert by[1, 99]["reply_to"] is None and by[1, 99]["n_quoted"] == 1 and by[1, 99]["n_linked"] == 0
+
+
+def test_a_longer_passage_is_preferred_to_a_short_one(spark):
+    rows = [(1, 0, "u", D), (1, 1, "u", "Yes."), (1, 2, "u", f"> {D}\n> Yes.\nok")]
+    assert found(spark, rows)[1, 2]["reply_to"] == 0
+
+
+def test_a_paragraph_that_was_wrapped_anew(spark):
+    whole = "Dear all,\n\nThe rivers are long and\nthe lakes are deep.\n \nNobody has been\nthere since."
+    quotes = ["> The rivers are\n> long and the lakes\n> are deep.\nok",
+              "> Dear all, the\n> undersigned\n>\n> Nobody has\n> been there since.\n\n> Never said\n> by anybody.\nok"]
+    by = found(spark, [(1, 0, "u", D), (1, 1, "u", whole), *[(1, 2 + i, "u", q) for i, q in enumerate(quotes)]])
+    assert by[1, 2]["reply_to"] == by[1, 3]["reply_to"] == 1 and by[1, 3]["n_linked"] == 1
+
+
 def test_odd_rows_and_columns(spark):
     deep = ">" * 20_000 + " Something else that quotes nothing at all."
     rows = [(None, 1, "u", D), (1, None, "u", D), (1, 1, None, None), (1, 2, "u", ""), (1, 3, "u", D), (1, 3, "u", D),
