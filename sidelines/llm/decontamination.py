@@ -8,6 +8,7 @@ number of characters; every document meets every shard.
 from __future__ import annotations
 
 import math
+import re
 from bisect import bisect_left
 from collections import Counter, defaultdict
 from collections.abc import Iterator
@@ -33,8 +34,16 @@ MATCH = "struct<item_id: bigint, score: double, overlap: double, question: doubl
 _SPLIT = bytes(c if c >= 128 or chr(c).isalnum() else 32 for c in range(256))
 
 
+# Scripts that do not part words by blanks: Thai to Myanmar, Khmer, Chinese and Japanese; each character is a word.
+_UNSPACED = re.compile("[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3000-\u30ff\u31f0-\u31ff\u3400-\u4dbf"
+                       "\u4e00-\u9fff\uf900-\ufaff\uff01-\uff9f\U00020000-\U0003ffff]")
+
+
 def words_of(text: str | None) -> list[bytes]:
-    return (text or "").lower().encode().translate(_SPLIT).split()
+    text = (text or "").lower()
+    if not text.isascii() and _UNSPACED.search(text):
+        text = _UNSPACED.sub(r" \g<0> ", text)
+    return text.encode().translate(_SPLIT).split()
 
 
 def units_of(words: list[bytes]) -> list[list[bytes]]:

@@ -86,6 +86,14 @@ def test_case_punctuation_and_small_changes(spark):
     assert kept.columns == docs.columns and sorted(r["doc_id"] for r in kept.collect()) == [2, 3, 4, 5, 6, 7, 11]
 
 
+def test_items_in_scripts_without_blanks(spark):
+    texts = ["北京是中华人民共和国的首都，也是全国的政治中心。", "吾輩は猫である。名前はまだ無い。", "กรุงเทพมหานครเป็นเมืองหลวงของไทย"]
+    items = spark.createDataFrame(list(enumerate(texts)), "item_id long, text string")
+    rows = [(i, f"其他的句子{t}还有别的事情 other words") for i, t in enumerate(texts)] + [(3, "北京是一个城市。"), (4, "名前は太郎です。")]
+    found = d.contaminated(spark.createDataFrame(rows, "doc_id long, text string"), items).collect()
+    assert sorted((r["doc_id"], r["item_id"]) for r in found) == [(0, 0), (1, 1), (2, 2)]
+
+
 def test_an_edit_that_leaves_four_fifths(spark):
     words = [f"w{i}" for i in range(60)]
     items = spark.createDataFrame([(1, " ".join(words[:50]) + ". " + " ".join(words[50:]))], "item_id long, text string")
