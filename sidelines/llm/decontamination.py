@@ -62,6 +62,19 @@ def question_and_answer(text: str) -> tuple[str, str]:
     return (line[:at + 1], line[at + 1:]) if at > 0 else (line, "")
 
 
+def judged_parts(text: str) -> tuple[str, str]:
+    """Question and answer as they are judged: an answer of fewer than five words with the sentences before it.
+
+    If that leaves fewer than five words of question, the text is judged as a whole: one edit would undo a part so short.
+    """
+    question, answer = question_and_answer(text)
+    while answer and question and len(words_of(answer)) < SHINGLE:
+        question = question.rstrip()
+        at = max(question.rfind(end, 0, len(question) - 1) for end in (". ", "? ", "! ", "\n"))
+        question, answer = question[:at + 1], question[at + 1:] + "\n" + answer
+    return (question, answer) if len(words_of(question)) >= SHINGLE else (question + answer, "")
+
+
 def shingles(words: list[bytes]) -> list[tuple[bytes, ...]]:
     return list(zip(*[words[i:] for i in range(SHINGLE)])) if len(words) >= SHINGLE else [tuple(words)] if words else []
 
@@ -84,7 +97,7 @@ class Index:
         self.threshold = threshold
         self.items, units = [], []
         for item_id, text in items:
-            question, answer = (words_of(part) for part in question_and_answer(text))
+            question, answer = (words_of(part) for part in judged_parts(text))
             words = words_of(text)
             units += [(len(self.items), own) for own in units_of(words)]
             self.items.append((item_id, words, shingles(words), Counter(question), Counter(answer)))
@@ -281,7 +294,7 @@ def with_matches(documents: DataFrame, items: DataFrame, threshold: float = 0.6)
 
     An item is held if a window scores at least ``threshold`` of what a unit of the item scores itself (all units of up
     to 48 words are retrieved so), at least 0.8 of the item's five-word shingles are around that window, and so are 0.8
-    of the words of its question and of its answer. A null or empty text holds nothing, and nothing is held of no items.
+    of the words of its question and of its answer (see ``judged_parts`` for short ones). A null or empty text holds nothing, and nothing is held of no items.
     Repeated rows and other columns stay; equal items under several ids are found under each.
     """
     rows = beside_row(documents, _text=F.col("text"))

@@ -105,6 +105,24 @@ def test_an_edit_that_leaves_four_fifths(spark):
     assert [r["doc_id"] for r in d.contaminated(docs, items).collect()] == [1]
 
 
+def test_an_edit_in_a_part_of_few_words(spark):
+    body = " ".join(f"w{i}" for i in range(40)) + ". " + " ".join(f"v{i}" for i in range(12)) + ". "
+    items = spark.createDataFrame([(1, body + "X."), (2, "Why so? " + body.replace("w", "y").replace("v", "z"))], "item_id long, text string")
+    rows = [(1, body + "Q."), (2, "Who so? " + body.replace("w", "y").replace("v", "z")), (3, " ".join(f"w{i}" for i in range(40)))]
+    found = d.contaminated(spark.createDataFrame(rows, "doc_id long, text string"), items).collect()
+    assert sorted((r["doc_id"], r["item_id"]) for r in found) == [(1, 1), (2, 2)]
+
+
+def test_judged_parts():
+    def words(text):
+        return tuple(b" ".join(d.words_of(part)).decode() for part in d.judged_parts(text))
+
+    assert words("a b c d e f. g h i j. k") == ("a b c d e f", "g h i j k")
+    assert words("a b c d e\nf g h i j") == ("a b c d e", "f g h i j")
+    assert words("a b c d e f\nParis") == ("a b c d e f paris", "") and words("a b. c d e f g") == ("a b c d e f g", "")
+    assert words("only one.") == ("only one", "") and words("") == ("", "")
+
+
 def test_empty_tables_and_several_shards(spark, tables):
     documents, items = tables
     assert d.contaminated(documents.limit(0), items).count() == 0
