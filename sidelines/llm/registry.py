@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sidelines.llm import (chat, decontamination, line_dedup, packing, pii, quality_rules, simhash, token_counts,
-                           url_filters, warc)
+                           url_filters, warc, whitening)
 from sidelines.llm.sql import ORACLES
 from sidelines.session import new_folder
 
@@ -95,6 +95,13 @@ def op10_pii(spark, sf_dir):
                         pii.listed(*pii.KINDS, *pii.TERM_KINDS).alias("spans"))
 
 
+@query
+def op11_whitening(spark, sf_dir):
+    """A deviation that a long can't hold is null; the operator's own column is a decimal."""
+    found = whitening.whitened(table(spark, sf_dir, "embeddings"))
+    return found.withColumn("deviation", F.col("deviation").try_cast("long"))
+
+
 def queries() -> dict[str, Query]:
     return dict(_QUERIES)
 

@@ -38,9 +38,8 @@ def documents(spark):
     return spark.read.parquet(f"{SF_DIR}/documents.parquet").collect()
 
 
-def test_ten_queries():
-    assert [int(n[2:].split("_")[0]) for n in QUERIES if n.startswith("op")] and len(QUERIES) == 10
-    assert {int(n[2:].split("_")[0]) for n in QUERIES} == set(range(1, 11))
+def test_a_query_for_each_operator():
+    assert sorted(int(n.removeprefix("op").split("_")[0]) for n in QUERIES) == list(range(1, len(QUERIES) + 1))
 
 
 def test_op1(spark, documents):
