@@ -123,7 +123,8 @@ def _totals(table: DataFrame, dims: int) -> tuple[int, list[int], list[int]]:
 
     parts = table.select("x").mapInArrow(run, "i int, n long, total decimal(38,0), most long")
     found = parts.groupBy("i").agg(F.sum("n").alias("n"), F.sum("total").alias("total"),
-                                   F.max("most").alias("most")).orderBy("i").collect()
+                                   F.max("most").alias("most")).collect()
+    found.sort(key=lambda r: r["i"])
     return found[0]["n"], [int(r["total"]) for r in found], [r["most"] for r in found]
 
 
@@ -160,8 +161,10 @@ class _Rows:
                 yield pa.RecordBatch.from_arrays([pa.array(np.arange(size, dtype=np.int32)), pa.array(total)], ["i", "value"])
 
         parts = self.table.select("x").mapInArrow(run, "i int, value double")
-        found = parts.groupBy("i").agg(F.sum("value").alias("value")).orderBy("i").collect()
-        return np.array([r["value"] for r in found])
+        total = np.zeros(size)
+        for i, value in parts.groupBy("i").agg(F.sum("value")).collect():
+            total[i] = value
+        return total
 
     def xv(self, right: np.ndarray, left: np.ndarray) -> tuple[np.ndarray, np.ndarray, float]:
         both, m, b = np.hstack([left, right]), left.shape[1], right.shape[1]
