@@ -111,21 +111,29 @@ def fitted(sample: np.ndarray, codewords: int, least_cosine: float, recall: floa
 
 # --- vectors as rows ------------------------------------------------------------------------------------------
 
-def _unit(vectors: list[bytes]) -> np.ndarray:
-    x = np.frombuffer(b"".join(vectors), "<f8").reshape(len(vectors), -1)
+def _kind(column: T.DataType) -> str:
+    """How the entries are kept in binary: as they are, floats take half of the room."""
+    return "<f4" if isinstance(column.elementType, T.FloatType) else "<f8"
+
+
+def _unit(vectors: list[bytes], kind: str) -> np.ndarray:
+    x = np.frombuffer(b"".join(vectors), kind).reshape(len(vectors), -1).astype(np.float64)
     x = x / np.abs(x).max(axis=1, keepdims=True)  # squares of very small or large entries would not fit
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
 def _comparable(rows: DataFrame) -> DataFrame:
-    """``rows(vec_id, embedding, label)`` with ``vector``: the entries as doubles, null if it links with nothing."""
+    """``rows(vec_id, embedding, label)`` with ``vector``: the entries in binary, null if it links with nothing."""
+    kind = _kind(rows.schema["embedding"].dataType)
+    size = np.dtype(kind).itemsize
+
     def run(batches):
         for batch in batches:
             good, start, end, flat = entries(batch.column("embedding"))
             nonzero = np.concatenate([[0], np.cumsum(flat != 0)])
             good &= nonzero[end] > nonzero[start]
-            data = (flat + 0.0).astype("<f8").tobytes()
-            vectors = [data[8 * s:8 * e] if g else None for g, s, e in zip(good, start, end)]
+            data = (flat + 0.0).astype(kind).tobytes()  # + 0.0: there is one zero
+            vectors = [data[size * s:size * e] if g else None for g, s, e in zip(good, start, end)]
             yield pa.RecordBatch.from_arrays([batch.column("vec_id"), batch.column("label"), pa.array(vectors, pa.binary())],
                                              ["vec_id", "label", "vector"])
 
@@ -133,17 +141,17 @@ def _comparable(rows: DataFrame) -> DataFrame:
     return rows.select("vec_id", "label", "embedding").mapInArrow(run, schema)
 
 
-def _of_lengths(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """The rows of a batch with vectors of one length, as unit vectors, length by length."""
+def _of_lengths(batch: pa.RecordBatch, kind: str) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """The rows of a batch with vectors of one length (in bytes), as unit vectors, length by length."""
     vectors = batch.column("vector").to_pylist()
     lengths = np.array([len(v) for v in vectors])
     for length in np.unique(lengths):
         rows = np.nonzero(lengths == length)[0]
-        yield rows, _unit([vectors[i] for i in rows])
+        yield int(length), rows, _unit([vectors[i] for i in rows], kind)
 
 
-def _grids(classes: DataFrame, rows_per_cell: int, least_cosine: float, recall: float) -> dict[int, Grid]:
-    """A grid for each length of vectors; the square of its side follows the largest label."""
+def _grids(classes: DataFrame, kind: str, rows_per_cell: int, least_cosine: float, recall: float) -> dict[int, Grid]:
+    """A grid for each length of vectors, in bytes; the square of its side follows the largest label."""
     largest = (classes.groupBy("label", F.length("vector").alias("bytes")).agg(F.sum("copies").alias("n"))
                .groupBy("bytes").agg(F.max("n").alias("n")).collect())
     found = {}
@@ -151,7 +159,7 @@ def _grids(classes: DataFrame, rows_per_cell: int, least_cosine: float, recall:
         sample = (classes.filter(F.length("vector") == length).select("vector", F.xxhash64("vector").alias("at"))
                   .orderBy("at", "vector").limit(min(SAMPLE, max(256, SAMPLE_BYTES // length))).collect())
         codewords = max(LEAST, int(np.ceil(np.sqrt(n / rows_per_cell))))
-        found[length] = fitted(_unit([bytes(r["vector"]) for r in sample]), codewords, least_cosine, recall)
+        found[length] = fitted(_unit([bytes(r["vector"]) for r in sample], kind), codewords, least_cosine, recall)
     return found
 
 
@@ -247,13 +255,13 @@ def _batch(node: np.ndarray, other: np.ndarray, links: np.ndarray) -> pa.RecordB
     return pa.RecordBatch.from_arrays([pa.array(x.astype(np.int64)) for x in (node, other, links)], ["a", "b", "n_links"])
 
 
-def _homes_and_looks(classes: DataFrame, grids: dict[int, Grid]) -> DataFrame:
+def _homes_and_looks(classes: DataFrame, kind: str, grids: dict[int, Grid]) -> DataFrame:
     """A row for each class and row of the grid that its walk touches, up to its own: ``looks`` are the cells before its
     own; ``cell`` is its own in the row where it lives, else null."""
     def run(batches):
         for batch in batches:
-            for rows, unit in _of_lengths(batch):
-                grid = grids[8 * unit.shape[1]]
+            for length, rows, unit in _of_lengths(batch, kind):
+                grid = grids[length]
                 home, cell = grid.cells(unit)
                 who, i, j = grid.walk(unit)
                 before = (i < home[who]) | ((i == home[who]) & (j < cell[who]))
@@ -281,15 +289,15 @@ def _homes_and_looks(classes: DataFrame, grids: dict[int, Grid]) -> DataFrame:
     return kept.mapInArrow(run, schema)
 
 
-def links(classes: DataFrame, grids: dict[int, Grid], least_cosine: float = 0.93, chunk_rows: int = 50_000) -> DataFrame:
-    """``(a, b, n_links)`` over ``classes(node, label, copies, vector)``: the links a -> b connect what all pairs found do, and
-    the sum of ``n_links`` over a is how many vectors of other classes it is linked with.
+def links(classes: DataFrame, kind: str, grids: dict[int, Grid], least_cosine: float = 0.93, chunk_rows: int = 50_000) -> DataFrame:
+    """``(a, b, n_links)`` over ``classes(node, label, copies, vector)``, vectors in binary of a numpy ``kind``: the links a -> b
+    connect what all pairs found do, and the sum of ``n_links`` over a is how many vectors of other classes it is linked with.
 
     A task keeps the vectors that live in one row of the grid, for one label and length of vectors, and streams those that look in. A row
     with more than ``chunk_rows`` is cut into chunks by hash; its vectors look into each other's chunks like
     strangers. At most one link is given for each row that a task reads.
     """
-    sent = _homes_and_looks(classes, grids).withColumn("bytes", F.length("vector"))
+    sent = _homes_and_looks(classes, kind, grids).withColumn("bytes", F.length("vector"))
     place = ["label", "bytes", "line"]
     counts = (sent.filter("cell is not null").groupBy(*place)
               .agg(F.ceil(F.count("*") / chunk_rows).cast("int").alias("chunks")))
@@ -303,10 +311,10 @@ def links(classes: DataFrame, grids: dict[int, Grid], least_cosine: float = 0.93
                            looks.alias("looks"))
             .filter("passes = 0 or size(looks) > 0").repartition(*place, "chunk")
             .sortWithinPartitions(*place, "chunk", "passes"))
-    return rows.mapInArrow(_compared(least_cosine), "a long, b long, n_links long")
+    return rows.mapInArrow(_compared(kind, least_cosine), "a long, b long, n_links long")
 
 
-def _compared(least_cosine: float):
+def _compared(kind: str, least_cosine: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         here, at, settled = None, None, False
         for batch in batches:
@@ -325,7 +333,7 @@ def _compared(least_cosine: float):
                     here, at, settled = None, places[start], False
                 part = batch.slice(start, end - start)
                 node, copies = (part.column(c).to_numpy() for c in ("node", "copies"))
-                looks, unit = part.column("looks").to_pylist(), _unit(part.column("vector").to_pylist())
+                looks, unit = part.column("looks").to_pylist(), _unit(part.column("vector").to_pylist(), kind)
                 if not passes[start]:
                     if here is None:
                         here = _Residents(least_cosine)
@@ -363,8 +371,9 @@ def near_duplicates(embeddings: DataFrame, least_cosine: float = 0.93, recall: f
                .agg(F.any_value("vector").alias("vector"), F.count("*").alias("copies"), F.min("vec_id").alias("first"))
                .withColumn("node", F.monotonically_increasing_id()))
     classes = written(classes, "vector-classes")
-    grids = _grids(classes, rows_per_cell, least_cosine, recall)
-    found = written(links(classes, grids, least_cosine, chunk_rows), "vector-links")
+    kind = _kind(rows.schema["embedding"].dataType)
+    grids = _grids(classes, kind, rows_per_cell, least_cosine, recall)
+    found = written(links(classes, kind, grids, least_cosine, chunk_rows), "vector-links")
     roots = components(found.select("a", "b"))
     counts = found.groupBy("a").agg(F.sum("n_links").alias("others"))
     known = (classes.select("label", "h1", "h2", "copies", "first", "node")
