@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sidelines.llm import (chat, decontamination, embedding_dedup, line_dedup, packing, pii, quality_rules, simhash, token_counts,
-                           url_filters, warc, whitening)
+from sidelines.llm import (chat, decontamination, embedding_dedup, line_dedup, packing, pii, prefix_trie, quality_rules,
+                           simhash, token_counts, url_filters, warc, whitening)
 from sidelines.llm.sql import ORACLES
 from sidelines.session import new_folder
 
@@ -102,6 +102,11 @@ def op11_whitening(spark, sf_dir):
     return found.withColumn("deviation", F.col("deviation").try_cast("long"))
 
 
+@query
+def op12_prefix_trie(spark, sf_dir):
+    return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
 @query
 def op13_embedding_dedup(spark, sf_dir):
     return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))

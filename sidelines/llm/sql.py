@@ -55,4 +55,38 @@ ORACLES = {
         SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id < last THEN 'revisit' ELSE 'response' END AS record_type,
                CASE WHEN page_id < last THEN last END AS refers_to
         FROM raw JOIN letters USING (digest)""",
+    "op12_prefix_trie": r"""
+        WITH turns AS (SELECT conv_id, coalesce(role, '') AS r, coalesce(text, '') AS t,
+                              row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) - 1 AS at
+                       FROM conversations WHERE conv_id IS NOT NULL),
+        sizes AS (SELECT conv_id, count(*) AS n FROM turns GROUP BY conv_id),
+        -- CRC-32 bit by bit: the register first, then each byte of the decimal id
+        crc AS (SELECT conv_id, n, list_reduce(
+                    list_prepend(4294967295::BIGINT, list_transform(string_split(conv_id::VARCHAR, ''), lambda x: ascii(x)::BIGINT)),
+                    lambda register, byte: list_reduce(
+                        list_prepend(xor(register, byte), [0::BIGINT, 0, 0, 0, 0, 0, 0, 0]),
+                        lambda a, k: xor(a >> 1, CASE WHEN a & 1 = 1 THEN 3988292384::BIGINT ELSE 0::BIGINT END))) AS c FROM sizes),
+        convs AS (SELECT conv_id, n, conv_id - conv_id % 20 AS base, xor(c, 4294967295::BIGINT) % 4 AS h FROM crc),
+        rebuilt AS (
+            SELECT c.conv_id, b.at AS pos, b.r, b.t FROM convs c JOIN turns b ON b.conv_id = c.base AND b.at < c.h
+            UNION ALL
+            SELECT c.conv_id, o.at - c.h + least(c.h, coalesce(b.n, 0)), o.r, o.t
+            FROM convs c JOIN turns o ON o.conv_id = c.conv_id AND o.at >= c.h LEFT JOIN sizes b ON b.conv_id = c.base),
+        paths AS (SELECT conv_id, pos + 1 AS depth, t, string_agg(sha256(r) || sha256(t), '/') OVER w AS path,
+                         lead(pos) OVER (PARTITION BY conv_id ORDER BY pos) IS NULL AS ends
+                  FROM rebuilt WINDOW w AS (PARTITION BY conv_id ORDER BY pos ROWS UNBOUNDED PRECEDING)
+                  UNION ALL
+                  SELECT conv_id, 0, '', '', conv_id NOT IN (SELECT conv_id FROM rebuilt) FROM convs),
+        marked AS (SELECT *, lag(path) OVER (PARTITION BY conv_id ORDER BY depth) AS above FROM paths),
+        nodes AS (SELECT path, min(above) AS above, min(depth) AS depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+                         (count(*) - 1) * len(regexp_extract_all(min(t), '[^\x20\x09-\x0D]+')) AS saved,
+                         coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (WHERE ends), '') AS ids
+                  FROM marked GROUP BY path),
+        children AS (SELECT above AS path, count(*) AS n FROM nodes WHERE above IS NOT NULL GROUP BY above),
+        below AS (SELECT a.path, sum(n.saved) AS saved, sum(CASE WHEN c.n IS NULL THEN 1 ELSE 0 END) AS leaves
+                  FROM nodes n JOIN marked a ON a.conv_id = n.conv_id AND a.depth <= n.depth LEFT JOIN children c ON c.path = n.path
+                  GROUP BY a.path)
+        SELECT n.conv_id, n.depth::BIGINT AS depth, p.conv_id AS parent_conv_id, n.n_convs, coalesce(c.n, 0) AS n_children,
+               b.leaves::BIGINT AS n_leaves, b.saved::BIGINT AS saved_tokens, sha256(n.ids) AS ends_sha256
+        FROM nodes n JOIN below b USING (path) LEFT JOIN nodes p ON p.path = n.above LEFT JOIN children c ON c.path = n.path""",
 }

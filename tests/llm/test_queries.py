@@ -24,7 +24,7 @@ def ordered(rows):
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_equals_duckdb(spark, name):
     connection = duckdb.connect()
-    for table in ("documents", "pages"):
+    for table in ("documents", "pages", "conversations"):
         connection.execute(f"CREATE VIEW {table} AS SELECT * FROM read_parquet('{SF_DIR}/{table}.parquet')")
     df = QUERIES[name](spark, SF_DIR)
     result = connection.execute(ORACLES[name])
