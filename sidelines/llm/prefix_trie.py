@@ -4,14 +4,17 @@ A node is a distinct sequence of first turns, known by two 64-bit hashes that ev
 that a prefix of any length is a running value and its parent is the value before.
 
 Totals over subtrees: the mass of a node (turns at or below it, repeated ones counted) is known from its members alone. Where it is
-at most ``light``, a whole subtree fits into a task, which splits it at centroids: the total below a centroid is added along the path
-from it to the top, then what lies above it and below it is split on. The nodes above, of more mass, are few paths, as each of their ends has
-its own ``light`` of mass: they are cut into pieces of a path, the tree of pieces is totalled first, and then every piece.
+at most ``light``, a task takes the whole subtree and splits it at centroids: the total below a centroid is added along the path
+from it to the top, then what lies above it and below it is split on. The nodes above, of more mass, are few paths, as each of their
+ends has its own ``light`` of mass: they are cut into pieces of a path, the tree of pieces is totalled first, and then every
+piece. ``light`` follows the root of the whole mass, so that neither a subtree nor the tree of pieces is more than some
+roots of it.
 """
 
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -24,7 +27,7 @@ from sidelines.operators.ranking import row_index
 from sidelines.session import written
 
 SHARERS, MOST_SHARED = 20, 4  # conversations that may share their first turns; fewer turns than this
-LIGHT = 100_000
+ROOTS = 4  # ``light``, in square roots of the whole mass
 STRETCH = 4096  # turns of a conversation that a task sorts
 WORD = r"[^\x20\x09-\x0D]+"
 _NODE, _PARENT = ["p1", "p2"], ["u1", "u2"]
@@ -236,7 +239,7 @@ def _digest_batch(found: list[tuple[int, int, str]]) -> pa.RecordBatch:
                                       [*_NODE, "ends_sha256"])
 
 
-def prefix_trie(conversations: DataFrame, light: int = LIGHT) -> DataFrame:
+def prefix_trie(conversations: DataFrame, light: int | None = None) -> DataFrame:
     """The nodes of the trie of ``conversations(conv_id, turn, role, text)``, with totals over their subtrees.
 
     Turns go by number, null first, and by the hash of role and text where the number is the same; a null role or text is empty. Rows
@@ -249,6 +252,8 @@ def prefix_trie(conversations: DataFrame, light: int = LIGHT) -> DataFrame:
     shapes = written(_shapes(numbered), "conversation-shapes")
     rows = written(_rebuilt(numbered, shapes), "turns-rebuilt")
     nodes = _nodes(rows, shapes)
+    if light is None:
+        light = ROOTS * math.isqrt(shapes.agg(F.sum("len")).first()[0] or 0) + 1
     totals = _totals(nodes, rows, light).select(*_NODE, F.col("leaves").alias("n_leaves"), F.col("saved").alias("saved_tokens"))
     none = F.sha2(F.lit(""), 256)
     return (nodes.join(totals, _NODE).join(_digests(rows, shapes), _NODE, "left")
