@@ -25,8 +25,11 @@ _EMAIL = r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-
 _IP = r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++"
 _CARD = r"[0-9](?:[\x20-]?[0-9])++"
 _PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
-# A whole word of letters, perhaps with a mark after it.
-_TERM = r"(?<!\S)\p{L}{4,}+(?=[.,;:!?]?(?!\S))"
+# Runs of letters and digits with marks between them; where a script does not part words by blanks, whole runs of it.
+_UNSPACED = r"\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}"
+_PLAIN = rf"[\p{{L}}\p{{M}}\p{{N}}&&[^{_UNSPACED}]]++"
+_TERM = rf"[{_UNSPACED}]++|{_PLAIN}(?:['\u2019-]{_PLAIN})*+"
+GRAM = 2  # characters of a run in an unspaced script that are one term
 SPAN = "struct<start:int,end:int,match:string>"
 STRIDE = 64  # matches whose places are added up together
 
@@ -96,10 +99,59 @@ def base_spans(text: Column) -> dict[str, Column]:
     return dict(zip(KINDS, (email, ip, card, phone)))
 
 
+def _masked(text: Column) -> Column:
+    """The text with blanks in place of the valid matches of every kind, at the same places."""
+    checks = {_EMAIL: lambda m: F.lit(True), _IP: _valid_ip,
+              _CARD: lambda m: F.length(_digits(m)).between(16, 19) & _luhn(_digits(m)),
+              _PHONE: lambda m: F.length(_digits(m)).between(8, 15)}
+    for pattern, valid in checks.items():
+        text = _let(text, _blanked(pattern, valid))
+    return text
+
+
+def _blanked(pattern: str, valid: Callable[[Column], Column]) -> Callable[[Column], Column]:
+    def of(text: Column) -> Column:
+        found = F.transform(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), lambda m: F.when(
+            valid(m), F.repeat(F.lit(" "), F.length(m))).otherwise(m))
+        return F.array_join(F.zip_with(F.split(text, pattern, -1), found, lambda piece, m: F.concat(
+            piece, F.coalesce(m, F.lit("")))), "")
+
+    return of
+
+
+def _terms(word: Column) -> Column:
+    """``array<struct<text, start, end>>``: a word in lower case, or the overlapping n-grams of a run in an unspaced script."""
+    def grams(chars: Column) -> Column:
+        return F.transform(F.sequence(F.lit(0), F.size(chars) - GRAM), lambda i: F.struct(
+            F.array_join(F.slice(chars, i + 1, F.lit(GRAM)), "").alias("text"), (word["start"] + i).alias("start"),
+            (word["start"] + i + GRAM).alias("end")))
+
+    whole = F.array(F.struct(F.lower(word["match"]).alias("text"), word["start"].alias("start"), word["end"].alias("end")))
+    unspaced = (F.length(word["match"]) > GRAM) & F.rlike(word["match"], F.lit(f"^[{_UNSPACED}]"))
+    return F.when(unspaced, _let(F.regexp_extract_all(F.lower(word["match"]), F.lit("(?s)."), F.lit(0)), grams)).otherwise(whole)
+
+
+def _spread(text: Column) -> Column:
+    """The distinct terms of a text, hashed."""
+    def grams(chars: Column) -> Column:
+        return F.transform(F.sequence(F.lit(1), F.size(chars) - GRAM + 1), lambda i: F.xxhash64(
+            F.array_join(F.slice(chars, i, F.lit(GRAM)), "")))
+
+    def of(match: Column) -> Column:
+        unspaced = (F.length(match) > GRAM) & F.rlike(match, F.lit(f"^[{_UNSPACED}]"))
+        return F.when(unspaced, _let(F.regexp_extract_all(match, F.lit("(?s)."), F.lit(0)), grams)).otherwise(F.array(F.xxhash64(match)))
+
+    found = F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit(_TERM), F.lit(0)))
+    plain = F.transform(found, lambda m: F.xxhash64(m))
+    # most texts have no word of such a script
+    return F.when(F.rlike(text, F.lit(f"[{_UNSPACED}]")), F.array_distinct(F.flatten(F.transform(found, of)))).otherwise(plain)
+
+
 def _found(rows: DataFrame, text: str) -> DataFrame:
     """``rows`` with a key of the text, an array of spans per kind, the distinct ``entities``, and beside them all ``words``.
 
-    Words are the terms of the whole text with their places; a text without entities has none.
+    Words are the terms of the whole text with their places, but for what lies within an entity; a text without entities
+    has none.
     """
     rows = rows.withColumn("_t", F.coalesce(F.col(text), F.lit(""))).withColumn("tkey", F.xxhash64("_t"))
     rows = rows.withColumns(base_spans(F.col("_t")))
@@ -109,11 +161,12 @@ def _found(rows: DataFrame, text: str) -> DataFrame:
             F.lit(kind), _digits(s["match"]) if kind in ("card", "phone") else F.lower(s["match"])))
 
     rows = rows.withColumn("entities", F.array_distinct(F.concat(*[entities(kind) for kind in KINDS])))
-    words = F.transform(spans(F.col("_t"), _TERM), lambda t: F.struct(
-        F.xxhash64(F.lower(t["match"])).alias("term"), t["start"].alias("start"), t["end"].alias("end")))
-    rows = rows.withColumn("words", F.when(F.size("entities") > 0, words))
+    words = F.transform(F.flatten(F.transform(spans(F.col("_m"), _TERM), _terms)), lambda t: F.struct(
+        F.xxhash64(t["text"]).alias("term"), t["start"].alias("start"), t["end"].alias("end")))
+    held = F.size("entities") > 0
+    rows = rows.withColumn("_m", F.when(held, _masked(F.col("_t")))).withColumn("words", F.when(held, words))
     places = {kind: F.transform(F.col(kind), lambda s: F.struct(s["start"], s["end"])) for kind in KINDS}
-    return rows.withColumns(places).drop("_t")
+    return rows.withColumns(places).drop("_t", "_m")
 
 
 def disclosing_terms(held: DataFrame, words: DataFrame, documents: DataFrame, text: str, hint: float = 0.75,
@@ -124,16 +177,28 @@ def disclosing_terms(held: DataFrame, words: DataFrame, documents: DataFrame, te
     Their disclosure is the mutual information of term and entity over the entity's information content, which is 1 if
     the term occurs only in documents with the entity. All counts are whole documents, a term's over the whole corpus; a
     pair counts from ``support`` documents on, since rarer company proves nothing.
+
+    A term in so many documents that it can't reach ``hint`` with the commonest entity beside it (which would have to be in
+    all of the entity's documents) is left out of a document before its pairs are made.
     """
+    n = documents.select(F.count("*")).scalar().cast("double")
     entities = held.groupBy("entity").agg(F.count("*").alias("of_entity")).filter(F.col("of_entity") >= support)
-    pairs = (_beside(held.join(entities.select("entity"), "entity"), words)
-             .select("entity", F.explode(F.array_distinct(F.col("words.term"))).alias("term"))
-             .groupBy("entity", "term").agg(F.count("*").alias("both")).filter(F.col("both") >= support))
-    terms = F.transform(F.regexp_extract_all(F.lower(text), F.lit(_TERM), F.lit(0)), lambda t: F.xxhash64(t))
-    spread = (documents.select(F.explode(F.array_distinct(terms)).alias("term"))
-              .groupBy("term").agg(F.count("*").alias("of_term")))
-    n = documents.select(F.count("*")).scalar()
-    pairs = pairs.join(entities, "entity").join(spread, "term").withColumn("n", n.cast("double"))
+    held = written(held.join(entities, "entity"), "entities-held")
+    spread = (documents.select(F.explode(_spread(F.coalesce(F.col(text), F.lit("")))).alias("term"))
+              .groupBy("term").agg(F.count("*").alias("of_term")).filter(F.col("of_term") >= support))
+
+    def can_tell(of_entity: str) -> Column:
+        content = F.log(n / F.col(of_entity))
+        return (content > 0) & (F.log(n / F.col("of_term")) >= hint * content - 1e-9)
+
+    commonest = held.groupBy("doc_id", "tkey").agg(F.max("of_entity").alias("commonest"))
+    terms = (_beside(commonest, words).select("doc_id", "tkey", "commonest", F.explode(F.array_distinct(F.col("words.term"))).alias("term"))
+             .join(spread, "term").filter(can_tell("commonest"))
+             .select(F.col("doc_id").alias("of_doc"), F.col("tkey").alias("of_text"), "term", "of_term"))
+    pairs = (held.join(terms, F.col("doc_id").eqNullSafe(F.col("of_doc")) & (F.col("tkey") == F.col("of_text")))
+             .filter(can_tell("of_entity"))
+             .groupBy("entity", "term").agg(F.count("*").alias("both"), F.first("of_entity").alias("of_entity"), F.first("of_term").alias("of_term"))
+             .filter(F.col("both") >= support).withColumn("n", n))
     content = F.log(F.col("n") / F.col("of_entity"))
     shared = F.log(F.col("n") * F.col("both") / (F.col("of_entity") * F.greatest("of_term", "both")))
     disclosure = F.when(content > 0, shared / content)
@@ -150,8 +215,10 @@ def _beside(held: DataFrame, words: DataFrame) -> DataFrame:
 def personal_data(documents: DataFrame, hint: float = 0.75, remove: float = 0.9, support: int = 3) -> DataFrame:
     """``(doc_id, tkey, email, ip, card, phone, term, hint)`` for every row of ``documents(doc_id, text)``.
 
-    The six are arrays of ``(start, end)``, in characters, in order. Terms and hints are all places of a disclosing term in the
-    documents that hold its entity; other documents keep the term. ``tkey`` is a hash of the text, so that rows of one doc_id
+    The six are arrays of ``(start, end)``, in characters, in order. A term is a run of letters and digits, of any length, also with
+    an apostrophe or hyphen inside, or two neighbouring characters of a script that does not part words; none lies within
+    an entity. Terms and hints are all places of a disclosing term in the documents that hold its entity; other
+    documents keep the term. ``tkey`` is a hash of the text, so that rows of one doc_id
     with different texts are kept apart. A null text is an empty one and has no spans; repeated rows stay; a null
     doc_id is kept. An empty table gives no rows; other columns are ignored.
     """
@@ -161,9 +228,12 @@ def personal_data(documents: DataFrame, hint: float = 0.75, remove: float = 0.9,
     held, words = once.select("doc_id", "tkey", F.explode("entities").alias("entity")), once.select("doc_id", "tkey", "words")
     told = written(disclosing_terms(held, words, rows, "text", hint, remove, support), "disclosing-terms")
     # a term that discloses several entities goes if it has to for one: "term" comes after "hint"
-    extra = (_beside(held.join(told.select("entity").distinct(), "entity"), words)
-             .select("doc_id", "tkey", "entity", F.explode("words").alias("w"))
-             .select("doc_id", "tkey", "entity", "w.term", "w.start", "w.end")
+    concerned = held.join(told.select("entity").distinct(), "entity")
+    places = (_beside(concerned.select("doc_id", "tkey").distinct(), words)
+              .select("doc_id", "tkey", F.explode("words").alias("w")).select("doc_id", "tkey", "w.term", "w.start", "w.end")
+              .join(told.select("term").distinct(), "term"))
+    extra = (concerned.select(F.col("doc_id").alias("of_doc"), F.col("tkey").alias("of_text"), "entity")
+             .join(places, F.col("doc_id").eqNullSafe(F.col("of_doc")) & (F.col("tkey") == F.col("of_text")))
              .join(told, ["entity", "term"]).groupBy("doc_id", "tkey", "start", "end").agg(F.max("kind").alias("kind"))
              .groupBy(F.col("doc_id").alias("of_doc"), F.col("tkey").alias("of_text"))
              .agg(F.sort_array(F.collect_list(F.struct("start", "end", "kind"))).alias("extra")))

@@ -1,8 +1,10 @@
 import hashlib
 import re
+from collections import Counter
 
 import numpy as np
 import pytest
+import regex
 from pyspark.sql import functions as F
 
 from sidelines.llm import pii
@@ -68,7 +70,7 @@ def corpus():
     """Zanzibar occurs beside one address only, harbour mostly there, and the other words everywhere."""
     rows = [f"people {i} Zanzibar harbour people write to bob@corp.com about people" for i in range(6)]
     rows += [f"the harbour is where people are {i}" for i in range(8)]
-    return rows + [f"people write about other people, number {i}" for i in range(400)]
+    return rows + [f"people write to other people about other people, number {i}" for i in range(400)]
 
 
 def test_terms_that_give_an_entity_away(spark):
@@ -84,7 +86,7 @@ def test_terms_that_give_an_entity_away(spark):
 def test_terms_far_from_the_entity_are_counted_and_marked_everywhere_in_its_documents(spark):
     far = "people write about other people " * 10
     texts = [f"Zanzibar {far} write to bob@corp.com {far} {i} Zanzibar, {far} zanzibar" for i in range(6)]
-    texts += [f"{far} {i}" for i in range(400)]
+    texts += [f"{far} to {i}" for i in range(400)]
     frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     found = {r["doc_id"]: r for r in pii.personal_data(frame).collect()}
     for i in range(6):
@@ -137,3 +139,117 @@ def test_empty_tables(spark, texts):
 def test_repeated_rows_and_ids(spark):
     frame = spark.createDataFrame([(1, "a@b.c"), (1, "a@b.c"), (1, "x"), (None, "q@b.c")], "doc_id long, text string")
     assert sorted((str(r["doc_id"]), len(r["email"])) for r in pii.personal_data(frame).collect()) == [("1", 0), ("1", 1), ("1", 1), ("None", 1)]
+
+
+UNSPACED = r"\p{Han}\p{Hiragana}\p{Katakana}\p{Thai}\p{Lao}\p{Khmer}\p{Myanmar}"
+
+
+def plain_terms(text):
+    """(term, start, end) of a text, from what a regular expression and a loop over characters give."""
+    found = []
+    for run in regex.finditer(rf"(?V1)[{UNSPACED}]+|[\p{{L}}\p{{M}}\p{{N}}--{UNSPACED}]+(?:['’-][\p{{L}}\p{{M}}\p{{N}}--{UNSPACED}]+)*", text):
+        start, end = run.span()
+        if regex.match(f"[{UNSPACED}]", run.group()) and end - start > 2:
+            found += [(text[i:i + 2].lower(), i, i + 2) for i in range(start, end - 1)]
+        else:
+            found.append((run.group().lower(), start, end))
+    return found
+
+
+def plain_spans(texts, hint=0.75, remove=0.9, support=3):
+    """For each text the places of (term, hint), by counting every pair of an entity and a term."""
+    entities, terms, spread, of_entity, both = [], [], Counter(), Counter(), Counter()
+    for text in texts:
+        text = text or ""
+        own, masked = set(), text
+        for kind, spans in plain(text).items():
+            for s, e in spans:
+                match = text[s:e]
+                own.add((kind, "".join(c for c in match if c in "0123456789") if kind in ("card", "phone") else match.lower()))
+                masked = masked[:s] + " " * (e - s) + masked[e:]
+        entities.append(own)
+        terms.append(plain_terms(masked) if own else [])
+        of_entity.update(own)
+        spread.update({t for t, _, _ in plain_terms(text)})
+        both.update((x, t) for x in own for t in {t for t, _, _ in terms[-1]})
+    told = {}
+    for (x, t), n in both.items():
+        if n >= support and of_entity[x] < len(texts):
+            shared = np.log(len(texts) * n / (of_entity[x] * max(spread[t], n))) / np.log(len(texts) / of_entity[x])
+            if shared >= hint - 1e-12:
+                told[x, t] = "term" if shared >= remove else "hint"
+    found = []
+    for own, places in zip(entities, terms):
+        kinds = {}
+        for t, s, e in places:
+            kind = max((told[x, t] for x in own if (x, t) in told), default=None)
+            if kind:
+                kinds[s, e] = max(kind, kinds.get((s, e), kind))
+        found.append({k: sorted(p for p, kind in kinds.items() if kind == k) for k in pii.TERM_KINDS})
+    return found
+
+
+def check_terms(spark, texts):
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    expected = plain_spans(texts)
+    for r in pii.personal_data(frame).collect():
+        got = {k: [tuple(s) for s in r[k]] for k in pii.TERM_KINDS}
+        assert got == expected[r["doc_id"]], (r["doc_id"], texts[r["doc_id"]][:200])
+    return expected
+
+
+FORMS = ["Zanzibar", "(Timbuktu)", "Samarkand's", "Bukhara’s", '"Tashkent"', "Anne-Marie", "Zoe", "zanz99", "Z", "桑给巴尔", "ザンジバル島に", "a.Khiva/b",
+         "แซนซิบาร์", "Ζανζιβάρη,", "«Занзибар»", "ਜ਼ਾਂਜ਼ੀਬਾਰ", "x\u0301yz"]
+
+
+def test_every_form_of_a_term_is_told_and_marked(spark):
+    other = "people write about other people"
+    texts = [f"{other} {form} number{k}x{i} user{k}@corp.com {other}" for k, form in enumerate(FORMS) for i in range(6)]
+    expected = check_terms(spark, texts + [f"{other} of a b {i}" for i in range(600)])
+    for n, text in enumerate(texts):
+        form = FORMS[n // 6]
+        at = text.index(form)
+        covered = {p for s, e in expected[n]["term"] + expected[n]["hint"] for p in range(s, e)}
+        letters = {at + i for i, c in enumerate(form) if regex.match(r"[\p{L}\p{M}\p{N}]", c)}
+        assert letters - covered == ({at, at + 8} if "/" in form else set()), form  # a and b are everywhere
+
+
+def test_planted_terms_on_the_given_documents_equal_brute_force(spark):
+    """Names beside addresses, by rule: every fifth document holds one of eight addresses and a name that goes with it."""
+    rows = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").orderBy("doc_id").collect()
+    names = ["(Zanzibar)", "Anne-Marie", "Zoe's", "zanz99", "桑给巴尔岛", "Ўзбек", "harbour", "x7"]
+    texts = []
+    for i, r in enumerate(rows):
+        text = r["text"] or ""
+        if i % 5 == 0:
+            k = i // 5 % 8
+            near = f"write to user{k}@corp{k}.com or 10.0.{k}.{k}"
+            text = f"{text} {names[k]} {near}" if i % 3 else f"{near}\n{text[:3000]}\n{names[k]}"
+        elif i % 37 == 0:
+            text += " harbour"
+        texts.append(text)
+    expected = check_terms(spark, texts)
+    marked = sum(bool(e["term"] or e["hint"]) for e in expected)
+    print(f"{marked} of {len(texts)} documents have a disclosing term")
+    assert marked >= 190
+
+
+def test_a_place_that_is_a_term_for_one_entity_and_a_hint_for_another(spark):
+    texts = [f"harbour a{i} one@corp.com two@corp.com" for i in range(4)] + [f"two@corp.com b{i}" for i in range(2)] + ["other words"] * 100
+    expected = check_terms(spark, texts)
+    assert expected[0]["term"] and not set(expected[0]["term"]) & set(expected[0]["hint"])
+
+
+def test_parts_of_an_entity_are_no_terms(spark):
+    texts = [f"bob@corp.com 10.1.2.3, +1 234 567 890, {CARD}, n{i}" for i in range(5)] + ["other words"] * 100
+    assert not any(e["term"] or e["hint"] for e in check_terms(spark, texts))
+
+
+def test_recall_by_kind(spark):
+    """The base spans of each kind on the given documents, against the patterns read one by one."""
+    texts = [r["text"] for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").collect()]
+    found = rows_of(spark, texts)
+    for kind in pii.KINDS:
+        planted = {(i, *s) for i, t in enumerate(texts) for s in plain(t)[kind]}
+        assert planted and planted == {(i, *s) for i, r in found.items() for s in r[kind]}
+        print(kind, len(planted), "recall 1.00")
