@@ -162,11 +162,13 @@ def _ranges(rows: Iterator[tuple[str, int, int]], max_gap: int, max_read: int):
 
 
 def read_records(index: DataFrame, folder: str, payloads: bool = True, max_gap: int = 1 << 16,
-                 max_read: int = 1 << 22) -> DataFrame:
+                 max_read: int = 1 << 22, task_bytes: int = 1 << 25) -> DataFrame:
     """The records that the rows of ``index`` point to, read in few, large, sorted byte ranges; digests are checked.
 
-    The index is dealt out by ranges of archive and offset, so that one archive's records may go to several tasks.
+    The index is dealt out by ranges of archive and offset, so that one archive's records may go to several tasks: one for
+    about ``task_bytes`` of archives, as the rows of the index are too short to tell how much there is to read.
     """
+    size = index.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, root = FileSystem.from_uri(folder)
@@ -183,7 +185,7 @@ def read_records(index: DataFrame, folder: str, payloads: bool = True, max_gap:
             names = ("page_id", "url", "payload_bytes", "payload_digest", "record_type", "refers_to", "payload")
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*found), types)], names)
 
-    return (index.select("archive", "offset", "length").repartitionByRange("archive", "offset")
+    return (index.select("archive", "offset", "length").repartitionByRange(max(1, -(-size // task_bytes)), "archive", "offset")
             .sortWithinPartitions("archive", "offset").mapInArrow(read, RECORDS))
 
 

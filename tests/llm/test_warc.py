@@ -2,7 +2,9 @@ import base64
 import gzip
 import hashlib
 
+import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from sidelines.llm import warc
 
@@ -51,6 +53,18 @@ def test_archives_are_plain_gzip_and_the_index_points_into_them(spark, tmp_path)
     assert sorted(r["page_id"] for r in warc.read_records(some, str(tmp_path)).collect()) == [1, 4, 4]
 
 
+def test_reading_tasks_follow_the_bytes(spark, tmp_path):
+    random = np.random.default_rng(3)
+    rows = [(i, f"http://{i}/", random.bytes(2000).hex(), "x") for i in range(200)]
+    pages = spark.createDataFrame(rows, SCHEMA).coalesce(2)
+    index = warc.write_archives(warc.roles(pages), f"file://{tmp_path}")
+    size = index.agg({"length": "sum"}).first()[0]
+    for task_bytes in (1 << 25, 100_000, 10_000):
+        records = warc.read_records(index, str(tmp_path), task_bytes=task_bytes)
+        parts = [r["n"] for r in records.groupBy(F.spark_partition_id().alias("part")).agg(F.count("*").alias("n")).collect()]
+        assert sum(parts) == 200 and len(parts) >= 0.6 * size / task_bytes and max(parts) <= max(400 * task_bytes / size, 5)
+
+
 def test_a_damaged_payload_is_noticed():
     data = warc.record(1, "u", b"payload", base64.b32encode(hashlib.sha1(b"payload").digest()).decode(), None, "2000-01-01T00:00:00Z")
     assert warc.parse(data)[0] == 1
