@@ -5,7 +5,7 @@ An index is a folder with three tables, to which every insertion and deletion of
 * ``postings``: one row per line key and document, taken back by a row with the opposite sign;
 * ``refs``: how many documents hold a key, and the smallest of them; the row of the last batch counts;
 * ``filters``: a cuckoo filter over the keys of each shard. What a filter has not seen is new for certain; only the
-  other keys are looked up in the exact tables.
+  other keys are looked up in the exact tables. Shards multiply as the keys do.
 
 A batch counts once its row in ``log`` is written, so that one that broke off leaves no trace.
 """
@@ -27,7 +27,7 @@ from sidelines.session import written
 POSTINGS = "k1 long, k2 long, doc_id long, n_lines long, sign int, batch int"
 REFS = "k1 long, k2 long, n_docs long, first_doc long, batch int"
 FILTERS = "shard int, layer int, slots binary, batch int"
-LOG = "kind string, shards int, batch int"
+LOG = "kind string, shards int, keys long, batch int"
 KEYS_PER_SHARD = 500_000
 KEY = ["k1", "k2"]
 
@@ -70,14 +70,16 @@ class LineIndex:
     def __init__(self, spark: SparkSession, folder: str, min_chars: int = 10):
         self.spark, self.folder, self.min_chars = spark, folder, min_chars
         self.kinds: list[str] = []
-        self.shards = 0
+        self.shards = self.keys = 0
+        self.since = 0  # the batch from which on there are that many shards
 
     @classmethod
     def open(cls, spark: SparkSession, folder: str, min_chars: int = 10) -> LineIndex:
         """An index that was written before."""
         index = cls(spark, folder, min_chars)
         log = spark.read.schema(LOG).parquet(f"{folder}/log").orderBy("batch").collect()  # a row per batch
-        index.kinds, index.shards = [row["kind"] for row in log], log[-1]["shards"]
+        index.kinds, index.shards, index.keys = [row["kind"] for row in log], log[-1]["shards"], log[-1]["keys"]
+        index.since = next(i for i, row in enumerate(log) if row["shards"] == index.shards)
         return index
 
     def _table(self, name: str, schema: str) -> DataFrame:
@@ -94,7 +96,7 @@ class LineIndex:
         return self.spark.read.schema(rows.schema).parquet(path)
 
     def _finish(self, kind: str) -> None:
-        row = self.spark.createDataFrame([(kind, self.shards)], "kind string, shards int")
+        row = self.spark.createDataFrame([(kind, self.shards, self.keys)], "kind string, shards int, keys long")
         row.coalesce(1).write.mode("overwrite").parquet(f"{self.folder}/log/batch={len(self.kinds)}")
         self.kinds.append(kind)
 
@@ -118,7 +120,7 @@ class LineIndex:
 
     def _filters(self) -> DataFrame:
         """The filters after the last batch: each batch writes all layers of the shards that it touched."""
-        rows = self._table("filters", FILTERS)
+        rows = self._table("filters", FILTERS).filter(F.col("batch") >= self.since)
         newest = rows.groupBy("shard").agg(F.max("batch").alias("batch"))
         return rows.join(newest, ["shard", "batch"]).select("shard", "layer", "slots")
 
@@ -147,6 +149,18 @@ class LineIndex:
                 .cogroup(self._filters().groupBy("shard")).applyInArrow(change, "shard int, layer int, slots binary"))
         self._write(rows, "filters")
 
+    def _grow(self, fresh: DataFrame) -> bool:
+        """Take ``fresh`` keys into account. Where a shard would hold more than ``KEYS_PER_SHARD``, all keys, which the exact
+        tables have, go into the filters of more shards: a task holds a shard's keys and filter."""
+        self.keys += fresh.count()
+        needed = -(-self.keys // KEYS_PER_SHARD)
+        if needed <= self.shards:
+            return False
+        everything = self.refs().select(*KEY).union(fresh.select(*KEY))
+        self.shards, self.since = max(64, needed, 2 * self.shards), len(self.kinds)
+        self._update_filters(everything)
+        return True
+
     def insert(self, documents: DataFrame) -> None:
         """Take in the lines of ``documents(doc_id, text)``. Documents that are in the index already are passed over (delete
         them first); rows of the same doc_id are one document; a null doc_id or text has no lines that count."""
@@ -158,7 +172,7 @@ class LineIndex:
         counts = postings.groupBy(*KEY).agg(F.count("*").alias("n_docs"), F.min("doc_id").alias("first_doc"))
         if not self.kinds:
             fresh = self._write(counts, "refs")
-            self.shards = max(64, -(-fresh.count() // KEYS_PER_SHARD))
+            self.shards = 64
         else:
             counts = written(counts, "line-counts")
             hits = self.maybe_held(counts)
@@ -170,7 +184,8 @@ class LineIndex:
                 F.least("first_doc", "held_first").alias("first_doc"))
             self._write(added, "refs")
             fresh = counts.join(held, KEY, "left_anti")
-        self._update_filters(fresh)
+        if not self._grow(fresh):
+            self._update_filters(fresh)
         self._finish("insert")
 
     def delete(self, doc_ids: DataFrame) -> None:
@@ -183,8 +198,9 @@ class LineIndex:
         left = (self.postings().join(gone, [*KEY, "doc_id"], "left_anti").join(touched, KEY, "left_semi")
                 .groupBy(*KEY).agg(F.count("*").alias("n_docs"), F.min("doc_id").alias("first_doc")))
         refs = touched.join(left, KEY, "left").select(*KEY, F.coalesce("n_docs", F.lit(0)).alias("n_docs"), "first_doc")
-        refs = self._write(refs, "refs")
-        self._update_filters(refs.filter("n_docs = 0"), delete=True)
+        refs = self._write(refs, "refs").filter("n_docs = 0")
+        self.keys -= refs.count()
+        self._update_filters(refs, delete=True)
         self._finish("delete")
 
     def repeated(self) -> DataFrame:
