@@ -1,14 +1,18 @@
 """Benchmark items in training documents: BM25 over windows of every document, with block-max WAND, then an exact check.
 
 The test items are the indexed collection, the documents' windows are the queries. Scores are divided by what a unit
-of an item scores against itself, so that one threshold holds for all. The index is broadcast in shards of a bounded
-number of characters; every document meets every shard.
+of an item scores against itself, so that one threshold holds for all. The index is cut into shards of a bounded number of
+characters. Executors build the shards and keep them as files in the shared folder, from where a worker reads one at a
+time; every document meets every shard, one shard after the other.
 """
 
 from __future__ import annotations
 
+import functools
 import math
+import pickle
 import re
+import uuid
 from bisect import bisect_left
 from collections import Counter, defaultdict
 from collections.abc import Iterator
@@ -17,11 +21,12 @@ from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
-from pyspark import Broadcast
-from pyspark.sql import Column, DataFrame
+from pyarrow.fs import FileSystem
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sidelines.llm.common import beside_row, row_with
+from sidelines.session import new_folder, written
 
 K1, B = 1.2, 0.75
 UNIT = 48  # words of an item that are scored together; a window is twice as long and starts every so many words
@@ -75,8 +80,9 @@ def judged_parts(text: str) -> tuple[str, str]:
     return (question, answer) if len(words_of(question)) >= SHINGLE else (question + answer, "")
 
 
-def shingles(words: list[bytes]) -> list[tuple[bytes, ...]]:
-    return list(zip(*[words[i:] for i in range(SHINGLE)])) if len(words) >= SHINGLE else [tuple(words)] if words else []
+def shingles(words: list[bytes], size: int = SHINGLE) -> list[tuple[bytes, ...]]:
+    """Runs of that many words; fewer words are a run as a whole."""
+    return list(zip(*[words[i:] for i in range(size)])) if len(words) >= size else [tuple(words)] if words else []
 
 
 @dataclass
@@ -223,7 +229,8 @@ class Index:
             best = None
             for start in sorted(set(starts)):
                 near = documents[document][max(0, start - len(words)):start + 2 * UNIT + len(words)]
-                there, held = set(shingles(near)), Counter(near)
+                # an item of fewer words than a shingle is looked for as a whole
+                there, held = set(shingles(near, min(SHINGLE, len(words)))), Counter(near)
                 overlap = sum(s in there for s in own) / len(own)
                 parts = [(question & held).total() / question.total() if question else 1.0,
                          (answer & held).total() / answer.total() if answer else 1.0]
@@ -236,73 +243,111 @@ class Index:
 
 
 def _terms(items: DataFrame) -> DataFrame:
-    """A row per unit and distinct term of the items, and per unit its number of words."""
+    """A row per unit and distinct term of ``items(shard, text)``, and per unit its number of words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            terms, sizes = [], []
-            for text in batch.column("text").to_pylist():
+            shards, terms, sizes = [], [], []
+            for shard, text in zip(batch.column("shard").to_pylist(), batch.column("text").to_pylist()):
                 for unit in units_of(words_of(text)):
-                    own = list(set(unit))
+                    own = sorted(set(unit))
+                    shards += [shard] * len(own)
                     terms += own
                     sizes += [len(unit)] + [None] * (len(own) - 1)
-            yield pa.RecordBatch.from_arrays([pa.array(terms, pa.binary()), pa.array(sizes, pa.int64())], ["term", "words"])
+            columns = [pa.array(shards, pa.int32()), pa.array(terms, pa.binary()), pa.array(sizes, pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, ["shard", "term", "words"])
 
-    return items.select("text").mapInArrow(run, "term binary, words long")
+    return items.select("shard", "text").mapInArrow(run, "shard int, term binary, words long")
 
 
-def indexes(items: DataFrame, threshold: float = 0.6, shard_chars: int = 16_000_000) -> Iterator[Index]:
-    """The index of ``items(item_id, text)`` in shards of about ``shard_chars`` characters, one at a time on the driver.
-
-    Items with fewer than five words can't be told from ordinary speech and are left out.
-    """
-    items = items.filter("text is not null").select(F.col("item_id").cast("long").alias("item_id"), "text")
+def indexes(items: DataFrame, threshold: float = 0.6, shard_chars: int = 4_000_000) -> list[str]:
+    """Files in the shared folder, each with the ``Index`` of some of the ``items(item_id, text)``, of about ``shard_chars``
+    characters. A task builds a shard from its items and the frequencies of their terms; the driver learns the names only."""
+    items = items.filter("text is not null").select(F.col("item_id").cast("long").alias("item_id"), "text").distinct()
     chars = items.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]
     if not chars:
-        return
-    terms = _terms(items)
+        return []
+    shards = -(-chars // shard_chars)
+    placed = items.withColumn("shard", F.pmod(F.xxhash64("item_id", "text"), F.lit(shards)).cast("int"))
+    placed = written(placed, "benchmark-items") if shards > 1 else placed
+    terms = _terms(placed)
     n_units, mean_words = terms.agg(F.count("words"), F.avg("words")).first()
     if not n_units:
-        return
+        return []
     frequency = terms.groupBy("term").agg(F.count("*").alias("n"))
-    shards = -(-chars // shard_chars)
-    place = F.pmod(F.xxhash64("item_id", "text"), F.lit(shards))
-    for shard in range(shards):
-        part = items.filter(place == shard)
-        rows = sorted({(r["item_id"], r["text"]) for r in part.collect() if len(words_of(r["text"])) >= SHINGLE},
-                      key=lambda r: (r[0] is None, r))
-        own = frequency.join(_terms(part).select("term").distinct(), "term", "left_semi")
-        counts = {bytes(r["term"]): r["n"] for r in own.collect()}
-        yield Index(rows, counts, n_units, mean_words, threshold)
+    counted = terms.select("shard", "term").distinct().join(frequency, "term")
+    none = {name: F.lit(None).cast(kind).alias(name) for name, kind in
+            (("item_id", "long"), ("text", "string"), ("term", "binary"), ("n", "long"))}
+    rows = (placed.select("shard", "item_id", "text", none["term"], none["n"])
+            .union(counted.select("shard", none["item_id"], none["text"], "term", "n"))
+            .repartition(shards, "shard").sortWithinPartitions("shard"))
+    folder = new_folder(items.sparkSession, "benchmark-index")
+
+    def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        store, root = FileSystem.from_uri(folder)
+        store.create_dir(root, recursive=True)
+        shard, own, counts, names = None, [], {}, []
+
+        def finish() -> None:
+            if own:
+                name = f"{shard}-{uuid.uuid4().hex}"  # the names of successful attempts are the ones that count
+                index = Index(sorted(own, key=lambda i: (i[0] is None, i)), counts, n_units, mean_words, threshold)
+                with store.open_output_stream(f"{root}/{name}", compression=None) as out:
+                    out.write(pickle.dumps(index, pickle.HIGHEST_PROTOCOL))
+                names.append(f"{folder}/{name}")
+
+        for batch in batches:
+            for row in zip(*[batch.column(c).to_pylist() for c in ("shard", "item_id", "text", "term", "n")]):
+                if row[0] != shard:
+                    finish()
+                    shard, own, counts = row[0], [], {}
+                if row[3] is not None:
+                    counts[row[3]] = row[4]
+                elif words_of(row[2]):
+                    own.append((row[1], row[2]))
+        finish()
+        yield pa.RecordBatch.from_arrays([pa.array(names, pa.string())], ["name"])
+
+    return sorted(r["name"] for r in written(rows.mapInArrow(build, "name string"), "benchmark-index-files").collect())
+
+
+@functools.lru_cache(maxsize=1)
+def loaded(name: str) -> Index:
+    """The index in a file; a worker holds the last one that it read."""
+    store, path = FileSystem.from_uri(name)
+    with store.open_input_file(path) as file:
+        return pickle.loads(file.read())
 
 
-def _search(shared: Broadcast):
+def _search(name: str):
     kind = pa.struct([("item_id", pa.int64()), *[(n, pa.float64()) for n in ("score", "overlap", "question", "answer")]])
     step = 256  # texts at a time, to bound the arrays of terms
 
     @F.arrow_udf(f"array<{MATCH}>")
     def search(texts: pa.Array) -> pa.Array:
-        values = texts.to_pylist()
-        matches = [m for i in range(0, len(values), step) for m in shared.value.matches(values[i:i + step])]
+        values, index = texts.to_pylist(), loaded(name)
+        matches = [m for i in range(0, len(values), step) for m in index.matches(values[i:i + step])]
         return pa.array(matches, pa.list_(kind))
 
     return search
 
 
-def with_matches(documents: DataFrame, items: DataFrame, threshold: float = 0.6) -> DataFrame:
+def with_matches(documents: DataFrame, items: DataFrame, threshold: float = 0.6, shard_chars: int = 4_000_000) -> DataFrame:
     """``documents`` with ``matches``: the benchmark items that its text holds, with score and overlaps.
 
     An item is held if a window scores at least ``threshold`` of what a unit of the item scores itself (all units of up
     to 48 words are retrieved so), at least 0.8 of the item's five-word shingles are around that window, and so are 0.8
-    of the words of its question and of its answer (see ``judged_parts`` for short ones). A null or empty text holds nothing, and nothing is held of no items.
-    Repeated rows and other columns stay; equal items under several ids are found under each.
+    of the words of its question and of its answer (see ``judged_parts`` for short ones); an item of fewer than five words is
+    held where its words stand in sequence. A null or empty text holds nothing, and nothing is held of no items or of one
+    without a word. Repeated rows and other columns stay; equal items under several ids are found under each. With
+    several shards the rows are written between them.
     """
-    rows = beside_row(documents, _text=F.col("text"))
-    found: list[Column] = []
-    for index in indexes(items, threshold):
-        found.append(_search(documents.sparkSession.sparkContext.broadcast(index))("_text"))
-    matches = F.concat(*found) if found else F.array().cast(f"array<{MATCH}>")
-    rows = rows.withColumn("_matches", matches)
+    rows = beside_row(documents, _text=F.col("text")).withColumn("_matches", F.array().cast(f"array<{MATCH}>"))
+    names = indexes(items, threshold, shard_chars)
+    for i, name in enumerate(names):
+        rows = rows.withColumn("_matches", F.concat("_matches", _search(name)("_text")))
+        if i + 1 < len(names):
+            rows = written(rows, "searched")
     return row_with(rows, documents.columns, matches=F.col("_matches"))
 
 
