@@ -124,7 +124,7 @@ def with_history(df: DataFrame, entity: str, order: Sequence[str], columns: Mapp
                if isinstance(block, str) and isinstance(spec, Running) and spec.within == (block,) else spec
                for name, spec in columns.items()}
     if block is None:
-        block = F.trunc(order[0], setting(df.sparkSession, HISTORY_BLOCK))
+        block = _stretch(order[0], setting(df.sparkSession, HISTORY_BLOCK))
     elif isinstance(block, str):
         block = F.col(block)
     kind = df.select(block.alias("b")).schema["b"].dataType
@@ -135,11 +135,16 @@ def with_history(df: DataFrame, entity: str, order: Sequence[str], columns: Mapp
     for name, spec in columns.items():
         local |= _local(name, spec, exact, in_block)
     rows = keyed.select("*", *[column.alias(name) for name, column in local.items()])
-    edges = _edges(keyed, in_block, columns, exact)
+    edges = _edges(keyed, order, columns, exact)
     joined = rows.join(edges, _KEY, "left")
     return joined.select(*df.columns, *[_value(name, spec, exact).alias(name) for name, spec in columns.items()])
 
 
+def _stretch(date: str, unit: str) -> Column:
+    """The decade, year, quarter or month of a date."""
+    return F.floor(F.year(date) / 10) if unit == "decade" else F.trunc(date, unit)
+
+
 def _within(names: tuple[str, ...]) -> str:
     return "_".join((_WITHIN, *names))
 
@@ -168,56 +173,98 @@ def _starting_anew(in_block, within: tuple[str, ...]):
     return in_block.partitionBy(*_KEY, *within) if within else in_block
 
 
-def _edges(keyed: DataFrame, in_block, columns: Mapping[str, Spec], exact: dict[str, _Exact]) -> DataFrame:
+def _edges(keyed: DataFrame, order: Sequence[str], columns: Mapping[str, Spec], exact: dict[str, _Exact]) -> DataFrame:
     """A row per entity and block: the last rows before it, the first after it, and the totals up to it."""
-    lookback = max(spec.lookback for spec in columns.values())
-    back = sorted({s.value for s in columns.values() if isinstance(s, (Rolling, Previous))})
-    ahead = sorted({s.value for s in columns.values() if isinstance(s, Following)})
-    running = [spec for spec in columns.values() if isinstance(spec, Running) and not spec.alone]
-    within = sorted({spec.within for spec in running if spec.within})
-    known = sorted({spec.value for spec in running})
-
-    # The last row of a block knows all of it: its number, its last rows and its sums up to there.
-    so_far = in_block.rowsBetween(W.unboundedPreceding, 0)
-    ends = [F.row_number().over(in_block).alias("_rows"), F.lead(F.lit(True)).over(in_block).isNull().alias("_ends")]
-    if lookback:
-        ends.append(F.collect_list(F.struct(*back)).over(in_block.rowsBetween(1 - lookback, 0)).alias("_own"))
-    if ahead:
-        ends.append(F.first(F.struct(*ahead)).over(so_far).alias("_first"))
-    for v in known:
+    need = _Needed.of(columns)
+    edges = edges_between(block_summaries(keyed, order, need, exact), need, columns, exact)
+    for names in need.within:
+        edges = edges.join(_totals_within(keyed, names, need.known, exact), _KEY, "left")
+    return edges
+
+
+@dataclass(frozen=True)
+class _Needed:
+    """What the specifications ask of other blocks."""
+
+    rows: bool
+    lookback: int
+    back: list[str]
+    ahead: list[str]
+    known: list[str]
+    within: list[tuple[str, ...]]
+
+    @classmethod
+    def of(cls, columns: Mapping[str, Spec]) -> _Needed:
+        specs = list(columns.values())
+        running = [s for s in specs if isinstance(s, Running) and not s.alone]
+        return cls(any(isinstance(s, RowsInFrame) for s in specs), max(s.lookback for s in specs), sorted({s.value for s in specs if isinstance(s, (Rolling, Previous))}),
+                   sorted({s.value for s in specs if isinstance(s, Following)}), sorted({s.value for s in running}),
+                   sorted({s.within for s in running if s.within}))
+
+
+def block_summaries(keyed: DataFrame, order: Sequence[str], need: _Needed, exact: dict[str, _Exact]) -> DataFrame:
+    """A row per entity and block: its number of rows, its exact sums, its first row and its last few.
+
+    Each of these can be merged, and is, before anything is shuffled: counts, sums, the first row and a single last one
+    as partial aggregates, several last rows by a limit for each entity and block within every input partition.
+    """
+    found = [F.count("*").alias("_rows")] if need.rows else []
+    at = F.struct(*_nulls_last(keyed, order))
+    if need.ahead:
+        found.append(F.min_by(F.struct(*need.ahead), at).alias("_first"))
+    if need.lookback == 1:
+        found.append(F.max_by(F.struct(*need.back), at).alias("_own"))
+    for v in need.known:
         term = exact[v].term(F.col(v))
-        ends += [F.sum(term).over(so_far).alias(f"_s_{v}"), F.count(term).over(so_far).alias(f"_c_{v}")]
-    blocks = keyed.select(*_KEY, *ends).filter("_ends")
+        found += [F.sum(term).alias(f"_s_{v}"), F.count(term).alias(f"_c_{v}")]
+    blocks = keyed.groupBy(*_KEY).agg(*found) if found else None
+    if need.lookback > 1:
+        latest_first = W.partitionBy(*_KEY).orderBy(*[F.col(c).desc_nulls_first() for c in order])
+        last = (keyed.select(*_KEY, *dict.fromkeys([*order, *need.back])).withColumn("_from_end", F.row_number().over(latest_first))
+                .filter(F.col("_from_end") <= need.lookback)
+                .groupBy(*_KEY).agg(F.sort_array(F.collect_list(F.struct("_from_end", *need.back)), asc=False).alias("_own")))
+        blocks = last if blocks is None else blocks.join(last, _KEY)
+    return keyed.select(*_KEY).distinct() if blocks is None else blocks
+
+
+def _nulls_last(df: DataFrame, order: Sequence[str]) -> list[Column]:
+    return [c for name in order for c in _flagged(F.col(name), df.schema[name].dataType, (f"_none_{name}", f"_at_{name}"))]
+
+
+def edges_between(blocks: DataFrame, need: _Needed, columns: Mapping[str, Spec], exact: dict[str, _Exact]) -> DataFrame:
+    """What each block needs of the others of its entity, from the summaries of all of them."""
     by_time = W.partitionBy(*_ENTITY).orderBy(*_BLOCK)
     earlier = by_time.rowsBetween(W.unboundedPreceding, -1)
-    found = [F.sum("_rows").over(earlier).alias(_BEFORE)]
-    if ahead:
+    found = [F.sum("_rows").over(earlier).alias(_BEFORE)] if need.rows else []
+    if need.ahead:
         found.append(F.lead("_first").over(by_time).alias(_NEXT))
-    if lookback:
-        # every block has a row, so these blocks hold enough
-        found.append(F.flatten(F.collect_list("_own").over(by_time.rowsBetween(-lookback, -1))).alias("_tail"))
-    found += [F.sum(f"_{k}_{v}").over(earlier).alias(f"_{k}_before_{v}") for v in known for k in "sc"]
+    # every block has a row, so these blocks hold enough
+    if need.lookback == 1:
+        found.append(F.array(F.lag("_own").over(by_time)).alias("_tail"))
+    elif need.lookback:
+        found.append(F.flatten(F.collect_list("_own").over(by_time.rowsBetween(-need.lookback, -1))).alias("_tail"))
+    found += [F.sum(f"_{k}_{v}").over(earlier).alias(f"_{k}_before_{v}") for v in need.known for k in "sc"]
     edges = blocks.select(*_KEY, *found)
-    if lookback:
+    if need.lookback:
         edges = edges.select("*", *_of_tail(columns, exact)).drop("_tail")
-    for names in within:
-        edges = edges.join(_totals_within(keyed, names, known, exact), _KEY, "left")
     return edges
 
 
 def _of_tail(columns: Mapping[str, Spec], exact: dict[str, _Exact]) -> list[Column]:
-    """The last values before the block, and the sums and counts of the last 1, 2, ... of them as arrays."""
-    def last(value: str, j: int) -> Column:
-        return F.get("_tail", F.size("_tail") - j)[value]
+    """The last values before the block, and the sums and counts of the last 0, 1, 2, ... of them as arrays.
 
-    found = [last(v, 1).alias(f"{_LAST}_{v}") for v in sorted({s.value for s in columns.values() if isinstance(s, Previous)})]
+    They are running sums over an array: a column for each would make an expression that takes longer to plan than to run.
+    """
+    latest = F.reverse("_tail")
+    found = [F.get(latest, F.lit(0))[v].alias(f"{_LAST}_{v}")
+             for v in sorted({s.value for s in columns.values() if isinstance(s, Previous)})]
     for v in sorted({s.value for s in columns.values() if isinstance(s, Rolling)}):
-        sums, counts = [exact[v].zero()], [F.lit(0).cast("bigint")]
-        for j in range(1, 1 + max(s.lookback for s in columns.values() if isinstance(s, Rolling) and s.value == v)):
-            term = exact[v].term(last(v, j))
-            sums.append(exact[v].plus(sums[-1], term))
-            counts.append(counts[-1] + F.when(term.isNotNull(), 1).otherwise(0))
-        found += [F.array(*sums).alias(f"{_SUMS}_{v}"), F.array(*counts).alias(f"{_COUNTS}_{v}")]
+        rows = max(s.lookback for s in columns.values() if isinstance(s, Rolling) and s.value == v)
+        terms = F.transform(F.slice(latest, 1, rows), lambda row: exact[v].term(row[v]))  # noqa: B023
+        found += [F.aggregate(terms, F.array(exact[v].zero()), lambda sums, x: F.concat(
+                      sums, F.array(exact[v].plus(F.element_at(sums, -1), x)))).alias(f"{_SUMS}_{v}"),  # noqa: B023
+                  F.aggregate(terms, F.array(F.lit(0).cast("bigint")), lambda counts, x: F.concat(
+                      counts, F.array(F.element_at(counts, -1) + x.isNotNull().cast("bigint")))).alias(f"{_COUNTS}_{v}")]
     return found
 
 
@@ -245,7 +292,9 @@ def _value(name: str, spec: Spec, exact: dict[str, _Exact]) -> Column:
     how = exact[spec.value]
     if isinstance(spec, Rolling):
         before = F.greatest(spec.lookback + 1 - at, F.lit(0))  # rows of the frame that lie before the block
-        carried = F.get(f"{_SUMS}_{spec.value}", before), F.get(f"{_COUNTS}_{spec.value}", before)
+        sums, counts = F.col(f"{_SUMS}_{spec.value}"), F.col(f"{_COUNTS}_{spec.value}")
+        before = F.least(before, F.size(sums) - 1)  # where there are fewer, all of them
+        carried = F.get(sums, before), F.get(counts, before)
     elif spec.alone:
         carried = F.lit(None), F.lit(None)
     elif spec.within:

@@ -39,13 +39,19 @@ def scans(text):
 
 
 def test_one_shuffle_of_the_rows_serves_all_team_windows(warehouse, plan):
-    """The rows once, by team and block, and the columns for the blocks' edges; the rest has a row per block."""
+    """The rows once, by team and block; beside them only what has been merged before: sums, and the last rows of each block."""
     text = plan(features.team_form(warehouse.games))
     assert text.count("Exchange hashpartitioning(_entity_none, _entity, _block_none, _block") == 3
+    assert text.count("WindowGroupLimit [_entity_none, _entity, _block_none, _block], [game_date DESC") == 2  # before and after
     assert text.count("Exchange hashpartitioning(_entity_none, _entity, ") == 4 and text.count("Exchange") == 4
     assert "IsNotNull(home_score)" in scans(text)[0]
 
 
+def test_a_single_earlier_row_needs_partial_aggregates_only(warehouse, plan):
+    text = plan(analytics.days_rest(warehouse.games))
+    assert "WindowGroupLimit" not in text and text.count("partial_max_by") == 1
+
+
 def test_players_are_shuffled_once_for_all_windows(warehouse, plan):
     w = warehouse
     text = plan(features.player_game_features(w.stats, w.games, w.tracking, w.players))
