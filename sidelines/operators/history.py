@@ -22,7 +22,7 @@ from sidelines.session import HISTORY_BLOCK, setting
 
 # Of an entity and block; NULL is a value like any other, for which a flag stands beside a filler.
 _ENTITY, _BLOCK = ("_entity_none", "_entity"), ("_block_none", "_block")
-_KEY = [*_ENTITY, *_BLOCK]
+_KEY = KEY = [*_ENTITY, *_BLOCK]
 _AT, _NEXT, _BEFORE, _WITHIN = "_edge_at", "_edge_next", "_edge_before", "_edge_within"
 _LAST, _SUMS, _COUNTS = "_edge_last", "_edge_sums", "_edge_counts"
 # Fractions are added to twelve places.
@@ -112,32 +112,65 @@ class _Exact:
         return (a + b).cast(self.total)
 
 
-def with_history(df: DataFrame, entity: str, order: Sequence[str], columns: Mapping[str, Spec],
-                 block: Column | str | None = None) -> DataFrame:
-    """Add ``columns`` computed over each entity's rows in ``order`` (ascending, NULL last).
+class History:
+    """Columns over the rows of each entity in ``order`` (ascending, NULL last), and what they need of other blocks.
 
     ``order`` must identify a row within the entity (a date alone does not: two contests can share it). ``block`` must not
     fall while the order rises; left out, it is the year (or what ``spark.sidelines.historyBlock`` says) of the first
     column of the order, a date. A mean that starts anew within the column that is the block needs nothing from others.
+    ``like`` has the columns of the rows.
     """
-    columns = {name: replace(spec, alone=True)
-               if isinstance(block, str) and isinstance(spec, Running) and spec.within == (block,) else spec
-               for name, spec in columns.items()}
-    if block is None:
-        block = _stretch(order[0], setting(df.sparkSession, HISTORY_BLOCK))
-    elif isinstance(block, str):
-        block = F.col(block)
-    kind = df.select(block.alias("b")).schema["b"].dataType
-    keyed = df.select("*", *_flagged(F.col(entity), df.schema[entity].dataType, _ENTITY), *_flagged(block, kind, _BLOCK))
-    exact = {spec.value: _Exact(df, spec.value) for spec in columns.values() if isinstance(spec, (Rolling, Running))}
-    in_block = W.partitionBy(*_KEY).orderBy(*ascending(order))
-    local: dict[str, Column] = {_AT: F.row_number().over(in_block)}
-    for name, spec in columns.items():
-        local |= _local(name, spec, exact, in_block)
-    rows = keyed.select("*", *[column.alias(name) for name, column in local.items()])
-    edges = _edges(keyed, order, columns, exact)
-    joined = rows.join(edges, _KEY, "left")
-    return joined.select(*df.columns, *[_value(name, spec, exact).alias(name) for name, spec in columns.items()])
+
+    def __init__(self, like: DataFrame, entity: str, order: Sequence[str], columns: Mapping[str, Spec],
+                 block: Column | str | None = None):
+        self.entity, self.order = entity, list(order)
+        self.columns = {name: replace(spec, alone=True)
+                        if isinstance(block, str) and isinstance(spec, Running) and spec.within == (block,) else spec
+                        for name, spec in columns.items()}
+        if block is None:
+            block = _stretch(order[0], setting(like.sparkSession, HISTORY_BLOCK))
+        elif isinstance(block, str):
+            block = F.col(block)
+        kind = like.select(block.alias("b")).schema["b"].dataType
+        self._flags = [*_flagged(F.col(entity), like.schema[entity].dataType, _ENTITY), *_flagged(block, kind, _BLOCK)]
+        self._exact = {spec.value: _Exact(like, spec.value) for spec in self.columns.values() if isinstance(spec, (Rolling, Running))}
+        self._need = _Needed.of(self.columns)
+
+    def keyed(self, rows: DataFrame) -> DataFrame:
+        """The rows with the key of their entity and block."""
+        return rows.select("*", *self._flags)
+
+    def summaries(self, keyed: DataFrame) -> DataFrame:
+        """A row per entity and block with what other blocks may need of it."""
+        return block_summaries(keyed, self.order, self._need, self._exact)
+
+    def edges(self, summaries: DataFrame) -> DataFrame:
+        """A row per entity and block with what it needs of the others, from the summaries of all blocks of the entity."""
+        return edges_between(summaries, self._need, self.columns, self._exact)
+
+    def values(self, keyed: DataFrame, edges: DataFrame) -> DataFrame:
+        """The rows of some blocks, all of each, with the columns."""
+        in_block = W.partitionBy(*_KEY).orderBy(*ascending(self.order))
+        local: dict[str, Column] = {_AT: F.row_number().over(in_block)}
+        for name, spec in self.columns.items():
+            local |= _local(name, spec, self._exact, in_block)
+        rows = keyed.select("*", *[column.alias(name) for name, column in local.items()])
+        own = [c for c in keyed.columns if c not in _KEY]
+        return rows.join(edges, _KEY, "left").select(
+            *own, *[_value(name, spec, self._exact).alias(name) for name, spec in self.columns.items()])
+
+    def over(self, rows: DataFrame) -> DataFrame:
+        keyed = self.keyed(rows)
+        edges = self.edges(self.summaries(keyed))
+        for names in self._need.within:
+            edges = edges.join(_totals_within(keyed, names, self._need.known, self._exact), _KEY, "left")
+        return self.values(keyed, edges)
+
+
+def with_history(df: DataFrame, entity: str, order: Sequence[str], columns: Mapping[str, Spec],
+                 block: Column | str | None = None) -> DataFrame:
+    """Add ``columns`` computed over each entity's rows (see ``History``)."""
+    return History(df, entity, order, columns, block).over(df)
 
 
 def _stretch(date: str, unit: str) -> Column:
@@ -173,15 +206,6 @@ def _starting_anew(in_block, within: tuple[str, ...]):
     return in_block.partitionBy(*_KEY, *within) if within else in_block
 
 
-def _edges(keyed: DataFrame, order: Sequence[str], columns: Mapping[str, Spec], exact: dict[str, _Exact]) -> DataFrame:
-    """A row per entity and block: the last rows before it, the first after it, and the totals up to it."""
-    need = _Needed.of(columns)
-    edges = edges_between(block_summaries(keyed, order, need, exact), need, columns, exact)
-    for names in need.within:
-        edges = edges.join(_totals_within(keyed, names, need.known, exact), _KEY, "left")
-    return edges
-
-
 @dataclass(frozen=True)
 class _Needed:
     """What the specifications ask of other blocks."""

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from sidelines.functions import scalars as S
 from sidelines.operators import quality as Q
 from sidelines.operators.keyed import first_per_key
-from sidelines.schemas import KEYS, PARTS, SCHEMAS
+from sidelines.schemas import BUCKETS, KEYS, PARTS, SCHEMAS
 from sidelines.sources import files
 from sidelines.sources.conferences import conference_lookup
 from sidelines.sources.snapshots import SnapshotTable
@@ -29,8 +29,8 @@ class WarehouseTables:
         self.spark, self.root = spark, root.rstrip("/")
 
     def __getitem__(self, name: str) -> SnapshotTable:
-        return SnapshotTable(self.spark, f"{self.root}/{name}", SCHEMAS[name], KEYS[name],
-                             PARTS.get(name, "'all'"))
+        return SnapshotTable(self.spark, f"{self.root}/{name}", SCHEMAS[name], KEYS[name], PARTS.get(name, "'all'"),
+                             BUCKETS.get(name, 1), ["game_id"] if name in BUCKETS else None)
 
     def report(self, run: str, table: str, losses: DataFrame) -> None:
         """Append what a run left out of a table: ``losses(reason, n_rows)``."""

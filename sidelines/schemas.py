@@ -61,9 +61,11 @@ KEYS = {
     "model_monitoring_log": ["model_version_id", "week_start"],
 }
 
-# How a large table is divided for upserts: by the leading digits of the contest id.
-PARTS = dict.fromkeys(["games", "player_game_stats", "player_tracking_stats", "game_predictions",
-                       "player_decline_predictions"], "substring(game_id, 1, 5)")
+# How a large table is divided: by the leading digits of the contest id, which stand for the season, and within these into
+# buckets by the contest, so that the size of a part does not depend on how ids are spelt.
+_BY_CONTEST = ["games", "player_game_stats", "player_tracking_stats", "game_predictions", "player_decline_predictions"]
+PARTS = dict.fromkeys(_BY_CONTEST, "substring(game_id, 1, 5)")
+BUCKETS = dict.fromkeys(_BY_CONTEST, 16)
 
 SCHEMAS = {
     "teams": TEAMS, "players": PLAYERS, "games": GAMES, "player_game_stats": PLAYER_GAME_STATS,

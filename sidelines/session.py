@@ -68,6 +68,12 @@ def shared_dir(spark: SparkSession) -> str:
     return _removed_at_exit(application, f"{named.rstrip('/')}/sidelines-{application}")
 
 
+def remove_folder(spark: SparkSession, folder: str) -> None:
+    context = spark.sparkContext
+    path = context._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def new_folder(spark: SparkSession, name: str) -> str:
     """A folder's name, used by nothing else, below ``shared_dir``."""
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"

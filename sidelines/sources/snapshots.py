@@ -1,15 +1,21 @@
-"""A keyed Parquet table whose upserts rewrite only the parts they touch.
+"""A keyed Parquet table whose writes add files and never copy what they do not touch.
 
-Rows are divided into parts by an expression of the key (for contests the leading digits of the id, which
-stand for the season). A write puts the touched parts into a new version folder and then appends one row per
-part to the log of versions; a part's newest row tells where it is. So no job overwrites what it reads, a
-failed job leaves the table as it was, and a nightly upsert does not copy the whole table. One writer at a
-time. ``delivery`` names what a version was made from, so that the same streaming batch is not applied twice.
+Rows lie in parts (an expression of the key: for contests the leading digits of the id, which stand for the season)
+and, within a part, in a fixed number of hash buckets. An upsert writes its own rows, and nothing else, as a delta of the
+buckets they belong to; it reads stored rows only where incoming rows lack columns. Readers take the newest row of a key
+in the buckets that have deltas, and the files as they are in all others. ``compact`` turns a bucket's deltas into a new base,
+``vacuum`` removes the files that no kept version needs, and shortens the log.
+
+A write counts once its rows are in the log of versions, so that a failed job leaves the table as it was. One writer at
+a time. ``delivery`` names what a version was made from, so that the same streaming batch is not applied twice.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import json
+from collections import defaultdict
+from collections.abc import Iterable, Sequence
+from dataclasses import dataclass, field
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Row, SparkSession
@@ -17,75 +23,198 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sidelines.operators import keyed
-from sidelines.session import written
+from sidelines.session import remove_folder, written
+
+_LOG = "version long, kind string, part string, bucket int, path string, delivery string"
+# What a version is: all of the table, new bases of some buckets, deltas. A shortened log begins with a mark.
+_WHOLE, _BASE, _DELTA, _MARK = "whole", "base", "delta", "log"
+_PART, _BUCKET = "part_of_table", "bucket_of_part"
+_VERSION, _GONE = "_version", "_gone"  # of a stored row
+
+Bucket = tuple[str, int]
+
+
+@dataclass
+class _Files:
+    """Where the rows of a bucket are: a base, if there is one, and the deltas after it."""
+
+    base: str | None = None
+    deltas: list[str] = field(default_factory=list)
+
+    def paths(self) -> list[str]:
+        return [p for p in (self.base, *self.deltas) if p is not None]
 
-_LOG = "version long, whole boolean, part string, path string, delivery string"
-_PART = "part_of_table"
+
+def _all_nullable(schema: T.StructType) -> T.StructType:
+    """What files can give back: also within structs and arrays nothing is known not to be null."""
+    text = schema.json()
+    for what in ("nullable", "containsNull", "valueContainsNull"):
+        text = text.replace(f'"{what}":false', f'"{what}":true')
+    return T.StructType.fromJson(json.loads(text))
 
 
 class SnapshotTable:
     def __init__(self, spark: SparkSession, root: str, schema: T.StructType, keys: Sequence[str],
-                 part: str = "'all'"):
-        """``part`` is an SQL expression over the key columns."""
-        self.spark, self.root, self.schema, self.keys = spark, root.rstrip("/"), schema, list(keys)
-        self.part = F.regexp_replace(F.expr(part).cast("string"), "[^0-9A-Za-z]", "_")
+                 part: str = "'all'", buckets: int = 1, bucket_by: Sequence[str] | None = None):
+        """``part`` is an SQL expression over the key columns; ``bucket_by`` are key columns (all, if left out)."""
+        self.spark, self.root, self.schema, self.keys = spark, root.rstrip("/"), _all_nullable(schema), list(keys)
+        self.part = F.regexp_replace(F.coalesce(F.expr(part).cast("string"), F.lit("none")), "[^0-9A-Za-z]", "_")
+        self.bucket = F.pmod(F.xxhash64(*(bucket_by or keys)), F.lit(buckets)).cast("int")
+        self.stored = T.StructType([*self.schema.fields, T.StructField(_VERSION, T.LongType()), T.StructField(_GONE, T.BooleanType())])
+
+    # --- the log ---
 
     def _entries(self) -> list[Row]:
-        """The log of versions: one row per write and part."""
+        """The log: a row per write and bucket, from the last time it was shortened."""
         try:
-            return self.spark.read.schema(_LOG).parquet(f"{self.root}/versions").collect()
+            rows = self.spark.read.schema(f"{_LOG}, n long").parquet(f"{self.root}/versions").collect()
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
             return []
+        since = max((r["n"] for r in rows if r["kind"] == _MARK), default=0)
+        return sorted((r for r in rows if r["n"] >= since), key=lambda r: (r["version"], r["kind"] == _MARK))
 
     @staticmethod
-    def _paths(entries: Sequence[Row]) -> dict[str, str]:
-        """Part -> folder of its newest version, counting from the last time the table was replaced as a whole."""
-        since = max((e["version"] for e in entries if e["whole"]), default=0)
-        current = [e for e in entries if e["version"] >= since and e["part"] is not None]
-        return {e["part"]: e["path"] for e in sorted(current, key=lambda e: e["version"])}
-
-    def _read(self, paths: Sequence[str]) -> DataFrame:
-        if not paths:
-            return self.spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in self.schema.fields])
-        return self.spark.read.schema(self.schema).parquet(*paths)
-
-    def read(self) -> DataFrame:
-        return self._read(sorted(self._paths(self._entries()).values()))
+    def _files(entries: Iterable[Row]) -> dict[Bucket, _Files]:
+        found: dict[Bucket, _Files] = defaultdict(_Files)
+        for e in entries:
+            if e["kind"] == _WHOLE and e["path"] is None:
+                found.clear()
+            if e["path"] is None:
+                continue
+            bucket = e["part"], e["bucket"]
+            if e["kind"] == _DELTA:
+                found[bucket].deltas.append(e["path"])
+            else:
+                found[bucket] = _Files(e["path"])
+        return dict(found)
+
+    def _next(self, entries: Sequence[Row]) -> int:
+        return max((e["version"] for e in entries), default=0) + 1
+
+    def _log(self, version: int, rows: Sequence[tuple]) -> None:
+        self.spark.createDataFrame(list(rows), _LOG).coalesce(1).write.mode("overwrite").parquet(f"{self.root}/versions/n={version}")
 
     def has_delivery(self, delivery: str) -> bool:
         return any(e["delivery"] == delivery for e in self._entries())
 
-    def _publish(self, df: DataFrame, entries: Sequence[Row], whole: bool, delivery: str | None) -> None:
-        version = max((e["version"] for e in entries), default=0) + 1
+    # --- reading ---
+
+    def read(self) -> DataFrame:
+        return self._merged(self._files(self._entries()).values())
+
+    def read_where(self, keys: DataFrame) -> DataFrame:
+        """The rows of the buckets that ``keys`` (a few rows with the key columns) fall into."""
+        return self._in(self._touched(keys))
+
+    def _in(self, touched: set[Bucket]) -> DataFrame:
+        return self._merged(files for bucket, files in self._files(self._entries()).items() if bucket in touched)
+
+    def _touched(self, rows: DataFrame) -> set[Bucket]:
+        return {(r[0], r[1]) for r in rows.select(self.part, self.bucket).distinct().collect()}
+
+    def _merged(self, buckets: Iterable[_Files]) -> DataFrame:
+        """The newest row of each key; buckets without deltas are read as they are."""
+        plain, layered = [], []
+        for files in buckets:
+            if files.deltas:
+                layered += files.paths()
+            elif files.base is not None:
+                plain.append(files.base)
+        found = [self.spark.read.schema(self.schema).parquet(*sorted(plain))] if plain else []
+        if layered:
+            newest = keyed.first_per_key(self.spark.read.schema(self.stored).parquet(*sorted(layered)), self.keys,
+                                         [F.col(_VERSION).desc()])
+            found.append(newest.filter(~F.col(_GONE)).select(*self.schema.names))
+        if not found:
+            return self.spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in self.schema.fields])
+        return found[0] if len(found) == 1 else found[0].unionByName(found[1])
+
+    # --- writing ---
+
+    def _publish(self, rows: DataFrame, kind: str, delivery: str | None = None, gone: bool = False) -> None:
+        """Write ``rows`` as a version and put it into the log; the rows of a bucket come together."""
+        entries = self._entries()
+        version = self._next(entries)
         folder = f"{self.root}/v{version:06d}"
-        columns = [F.col(f.name).cast(f.dataType).alias(f.name) for f in self.schema.fields]
+        columns = [F.col(f.name).cast(f.dataType).alias(f.name) if f.name in rows.columns else F.lit(None).cast(f.dataType).alias(f.name)
+                   for f in self.schema.fields]
+        stored = rows.select(*columns).select("*", F.lit(version).cast("long").alias(_VERSION), F.lit(gone).alias(_GONE),
+                                              self.part.alias(_PART), self.bucket.alias(_BUCKET))
         # a version without a row in the log is the rest of a failed attempt
-        (df.select(*columns).withColumn(_PART, self.part)
-         .write.mode("overwrite").partitionBy(_PART).parquet(folder))
-        layout = T.StructType([*self.schema.fields, T.StructField(_PART, T.StringType())])
-        parts = self.spark.read.schema(layout).parquet(folder).select(
-            F.lit(version).cast("long").alias("version"), F.lit(whole).alias("whole"), F.col(_PART).alias("part"),
-            F.concat(F.lit(f"{folder}/{_PART}="), _PART).alias("path"), F.lit(delivery).cast("string").alias("delivery"))
-        if parts.first() is None:  # a write without rows still counts as a version
-            parts = self.spark.createDataFrame([(version, whole, None, None, delivery)], _LOG)
-        parts.distinct().coalesce(1).write.mode("append").parquet(f"{self.root}/versions")
+        (stored.hint("rebalance", F.col(_PART), F.col(_BUCKET)).write.mode("overwrite")
+         .partitionBy(_PART, _BUCKET).parquet(folder))
+        layout = T.StructType([*self.stored.fields, T.StructField(_PART, T.StringType()), T.StructField(_BUCKET, T.IntegerType())])
+        there = self.spark.read.schema(layout).parquet(folder).select(_PART, _BUCKET).distinct().collect()
+        log = [(version, kind, part, bucket, f"{folder}/{_PART}={part}/{_BUCKET}={bucket}", delivery)
+               for part, bucket in sorted(map(tuple, there))]
+        if kind == _WHOLE or not log:  # nothing of what was there before; a write without rows still counts as a version
+            log.insert(0, (version, kind, None, None, None, delivery))
+        self._log(version, log)
 
     def replace(self, df: DataFrame, delivery: str | None = None) -> None:
-        self._publish(df, self._entries(), True, delivery)
+        self._publish(df, _WHOLE, delivery)
 
-    def _merge(self, incoming: DataFrame, merge, delivery: str | None) -> None:
+    def upsert(self, incoming: DataFrame, delivery: str | None = None) -> None:
+        """Insert or overwrite by key. The incoming rows must be unique on the key; columns that they lack keep their value."""
+        lacking = [name for name in self.schema.names if name not in incoming.columns]
+        if lacking:
+            staged = written(incoming, "staged")
+            held = self._in(self._touched(staged)).select(*self.keys, *lacking)
+            incoming = staged.join(held, self.keys, "left")
+        self._publish(incoming, _DELTA, delivery)
+
+    def insert_if_absent(self, incoming: DataFrame, delivery: str | None = None) -> None:
+        """Rows whose key is stored already are passed over; only the keys of the touched buckets are read."""
         staged = written(incoming, "staged")
-        touched = {r[0] for r in staged.select(self.part).distinct().collect()}
+        self._publish(keyed.absent_from(staged, self._in(self._touched(staged)), self.keys), _DELTA, delivery)
+
+    def delete(self, keys: DataFrame, delivery: str | None = None) -> None:
+        """Take out the rows of these keys."""
+        self._publish(keys.select(*self.keys), _DELTA, delivery, gone=True)
+
+    # --- upkeep ---
+
+    def compact(self, most_deltas: int = 8) -> int:
+        """Merge the buckets that have more deltas than this into new bases. Returns how many got one; a bucket whose rows
+        are all gone gets none."""
+        crowded = [f for f in self._files(self._entries()).values() if len(f.deltas) > most_deltas]
+        if not crowded:
+            return 0
+        self._publish(self._merged(crowded), _BASE)
         entries = self._entries()
-        existing = self._read(sorted(path for part, path in self._paths(entries).items() if part in touched))
-        self._publish(merge(existing, staged, self.keys), entries, False, delivery)
+        return sum(e["version"] == entries[-1]["version"] and e["path"] is not None for e in entries)
 
-    def upsert(self, incoming: DataFrame, delivery: str | None = None) -> None:
-        """Insert or overwrite by key. The incoming rows must be unique on the key."""
-        self._merge(incoming, keyed.upsert, delivery)
+    def vacuum(self, keep_versions: int = 1) -> list[str]:
+        """Remove the folders that none of the newest ``keep_versions`` versions needs, and the log up to there.
 
-    def insert_if_absent(self, incoming: DataFrame, delivery: str | None = None) -> None:
-        missing = {f.name: F.lit(None).cast(f.dataType) for f in self.schema.fields if f.name not in incoming.columns}
-        self._merge(incoming.withColumns(missing), keyed.insert_if_absent, delivery)
+        What a stream has delivered last stays known. Not while a job still reads an older version.
+        """
+        entries = self._entries()
+        versions = sorted({e["version"] for e in entries})
+        if not versions:
+            return []
+        oldest = versions[-min(keep_versions, len(versions))]
+        base = [e for e in entries if e["version"] <= oldest]
+        needed = {path for files in self._files(base).values() for path in files.paths()}
+        kept = [e for e in base if e["path"] in needed] + [e for e in entries if e["version"] > oldest and e["kind"] != _MARK]
+        folders = {path.split(f"/{_PART}=")[0] for path in (e["path"] for e in entries) if path}
+        in_use = {e["path"].split(f"/{_PART}=")[0] for e in kept if e["path"]}
+        deliveries = {}
+        for e in entries:
+            if e["delivery"]:
+                deliveries[e["delivery"].rpartition("#")[0]] = e
+        version = self._next(entries)
+        columns = ("version", "kind", "part", "bucket", "path", "delivery")
+        # the version before a kept one may have replaced the table: what is left begins from nothing
+        log = [(version, _MARK, None, None, None, None), (0, _WHOLE, None, None, None, None)]
+        log += [(0, _DELTA, None, None, None, e["delivery"]) for e in deliveries.values()]
+        log += [tuple(e[c] for c in columns) for e in kept]
+        self._log(version, log)
+        for n in sorted({e["n"] for e in entries}):
+            remove_folder(self.spark, f"{self.root}/versions/n={n}")
+        gone = sorted(folders - in_use)
+        for folder in gone:
+            remove_folder(self.spark, folder)
+        return gone
