@@ -23,6 +23,8 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     landed.add_argument("--days", type=int, default=3)
     landed.add_argument("--start-date", type=date.fromisoformat)
     landed.add_argument("--end-date", type=date.fromisoformat)
+    jobs.add_parser("follow-landing").add_argument("landing")
+    jobs.add_parser("maintain").add_argument("--most-deltas", type=int, default=8)
     jobs.add_parser("enrich-players").add_argument("bio")
     jobs.add_parser("build-features").add_argument("--no-write", action="store_true")
     jobs.add_parser("build-summaries")
@@ -61,6 +63,10 @@ def main(argv: list[str] | None = None) -> None:
             jobs.load_bulk(args.folder)
         case "load-landed":
             jobs.load_landed(args.landing, args.days, args.start_date, args.end_date)
+        case "follow-landing":
+            jobs.follow_landing(args.landing)
+        case "maintain":
+            jobs.maintain(args.most_deltas)
         case "enrich-players":
             show(jobs.enrich_players(args.bio))
         case "build-features":

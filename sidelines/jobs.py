@@ -8,9 +8,11 @@ from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sidelines.plans import analytics, dashboard, features, loaders, models, monitoring
+from sidelines.plans import analytics, dashboard, features, incremental, loaders, models, monitoring
+from sidelines.schemas import SCHEMAS
 from sidelines.sources import files
 from sidelines.sources.warehouse import materialize
+from sidelines.streaming import jobs as streams
 
 
 class Jobs:
@@ -24,29 +26,50 @@ class Jobs:
     def _model(self, name: str) -> str:
         return f"{self.root}/models/{name}"
 
+    def features(self) -> incremental.FeatureTables:
+        stored = [self.tables[name].read() for name in ("games", "player_game_stats", "player_tracking_stats", "players")]
+        return incremental.FeatureTables(self.spark, f"{self.root}/features", *stored)
+
     def derived(self, name: str) -> DataFrame:
+        if name in (incremental.TEAM_TABLE, incremental.PLAYER_TABLE):
+            return self.features().read(name)
         return self.spark.read.parquet(self._derived(name))
 
     def load_bulk(self, folder: str) -> None:
         loaders.load_bulk(self.spark, folder, self.tables)
 
-    def load_landed(self, landing: str, days: int | None = 3, start: date | None = None, end: date | None = None) -> None:
-        loaders.load_landed(self.spark, landing, self.tables, *files.date_range(days, start, end))
+    def load_landed(self, landing: str, days: int | None = 3, start: date | None = None, end: date | None = None) -> DataFrame:
+        """Returns the ids of the contests that were loaded."""
+        return loaders.load_landed(self.spark, landing, self.tables, *files.date_range(days, start, end))
+
+    def follow_landing(self, landing: str) -> None:
+        """Take in what has landed since the last time, each file once, and bring the features up to date."""
+        streams.ingest_landing(self.spark, landing, self.tables, f"{self.root}/progress/landing", self.update_features).awaitTermination()
 
     def enrich_players(self, bio: str) -> DataFrame:
         return loaders.enrich_players(self.spark, bio, self.tables)
 
     def build_features(self, write: bool = True) -> dict[str, DataFrame] | None:
         """Both feature tables, replaced as a whole; nothing happens before the first result is in."""
-        games = self.tables["games"].read()
-        if games.filter("home_score is not null").first() is None:
+        tables = self.features()
+        if tables.games.filter("home_score is not null").first() is None:
             return None
-        stats, tracking = self.tables["player_game_stats"].read(), self.tables["player_tracking_stats"].read()
-        built = {
-            "team_game_features": features.team_game_features(games),
-            "player_game_features": features.player_game_features(stats, games, tracking, self.tables["players"].read()),
-        }
-        return {name: materialize(df, self._derived(name), write) for name, df in built.items()}
+        if not write:
+            return {incremental.TEAM_TABLE: features.team_game_features(tables.games),
+                    incremental.PLAYER_TABLE: features.player_game_features(tables.stats, tables.games, tables.tracking, tables.players)}
+        tables.rebuild()
+        return {name: tables.read(name) for name in (incremental.TEAM_TABLE, incremental.PLAYER_TABLE)}
+
+    def update_features(self, changed_games: DataFrame, changed_players: DataFrame | None = None) -> None:
+        """The rows of both feature tables that these contests change."""
+        self.features().update(changed_games, changed_players)
+
+    def maintain(self, most_deltas: int = 8) -> None:
+        """Merge what evenings have written, and remove files that nobody needs any more."""
+        for name in (*SCHEMAS, *[f"{name}{loaders.WAITING}" for name in loaders.OF_A_CONTEST]):
+            self.tables[name].compact(most_deltas)
+            self.tables[name].vacuum()
+        self.features().compact(most_deltas)
 
     def build_summaries(self) -> dict[str, DataFrame]:
         stats = self.tables["player_game_stats"].read()
@@ -124,6 +147,5 @@ class Jobs:
         }
 
     def nightly(self, landing: str, days: int = 1) -> DataFrame:
-        self.load_landed(landing, days)
-        self.build_features()
+        self.update_features(self.load_landed(landing, days))
         return self.update_monitoring()

@@ -3,18 +3,21 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Collection
 from datetime import UTC, date, datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sidelines.functions import scalars as S
 from sidelines.operators import quality as Q
-from sidelines.operators.keyed import first_per_key
+from sidelines.operators.keyed import first_per_key, missing_references
 from sidelines.schemas import BUCKETS, KEYS, PARTS, SCHEMAS
 from sidelines.sources import files
 from sidelines.sources.conferences import conference_lookup
 from sidelines.sources.snapshots import SnapshotTable
+from sidelines.session import written
 
 STAT_COLUMNS = {"pts": "points", "reb": "rebounds", "oreb": "offensive_reb", "dreb": "defensive_reb",
                 "ast": "assists", "stl": "steals", "blk": "blocks", "to": "turnovers", "pf": "fouls",
@@ -29,8 +32,9 @@ class WarehouseTables:
         self.spark, self.root = spark, root.rstrip("/")
 
     def __getitem__(self, name: str) -> SnapshotTable:
-        return SnapshotTable(self.spark, f"{self.root}/{name}", SCHEMAS[name], KEYS[name], PARTS.get(name, "'all'"),
-                             BUCKETS.get(name, 1), ["game_id"] if name in BUCKETS else None)
+        path, name = f"{self.root}/{name}", name.removesuffix(WAITING)
+        return SnapshotTable(self.spark, path, SCHEMAS[name], KEYS[name], PARTS.get(name, "'all'"), BUCKETS.get(name, 1),
+                             ["game_id"] if name in BUCKETS else None)
 
     def report(self, run: str, table: str, losses: DataFrame) -> None:
         """Append what a run left out of a table: ``losses(reason, n_rows)``."""
@@ -43,11 +47,19 @@ class WarehouseTables:
 
 
 LOAD_REPORT = "run string, table_name string, reason string, n_rows long"
+# Which tables refer to contests.
+OF_A_CONTEST = ("player_game_stats", "player_tracking_stats")
+WAITING = "_waiting"  # behind a table's name: rows whose contest is not known yet
 
 
-def _store(tables: WarehouseTables, name: str, typed: DataFrame, run: str, delivery: str | None = None) -> DataFrame:
-    """Report what the rules of a table and its keys leave out of ``typed``, and upsert the rest, which is returned."""
-    rows = Q.numeric_stats(typed) if name == "player_game_stats" else typed
+def _store(tables: WarehouseTables, name: str, typed: DataFrame, run: str, delivery: str | None = None,
+           referring: bool = False) -> DataFrame:
+    """Report what the rules of a table and its keys leave out of ``typed``, and upsert the rest, which is returned.
+
+    The rows are staged once. With ``referring`` those whose contest is not stored are set aside and reported; those set
+    aside before whose contest has arrived come with the rest.
+    """
+    rows = written(Q.numeric_stats(typed) if name == "player_game_stats" else typed, f"load-{name}")
     rules = {"teams": lambda: Q.team_rules(), "players": lambda: Q.player_rules(), "games": lambda: Q.game_rules(rows),
              "player_game_stats": lambda: [Q.plausible_player_ids(), *Q.stats_rules(rows)],
              "player_tracking_stats": lambda: Q.tracking_rules(rows)}[name]()
@@ -57,10 +69,32 @@ def _store(tables: WarehouseTables, name: str, typed: DataFrame, run: str, deliv
     good = first_per_key(Q.clean(rows, rules), KEYS[name], content_order(rows))
     if name == "games":
         good = with_home_win(good)
+    # written at once: Catalyst would follow the hash that orders the copies through every cast of its columns
+    good = written(good, f"sound-{name}")
+    if referring:
+        good = written(_with_referred(tables, name, good, run), f"referred-{name}")
     tables[name].upsert(good, delivery)
     return good
 
 
+def _with_referred(tables: WarehouseTables, name: str, rows: DataFrame, run: str) -> DataFrame:
+    """``rows``, and those that have waited, as far as their contests are stored; the others wait, reported as new ones."""
+    waiting, keys, contests = tables[f"{name}{WAITING}"], KEYS[name], tables["games"].read().select("game_id")
+    typed = rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in SCHEMAS[name].fields if f.name in rows.columns])
+    orphans = written(missing_references(typed, "game_id", contests, "game_id"), "orphans")
+    n = orphans.agg(F.count("*").alias("n_rows")).filter("n_rows > 0")
+    tables.report(run, name, n.select(F.lit("waits for its contest").alias("reason"), "n_rows"))
+    # a newer row takes the place of one that waits
+    waited = waiting.read().join(typed.select(*keys), keys, "left_anti")
+    released = written(waited.join(contests, "game_id", "left_semi"), "released")
+    n = released.agg(F.count("*").alias("n_rows")).filter("n_rows > 0")
+    tables.report(run, name, n.select(F.lit("has waited for its contest and is kept now").alias("reason"), "n_rows"))
+    kept = typed.join(contests, "game_id", "left_semi")
+    waiting.upsert(orphans)
+    waiting.delete(released.select(*keys).union(kept.select(*keys)))
+    return kept.unionByName(released, allowMissingColumns=True)
+
+
 def content_order(df: DataFrame) -> list[Column]:
     """Which copy of a key is first. Files have no row order in Spark, so the row's content decides."""
     return [F.xxhash64(*df.columns).asc(), *[F.col(c).asc_nulls_last() for c in df.columns]]
@@ -129,16 +163,21 @@ def stats_from_bulk(raw: DataFrame) -> DataFrame:
 def load_bulk(spark: SparkSession, folder: str, tables: WarehouseTables, run: str | None = None) -> str:
     """Teams, players, games and box scores, in the order of their references. Returns the run's name in the report."""
     folder, run = folder.rstrip("/"), run or new_run()
-    details = files.read_csv(spark, f"{folder}/games_details.csv")
 
-    teams, lookup = files.read_csv(spark, f"{folder}/teams.csv"), conference_lookup(spark)
+    def read(name: str, table: str) -> DataFrame:
+        rows, damaged = files.read_csv_checked(spark, f"{folder}/{name}.csv")
+        tables.report(run, table, damaged)
+        return rows
+
+    details = read("games_details", "player_game_stats")
+    teams, lookup = read("teams", "teams"), conference_lookup(spark)
     unmapped = files.unmapped_keys(teams, lookup, "abbreviation")
     tables.report(run, "teams", unmapped.groupBy(F.concat(F.lit("no conference for "), "abbreviation").alias("reason"))
                   .agg(F.lit(0).cast("long").alias("n_rows")))  # the row is kept
     _store(tables, "teams", teams_from_bulk(teams, lookup), run)
-    _store(tables, "players", players_from_bulk(files.read_csv(spark, f"{folder}/players.csv"), details), run)
-    _store(tables, "games", games_from_bulk(files.read_csv(spark, f"{folder}/games.csv")), run)
-    _store(tables, "player_game_stats", stats_from_bulk(details), run)
+    _store(tables, "players", players_from_bulk(read("players", "players"), details), run)
+    _store(tables, "games", games_from_bulk(read("games", "games")), run)
+    _store(tables, "player_game_stats", stats_from_bulk(details), run, referring=True)
     return run
 
 
@@ -149,20 +188,45 @@ def new_run() -> str:
 # --- the landed feed ----------------------------------------------------------------------------------------
 
 def load_landed(spark: SparkSession, landing: str, tables: WarehouseTables, start: date, end: date,
-                run: str | None = None) -> str:
-    """Contests of a range of days, then the box scores and tracking rows of exactly these contests."""
-    landing, run = landing.rstrip("/"), run or new_run()
-    header = files.in_range(files.read_landing(spark, f"{landing}/header", files.HEADER_FEED), "GAME_DATE", start, end)
-    lines = files.in_range(files.read_landing(spark, f"{landing}/line_score", files.LINE_SCORE_FEED),
-                           "GAME_DATE", start, end)
-    games = _store(tables, "games", files.merge_scoreboard(header, lines), run)
-
-    wanted = games.select("game_id")
-    box = files.read_landing(spark, f"{landing}/box", files.BOX_FEED, files.BOX_COLUMNS)
-    upsert_box(tables, files.canonical_box(box).join(wanted, "game_id", "left_semi"), run)
-    tracking = files.read_landing(spark, f"{landing}/tracking", files.TRACKING_FEED, files.TRACKING_COLUMNS)
-    upsert_tracking(tables, files.canonical_tracking(tracking).join(wanted, "game_id", "left_semi"), run)
-    return run
+                run: str | None = None) -> DataFrame:
+    """Contests of a range of days, then the box scores and tracking rows of exactly these contests, whose ids are returned.
+    Of a landing zone with folders by day only the range's are read."""
+    landing, run, days = landing.rstrip("/"), run or new_run(), (start, end)
+
+    def read(name: str, schema: T.StructType, counts: Collection[str] = ()) -> DataFrame:
+        return files.read_landing(spark, f"{landing}/{name}", schema, counts, days)
+
+    header = files.in_range(read("header", files.HEADER_FEED), "GAME_DATE", *days)
+    lines = files.in_range(read("line_score", files.LINE_SCORE_FEED), "GAME_DATE", *days)
+    wanted = _store(tables, "games", files.merge_scoreboard(header, lines), run).select("game_id")
+    box = files.canonical_box(read("box", files.BOX_FEED, files.BOX_COLUMNS))
+    upsert_box(tables, box.join(wanted, "game_id", "left_semi"), run)
+    tracking = files.canonical_tracking(read("tracking", files.TRACKING_FEED, files.TRACKING_COLUMNS))
+    upsert_tracking(tables, tracking.join(wanted, "game_id", "left_semi"), run)
+    return wanted
+
+
+def take_in(tables: WarehouseTables, header: DataFrame, lines: DataFrame, box: DataFrame, tracking: DataFrame, run: str) -> DataFrame:
+    """What has landed since the last time, in any order; returns the ids of the contests it concerns.
+
+    Scores may come without their header: then the stored contest of that day and team gets them, and keeps the other side's.
+    Box scores and tracking rows wait for their contest.
+    """
+    lines = written(lines, "landed-lines")
+    stored = tables["games"].read().join(lines.select(F.col("GAME_DATE").alias("game_date")).distinct(), "game_date", "left_semi")
+    stored = written(stored, "contests-of-the-days")
+    known = stored.select(F.col("game_date").alias("GAME_DATE"), F.col("game_id").alias("GAME_ID"),
+                          F.col("home_team_id").alias("HOME_TEAM_ID"), F.col("away_team_id").alias("VISITOR_TEAM_ID"))
+    ids = header.select(S.pad_id("GAME_ID").alias("GAME_ID"))
+    header = header.unionByName(known.join(ids, "GAME_ID", "left_anti"))
+    before = [stored.filter(F.col(score).isNotNull()).select(
+        F.col("game_date").alias("GAME_DATE"), F.lit(-1).cast("long").alias("SEQ"), F.col(team).alias("TEAM_ID"),
+        F.col(score).cast("double").alias("PTS")) for team, score in (("home_team_id", "home_score"), ("away_team_id", "away_score"))]
+    scores = lines.unionByName(before[0]).unionByName(before[1])
+    games = _store(tables, "games", files.merge_scoreboard(header, scores), run).select("game_id")
+    stats = _store(tables, "player_game_stats", files.canonical_box(box), run, referring=True).select("game_id")
+    tracked = _store(tables, "player_tracking_stats", files.canonical_tracking(tracking), run, referring=True).select("game_id")
+    return games.union(stats).union(tracked).distinct()
 
 
 def upsert_box(tables: WarehouseTables, box: DataFrame, run: str, delivery: str | None = None) -> None:

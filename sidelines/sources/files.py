@@ -13,6 +13,9 @@ from pyspark.sql import types as T
 from sidelines.functions import scalars as S
 from sidelines.operators.keyed import first_per_key
 from sidelines.schemas import table
+from sidelines.session import written
+
+_DAMAGED = "_damaged_line"
 
 
 def read_csv(spark: SparkSession, path: str) -> DataFrame:
@@ -24,6 +27,19 @@ def read_csv(spark: SparkSession, path: str) -> DataFrame:
     return lower_names(df)
 
 
+def read_csv_checked(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """The file's sound rows, read once and staged, and ``(reason, n_rows)`` of its damaged lines: those with more or
+    fewer fields than the header, which is also where an unclosed quote ends."""
+    names = read_csv(spark, path).columns
+    schema = T.StructType([T.StructField(name, T.StringType()) for name in (*names, _DAMAGED)])
+    raw = (spark.read.schema(schema).option("header", True).option("escape", '"').option("mode", "PERMISSIVE")
+           .option("columnNameOfCorruptRecord", _DAMAGED).csv(path))
+    staged = written(raw, "csv")
+    damaged = staged.filter(F.col(_DAMAGED).isNotNull()).agg(F.count("*").alias("n_rows")).filter("n_rows > 0")
+    return (staged.filter(F.col(_DAMAGED).isNull()).drop(_DAMAGED),
+            damaged.select(F.lit("damaged line").alias("reason"), "n_rows"))
+
+
 def lower_names(df: DataFrame) -> DataFrame:
     return df.toDF(*[c.lower() for c in df.columns])
 
@@ -59,6 +75,7 @@ BOX_FEED = table(
 TRACKING_FEED = table(
     "GAME_ID STRING, PLAYER_ID BIGINT, DIST DOUBLE, AVG_SPEED DOUBLE, TCHS DOUBLE, DRIVES DOUBLE, SAST DOUBLE, "
     "CFGA DOUBLE")
+DAY = "day"  # of a landing folder
 BIO_FEED = table("PLAYER_ID BIGINT, POSITION STRING, BIRTHDATE STRING, HEIGHT STRING, WEIGHT STRING")
 
 BOX_COLUMNS = {"PTS": "points", "REB": "rebounds", "OREB": "offensive_reb", "DREB": "defensive_reb",
@@ -69,9 +86,17 @@ TRACKING_COLUMNS = {"DIST": "distance_miles", "AVG_SPEED": "avg_speed_mph", "TCH
                     "DRIVES": "drives", "SAST": "secondary_ast", "CFGA": "contested_shots"}
 
 
-def read_landing(spark: SparkSession, path: str, schema: T.StructType, counts: Collection[str] = ()) -> DataFrame:
-    """Landed JSON rows, one per line. ``schema`` names the columns that the feed can deliver."""
-    return from_lines(spark.read.text(path), schema, counts)
+def read_landing(spark: SparkSession, path: str, schema: T.StructType, counts: Collection[str] = (),
+                 days: tuple[date, date] | None = None) -> DataFrame:
+    """Landed JSON rows, one per line. ``schema`` names the columns that the feed can deliver.
+
+    The feed lands in folders by the contest's day, ``day=2024-01-05``, of which only those from ``days`` are listed and read;
+    files that lie in no such folder are all read.
+    """
+    lines = spark.read.text(path)
+    if days is not None and DAY in lines.columns:
+        lines = in_range(lines, DAY, *days)
+    return from_lines(lines, schema, counts)
 
 
 def from_lines(lines: DataFrame, schema: T.StructType, counts: Collection[str] = ()) -> DataFrame:

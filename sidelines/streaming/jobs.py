@@ -16,6 +16,7 @@ from pyspark.sql.streaming import StreamingQuery
 from sidelines.operators.keyed import first_per_key
 from sidelines.plans import loaders
 from sidelines.plans.monitoring import quality_metrics
+from sidelines.session import written
 from sidelines.sources import files
 
 _BATCH = T.StructField("batch", T.IntegerType())
@@ -40,6 +41,29 @@ def ingest_box_scores(box: DataFrame, tables: loaders.WarehouseTables, checkpoin
             .trigger(availableNow=True).start())
 
 
+def ingest_landing(spark: SparkSession, landing: str, tables: loaders.WarehouseTables, checkpoint: str,
+                   on_change: Callable[[DataFrame], None] | None = None, files_per_batch: int = 1000) -> StreamingQuery:
+    """Everything that has landed since the last run, each file once: the file source keeps the progress.
+
+    A file's kind is the folder below ``landing`` that it lies in. ``on_change`` gets the ids of the contests that a batch
+    concerned. A batch that is delivered again writes the same rows again.
+    """
+    kinds = {"header": (files.HEADER_FEED, ()), "line_score": (files.LINE_SCORE_FEED, ()),
+             "box": (files.BOX_FEED, files.BOX_COLUMNS), "tracking": (files.TRACKING_FEED, files.TRACKING_COLUMNS)}
+    kind = F.regexp_extract(F.col("_metadata.file_path"), f"/({'|'.join(kinds)})/(?:{files.DAY}=[^/]*/)?[^/]*$", 1)
+
+    def apply(batch: DataFrame, batch_id: int) -> None:
+        staged = written(batch, "landed")
+        rows = [files.from_lines(staged.filter(F.col("kind") == name), *how) for name, how in kinds.items()]
+        changed = loaders.take_in(tables, *rows, f"{checkpoint}#{batch_id}")
+        if on_change:
+            on_change(changed)
+
+    lines = (spark.readStream.option("recursiveFileLookup", "true").option("maxFilesPerTrigger", files_per_batch)
+             .text(landing).select("value", kind.alias("kind")))
+    return _each_batch(lines, checkpoint, apply)
+
+
 def _each_batch(stream: DataFrame, checkpoint: str, apply: Callable[[DataFrame, int], None]) -> StreamingQuery:
     return (stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
             .trigger(availableNow=True).start())

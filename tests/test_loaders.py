@@ -130,6 +130,95 @@ def test_landed_load(spark, tables, tmp_path):
     assert ("player_tracking_stats", "implausible distance", 2) in rows(tables.load_report(), "table_name", "reason", "n_rows")
 
 
+def day_of(landing, kind, day, records):
+    write_json(landing / kind / f"day={day}", records)
+
+
+def contest(day, game_id, home=1, away=2):
+    return {"GAME_DATE": day, "GAME_ID": game_id, "HOME_TEAM_ID": home, "VISITOR_TEAM_ID": away}
+
+
+def score(day, team, points, seq=1):
+    return {"GAME_DATE": day, "SEQ": seq, "TEAM_ID": team, "PTS": points}
+
+
+def line(game_id, player, points):
+    return {"GAME_ID": game_id, "PLAYER_ID": player, "TEAM_ID": 1, "MIN": "30:30", "PTS": points}
+
+
+def test_landing_folders_by_day_are_pruned(spark, tables, tmp_path, capsys):
+    landing = tmp_path / "landing"
+    for i, day in enumerate(("2024-01-05", "2024-01-06", "2024-01-07")):
+        day_of(landing, "header", day, [contest(day, f"2230050{i}")])
+        day_of(landing, "line_score", day, [score(day, 1, 100 + i), score(day, 2, 90)])
+        day_of(landing, "box", day, [line(f"2230050{i}", 10, i)])
+        day_of(landing, "tracking", day, [{"GAME_ID": f"2230050{i}", "PLAYER_ID": 10, "DIST": 2.5}])
+    days = date(2024, 1, 6), date(2024, 1, 6)
+    box = files.read_landing(spark, str(landing / "box"), files.BOX_FEED, days=days)
+    box.explain("formatted")
+    text = capsys.readouterr().out
+    assert "PartitionFilters: [isnotnull(day" in text and box.count() == 1
+    found = loaders.load_landed(spark, str(landing), tables, *days)
+    assert rows(found) == [("0022300501",)] and rows(tables["games"].read(), "game_id", "home_score") == [("0022300501", 101)]
+    assert rows(tables["player_game_stats"].read(), "game_id", "points") == [("0022300501", 1.0)]
+
+
+def test_what_lands_is_read_once_and_in_any_order(spark, tables, tmp_path):
+    """Box scores before their contest, scores before and after their header, a late correction."""
+    from sidelines.streaming import jobs
+    landing, seen = tmp_path / "landing", []
+
+    def run():
+        seen.clear()
+        jobs.ingest_landing(spark, str(landing), tables, str(tmp_path / "progress"),
+                            lambda changed: seen.extend(r[0] for r in changed.collect())).awaitTermination()
+        return rows(tables["games"].read(), "game_id", "home_score", "away_score")
+
+    day = "2024-01-05"
+    day_of(landing, "box", day, [line("22300500", 10, 12), line("22300501", 10, 9)])
+    assert run() == [] and tables["player_game_stats"].read().count() == 0 and seen == []
+    assert ("player_game_stats", "waits for its contest", 2) in rows(tables.load_report(), "table_name", "reason", "n_rows")
+    day_of(landing, "header", day, [contest(day, "22300500")])
+    assert run() == [("0022300500", None, None)] and seen == ["0022300500"]
+    # the one whose contest has come is there, the other still waits
+    assert rows(tables["player_game_stats"].read(), "game_id", "points") == [("0022300500", 12.0)]
+    assert rows(tables[f"player_game_stats{loaders.WAITING}"].read(), "game_id") == [("0022300501",)]
+    assert ("player_game_stats", "has waited for its contest and is kept now", 1) in rows(
+        tables.load_report(), "table_name", "reason", "n_rows")
+    day_of(landing, "line_score", day, [score(day, 1, 100)])
+    run()
+    day_of(landing, "line_score", day, [score(day, 2, 90), score(day, 1, 101, 5)])
+    assert run() == [("0022300500", 101, 90)]
+    before = tables["games"]._next(tables["games"]._entries())
+    assert run() == [("0022300500", 101, 90)] and seen == []
+    assert tables["games"]._next(tables["games"]._entries()) == before  # nothing new, nothing written
+
+
+def test_orphans_of_a_bulk_load_come_with_a_later_one(spark, bulk, tables):
+    with open(f"{bulk}/games_details.csv", "a") as file:
+        file.write("21900009,1,10,Ann,G,18:06,20,5,4,8,15\n")
+    run = loaders.load_bulk(spark, bulk, tables)
+    report = rows(tables.load_report().filter(f"run = '{run}'"), "table_name", "reason", "n_rows")
+    assert ("player_game_stats", "waits for its contest", 1) in report
+    assert "0021900009" not in {r[0] for r in rows(tables["player_game_stats"].read(), "game_id")}
+    with open(f"{bulk}/games.csv", "a") as file:
+        file.write("21900009,2019-11-22,2019,1,2,80.0,99.0\n")
+    loaders.load_bulk(spark, bulk, tables)
+    assert "0021900009" in {r[0] for r in rows(tables["player_game_stats"].read(), "game_id")}
+    assert tables[f"player_game_stats{loaders.WAITING}"].read().count() == 0
+
+
+def test_damaged_lines_are_reported(spark, tmp_path):
+    path = tmp_path / "teams.csv"
+    path.write_text('A,B,C\n1,2,3\n4,5\n6,7,8,9\n"x,1,2\n"a ""quoted"" one","with, comma",3\n,,\n')
+    good, damaged = files.read_csv_checked(spark, str(path))
+    assert good.columns == ["a", "b", "c"]
+    assert rows(good) == [("1", "2", "3"), ('a "quoted" one', "with, comma", "3"), (None, None, None)]
+    assert rows(damaged) == [("damaged line", 3)]  # too short, too long, a quote that is never closed
+    path.write_text("A,B,C\n1,2,3\n")
+    assert rows(files.read_csv_checked(spark, str(path))[1]) == []
+
+
 def test_a_column_the_feed_lacks_counts_as_zero(spark):
     df = spark.createDataFrame([("1", 2, 3, "10")], "GAME_ID string, PLAYER_ID long, TEAM_ID long, MIN string")
     assert rows(files.canonical_box(df), "plus_minus", "points", "started") == [(0.0, 0.0, False)]
