@@ -504,6 +504,12 @@ _SQL = {
                {_r('(o_orderkey * 7919 % 1000) / 1000.0::DOUBLE', 6, 'predicted_home_win_prob')},
                o_orderkey * 7919 % 1000 >= 500 AS predicted_label, o_custkey % 2 = 0 AS actual_label
         FROM orders WHERE o_orderstatus <> 'P' AND o_orderkey % 20 <= 14""",
+    "stream_late_outcomes": f"""
+        SELECT CAST(o_orderkey AS VARCHAR) AS game_id, 1 + o_orderkey % 2 AS model_version_id,
+               {_r('(o_orderkey * 7919 % 1000) / 1000.0::DOUBLE', 6, 'predicted_home_win_prob')},
+               o_orderkey * 7919 % 1000 >= 500 AS predicted_label,
+               CASE WHEN o_orderstatus <> 'P' AND o_orderkey % 20 <= 14 THEN o_custkey % 2 = 0 END AS actual_label
+        FROM orders""",
 }
 
 _CTE["day_scores"] = """

@@ -9,6 +9,7 @@ from pyspark.sql import Window as W
 from sidelines.functions import scalars as S
 from sidelines.operators.history import Following, Previous, Rolling, RowsInFrame, Running, with_history
 from sidelines.operators.ranking import ntile
+from sidelines.session import written
 from sidelines.operators.schedule import completed, team_long
 
 MIN_MINUTES = 10
@@ -146,9 +147,12 @@ def load_next_corr(stats, games, tracking) -> DataFrame:
 
 
 def _next_by_quartile(rows: DataFrame) -> DataFrame:
-    """Quartiles over all rows; then only rows with a next contest are averaged."""
-    ranked = ntile(rows.select("load_index", "player_id", "game_id", "next_ts_pct"), 4,
-                   "load_index", ["player_id", "game_id"], "load_quartile")
+    """Quartiles over all rows; then only rows with a next contest are averaged.
+
+    The four columns are staged: the quartiles read them several times, and the histories behind them cost more than a copy.
+    """
+    staged = written(rows.select("load_index", "player_id", "game_id", "next_ts_pct"), "loads")
+    ranked = ntile(staged, 4, "load_index", ["player_id", "game_id"], "load_quartile")
     return (ranked.filter(F.col("next_ts_pct").isNotNull()).groupBy("load_quartile")
             .agg(S.round_half_up(F.avg("next_ts_pct"), 3).alias("avg_next_game_ts_pct"), F.count("*").alias("n")))
 

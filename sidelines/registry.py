@@ -567,3 +567,19 @@ def stream_label_predictions(d):
     labelled = jobs.label_predictions(predictions, outcomes, "3 days", "14 DAYS")
     return rounded(_drained(d, labelled.select("game_id", "model_version_id", "predicted_home_win_prob",
                                                "predicted_label", "actual_label"), "labels"))
+
+
+@query
+def stream_late_outcomes(d):
+    """Predictions and outcomes in nine files each, in no order: every outcome finds its prediction, within 14 days of it."""
+    orders, key = d.table("orders"), F.col("o_orderkey")
+    predictions = _predictions(orders).withColumn("actual_label", F.lit(None).cast("boolean"))
+    outcomes = orders.filter(F.col("o_orderstatus") != "P").select(
+        key.cast("string").alias("game_id"),
+        (F.col("o_orderdate").cast("timestamp") + F.make_dt_interval((key % 20).cast("int"))).alias("decided_at"),
+        (F.col("o_custkey") % 2 == 0).alias("home_win"))
+    folder = new_folder(d.spark, "late-outcomes")
+    labels = jobs.LateLabels(d.spark, folder, "14 DAYS")
+    labels.follow(_in_batches(d, predictions, "asked"), _in_batches(d, outcomes, "decided"), f"{folder}/progress").awaitTermination()
+    return rounded(labels.labelled.read().select("game_id", "model_version_id", "predicted_home_win_prob", "predicted_label",
+                                                 "actual_label"))

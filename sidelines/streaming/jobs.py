@@ -6,7 +6,7 @@ checkpoint folder given by the caller.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Collection
+from collections.abc import Callable, Collection, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,10 +16,15 @@ from pyspark.sql.streaming import StreamingQuery
 from sidelines.operators.keyed import first_per_key
 from sidelines.plans import loaders
 from sidelines.plans.monitoring import quality_metrics
+from sidelines.schemas import GAME_PREDICTIONS
 from sidelines.session import written
 from sidelines.sources import files
+from sidelines.sources.snapshots import SnapshotTable
 
 _BATCH = T.StructField("batch", T.IntegerType())
+_HASH = "hash_of_key"
+_KEY_BUCKETS = 64  # of the keys that first_deliveries has stored
+_CONTEST_BUCKETS = 16
 
 
 def read_landed_stream(spark: SparkSession, path: str, schema: T.StructType,
@@ -73,14 +78,22 @@ def first_deliveries(stream: DataFrame, keys: list[str], event_time: str, path:
     """Append the first delivery of each key to the table at ``path``, however late and in however many batches it comes.
 
     A batch keeps its earliest row of each key that no other batch has stored. Its folder carries its number, so that a
-    batch that is delivered again replaces itself.
+    batch that is delivered again replaces itself; below it rows lie by a hash of their key, and a batch reads only the
+    hashes that it has itself.
     """
+    hashed = F.pmod(F.xxhash64(*keys), F.lit(_KEY_BUCKETS)).cast("int")
+
     def apply(batch: DataFrame, batch_id: int) -> None:
         first = first_per_key(batch, keys, [F.col(event_time).asc_nulls_last(), F.xxhash64(*batch.columns)])
+        first = written(first.select(*batch.columns, hashed.alias(_HASH)), "first")
+        kept = first
         if batch_id:
-            stored = batch.sparkSession.read.schema(T.StructType([*batch.schema.fields, _BATCH])).parquet(path)
-            first = first.join(stored.filter(F.col("batch") < batch_id).select(*keys), keys, "left_anti")
-        first.select(*batch.columns).write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+            touched = [r[0] for r in first.select(_HASH).distinct().collect()]
+            layout = T.StructType([*batch.schema.fields, _BATCH, T.StructField(_HASH, T.IntegerType())])
+            stored = batch.sparkSession.read.schema(layout).parquet(path).filter(F.col(_HASH).isin(touched))
+            kept = first.join(stored.filter(F.col("batch") < batch_id).select(*keys), keys, "left_anti")
+        (kept.select(*batch.columns, _HASH).hint("rebalance", F.col(_HASH)).write.mode("overwrite").partitionBy(_HASH)
+         .parquet(f"{path}/batch={batch_id}"))
 
     return _each_batch(stream, checkpoint, apply)
 
@@ -123,6 +136,62 @@ def label_predictions(predictions: DataFrame, outcomes: DataFrame, delay: str, h
                     "predicted_at", "decided_at"))
 
 
+class LateLabels:
+    """Predictions with the outcomes of their contests, whichever comes first and however late the other is.
+
+    Three keyed tables below ``root``: predictions and outcomes as they came, and ``labelled``. A batch reads and rewrites
+    only the contests it concerns, from the first two tables, so that neither the order nor the number of batches matters,
+    and one that is delivered again changes nothing. A prediction keeps a label that it came with; of several copies of a
+    key the earliest counts, of equally early ones the first by content. Rows without a contest are left out. With
+    ``horizon`` an outcome counts only if it was decided no earlier than the prediction and within that time.
+    """
+
+    KEYS = ("game_id", "model_version_id")
+    PREDICTION = T.StructType([f for f in GAME_PREDICTIONS.fields if f.name != "predicted_home_win_prob"]
+                              + [T.StructField("predicted_home_win_prob", T.DoubleType())])
+    OUTCOME = T.StructType([T.StructField("game_id", T.StringType()), T.StructField("decided_at", T.TimestampType()),
+                            T.StructField("home_win", T.BooleanType())])
+
+    def __init__(self, spark: SparkSession, root: str, horizon: str | None = None):
+        def table(name: str, schema: T.StructType, keys: Sequence[str]) -> SnapshotTable:
+            return SnapshotTable(spark, f"{root.rstrip('/')}/{name}", schema, keys, buckets=_CONTEST_BUCKETS, bucket_by=["game_id"])
+
+        self.predictions = table("predictions", self.PREDICTION, self.KEYS)
+        self.outcomes = table("outcomes", self.OUTCOME, ["game_id"])
+        self.labelled = table("labelled", self.PREDICTION, self.KEYS)
+        self.horizon = horizon
+
+    def follow(self, predictions: DataFrame, outcomes: DataFrame, checkpoint: str) -> StreamingQuery:
+        """Take in everything that has arrived on both streams since the last run."""
+        both = (predictions.select(*self.PREDICTION.names).withColumn("_decided", F.lit(False))
+                .unionByName(outcomes.select(*self.OUTCOME.names).withColumn("_decided", F.lit(True)), allowMissingColumns=True))
+        return _each_batch(both, checkpoint, lambda batch, _: self.take_in(batch))
+
+    def take_in(self, batch: DataFrame) -> None:
+        rows = written(batch.filter(F.col("game_id").isNotNull()), "late-labels")
+        contests = rows.select("game_id").distinct()
+        self._keep_earliest(self.predictions, rows.filter(~F.col("_decided")), "predicted_at")
+        self._keep_earliest(self.outcomes, rows.filter("_decided"), "decided_at")
+        asked = self.predictions.read_where(contests).join(contests, "game_id", "left_semi")
+        known = self.outcomes.read_where(contests)
+        counts = F.lit(True)
+        if self.horizon:
+            counts = F.col("decided_at").between(F.col("predicted_at"), F.col("predicted_at") + F.expr(f"INTERVAL {self.horizon}"))
+        label = F.coalesce("actual_label", F.when(counts, F.col("home_win")))
+        self.labelled.upsert(asked.join(known, "game_id", "left").withColumn("actual_label", label).select(*self.PREDICTION.names))
+        for table in (self.predictions, self.outcomes, self.labelled):
+            table.compact()
+
+    @staticmethod
+    def _keep_earliest(table: SnapshotTable, rows: DataFrame, when: str) -> None:
+        columns = table.schema.names
+        both = rows.select(*columns).unionByName(
+            table.read_where(rows).join(rows.select(*table.keys).distinct(), table.keys, "left_semi"))
+        order = [F.col(when).asc_nulls_last(), *[F.col(c).asc_nulls_last() for c in columns]]
+        # staged, since the table that is read is the one that is written
+        table.upsert(written(first_per_key(both, table.keys, order), "earliest"))
+
+
 def append_to(df: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
     """Write an append-mode result as Parquet and stop when everything present has been read."""
     return (df.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint)

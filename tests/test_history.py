@@ -153,6 +153,32 @@ def test_ntile_equals_the_window_with_ties(spark, distinct):
     assert rows(ntile(df, 4, "x", ["id"], "q"), "id", "q") == rows(want, "id", "q")
 
 
+@pytest.mark.parametrize("kind", ["double", "decimal(9,2)", "bigint", "string", "date"])
+def test_ntile_of_odd_values_by_two_ties(spark, kind):
+    """Infinite, absent, negative, tiny and repeated values; five buckets; ties of another type with NULL among them."""
+    from pyspark.sql import Window as W
+    rng = random.Random(3)
+    odd = [float("inf"), float("-inf"), float("nan"), 0.0, -0.0, 5e-324, -1e300, 1e300, None, -2.5]
+    values = [rng.choice(odd) if rng.random() < 0.5 else rng.gauss(0, 50) for _ in range(700)]
+    table = spark.createDataFrame([(i, v, rng.choice([None, "a", "abcd", "abcde", "b"])) for i, v in enumerate(values)],
+                                  "id long, v double, t string")
+    x = F.col("v")
+    if kind != "double":
+        x = F.when(~F.isnan("v") & (F.abs("v") < 1000), F.round("v", 2))
+        x = F.date_add(F.lit("2000-01-01"), x.cast("int")) if kind == "date" else x.cast(kind)
+    df = table.select("id", "t", x.alias("x"))
+    by = [F.col(c).asc_nulls_last() for c in ("x", "t", "id")]
+    want = df.withColumn("q", F.ntile(5).over(W.orderBy(*by)))
+    assert rows(ntile(df, 5, "x", ["t", "id"], "q"), "id", "q") == rows(want, "id", "q")
+
+
+def test_building_ntile_starts_no_job(spark):
+    df = spark.range(100).withColumn("x", F.col("id") % 3)
+    before = spark.sparkContext.statusTracker().getJobIdsForGroup(None)
+    ntile(df, 4, "x", ["id"], "q")
+    assert list(spark.sparkContext.statusTracker().getJobIdsForGroup(None)) == list(before)
+
+
 def test_prefix_sums(spark):
     df = spark.range(500).select(F.xxhash64("id").alias("o"), (F.col("id") % 11).alias("v"))
     total, want = 0, []

@@ -98,6 +98,42 @@ def test_predictions_meet_late_outcomes(spark, tmp_path):
         ("a", 1, True), ("a", 2, True)]
 
 
+def test_outcomes_of_any_lateness_find_their_predictions(spark, tmp_path):
+    """In any order, with copies, outcomes that come first or a year later, and once more: always the same table."""
+    t = datetime(2024, 1, 1)
+    asked = [("a", 1, 0.6, True, None, t), ("a", 2, 0.4, False, None, t), ("b", 1, 0.5, True, None, t + timedelta(days=1)),
+             ("c", 1, 0.5, True, False, t), ("d", 1, 0.2, False, None, t), ("a", 1, 0.9, True, None, t + timedelta(hours=1)),
+             (None, 1, 0.5, True, None, t), ("e", 1, 0.5, True, None, t + timedelta(days=3))]
+    decided = [("a", t + timedelta(days=2), True), ("b", t + timedelta(days=400), True), ("c", t, True), ("x", t, False),
+               ("a", t + timedelta(days=5), False), ("e", t, True)]
+    want = [("a", 1, 0.6, True), ("a", 2, 0.4, True), ("b", 1, 0.5, True), ("c", 1, 0.5, False), ("d", 1, 0.2, None)]
+    outcome = "game_id string, decided_at timestamp, home_win boolean"
+    for order, horizon in ((1, None), (-1, None), (1, "14 DAYS")):
+        folder = tmp_path / f"{order}{horizon is None}"
+        labels = jobs.LateLabels(spark, str(folder), horizon)
+        predictions = stream_of(spark, folder / "p", PREDICTIONS, [[r] for r in asked[::order]])
+        outcomes = stream_of(spark, folder / "o", outcome, [decided[::order][:2], decided[::order][2:]])
+        for progress in ("progress", "again"):
+            labels.follow(predictions, outcomes, str(folder / progress)).awaitTermination()
+            got = rows(labels.labelled.read(), "game_id", "model_version_id", "predicted_home_win_prob", "actual_label")
+            # beyond the horizon is the outcome of b, before the prediction that of e
+            assert got == ([*want, ("e", 1, 0.5, True)] if horizon is None else
+                           [*want[:2], ("b", 1, 0.5, None), *want[3:], ("e", 1, 0.5, None)])
+
+
+def test_a_batch_of_first_deliveries_lies_by_hash_of_its_keys(spark, tmp_path):
+    t = datetime(2024, 1, 1)
+    schema = "player_id long, game_id string, points int, arrived timestamp"
+    batches = [[(i, "a", 1, t) for i in range(200)], [(7, "a", 2, t), (500, "a", 2, t)]]
+    out = str(tmp_path / "out")
+    stream = stream_of(spark, tmp_path / "in", schema, batches)
+    jobs.first_deliveries(stream, ["player_id", "game_id"], "arrived", out, str(tmp_path / "progress")).awaitTermination()
+    stored = spark.read.parquet(out)
+    assert stored.count() == 201 and stored.filter("points = 2").count() == 1
+    assert {p.name.split("=")[0] for p in (tmp_path / "out" / "batch=0").iterdir() if p.is_dir()} == {"hash_of_key"}
+    assert len(list((tmp_path / "out" / "batch=1").glob("hash_of_key=*"))) == 1
+
+
 @pytest.fixture
 def view(spark):
     spark.range(20).createOrReplaceTempView("numbers")
