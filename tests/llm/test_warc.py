@@ -12,7 +12,7 @@ SCHEMA = "page_id long, url string, html string, digest string"
 ROWS = [(1, "http://a/", "<p>same</p>", "x"), (5, "http://b/?q=1#é\r\nX: y", "<p>same</p>", None), (3, None, "<p>same</p>", ""),
         (7, "u%41", None, "x"), (2, "", "", "x"), (4, "http://c/", "é" * 70_000, "x"), (4, "http://c/", "é" * 70_000, "x"),
         (6, "d", "\r\n\r\nContent-Length: 5\r\n", "x"), (None, "n", "null id", "x"), (None, "n", "null id", "x"),
-        (None, "m", "<p>same</p>", "x"), (-9, "neg", "-", "x")]
+        (None, "m", "<p>same</p>", "x"), (-9, "neg", "-", "x"), (8, "http://null/", None, "x")]
 
 
 def plain(rows, min_bytes=0):
