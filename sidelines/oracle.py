@@ -412,6 +412,7 @@ _SQL = {
                {_r('CASE WHEN k % 5 < 3 THEN prob ELSE 1 - prob END', 6, 'predicted_home_win_prob')},
                predicted_label, known AS actual_label FROM predictions""",
     "bio_backlog": "SELECT player_id, full_name FROM players WHERE birth_date IS NULL",
+    "bio_backlog_next": "SELECT player_id, full_name FROM players WHERE birth_date IS NULL ORDER BY player_id LIMIT 500",
     "bio_update": """
         SELECT p.player_id, full_name, coalesce(p.birth_date, b.birth_date) AS birth_date,
                CASE WHEN p.birth_date IS NULL THEN position END AS position,

@@ -368,6 +368,12 @@ def bio_backlog(d):
     return loaders.bio_backlog(d.players)
 
 
+@query
+def bio_backlog_next(d):
+    """The players that the next run of the biography job asks for: the limit is the feature."""
+    return loaders.bio_backlog(d.players, 500)
+
+
 @query
 def bio_update(d):
     columns = {c: F.lit(None).cast(t) for c, t in
