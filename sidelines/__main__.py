@@ -10,12 +10,13 @@ from sidelines.plans import models
 from sidelines.plans.sqlfiles import run_files
 from sidelines.schemas import SCHEMAS
 from sidelines.session import get_session
-from sidelines.sources.warehouse import preview
+from sidelines.sources.warehouse import materialize, preview
 
 
 def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     parser = argparse.ArgumentParser(prog="sidelines")
     parser.add_argument("--root", required=True, help="folder of the warehouse")
+    parser.add_argument("--strict", action="store_true", help="hold the landed feed against stored teams and players, too")
     jobs = parser.add_subparsers(dest="job", required=True)
     jobs.add_parser("load-bulk").add_argument("folder")
     landed = jobs.add_parser("load-landed")
@@ -41,6 +42,7 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     jobs.add_parser("update-monitoring")
     jobs.add_parser("accuracy").add_argument("--model")
     jobs.add_parser("analytics")
+    jobs.add_parser("dashboard").add_argument("out", help="folder that gets a Parquet table for each of the dashboard's")
     sql = jobs.add_parser("run-sql")
     sql.add_argument("folder")
     sql.add_argument("--file")
@@ -53,7 +55,7 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
 def main(argv: list[str] | None = None) -> None:
     args = arguments(argv)
     spark = get_session()
-    jobs = Jobs(spark, args.root)
+    jobs = Jobs(spark, args.root, args.strict)
 
     def show(df) -> None:
         preview(df).show(truncate=False)
@@ -90,6 +92,9 @@ def main(argv: list[str] | None = None) -> None:
             for name, build in jobs.analytic_queries().items():
                 print(f"== {name}")
                 show(build())
+        case "dashboard":
+            for name, build in jobs.dashboard().items():
+                materialize(build(), f"{args.out}/{name}")
         case "run-sql":
             for name in SCHEMAS:
                 jobs.tables[name].read().createOrReplaceTempView(name)

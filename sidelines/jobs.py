@@ -9,16 +9,16 @@ from functools import partial
 from pyspark.sql import DataFrame, SparkSession
 
 from sidelines.plans import analytics, dashboard, features, incremental, loaders, models, monitoring
-from sidelines.schemas import SCHEMAS
+from sidelines.schemas import REFERENCES, SCHEMAS
 from sidelines.sources import files
 from sidelines.sources.warehouse import materialize
 from sidelines.streaming import jobs as streams
 
 
 class Jobs:
-    def __init__(self, spark: SparkSession, root: str):
+    def __init__(self, spark: SparkSession, root: str, strict: bool = False):
         self.spark, self.root = spark, root.rstrip("/")
-        self.tables = loaders.WarehouseTables(spark, f"{self.root}/tables")
+        self.tables = loaders.WarehouseTables(spark, f"{self.root}/tables", strict)
 
     def _derived(self, name: str) -> str:
         return f"{self.root}/derived/{name}"
@@ -66,7 +66,7 @@ class Jobs:
 
     def maintain(self, most_deltas: int = 8) -> None:
         """Merge what evenings have written, and remove files that nobody needs any more."""
-        for name in (*SCHEMAS, *[f"{name}{loaders.WAITING}" for name in loaders.OF_A_CONTEST]):
+        for name in (*SCHEMAS, *[f"{name}{loaders.WAITING}" for name in REFERENCES]):
             self.tables[name].compact(most_deltas)
             self.tables[name].vacuum()
         self.features().compact(most_deltas)
@@ -130,6 +130,25 @@ class Jobs:
     def decline_flags(self) -> DataFrame:
         return dashboard.decline_flags(self.derived("player_game_features"))
 
+    def dashboard(self) -> dict[str, Callable[[], DataFrame]]:
+        """The tables of the dashboard's pages by name, over what is stored; a table is built when it is called."""
+        stored = {name: partial(self.derived, name) for name in (incremental.TEAM_TABLE, incremental.PLAYER_TABLE)}
+        team, player = stored[incremental.TEAM_TABLE], stored[incremental.PLAYER_TABLE]
+        games, teams, stats = [self.tables[name].read() for name in ("games", "teams", "player_game_stats")]
+        return {
+            "home_edge": lambda: analytics.home_edge(games, teams),
+            "team_trend": lambda: dashboard.team_trend(team(), teams),
+            "b2b_count": lambda: dashboard.back_to_back_count(team(), teams),
+            "b2b_summary": lambda: analytics.back_to_back_summary(team(), stats),
+            "form_buckets": lambda: analytics.form_buckets(team()),
+            "decline_flags": lambda: dashboard.decline_flags(player()),
+            "risk_landscape": lambda: dashboard.risk_landscape(player()),
+            "gap_histogram": lambda: dashboard.gap_histogram(player()),
+            "load_quartile_dashboard": lambda: analytics.load_quartile_dashboard(player()),
+            "player_names": lambda: dashboard.distinct_sorted(player(), "full_name"),
+            "player_trend": lambda: dashboard.player_trend(player()),
+        }
+
     def analytic_queries(self) -> dict[str, Callable[[], DataFrame]]:
         """By name; a query is built when it is called."""
         read = {name: self.tables[name].read() for name in ("teams", "players", "games", "player_game_stats",

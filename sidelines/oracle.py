@@ -438,6 +438,75 @@ _SQL = {
         SELECT g.game_id, g.game_date, g.season, g.home_team_id, g.away_team_id, h.score AS home_score, a.score AS away_score
         FROM games g LEFT JOIN day_scores h ON h.game_date = g.game_date AND h.team_id = g.home_team_id
         LEFT JOIN day_scores a ON a.game_date = g.game_date AND a.team_id = g.away_team_id""",
+    "bulk_load_teams": "SELECT * FROM bulk_teams",
+    "bulk_load_players": "SELECT * FROM bulk_players",
+    "bulk_load_games": """
+        SELECT *, 'Regular Season' AS season_type, home_score > away_score AS home_win FROM bulk_games""",
+    "bulk_load_stats": """
+        SELECT player_id, game_id, team_id, minutes, points, CAST(0 AS DOUBLE) AS rebounds, fgm, fga, ftm, fta,
+               CAST(plus_minus AS DOUBLE) AS plus_minus, l_linenumber <= 2 AS started
+        FROM judged_lines WHERE reason IS NULL AND waits IS NULL""",
+    "bulk_load_report": """
+        SELECT DISTINCT 'teams' AS table_name, 'no conference for ' || abbreviation AS reason, CAST(0 AS BIGINT) AS n_rows
+        FROM bulk_teams WHERE conference IS NULL
+        UNION ALL SELECT 'teams', 'missing team_id or abbreviation or name',
+                         CAST(sum(CASE WHEN s_suppkey % 5 = 0 THEN 2 ELSE 1 END) AS BIGINT)
+                  FROM supplier WHERE s_suppkey % 23 <> 5 AND s_suppkey % 7 = 3 HAVING count(*) > 0
+        UNION ALL SELECT 'teams', 'repeated key', count(*) FROM bulk_teams WHERE team_id % 5 = 0 HAVING count(*) > 0
+        UNION ALL SELECT 'players', 'earlier season', count(*) - count(DISTINCT player_id) FROM rosters
+                  HAVING count(*) > count(DISTINCT player_id)
+        UNION ALL SELECT 'players', reason, count(*) FROM judged_players WHERE reason IS NOT NULL GROUP BY 2
+        UNION ALL SELECT 'games', reason, count(*) FROM judged_games WHERE reason IS NOT NULL GROUP BY 2
+        UNION ALL SELECT 'games', 'repeated key', count(*) - count(DISTINCT game_id) FROM judged_games WHERE reason IS NULL
+                  HAVING count(*) > count(DISTINCT game_id)
+        UNION ALL SELECT 'games', 'waits for its team', count(*) FROM sound_games
+                  WHERE game_id NOT IN (SELECT game_id FROM bulk_games) HAVING count(*) > 0
+        UNION ALL SELECT 'player_game_stats', reason, CAST(sum(copies) AS BIGINT) FROM judged_lines
+                  WHERE reason IS NOT NULL GROUP BY 2
+        UNION ALL SELECT 'player_game_stats', 'repeated key', CAST(sum(copies - 1) AS BIGINT) FROM judged_lines
+                  WHERE reason IS NULL HAVING sum(copies - 1) > 0
+        UNION ALL SELECT 'player_game_stats', waits, count(*) FROM judged_lines
+                  WHERE reason IS NULL AND waits IS NOT NULL GROUP BY 2""",
+    "bulk_load_waiting": """
+        SELECT player_id, NULL::VARCHAR AS game_id FROM judged_players WHERE reason = 'waits for its team'
+        UNION ALL SELECT NULL, game_id FROM sound_games WHERE game_id NOT IN (SELECT game_id FROM bulk_games)
+        UNION ALL SELECT player_id, game_id FROM judged_lines WHERE reason IS NULL AND waits IS NOT NULL""",
+    "landed_load_games": "SELECT * FROM landed_games",
+    "landed_load_stats": "SELECT * FROM landed_stats",
+    "landed_load_tracking": """
+        SELECT player_id, game_id, distance_miles, round(avg_speed_mph, 2) AS avg_speed_mph, CAST(0 AS DOUBLE) AS touches
+        FROM landed_tracking WHERE reason IS NULL""",
+    "landed_load_report": """
+        SELECT 'player_tracking_stats' AS table_name, reason, count(*) AS n_rows FROM landed_tracking
+        WHERE reason IS NOT NULL GROUP BY 2""",
+    "stream_landing": """
+        SELECT s.*, home_score, away_score FROM landed_stats s JOIN landed_games g ON g.game_id = s.game_id""",
+    "bio_still_missing": "SELECT player_id, full_name FROM players WHERE birth_date IS NULL AND player_id % 3 = 0",
+    "full_replace": f"""
+        SELECT s.player_id, s.game_id, {_r('minutes + 5 * coalesce(distance_miles, 0)', 6, 'load_index')}
+        FROM stats s LEFT JOIN tracking t ON t.player_id = s.player_id AND t.game_id = s.game_id
+        WHERE minutes + 5 * coalesce(distance_miles, 0) >= 20""",
+    "preview_rows": "SELECT DISTINCT full_name FROM players WHERE full_name IS NOT NULL ORDER BY 1 LIMIT 15",
+    "records_output": "SELECT * FROM players",
+    "sql_file": """
+        SELECT home_team_id AS team_id, 'a;b' AS mark, count(*) AS n_games, CAST(sum(home_score) AS BIGINT) AS points
+        FROM done GROUP BY 1""",
+    "player_trend": f"""
+        SELECT full_name, game_date, player_id, game_id, {_r('rolling_ts_pct')}, {_r('season_to_date_ts_pct')}
+        FROM pf WHERE full_name IS NOT NULL""",
+    "monitoring_log": f"""
+        SELECT model_version_id, week_start, n_predictions, {_r('accuracy', 4)}, {_r('log_loss', 4)}, {_r('brier_score', 4)}
+        FROM weekly""",
+    "prediction_log": """
+        SELECT game_id, model_version_id, predicted_label, actual AS actual_label,
+               CASE WHEN model_version_id = 1 THEN prob ELSE prob / 2 END AS predicted_home_win_prob
+        FROM labelled""",
+    "model_registry": """
+        SELECT DISTINCT 1 + o_orderkey % 2 AS model_version_id,
+               CASE WHEN o_orderkey % 2 = 0 THEN 'game_outcome_logreg' ELSE 'game_outcome_xgb' END AS model_name,
+               CASE WHEN o_orderkey % 2 = 0 THEN 'v1' ELSE 'v2' END AS version_tag
+        FROM orders
+        UNION ALL SELECT 1 + max(1 + o_orderkey % 2), 'game_outcome_xgb', 'v3' FROM orders""",
     "backfill_labels": """
         SELECT game_id, model_version_id, prob AS predicted_home_win_prob, predicted_label, actual AS actual_label
         FROM labelled""",
@@ -513,6 +582,50 @@ _SQL = {
         FROM orders""",
 }
 
+# What the bulk files of ``sources.deliveries`` come to.
+_CTE["bulk_teams"] = """
+    SELECT s.s_suppkey AS team_id, c.abbreviation, s_name AS name, conference, division
+    FROM supplier s JOIN codes c ON c.s_suppkey = s.s_suppkey LEFT JOIN lookup l ON l.abbreviation = c.abbreviation
+    WHERE s.s_suppkey % 23 <> 5 AND s.s_suppkey % 7 <> 3"""
+_CTE["rosters"] = """
+    SELECT player_id, season, min(full_name) AS full_name, min(team_id) AS team_id FROM raw_players
+    WHERE player_id % 16 <> 1 GROUP BY 1, 2"""
+_CTE["judged_players"] = """
+    SELECT *, CASE WHEN full_name IS NULL THEN 'missing player_id or full_name'
+                   WHEN team_id NOT IN (SELECT team_id FROM bulk_teams) THEN 'waits for its team' END AS reason
+    FROM (SELECT player_id, full_name, arg_max(coalesce(team_id, -1), season) AS team FROM rosters GROUP BY 1, 2
+          UNION ALL SELECT DISTINCT player_id, full_name, -1 FROM raw_players WHERE player_id % 16 = 1)
+         , LATERAL (SELECT nullif(team, -1) AS team_id)"""
+_CTE["bulk_players"] = "SELECT player_id, full_name, team_id FROM judged_players WHERE reason IS NULL"
+_CTE["sound_games"] = """
+    SELECT DISTINCT game_id, game_date, season, home_team_id, away_team_id, home_score, away_score FROM judged_games
+    WHERE reason IS NULL"""
+_CTE["bulk_games"] = """
+    SELECT * FROM sound_games WHERE home_team_id IN (SELECT team_id FROM bulk_teams)
+    AND away_team_id IN (SELECT team_id FROM bulk_teams)"""
+_CTE["bulk_lines"] = f"""
+    SELECT player_id, game_id, CASE WHEN player_id % 16 <> 1 THEN team_id END AS team_id, minutes, points, fgm, fga, ftm, fta,
+           plus_minus, l_linenumber, CASE WHEN l_linenumber = 1 THEN 2 ELSE 1 END AS copies
+    FROM raw_stats QUALIFY row_number() OVER (PARTITION BY player_id, game_id ORDER BY {_KEPT_ORDER}) = 1"""
+_CTE["judged_lines"] = """
+    SELECT *, CASE WHEN team_id IS NULL THEN 'missing player_id or game_id or team_id' WHEN fgm > fga THEN 'fgm > fga' END AS reason,
+           CASE WHEN game_id NOT IN (SELECT game_id FROM bulk_games) THEN 'waits for its contest'
+                WHEN player_id NOT IN (SELECT player_id FROM bulk_players) THEN 'waits for its player'
+                WHEN team_id NOT IN (SELECT team_id FROM bulk_teams) THEN 'waits for its team' END AS waits
+    FROM bulk_lines"""
+_CTE["landed_stats"] = """
+    SELECT s.player_id, s.game_id, s.team_id, round(minutes + CAST(s.game_id AS BIGINT) % 60 / 60, 2) AS minutes,
+           CAST(points AS DOUBLE) AS points, CAST(0 AS DOUBLE) AS rebounds, CAST(fgm AS DOUBLE) AS fgm, CAST(fga AS DOUBLE) AS fga,
+           CAST(fta AS DOUBLE) AS ftm, CAST(fta AS DOUBLE) AS fta, CAST(0 AS DOUBLE) AS plus_minus, fta = 1 AS started
+    FROM stats s JOIN games g ON g.game_id = s.game_id"""
+_CTE["landed_games"] = """
+    SELECT g.game_id, g.game_date, g.season, g.home_team_id, g.away_team_id, h.score AS home_score, a.score AS away_score,
+           h.score > a.score AS home_win
+    FROM games g LEFT JOIN day_scores h ON h.game_date = g.game_date AND h.team_id = g.home_team_id
+    LEFT JOIN day_scores a ON a.game_date = g.game_date AND a.team_id = g.away_team_id"""
+_CTE["landed_tracking"] = f"""
+    SELECT t.* FROM judged_tracking t JOIN games g ON g.game_id = t.game_id
+    QUALIFY row_number() OVER (PARTITION BY t.player_id, t.game_id ORDER BY {_KEPT_ORDER}) = 1"""
 _CTE["day_scores"] = """
     SELECT game_date, team_id, arg_max(team_score, game_id) AS score FROM long WHERE team_score IS NOT NULL GROUP BY 1, 2"""
 
@@ -533,6 +646,9 @@ def _needed(sql: str, found: list[str]) -> list[str]:
     return found
 
 
+_SQL["bio_enrichment"] = _SQL["bio_update"]
+
+
 def oracle_sql() -> dict[str, str]:
     complete = {}
     for name, sql in _SQL.items():

@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 from sidelines.functions import scalars as S
 from sidelines.operators.keyed import first_per_key
@@ -52,17 +53,25 @@ def risk_landscape(player_features: DataFrame) -> DataFrame:
 def gap_histogram(player_features: DataFrame, bins: int = HISTOGRAM_BINS) -> DataFrame:
     """Players per equal-width bin of the decline gap; the largest value belongs to the last bin.
 
-    The gap is taken in whole millionths, so that a value on the edge of a bin falls on the same side of it
-    however its digits came about.
+    The gap is taken in whole millionths, so that a value on the edge of a bin falls on the same side of it however its
+    digits came about. So there are some millions of distinct gaps at most, and one window over their counts finds the limits.
     """
-    gaps = (latest_per_player(player_features).select("decline_gap").dropna()
-            .select((F.round(F.col("decline_gap").cast("decimal(28,9)"), 6) * 1_000_000).cast("long").alias("gap")))
-    low = gaps.agg(F.min("gap")).scalar()
-    high = gaps.agg(F.max("gap")).scalar()
-    bin_ = F.when(low == high, F.lit(1)).otherwise(
-        F.least(F.floor(F.try_divide((F.col("gap") - low) * bins, high - low)) + 1, F.lit(bins)))
-    return (gaps.select(bin_.cast("int").alias("bin")).groupBy("bin")
-            .agg(F.count("*").alias("n_players")).orderBy("bin"))
+    counts = (latest_per_player(player_features).select("decline_gap").dropna()
+              .select((F.round(F.col("decline_gap").cast("decimal(28,9)"), 6) * 1_000_000).cast("long").alias("gap"))
+              .groupBy("gap").agg(F.count("*").alias("n")))
+    everything = W.partitionBy()
+    limits = counts.withColumns({"low": F.min("gap").over(everything), "high": F.max("gap").over(everything)})
+    bin_ = F.when(F.col("low") == F.col("high"), F.lit(1)).otherwise(
+        F.least(F.floor(F.try_divide((F.col("gap") - F.col("low")) * bins, F.col("high") - F.col("low"))) + 1, F.lit(bins)))
+    return (limits.select(bin_.cast("int").alias("bin"), "n").groupBy("bin")
+            .agg(F.sum("n").alias("n_players")).orderBy("bin"))
+
+
+def player_trend(player_features: DataFrame, names: Sequence[str] | None = None) -> DataFrame:
+    """Recent form and season so far of the chosen players, by date."""
+    return (pick(player_features, "full_name", names).dropna(subset=["full_name"])
+            .select("full_name", "game_date", "player_id", "game_id", "rolling_ts_pct", "season_to_date_ts_pct")
+            .orderBy("full_name", "game_date", "player_id", "game_id"))
 
 
 def with_team_names(team_features: DataFrame, teams: DataFrame) -> DataFrame:

@@ -12,8 +12,8 @@ from pyspark.sql import types as T
 
 from sidelines.functions import scalars as S
 from sidelines.operators import quality as Q
-from sidelines.operators.keyed import first_per_key, missing_references
-from sidelines.schemas import BUCKETS, KEYS, PARTS, SCHEMAS
+from sidelines.operators.keyed import first_per_key
+from sidelines.schemas import BUCKETS, KEYS, PARTS, REFERENCES, SCHEMAS
 from sidelines.sources import files
 from sidelines.sources.conferences import conference_lookup
 from sidelines.sources.snapshots import SnapshotTable
@@ -26,10 +26,11 @@ STAT_COLUMNS = {"pts": "points", "reb": "rebounds", "oreb": "offensive_reb", "dr
 
 
 class WarehouseTables:
-    """The keyed tables under one folder."""
+    """The keyed tables under one folder. A bulk load brings teams and players along, so its rows are always held against them;
+    with ``strict`` so are the rows of the landed feed, which otherwise need their contest only."""
 
-    def __init__(self, spark: SparkSession, root: str):
-        self.spark, self.root = spark, root.rstrip("/")
+    def __init__(self, spark: SparkSession, root: str, strict: bool = False):
+        self.spark, self.root, self.strict = spark, root.rstrip("/"), strict
 
     def __getitem__(self, name: str) -> SnapshotTable:
         path, name = f"{self.root}/{name}", name.removesuffix(WAITING)
@@ -47,17 +48,17 @@ class WarehouseTables:
 
 
 LOAD_REPORT = "run string, table_name string, reason string, n_rows long"
-# Which tables refer to contests.
-OF_A_CONTEST = ("player_game_stats", "player_tracking_stats")
-WAITING = "_waiting"  # behind a table's name: rows whose contest is not known yet
+# What a row of a referenced table is called in the report.
+REFERRED = {"games": "contest", "players": "player", "teams": "team"}
+WAITING = "_waiting"  # behind a table's name: rows that name something that is not stored yet
 
 
 def _store(tables: WarehouseTables, name: str, typed: DataFrame, run: str, delivery: str | None = None,
-           referring: bool = False) -> DataFrame:
+           referring: Collection[str] = ()) -> DataFrame:
     """Report what the rules of a table and its keys leave out of ``typed``, and upsert the rest, which is returned.
 
-    The rows are staged once. With ``referring`` those whose contest is not stored are set aside and reported; those set
-    aside before whose contest has arrived come with the rest.
+    The rows are staged once. Those that name a row of the tables ``referring`` which is not stored are set aside and reported;
+    those set aside before for which everything has arrived come with the rest.
     """
     rows = written(Q.numeric_stats(typed) if name == "player_game_stats" else typed, f"load-{name}")
     rules = {"teams": lambda: Q.team_rules(), "players": lambda: Q.player_rules(), "games": lambda: Q.game_rules(rows),
@@ -71,28 +72,50 @@ def _store(tables: WarehouseTables, name: str, typed: DataFrame, run: str, deliv
         good = with_home_win(good)
     # written at once: Catalyst would follow the hash that orders the copies through every cast of its columns
     good = written(good, f"sound-{name}")
-    if referring:
-        good = written(_with_referred(tables, name, good, run), f"referred-{name}")
+    references = {column: parent for column, parent in REFERENCES.get(name, {}).items() if parent in referring}
+    if references:
+        good = written(_with_referred(tables, name, good, run, references), f"referred-{name}")
     tables[name].upsert(good, delivery)
     return good
 
 
-def _with_referred(tables: WarehouseTables, name: str, rows: DataFrame, run: str) -> DataFrame:
-    """``rows``, and those that have waited, as far as their contests are stored; the others wait, reported as new ones."""
-    waiting, keys, contests = tables[f"{name}{WAITING}"], KEYS[name], tables["games"].read().select("game_id")
+def _with_referred(tables: WarehouseTables, name: str, rows: DataFrame, run: str, references: dict[str, str]) -> DataFrame:
+    """``rows``, and those that have waited, as far as what they refer to is stored; the others wait, reported as new ones."""
+    waiting, keys = tables[f"{name}{WAITING}"], KEYS[name]
     typed = rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in SCHEMAS[name].fields if f.name in rows.columns])
-    orphans = written(missing_references(typed, "game_id", contests, "game_id"), "orphans")
-    n = orphans.agg(F.count("*").alias("n_rows")).filter("n_rows > 0")
-    tables.report(run, name, n.select(F.lit("waits for its contest").alias("reason"), "n_rows"))
+    judged = written(_with_missing(tables, typed, references), f"judged-{name}")
+    kept, orphans = judged.filter("missing is null").drop("missing"), judged.filter("missing is not null")
+    reason = F.concat(F.lit("waits for its "), "missing").alias("reason")
+    tables.report(run, name, orphans.groupBy(reason).agg(F.count("*").alias("n_rows")))
     # a newer row takes the place of one that waits
     waited = waiting.read().join(typed.select(*keys), keys, "left_anti")
-    released = written(waited.join(contests, "game_id", "left_semi"), "released")
+    released = written(_with_missing(tables, waited, references).filter("missing is null").drop("missing"), "released")
+    what = " or ".join(dict.fromkeys(REFERRED[parent] for parent in references.values()))
     n = released.agg(F.count("*").alias("n_rows")).filter("n_rows > 0")
-    tables.report(run, name, n.select(F.lit("has waited for its contest and is kept now").alias("reason"), "n_rows"))
-    kept = typed.join(contests, "game_id", "left_semi")
-    waiting.upsert(orphans)
+    tables.report(run, name, n.select(F.lit(f"has waited for its {what} and is kept now").alias("reason"), "n_rows"))
+    waiting.upsert(orphans.drop("missing"))
     waiting.delete(released.select(*keys).union(kept.select(*keys)))
-    return kept.unionByName(released, allowMissingColumns=True)
+    return _with_stored(tables[name], kept.unionByName(released, allowMissingColumns=True),
+                        [c for c in released.columns if c not in kept.columns])
+
+
+def _with_stored(table: SnapshotTable, rows: DataFrame, columns: Collection[str]) -> DataFrame:
+    """``rows`` with the stored values of these columns where they have none: a delivery does not clear what it does not know."""
+    if not columns:
+        return rows
+    held = table.read_where(rows).select(*table.keys, *[F.col(c).alias(f"_{c}") for c in columns])
+    return (rows.join(held, table.keys, "left").withColumns({c: F.coalesce(c, f"_{c}") for c in columns})
+            .drop(*[f"_{c}" for c in columns]))
+
+
+def _with_missing(tables: WarehouseTables, rows: DataFrame, references: dict[str, str]) -> DataFrame:
+    """Add ``missing``: what the first reference that is set and leads nowhere stands for; NULL if there is none."""
+    columns, missing = rows.columns, []
+    for column, parent in references.items():
+        there = tables[parent].read().select(F.col(KEYS[parent][0]).alias(f"_{column}"))
+        rows = rows.join(there, F.col(column) == F.col(f"_{column}"), "left")
+        missing.append(F.when(F.col(column).isNotNull() & F.col(f"_{column}").isNull(), REFERRED[parent]))
+    return rows.select(*columns, F.coalesce(*missing, F.lit(None)).alias("missing"))
 
 
 def content_order(df: DataFrame) -> list[Column]:
@@ -160,8 +183,10 @@ def stats_from_bulk(raw: DataFrame) -> DataFrame:
         started.alias("started"))
 
 
-def load_bulk(spark: SparkSession, folder: str, tables: WarehouseTables, run: str | None = None) -> str:
-    """Teams, players, games and box scores, in the order of their references. Returns the run's name in the report."""
+def load_bulk(spark: SparkSession, folder: str, tables: WarehouseTables, run: str | None = None,
+              through: str = "player_game_stats") -> str:
+    """Teams, players, games and box scores, in the order of their references, up to the table ``through``. Returns the run's
+    name in the report."""
     folder, run = folder.rstrip("/"), run or new_run()
 
     def read(name: str, table: str) -> DataFrame:
@@ -169,15 +194,24 @@ def load_bulk(spark: SparkSession, folder: str, tables: WarehouseTables, run: st
         tables.report(run, table, damaged)
         return rows
 
-    details = read("games_details", "player_game_stats")
+    details, players = read("games_details", "player_game_stats"), read("players", "players")
     teams, lookup = read("teams", "teams"), conference_lookup(spark)
     unmapped = files.unmapped_keys(teams, lookup, "abbreviation")
     tables.report(run, "teams", unmapped.groupBy(F.concat(F.lit("no conference for "), "abbreviation").alias("reason"))
                   .agg(F.lit(0).cast("long").alias("n_rows")))  # the row is kept
     _store(tables, "teams", teams_from_bulk(teams, lookup), run)
-    _store(tables, "players", players_from_bulk(read("players", "players"), details), run)
-    _store(tables, "games", games_from_bulk(read("games", "games")), run)
-    _store(tables, "player_game_stats", stats_from_bulk(details), run, referring=True)
+    if through == "teams":
+        return run
+    if "season" in players.columns:
+        seasons = players.groupBy(S.whole("player_id")).count().agg(F.sum(F.col("count") - 1).alias("n_rows"))
+        tables.report(run, "players", seasons.filter("n_rows > 0").select(F.lit("earlier season").alias("reason"), "n_rows"))
+    _store(tables, "players", players_from_bulk(players, details), run, referring=REFERRED)
+    if through == "players":
+        return run
+    _store(tables, "games", games_from_bulk(read("games", "games")), run, referring=REFERRED)
+    if through == "games":
+        return run
+    _store(tables, "player_game_stats", stats_from_bulk(details), run, referring=REFERRED)
     return run
 
 
@@ -189,8 +223,8 @@ def new_run() -> str:
 
 def load_landed(spark: SparkSession, landing: str, tables: WarehouseTables, start: date, end: date,
                 run: str | None = None) -> DataFrame:
-    """Contests of a range of days, then the box scores and tracking rows of exactly these contests, whose ids are returned.
-    Of a landing zone with folders by day only the range's are read."""
+    """Contests of a range of days, then the box scores and tracking rows of exactly these contests. Returns the ids of the
+    contests that were loaded or got rows. Of a landing zone with folders by day only the range's are read."""
     landing, run, days = landing.rstrip("/"), run or new_run(), (start, end)
 
     def read(name: str, schema: T.StructType, counts: Collection[str] = ()) -> DataFrame:
@@ -198,21 +232,29 @@ def load_landed(spark: SparkSession, landing: str, tables: WarehouseTables, star
 
     header = files.in_range(read("header", files.HEADER_FEED), "GAME_DATE", *days)
     lines = files.in_range(read("line_score", files.LINE_SCORE_FEED), "GAME_DATE", *days)
-    wanted = _store(tables, "games", files.merge_scoreboard(header, lines), run).select("game_id")
-    box = files.canonical_box(read("box", files.BOX_FEED, files.BOX_COLUMNS))
-    upsert_box(tables, box.join(wanted, "game_id", "left_semi"), run)
-    tracking = files.canonical_tracking(read("tracking", files.TRACKING_FEED, files.TRACKING_COLUMNS))
-    upsert_tracking(tables, tracking.join(wanted, "game_id", "left_semi"), run)
-    return wanted
+    referring = REFERRED if tables.strict else ()
+    games = _store(tables, "games", files.merge_scoreboard(header, lines), run, referring=referring).select("game_id")
+    # the rows of a contest that has to wait wait themselves
+    wanted = header.select(S.pad_id("GAME_ID").alias("game_id")).distinct() if tables.strict else games
+    box = files.canonical_box(read("box", files.BOX_FEED, files.BOX_COLUMNS)).join(wanted, "game_id", "left_semi")
+    tracking = (files.canonical_tracking(read("tracking", files.TRACKING_FEED, files.TRACKING_COLUMNS))
+                .join(wanted, "game_id", "left_semi"))
+    stats = _store(tables, "player_game_stats", box, run, referring=referring).select("game_id")
+    tracked = _store(tables, "player_tracking_stats", tracking, run, referring=referring).select("game_id")
+    return games.union(stats).union(tracked).distinct() if tables.strict else games
 
 
 def take_in(tables: WarehouseTables, header: DataFrame, lines: DataFrame, box: DataFrame, tracking: DataFrame, run: str) -> DataFrame:
     """What has landed since the last time, in any order; returns the ids of the contests it concerns.
 
-    Scores may come without their header: then the stored contest of that day and team gets them, and keeps the other side's.
-    Box scores and tracking rows wait for their contest.
+    Scores may come without their header: then the stored contest of that day and team gets them, and keeps the other side's;
+    a contest whose header comes later gets the day's stored scores. Box scores and tracking rows wait for their contest.
     """
+    referring = REFERRED if tables.strict else ("games",)
     lines = written(lines, "landed-lines")
+    nowhere = [Q.required("GAME_DATE", "TEAM_ID")]
+    tables.report(run, "line_scores", Q.reject_report(lines, nowhere))
+    lines = _last_scores(tables["line_scores"], Q.clean(lines, nowhere), header)
     stored = tables["games"].read().join(lines.select(F.col("GAME_DATE").alias("game_date")).distinct(), "game_date", "left_semi")
     stored = written(stored, "contests-of-the-days")
     known = stored.select(F.col("game_date").alias("GAME_DATE"), F.col("game_id").alias("GAME_ID"),
@@ -223,18 +265,29 @@ def take_in(tables: WarehouseTables, header: DataFrame, lines: DataFrame, box: D
         F.col("game_date").alias("GAME_DATE"), F.lit(-1).cast("long").alias("SEQ"), F.col(team).alias("TEAM_ID"),
         F.col(score).cast("double").alias("PTS")) for team, score in (("home_team_id", "home_score"), ("away_team_id", "away_score"))]
     scores = lines.unionByName(before[0]).unionByName(before[1])
-    games = _store(tables, "games", files.merge_scoreboard(header, scores), run).select("game_id")
-    stats = _store(tables, "player_game_stats", files.canonical_box(box), run, referring=True).select("game_id")
-    tracked = _store(tables, "player_tracking_stats", files.canonical_tracking(tracking), run, referring=True).select("game_id")
+    merged = files.merge_scoreboard(header, scores)
+    both = F.col("home_score").isNotNull() & F.col("away_score").isNotNull()  # else the other side's score has yet to land
+    merged = merged.withColumns({score: F.when(both, F.col(score)) for score in ("home_score", "away_score")})
+    games = _store(tables, "games", merged, run, referring=referring).select("game_id")
+    stats = _store(tables, "player_game_stats", files.canonical_box(box), run, referring=referring).select("game_id")
+    tracked = _store(tables, "player_tracking_stats", files.canonical_tracking(tracking), run, referring=referring).select("game_id")
     return games.union(stats).union(tracked).distinct()
 
 
-def upsert_box(tables: WarehouseTables, box: DataFrame, run: str, delivery: str | None = None) -> None:
-    _store(tables, "player_game_stats", box, run, delivery)
+def _last_scores(table: SnapshotTable, lines: DataFrame, header: DataFrame) -> DataFrame:
+    """Store the landed scores, of a team and day the last one, and return those of all days that ``lines`` or ``header`` name."""
+    names = {"GAME_DATE": "game_date", "TEAM_ID": "team_id", "SEQ": "seq", "PTS": "points"}
+    days = lines.select("GAME_DATE").union(header.select("GAME_DATE")).distinct().withColumnRenamed("GAME_DATE", "game_date")
+    before = table.read_where(days.withColumn("team_id", F.lit(0))).join(days, "game_date", "left_semi")
+    landed = lines.select(*[F.col(name).alias(column) for name, column in names.items()])
+    last = first_per_key(landed.unionByName(before), KEYS["line_scores"], [F.col("seq").desc(), F.col("points").desc()])
+    last = written(last, "last-scores")
+    table.upsert(last.join(landed, KEYS["line_scores"], "left_semi"))
+    return last.select(*[F.col(column).alias(name) for name, column in names.items()])
 
 
-def upsert_tracking(tables: WarehouseTables, tracking: DataFrame, run: str, delivery: str | None = None) -> None:
-    _store(tables, "player_tracking_stats", tracking, run, delivery)
+def upsert_box(tables: WarehouseTables, box: DataFrame, run: str, delivery: str | None = None) -> None:
+    _store(tables, "player_game_stats", box, run, delivery, REFERRED if tables.strict else ())
 
 
 # --- biographies --------------------------------------------------------------------------------------------

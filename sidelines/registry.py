@@ -12,9 +12,9 @@ from pyspark.sql import types as T
 from sidelines.functions import scalars as S
 from sidelines.operators import keyed, schedule, split
 from sidelines.operators import quality as Q
-from sidelines.plans import analytics, dashboard, features, loaders, models, monitoring
+from sidelines.plans import analytics, dashboard, features, loaders, models, monitoring, sqlfiles
 from sidelines.session import new_folder
-from sidelines.sources import conferences, files
+from sidelines.sources import conferences, deliveries, files, warehouse
 from sidelines.sources.star import StarDomain
 from sidelines.streaming import jobs
 
@@ -166,6 +166,11 @@ def team_trend(d):
     return rounded(dashboard.team_trend(_team_features(d), d.teams))
 
 
+@query
+def player_trend(d):
+    return rounded(dashboard.player_trend(_player_features(d)))
+
+
 @query
 def b2b_count(d):
     return dashboard.back_to_back_count(_team_features(d), d.teams)
@@ -231,22 +236,9 @@ def parse_minutes(d):
                     S.parse_minutes("raw", live=True).alias("live_minutes")))
 
 
-def _bio(d):
-    """A bio row for every part, some of them malformed."""
-    key, size = F.col("p_partkey"), F.col("p_size")
-    return d.table("part").select(
-        key.alias("PLAYER_ID"), F.concat("p_type", F.lit("-"), "p_name").alias("POSITION"),
-        F.when(size % 7 == 0, "unknown").otherwise(
-            F.date_format(F.date_add(F.lit("1970-01-01").cast("date"), (key % 9000).cast("int")),
-                          "yyyy-MM-dd'T'00:00:00")).alias("BIRTHDATE"),
-        F.when(size % 5 == 0, "tall").otherwise(
-            F.concat((5 + size % 3).cast("string"), F.lit("-"), (key % 12).cast("string"))).alias("HEIGHT"),
-        F.when(size % 4 == 0, "200 lbs").otherwise((150 + key % 150).cast("string")).alias("WEIGHT"))
-
-
 @query
 def parse_bio(d):
-    return loaders.parsed_bio(_bio(d))
+    return loaders.parsed_bio(deliveries.biographies(d))
 
 
 @query
@@ -378,18 +370,13 @@ def bio_backlog_next(d):
 def bio_update(d):
     columns = {c: F.lit(None).cast(t) for c, t in
                [("position", "string"), ("height_inches", "int"), ("weight_lbs", "int")]}
-    return loaders.apply_bio(d.players.withColumns(columns), loaders.parsed_bio(_bio(d).filter("PLAYER_ID % 3 <> 0")))
+    return loaders.apply_bio(d.players.withColumns(columns), loaders.parsed_bio(deliveries.biographies(d).filter("PLAYER_ID % 3 <> 0")))
 
 
 # --- loading -----------------------------------------------------------------------------------------------
 
 def _with_abbreviation(d):
-    """Suppliers with a real team abbreviation each, except that nine of 45 are unknown."""
-    lookup = conferences.conference_lookup(d.spark)
-    names = F.array(*[F.lit(row[0]) for row in sorted(conferences.rows())])
-    slot = (F.col("s_suppkey") % 45).cast("int")
-    code = F.when(slot < 36, F.get(names, slot)).otherwise(F.concat(F.lit("X"), slot.cast("string")))
-    return d.table("supplier").select("s_suppkey", code.alias("abbreviation")), lookup
+    return deliveries.abbreviations(d.table("supplier")), conferences.conference_lookup(d.spark)
 
 
 @query
@@ -429,6 +416,146 @@ def scoreboard_merge(d):
     return files.merge_scoreboard(header, lines)
 
 
+def _stored_stats(tables: loaders.WarehouseTables) -> DataFrame:
+    return tables["player_game_stats"].read().select(
+        "player_id", "game_id", "team_id", F.col("minutes").cast("double").alias("minutes"), "points", "rebounds", "fgm", "fga",
+        "ftm", "fta", "plus_minus", "started")
+
+
+def _bulk_loaded(d, through: str = "player_game_stats") -> loaders.WarehouseTables:
+    tables, folder = loaders.WarehouseTables(d.spark, new_folder(d.spark, "warehouse")), new_folder(d.spark, "bulk")
+    deliveries.bulk_files(d, folder)
+    loaders.load_bulk(d.spark, folder, tables, through=through)
+    return tables
+
+
+@query
+def bulk_load_teams(d):
+    return _bulk_loaded(d, "teams")["teams"].read()
+
+
+@query
+def bulk_load_players(d):
+    return _bulk_loaded(d, "players")["players"].read().select("player_id", "full_name", "team_id")
+
+
+@query
+def bulk_load_games(d):
+    return _bulk_loaded(d, "games")["games"].read()
+
+
+@query
+def bulk_load_stats(d):
+    return _stored_stats(_bulk_loaded(d))
+
+
+@query
+def bulk_load_report(d):
+    return _bulk_loaded(d).load_report().select("table_name", "reason", "n_rows")
+
+
+@query
+def bulk_load_waiting(d):
+    """The rows that name a team, player or contest that the files do not have."""
+    tables = _bulk_loaded(d)
+    waiting = {name: tables[f"{name}{loaders.WAITING}"].read() for name in ("players", "games", "player_game_stats")}
+    null = F.lit(None)
+    return (waiting["players"].select("player_id", null.cast("string").alias("game_id"))
+            .unionByName(waiting["games"].select(null.cast("bigint").alias("player_id"), "game_id"))
+            .unionByName(waiting["player_game_stats"].select("player_id", "game_id")))
+
+
+def _landed_loaded(d) -> loaders.WarehouseTables:
+    tables, folder = loaders.WarehouseTables(d.spark, new_folder(d.spark, "warehouse")), new_folder(d.spark, "landing")
+    deliveries.landed_files(d, folder)
+    loaders.load_landed(d.spark, folder, tables, *files.date_range(start=date(1900, 1, 1), end=date(2100, 1, 1)))
+    return tables
+
+
+@query
+def landed_load_games(d):
+    return _landed_loaded(d)["games"].read().drop("season_type")
+
+
+@query
+def landed_load_stats(d):
+    return _stored_stats(_landed_loaded(d))
+
+
+@query
+def landed_load_tracking(d):
+    return _landed_loaded(d)["player_tracking_stats"].read().select(
+        "player_id", "game_id", F.col("distance_miles").cast("double").alias("distance_miles"),
+        F.col("avg_speed_mph").cast("double").alias("avg_speed_mph"), "touches")
+
+
+@query
+def landed_load_report(d):
+    return _landed_loaded(d).load_report().select("table_name", "reason", "n_rows")
+
+
+@query
+def stream_landing(d):
+    """The landed files in three batches, in no order: the stored box scores, beside the stored scores of their contests."""
+    tables, folder = loaders.WarehouseTables(d.spark, new_folder(d.spark, "warehouse")), new_folder(d.spark, "landing")
+    deliveries.landed_files(d, folder)
+    jobs.ingest_landing(d.spark, folder, tables, new_folder(d.spark, "progress"), files_per_batch=4).awaitTermination()
+    games = tables["games"].read().select("game_id", "home_score", "away_score")
+    return _stored_stats(tables).join(games, "game_id")
+
+
+@query
+def bio_enrichment(d):
+    """The biographies as landed files, taken into the stored players."""
+    tables, folder = loaders.WarehouseTables(d.spark, new_folder(d.spark, "warehouse")), new_folder(d.spark, "bio")
+    tables["players"].replace(d.players)
+    deliveries.biographies(d).filter("PLAYER_ID % 3 <> 0").write.json(folder)
+    loaders.enrich_players(d.spark, folder, tables)
+    return tables["players"].read().select("player_id", "full_name", "birth_date", "position", "height_inches", "weight_lbs")
+
+
+@query
+def bio_still_missing(d):
+    tables, folder = loaders.WarehouseTables(d.spark, new_folder(d.spark, "warehouse")), new_folder(d.spark, "bio")
+    tables["players"].replace(d.players)
+    deliveries.biographies(d).filter("PLAYER_ID % 3 <> 0").write.json(folder)
+    return loaders.enrich_players(d.spark, folder, tables)
+
+
+# --- sinks -------------------------------------------------------------------------------------------------
+
+@query
+def full_replace(d):
+    """A derived table that is written, and then replaced by one made from itself."""
+    path = f"{new_folder(d.spark, 'derived')}/load_index"
+    stored = warehouse.materialize(load_index(d), path)
+    return warehouse.materialize(stored.filter("load_index >= 20"), path)
+
+
+@query
+def preview_rows(d):
+    """The limit is the feature."""
+    return warehouse.preview(dashboard.distinct_sorted(d.players, "full_name"))
+
+
+@query
+def records_output(d):
+    folder = new_folder(d.spark, "records")
+    warehouse.write_records(d.players, folder)
+    return d.spark.read.schema(d.players.schema).json(folder)
+
+
+@query
+def sql_file(d):
+    """Two statements of a file, the first of which fails: the second one's result."""
+    schedule.completed(d.games).createOrReplaceTempView("sidelines_completed")
+    text = """-- rows of a table that is not there; the file goes on
+        SELECT * FROM sidelines_not_there;
+        /* contests and points; at home */ SELECT home_team_id AS team_id, 'a;b' AS mark, count(*) AS n_games,
+            sum(home_score) AS points FROM sidelines_completed GROUP BY home_team_id;"""
+    return [result for _, result, _ in sqlfiles.run_text(d.spark, text)][1]
+
+
 # --- monitoring --------------------------------------------------------------------------------------------
 
 def _labelled(d):
@@ -458,6 +585,37 @@ def monitoring_accuracy(d):
     return monitoring.accuracy_history(log, d.model_versions, models.BOOSTED_MODEL)
 
 
+@query
+def monitoring_log(d):
+    """The stored log after a first run that knew a third of the outcomes, and a second one that knew all."""
+    tables = loaders.WarehouseTables(d.spark, new_folder(d.spark, "warehouse"))
+    log = tables["model_monitoring_log"]
+    for labelled in (d.predictions, _labelled(d)):
+        log.replace(monitoring.updated_log(log.read(), monitoring.weekly_metrics(labelled, d.games)))
+    doubles = [F.col(c).cast("double").alias(c) for c in ("accuracy", "log_loss", "brier_score")]
+    return log.read().select("model_version_id", "week_start", "n_predictions", *doubles)
+
+
+@query
+def prediction_log(d):
+    """The stored log after two runs, the first of which knows one version only, and the outcomes filled in."""
+    log = loaders.WarehouseTables(d.spark, new_folder(d.spark, "warehouse"))["game_predictions"]
+    log.insert_if_absent(d.predictions.filter("model_version_id = 1"))
+    log.insert_if_absent(d.predictions.withColumn("predicted_home_win_prob", F.col("predicted_home_win_prob") / 2))
+    log.upsert(monitoring.newly_labelled(log.read(), d.games))
+    return log.read().select("game_id", "model_version_id", "predicted_label", "actual_label",
+                             F.col("predicted_home_win_prob").cast("double").alias("predicted_home_win_prob"))
+
+
+@query
+def model_registry(d):
+    """The versions that the predictions name; registered again they keep their ids, a new one gets the next."""
+    versions = d.model_versions
+    for name, tag in ((models.BASELINE_MODEL, "v1"), (models.BOOSTED_MODEL, "v2"), (models.BOOSTED_MODEL, "v3")):
+        versions, _ = models.register_version(versions, name, tag)
+    return versions
+
+
 # --- models ------------------------------------------------------------------------------------------------
 
 @query

@@ -48,7 +48,10 @@ MODEL_MONITORING_LOG = table(
     "model_version_id BIGINT, week_start DATE, n_predictions BIGINT, accuracy DECIMAL(5,4), log_loss "
     "DECIMAL(7,4), brier_score DECIMAL(7,4), notes STRING, logged_at TIMESTAMP")
 
+LINE_SCORES = table("game_date DATE, team_id BIGINT, seq BIGINT, points DOUBLE")  # a team's last score of a day, as landed
+
 KEYS = {
+    "line_scores": ["game_date", "team_id"],
     "teams": ["team_id"],
     "players": ["player_id"],
     "games": ["game_id"],
@@ -61,13 +64,22 @@ KEYS = {
     "model_monitoring_log": ["model_version_id", "week_start"],
 }
 
+# Which columns of a table name a row of another, by its key.
+REFERENCES = {
+    "players": {"team_id": "teams"},
+    "games": {"home_team_id": "teams", "away_team_id": "teams"},
+    "player_game_stats": {"game_id": "games", "player_id": "players", "team_id": "teams"},
+    "player_tracking_stats": {"game_id": "games", "player_id": "players"},
+}
+
 # How a large table is divided: by the leading digits of the contest id, which stand for the season, and within these into
 # buckets by the contest, so that the size of a part does not depend on how ids are spelt.
 _BY_CONTEST = ["games", "player_game_stats", "player_tracking_stats", "game_predictions", "player_decline_predictions"]
-PARTS = dict.fromkeys(_BY_CONTEST, "substring(game_id, 1, 5)")
+PARTS = {**dict.fromkeys(_BY_CONTEST, "substring(game_id, 1, 5)"), "line_scores": "year(game_date)"}
 BUCKETS = dict.fromkeys(_BY_CONTEST, 16)
 
 SCHEMAS = {
+    "line_scores": LINE_SCORES,
     "teams": TEAMS, "players": PLAYERS, "games": GAMES, "player_game_stats": PLAYER_GAME_STATS,
     "player_tracking_stats": PLAYER_TRACKING_STATS, "injury_reports": INJURY_REPORTS,
     "model_versions": MODEL_VERSIONS, "game_predictions": GAME_PREDICTIONS,

@@ -74,6 +74,16 @@ def remove_folder(spark: SparkSession, folder: str) -> None:
     path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def move_folder(spark: SparkSession, folder: str, to: str) -> None:
+    """Let ``folder`` take the place of ``to``, which is removed."""
+    context = spark.sparkContext
+    paths = context._jvm.org.apache.hadoop.fs
+    store = paths.Path(folder).getFileSystem(context._jsc.hadoopConfiguration())
+    store.delete(paths.Path(to), True)
+    if not store.rename(paths.Path(folder), paths.Path(to)):
+        raise OSError(f"{folder} is complete, but could not be moved to {to}")
+
+
 def new_folder(spark: SparkSession, name: str) -> str:
     """A folder's name, used by nothing else, below ``shared_dir``."""
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"

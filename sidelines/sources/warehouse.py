@@ -2,21 +2,30 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
 from sidelines.operators.schedule import team_long
+from sidelines.session import move_folder
 
 TABLES = ("teams", "games", "players", "stats", "tracking", "predictions", "model_versions")
 
 
 def materialize(df: DataFrame, path: str, write: bool = True) -> DataFrame:
-    """Replace a derived table as a whole. With ``write=False`` it is only built."""
+    """Replace a derived table as a whole. With ``write=False`` it is only built.
+
+    The new table is written beside the old one and takes its place when it is complete, so that a failed job leaves the old
+    one, and ``df`` may read it.
+    """
     if not write:
         return df
-    df.write.mode("overwrite").parquet(path)
+    path = path.rstrip("/")
+    beside = f"{path}.{uuid.uuid4().hex}"
+    df.write.parquet(beside)
+    move_folder(df.sparkSession, beside, path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

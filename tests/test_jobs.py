@@ -66,6 +66,22 @@ def test_the_stored_tables_give_the_same_answers(spark, jobs):
         assert rows(result.select(*columns)) == rows(direct), name
 
 
+def test_the_dashboard_over_the_stored_tables(spark, jobs, tmp_path):
+    from sidelines import registry
+    cli.main(["--root", jobs.root, "dashboard", str(tmp_path / "out")])
+    for name, build in jobs.dashboard().items():
+        stored = spark.read.parquet(str(tmp_path / "out" / name))
+        assert stored.count() == build().count(), name
+        if name not in registry.queries():
+            continue
+        direct = registry.queries()[name](spark, SF_DIR)
+        assert stored.columns == direct.columns and rows(registry.rounded(stored)) == rows(registry.rounded(direct)), name
+    one = jobs.dashboard()["player_trend"]().first()["full_name"]
+    from sidelines.plans import dashboard
+    chosen = dashboard.player_trend(jobs.derived("player_game_features"), [one])
+    assert {r[0] for r in chosen.select("full_name").distinct().collect()} == {one}
+
+
 def test_command_line(jobs, capsys):
     cli.main(["--root", jobs.root, "analytics"])
     out = capsys.readouterr().out

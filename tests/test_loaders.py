@@ -65,6 +65,7 @@ def test_rows_in_are_rows_kept_and_rows_reported(spark, bulk, tables):
     report = tables.load_report().filter(f"run = '{run}'")
     lost = {(t, r): n for t, r, n in rows(report, "table_name", "reason", "n_rows")}
     assert lost == {("teams", "no conference for XXX"): 0, ("teams", "missing team_id or abbreviation or name"): 1,
+                    ("players", "earlier season"): 1,
                     ("games", "home and away team are the same"): 1, ("player_game_stats", "implausible player id"): 1,
                     ("player_game_stats", "fgm > fga"): 1, ("player_game_stats", "repeated key"): 1,
                     ("player_game_stats", "missing player_id or game_id or team_id"): 2}
@@ -208,6 +209,78 @@ def test_orphans_of_a_bulk_load_come_with_a_later_one(spark, bulk, tables):
     assert tables[f"player_game_stats{loaders.WAITING}"].read().count() == 0
 
 
+def test_rows_wait_for_teams_and_players(spark, bulk, tables):
+    """A player of an unknown team waits, with them their box score; a contest of an unknown team does, with all its rows."""
+    with open(f"{bulk}/players.csv", "a") as file:
+        file.write("Eve,14,9,2019\nFay,15,,2019\n")
+    with open(f"{bulk}/games.csv", "a") as file:
+        file.write("21900005,2019-10-25,2019,1,9,80,90\n")
+    with open(f"{bulk}/games_details.csv", "a") as file:
+        file.write("21900001,1,14,Eve,G,18:06,2,5,4,8,15\n21900005,1,10,Ann,G,18:06,2,5,4,8,15\n"
+                   "21900001,9,11,Bob,G,18:06,2,5,4,8,15\n21900001,2,15,Fay,G,18:06,2,5,4,8,15\n")
+
+    def load():
+        run = loaders.load_bulk(spark, bulk, tables)
+        return {(t, r): n for t, r, n in rows(tables.load_report().filter(f"run = '{run}' and reason like '%wait%'"),
+                                              "table_name", "reason", "n_rows")}
+
+    assert load() == {("players", "waits for its team"): 1, ("games", "waits for its team"): 1,
+                      ("player_game_stats", "waits for its player"): 1, ("player_game_stats", "waits for its contest"): 1,
+                      ("player_game_stats", "waits for its team"): 1}
+    assert {r[0] for r in rows(tables["players"].read(), "player_id")} == {10, 11, 12, 13, 15}
+    assert {r[0] for r in rows(tables["games"].read(), "game_id")} == {"0021900001", "0021900003"}
+    assert {r for r in rows(tables["player_game_stats"].read(), "player_id", "game_id")} == {
+        (10, "0021900001"), (12, "0021900001"), (15, "0021900001")}
+    # the team comes; the others come with it, also if their files are not delivered again
+    with open(f"{bulk}/teams.csv", "a") as file:
+        file.write("9,NYK,Knicks\n")
+    for name in ("players", "games", "games_details"):
+        with open(f"{bulk}/{name}.csv") as file:
+            header = file.readline()
+        with open(f"{bulk}/{name}.csv", "w") as file:
+            file.write(header)
+    assert load() == {("players", "has waited for its team and is kept now"): 1, ("games", "has waited for its team and is kept now"): 1,
+                      ("player_game_stats", "has waited for its contest or player or team and is kept now"): 3}
+    assert tables["players"].read().count() == 6 and tables["games"].read().count() == 3
+    assert tables["player_game_stats"].read().count() == 6
+    assert all(tables[f"{name}{loaders.WAITING}"].read().count() == 0 for name in ("players", "games", "player_game_stats"))
+
+
+def test_a_strict_landing_load_holds_rows_against_teams_and_players(spark, tmp_path):
+    tables = loaders.WarehouseTables(spark, str(tmp_path / "warehouse"), strict=True)
+    landing, day = tmp_path / "landing", "2024-01-05"
+    day_of(landing, "header", day, [contest(day, "22300500")])
+    day_of(landing, "line_score", day, [score(day, 1, 100), score(day, 2, 90)])
+    day_of(landing, "box", day, [line("22300500", 10, 1)])
+    day_of(landing, "tracking", day, [{"GAME_ID": "22300500", "PLAYER_ID": 10, "DIST": 2.5}])
+    days = date(2024, 1, 5), date(2024, 1, 5)
+    assert rows(loaders.load_landed(spark, str(landing), tables, *days)) == []
+    tables["teams"].upsert(spark.createDataFrame([(1, "A", "a"), (2, "B", "b")], "team_id long, abbreviation string, name string"))
+    assert rows(loaders.load_landed(spark, str(landing), tables, *days)) == [("0022300500",)]
+    assert tables["player_game_stats"].read().count() == 0
+    tables["players"].upsert(spark.createDataFrame([(10, "Ann")], "player_id long, full_name string"))
+    loaders.load_landed(spark, str(landing), tables, *days)
+    assert rows(tables["player_game_stats"].read(), "player_id") == rows(tables["player_tracking_stats"].read(), "player_id") == [(10,)]
+
+
+def test_scores_that_land_before_their_header_are_not_lost(spark, tables, tmp_path):
+    from sidelines.streaming import jobs
+    landing, day = tmp_path / "landing", "2024-01-05"
+
+    def run():
+        jobs.ingest_landing(spark, str(landing), tables, str(tmp_path / "progress")).awaitTermination()
+        return rows(tables["games"].read(), "game_id", "home_score", "away_score")
+
+    day_of(landing, "line_score", day, [score(day, 1, 100, 2), score(day, 2, 90, 3), {"SEQ": 4, "PTS": 1}])
+    assert run() == []
+    assert ("line_scores", "missing GAME_DATE or TEAM_ID", 1) in rows(tables.load_report(), "table_name", "reason", "n_rows")
+    day_of(landing, "header", day, [contest(day, "22300500")])
+    assert run() == [("0022300500", 100, 90)]
+    # an earlier line that comes late changes nothing, a later one does
+    day_of(landing, "line_score", day, [score(day, 1, 7, 1), score(day, 2, 95, 5)])
+    assert run() == [("0022300500", 100, 95)]
+
+
 def test_damaged_lines_are_reported(spark, tmp_path):
     path = tmp_path / "teams.csv"
     path.write_text('A,B,C\n1,2,3\n4,5\n6,7,8,9\n"x,1,2\n"a ""quoted"" one","with, comma",3\n,,\n')
@@ -282,5 +355,10 @@ def test_materialize_and_preview(spark, tmp_path):
     df = spark.range(40)
     assert materialize(df, str(tmp_path / "t")).count() == 40
     assert materialize(df.limit(3), str(tmp_path / "t")).count() == 3
+    # made from itself; a job that fails leaves the table as it was, and nothing beside it
+    assert materialize(spark.read.parquet(str(tmp_path / "t")).filter("id > 0"), str(tmp_path / "t")).count() == 2
+    with pytest.raises(Exception, match="broken"):
+        materialize(df.selectExpr("raise_error('broken') as id"), str(tmp_path / "t"))
+    assert spark.read.parquet(str(tmp_path / "t")).count() == 2
     assert materialize(df, str(tmp_path / "u"), write=False).count() == 40 and not (tmp_path / "u").exists()
     assert preview(df.orderBy("id")).count() == 15
