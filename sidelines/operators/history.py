@@ -5,6 +5,9 @@ So every history is cut into blocks of time (years, unless told otherwise), and
 sorts. What a row needs from earlier blocks is small and comes from one row per entity and block: the last few rows
 before the block, the first one after it, and totals. Sums are exact (whole numbers or fixed-scale decimals), so the
 values do not depend on where the blocks are cut or in which order anything is added.
+
+Where the rows are costly to make they are staged first, and an entity that has few of them is not cut: a window over it
+sorts no more than a task can hold, and nothing has to be summarised, sent and joined for it (``over_staged``).
 """
 
 from __future__ import annotations
@@ -18,7 +21,7 @@ from pyspark.sql import types as T
 from pyspark.sql import Window as W
 
 from sidelines.operators.ranking import ascending
-from sidelines.session import HISTORY_BLOCK, setting
+from sidelines.session import HISTORY_BLOCK, setting, written
 
 # Of an entity and block; NULL is a value like any other, for which a flag stands beside a filler.
 _ENTITY, _BLOCK = ("_entity_none", "_entity"), ("_block_none", "_block")
@@ -27,6 +30,7 @@ _AT, _NEXT, _BEFORE, _WITHIN = "_edge_at", "_edge_next", "_edge_before", "_edge_
 _LAST, _SUMS, _COUNTS = "_edge_last", "_edge_sums", "_edge_counts"
 # Fractions are added to twelve places.
 _FIXED, _TOTAL = "decimal(24,12)", "decimal(34,12)"  # with more digits an addition would round
+MOST_WHOLE = 100_000  # rows of an entity that one task sorts; one that has more is cut into blocks
 
 
 @dataclass(frozen=True)
@@ -123,7 +127,7 @@ class History:
 
     def __init__(self, like: DataFrame, entity: str, order: Sequence[str], columns: Mapping[str, Spec],
                  block: Column | str | None = None):
-        self.entity, self.order = entity, list(order)
+        self.entity, self.order, self._block = entity, list(order), block
         self.columns = {name: replace(spec, alone=True)
                         if isinstance(block, str) and isinstance(spec, Running) and spec.within == (block,) else spec
                         for name, spec in columns.items()}
@@ -159,7 +163,31 @@ class History:
         return rows.join(edges, _KEY, "left").select(
             *own, *[_value(name, spec, self._exact).alias(name) for name, spec in self.columns.items()])
 
+    def over_staged(self, rows: DataFrame) -> DataFrame:
+        """Like ``over``, but stages the rows first; only entities of more than ``MOST_WHOLE`` rows go block by block."""
+        staged = written(rows, "history")
+        large = (staged.groupBy(F.col(self.entity).alias("_large")).agg(F.count("*").alias("_rows"))
+                 .filter(F.col("_rows") > MOST_WHOLE).drop("_rows"))
+        if large.isEmpty():
+            return self.whole(staged)
+        # there is at most one for every so many rows
+        large, same = F.broadcast(large), F.col(self.entity).eqNullSafe(F.col("_large"))
+        return (self.whole(staged.join(large, same, "left_anti"))
+                .unionByName(self.over(staged.join(large, same, "left_semi"))))
+
+    def whole(self, rows: DataFrame) -> DataFrame:
+        """The rows with the columns, by a window over all rows of each entity."""
+        # a block never falls while the order rises, so that rows sorted by both serve the means within a block, too
+        order = ascending([*([self._block] if isinstance(self._block, str) else []), *self.order])
+        local: dict[str, Column] = {_AT: F.row_number().over(W.partitionBy(self.entity).orderBy(*order))}
+        for name, spec in self.columns.items():
+            within = spec.within if isinstance(spec, Running) else ()
+            local |= _local(name, spec, self._exact, W.partitionBy(self.entity, *within).orderBy(*order), anew=False)
+        return rows.select("*", *[column.alias(name) for name, column in local.items()]).select(
+            *rows.columns, *[_own_value(name, spec, self._exact).alias(name) for name, spec in self.columns.items()])
+
     def over(self, rows: DataFrame) -> DataFrame:
+        """The rows with the columns, block by block. Building this starts no job."""
         keyed = self.keyed(rows)
         edges = self.edges(self.summaries(keyed))
         for names in self._need.within:
@@ -173,6 +201,12 @@ def with_history(df: DataFrame, entity: str, order: Sequence[str], columns: Mapp
     return History(df, entity, order, columns, block).over(df)
 
 
+def with_staged_history(df: DataFrame, entity: str, order: Sequence[str], columns: Mapping[str, Spec],
+                        block: Column | str | None = None) -> DataFrame:
+    """The same over rows that are made once and staged; only entities with very many rows are cut into blocks."""
+    return History(df, entity, order, columns, block).over_staged(df)
+
+
 def _stretch(date: str, unit: str) -> Column:
     """The decade, year, quarter or month of a date."""
     return F.floor(F.year(date) / 10) if unit == "decade" else F.trunc(date, unit)
@@ -186,8 +220,8 @@ def _parts(name: str) -> tuple[str, str]:
     return f"_sum_{name}", f"_count_{name}"
 
 
-def _local(name: str, spec: Spec, exact: dict[str, _Exact], in_block) -> dict[str, Column]:
-    """What the rows of the block itself give."""
+def _local(name: str, spec: Spec, exact: dict[str, _Exact], in_block, anew: bool = True) -> dict[str, Column]:
+    """What the rows of the window itself give. One that does not start anew for a mean does so already."""
     if isinstance(spec, RowsInFrame):
         return {}
     if isinstance(spec, Previous):
@@ -195,7 +229,7 @@ def _local(name: str, spec: Spec, exact: dict[str, _Exact], in_block) -> dict[st
     if isinstance(spec, Following):
         return {f"_own_{name}": F.lead(spec.value).over(in_block), f"_last_{name}": F.lead(F.lit(True)).over(in_block).isNull()}
     begin = -spec.lookback if isinstance(spec, Rolling) else W.unboundedPreceding
-    window = in_block if isinstance(spec, Rolling) or spec.alone else _starting_anew(in_block, spec.within)
+    window = in_block if isinstance(spec, Rolling) or spec.alone or not anew else _starting_anew(in_block, spec.within)
     frame = window.rowsBetween(begin, 0 if spec.current else -1)
     term = exact[spec.value].term(F.col(spec.value))
     total, count = _parts(name)
@@ -304,6 +338,17 @@ def _totals_within(keyed: DataFrame, within: tuple[str, ...], known: list[str],
         F.struct(*within).alias("of"), *[f"_{k}_before_{v}" for v in known for k in "sc"])).alias(_within(within)))
 
 
+def _own_value(name: str, spec: Spec, exact: dict[str, _Exact]) -> Column:
+    """What a window over all rows of the entity gives."""
+    if isinstance(spec, RowsInFrame):
+        return F.least(F.lit(spec.rows).cast("bigint"), F.col(_AT))
+    if isinstance(spec, (Previous, Following)):
+        return F.col(f"_own_{name}")
+    total, count = _parts(name)
+    how = exact[spec.value]
+    return F.when(F.col(count) >= max(spec.min_count, 1), how.mean(how.plus(F.col(total), F.lit(None)), F.col(count)))
+
+
 def _value(name: str, spec: Spec, exact: dict[str, _Exact]) -> Column:
     """What the block and the edge before or after it give together."""
     at = F.col(_AT)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from sidelines.functions import scalars as S
-from sidelines.operators.history import Following, Previous, Rolling, RowsInFrame, Running, with_history
+from sidelines.operators.history import Following, Previous, Rolling, RowsInFrame, Running, with_staged_history
 from sidelines.operators.ranking import ntile
 from sidelines.session import written
 from sidelines.operators.schedule import completed, team_long
@@ -22,8 +22,8 @@ def rolling_team_win_pct(games: DataFrame, teams: DataFrame) -> DataFrame:
     """Each team's share of wins over its last 10 contests, the current one included."""
     rows = (team_long(completed(games)).select("team_id", "game_date", "game_id", "won")
             .withColumn("_won", F.col("won").cast("int")))
-    rolled = with_history(rows, "team_id", TEAM_ORDER,
-                          {"_pct": Rolling("_won", 10), "games_in_window": RowsInFrame(10)})
+    rolled = with_staged_history(rows, "team_id", TEAM_ORDER,
+                                 {"_pct": Rolling("_won", 10), "games_in_window": RowsInFrame(10)})
     return (rolled.join(teams.select("team_id", "abbreviation"), "team_id")
             .select("team_id", "abbreviation", "game_date", "game_id", "won",
                     S.round_half_up("_pct", 3).alias("rolling_10_win_pct"), "games_in_window")
@@ -37,8 +37,8 @@ def player_efficiency_decline(stats: DataFrame, games: DataFrame, players: DataF
     """
     rows = (_long_outings(stats).select("player_id", "game_id", S.true_shooting().alias("_ts"))
             .join(games.select("game_id", "game_date"), "game_id"))
-    rolled = with_history(rows, "player_id", PLAYER_ORDER,
-                          {"_recent": Rolling("_ts", 5), "_base": Running("_ts")})
+    rolled = with_staged_history(rows, "player_id", PLAYER_ORDER,
+                                 {"_recent": Rolling("_ts", 5), "_base": Running("_ts")})
     return (rolled.filter(F.col("_recent") < F.col("_base") - DECLINE_THRESHOLD)
             .join(players.select("player_id", "full_name"), "player_id")
             .select("player_id", "full_name", "game_id", "game_date",
@@ -100,7 +100,7 @@ def team_shooting(stats: DataFrame) -> DataFrame:
 def days_rest(games: DataFrame) -> DataFrame:
     """Days since each team's previous contest. A team's first contest is dropped."""
     rows = team_long(completed(games)).select("team_id", "game_id", "game_date")
-    return (with_history(rows, "team_id", TEAM_ORDER, {"_previous": Previous("game_date")})
+    return (with_staged_history(rows, "team_id", TEAM_ORDER, {"_previous": Previous("game_date")})
             .filter(F.col("_previous").isNotNull())
             .withColumn("days_rest", F.datediff("game_date", "_previous")).drop("_previous"))
 
@@ -130,7 +130,7 @@ def load_and_next(stats: DataFrame, games: DataFrame, tracking: DataFrame) -> Da
             .join(tracking.select("player_id", "game_id", "distance_miles"), ["player_id", "game_id"], "left")
             .join(games.select("game_id", "game_date"), "game_id")
             .select("player_id", "game_id", "game_date", S.load_index().alias("load_index"), "ts_pct"))
-    return with_history(rows, "player_id", PLAYER_ORDER, {"next_ts_pct": Following("ts_pct")})
+    return with_staged_history(rows, "player_id", PLAYER_ORDER, {"next_ts_pct": Following("ts_pct")})
 
 
 def correlation(x: str, y: str) -> Column:
@@ -168,7 +168,7 @@ def load_quartile_dashboard(player_features: DataFrame) -> DataFrame:
     """The same from the player feature table: all outings, short ones included, with labels."""
     rows = (player_features.filter(F.col("load_index").isNotNull())
             .select("player_id", "game_id", "game_date", "load_index", "ts_pct"))
-    following = with_history(rows, "player_id", PLAYER_ORDER, {"next_ts_pct": Following("ts_pct")})
+    following = with_staged_history(rows, "player_id", PLAYER_ORDER, {"next_ts_pct": Following("ts_pct")})
     label = F.lit(None).cast("string")
     for quartile, text in QUARTILE_LABELS.items():
         label = F.when(F.col("load_quartile") == quartile, text).otherwise(label)

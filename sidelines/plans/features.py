@@ -49,9 +49,9 @@ def with_rest(rolled: DataFrame) -> DataFrame:
 
 
 def team_form(games: DataFrame) -> DataFrame:
-    """Lagged form and rest per team and contest: one shuffle of the rows on team and block."""
+    """Lagged form and rest per team and contest: one shuffle of the staged rows on the team."""
     rows = team_rows(games)
-    return with_rest(team_history(rows).over(rows))
+    return with_rest(team_history(rows).over_staged(rows))
 
 
 def with_opponents(form: DataFrame) -> DataFrame:
@@ -95,4 +95,4 @@ def with_players(rolled: DataFrame, players: DataFrame) -> DataFrame:
 def player_game_features(stats: DataFrame, games: DataFrame, tracking: DataFrame, players: DataFrame) -> DataFrame:
     """Rows of contests without a result stay, without date and season, and sort last."""
     rows = player_rows(stats, games, tracking)
-    return with_players(player_history(rows).over(rows), players)
+    return with_players(player_history(rows).over_staged(rows), players)

@@ -81,10 +81,12 @@ class FeatureTables:
         self.games, self.stats, self.tracking, self.players = games, stats, tracking, players
         self.team_rows = features.team_rows(games)
         self.player_rows = features.player_rows(stats, games, tracking)
-        self.team = _Kept(spark, root, TEAM_TABLE, "team_id", features.team_history(self.team_rows), self.team_rows,
-                          features.team_game_features(games).schema)
-        self.player = _Kept(spark, root, PLAYER_TABLE, "player_id", features.player_history(self.player_rows), self.player_rows,
-                            features.player_game_features(stats, games, tracking, players).schema)
+        # the schemas are taken from plans that start no job
+        team, player = features.team_history(self.team_rows), features.player_history(self.player_rows)
+        self.team = _Kept(spark, root, TEAM_TABLE, "team_id", team, self.team_rows,
+                          features.with_opponents(features.with_rest(team.over(self.team_rows))).schema)
+        self.player = _Kept(spark, root, PLAYER_TABLE, "player_id", player, self.player_rows,
+                            features.with_players(player.over(self.player_rows), players).schema)
 
     def read(self, name: str) -> DataFrame:
         return {TEAM_TABLE: self.team, PLAYER_TABLE: self.player}[name].table.read()

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import rows
+from sidelines.operators import history
 from sidelines.operators.history import Following, Previous, Rolling, RowsInFrame, Running, with_history
 from sidelines.operators.ranking import ntile, prefix_sums, row_index
 
@@ -186,3 +187,28 @@ def test_prefix_sums(spark):
         want.append((o, v, total))
         total += v
     assert sorted(tuple(r) for r in prefix_sums(df, ["o"], ["v"]).collect()) == want
+
+
+@pytest.mark.parametrize("most", [0, 20, 50, 100_000])
+def test_staged_rows_whole_and_in_blocks(spark, data, monkeypatch, most):
+    """Entities of more than so many rows are cut, the others, also one that is NULL, are not: the values are the same."""
+    df, table = data
+    monkeypatch.setattr(history, "MOST_WHOLE", most)
+    check(history.with_staged_history(df, "e", ["t"], SPECS, F.floor(F.col("t") / 7)), table)
+    seasonal = df.withColumn("s", F.floor(F.col("t") / 50))
+    specs = {"m": Running("v", False, 2, within=("s",)), "prev": Previous("v"), "n": RowsInFrame(3)}
+    assert rows(history.with_staged_history(seasonal, "e", ["t"], specs, "s")) == rows(with_history(seasonal, "e", ["t"], specs, "s"))
+
+
+def test_staged_rows_are_made_once(spark, data):
+    """Several last rows, sums and rows of a block are read from what was staged: the source is read by one scan."""
+    df, _ = data
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    result = history.with_staged_history(df.mapInArrow(counted, df.schema), "e", ["t"], SPECS, F.floor(F.col("t") / 7))
+    assert result.count() == seen.value == df.count()
