@@ -362,3 +362,24 @@ def test_materialize_and_preview(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "t")).count() == 2
     assert materialize(df, str(tmp_path / "u"), write=False).count() == 40 and not (tmp_path / "u").exists()
     assert preview(df.orderBy("id")).count() == 15
+
+
+def test_landed_rows_are_shuffled_once_for_their_contests_and_copies(spark):
+    from sidelines.operators import quality as Q
+    typed = spark.createDataFrame([(1, "a", 5.0), (1, "a", 5.0), (1, "a", 50.0), (2, "a", 1.0), (None, "a", 1.0), (3, "x", 1.0), (4, None, 1.0)],
+                                  "player_id long, game_id string, distance_miles double")
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        judged = loaders._judged_by_contest(typed, spark.createDataFrame([("a",), ("b",)], "game_id string"), Q.tracking_rules(typed),
+                                            KEYS["player_tracking_stats"])
+        assert judged._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 2  # rows, contests
+        assert rows(judged.filter("reason is null and copy = 1"), "player_id", "game_id", "distance_miles") == [(1, "a", 5.0), (2, "a", 1.0)]
+        assert rows(Q.judged_report(judged)) == [("implausible distance", 1), ("missing player_id or game_id", 1), ("repeated key", 1)]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+
+
+def test_rows_that_never_waited_are_not_taken_out_of_the_waiting(spark, bulk, tables):
+    loaders.load_bulk(spark, bulk, tables, through="games")
+    assert {e["version"] for e in tables["games_waiting"]._entries()} == {1}

@@ -128,3 +128,15 @@ def test_a_null_in_the_part_and_empty_writes(spark, table):
     table.delete(spark.createDataFrame([("x",)], "game_id string"))
     assert table.read().count() == 0 and table.vacuum() == [] and table.compact(0) == 0
     assert table.read().select(F.count("*")).first()[0] == 0
+
+
+def test_a_first_write_of_unique_rows_is_read_without_a_shuffle(spark, table):
+    def shuffles():
+        return table.read()._jdf.queryExecution().executedPlan().toString().count("Exchange")
+
+    table.upsert(frame(spark, [("0022300001", 1), ("0022300002", 2)]), unique=True)
+    assert shuffles() == 0
+    assert [r[0] for r in table.keys_among(frame(spark, [("0022300002", 5), ("0022300009", 5)])).select("game_id").collect()] == ["0022300002"]
+    table.upsert(frame(spark, [("0022300001", 3)]), unique=True)  # on top of what is there
+    assert shuffles() > 0
+    assert sorted((r["game_id"], r["home_score"]) for r in table.read().collect()) == [("0022300001", 3), ("0022300002", 2)]
