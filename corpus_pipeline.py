@@ -43,9 +43,9 @@ def without_benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """What is left, as sequences of 2048 tokens."""
+    """What is left, as sequences of 2048 tokens. The workers have other stages' memory to bear, so they keep fewer words."""
     tokenizer = packing.read_tokenizer(public_tokenizers.path("word_bpe_49k.json"))
-    return packing.pack(docs, tokenizer)
+    return packing.pack(docs, tokenizer, most_words=50_000)
 
 
 STAGES = [("quality_rules", good_quality), ("line_dedup", without_repeated_lines),

@@ -325,8 +325,8 @@ def _search(name: str):
 
     @F.arrow_udf(f"array<{MATCH}>")
     def search(texts: pa.Array) -> pa.Array:
-        values, index = texts.to_pylist(), loaded(name)
-        matches = [m for i in range(0, len(values), step) for m in index.matches(values[i:i + step])]
+        index = loaded(name)
+        matches = [m for i in range(0, len(texts), step) for m in index.matches(texts.slice(i, step).to_pylist())]
         return pa.array(matches, pa.list_(kind))
 
     return search

@@ -29,6 +29,7 @@ REFS = "k1 long, k2 long, n_docs long, first_doc long, batch int"
 FILTERS = "shard int, layer int, slots binary, batch int"
 LOG = "kind string, shards int, keys long, batch int"
 KEYS_PER_SHARD = 500_000
+STEP = 512  # documents whose lines are in memory at a time
 KEY = ["k1", "k2"]
 
 
@@ -44,7 +45,7 @@ def line_keys(documents: DataFrame, min_chars: int) -> DataFrame:
     """``(k1, k2, doc_id, n_lines)``: the keys of every row's lines; rows with a null doc_id have none."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (b.slice(i, STEP) for b in batches for i in range(0, len(b), STEP)):
             keys, docs, counts = [], [], []
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
                 if doc_id is None or not text:
@@ -222,8 +223,7 @@ class LineIndex:
         """
         min_chars = self.min_chars
 
-        @F.arrow_udf("text string, n_lines long, n_dropped long")
-        def kept(texts: pa.Array, keys: pa.Array) -> pa.Array:
+        def some_kept(texts: pa.Array, keys: pa.Array) -> pa.Array:
             found = [], [], []
             for text, own in zip(texts.to_pylist(), keys):
                 n, dropped = (text or "").count("\n") + 1, 0
@@ -237,6 +237,11 @@ class LineIndex:
             return pa.StructArray.from_arrays([pa.array(found[0], pa.string()), pa.array(found[1], pa.int64()),
                                                pa.array(found[2], pa.int64())], ["text", "n_lines", "n_dropped"])
 
+        @F.arrow_udf("text string, n_lines long, n_dropped long")
+        def kept(texts: pa.Array, keys: pa.Array) -> pa.Array:
+            parts = [some_kept(texts.slice(i, STEP), keys.slice(i, STEP)) for i in range(0, max(len(texts), 1), STEP)]
+            return pa.concat_arrays(parts)
+
         rows = beside_row(documents, _doc_id=F.col("doc_id"), _text=F.col("text"))
         gone = self.repeated().withColumnRenamed("doc_id", "of")
         rows = rows.join(gone, F.col("_doc_id") == F.col("of"), "left").withColumn("_kept", kept("_text", "keys"))

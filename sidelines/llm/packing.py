@@ -88,10 +88,10 @@ class WordIds:
         return [self._encode(t).tobytes() if w else b"".join(map(look, ws)) for t, w, ws in zip(texts, whole, words)]
 
 
-@functools.lru_cache(maxsize=2)
-def word_ids(tokenizer_json: str) -> WordIds:
+@functools.lru_cache(maxsize=1)
+def word_ids(tokenizer_json: str, most_words: int) -> WordIds:
     """One table for all tasks that a Python worker runs one after the other."""
-    return WordIds(tokenizer_json)
+    return WordIds(tokenizer_json, most_words)
 
 
 class Windows:
@@ -185,14 +185,15 @@ def _powers(pieces: list[tuple]) -> Iterator[list]:
 
 
 def pack(documents: DataFrame, tokenizer_json: str, size: int = 2048, end_id: int = 1, most_open: int = 4096,
-         with_ids: bool = False) -> DataFrame:
+         with_ids: bool = False, most_words: int = 300_000) -> DataFrame:
     """Every piece of every row of ``documents(doc_id, text)``: where it starts in its document, and where it lies.
 
     A document is its tokens and ``end_id``; a null or empty text is ``end_id`` alone. Documents longer than ``size`` are
     cut into full windows and a rest; otherwise only the windows that a partition leaves open at its end, or beyond
     ``most_open`` of them, are cut to fill each other. All sequences are then full or as long as a power of two.
     Repeated rows are packed each for itself, a null doc_id stays null, other columns are ignored, and an empty table
-    gives no pieces. ``with_ids`` adds the pieces' ids as little-endian unsigned 32-bit integers.
+    gives no pieces. ``with_ids`` adds the pieces' ids as little-endian unsigned 32-bit integers. ``most_words`` bounds the
+    words that a worker keeps (see ``WordIds``), which outlive the task; results do not depend on it.
     """
     vocabulary = documents.sparkSession.sparkContext.broadcast(tokenizer_json)
     names = [c for c in _TYPES if with_ids or c != "ids"]
@@ -200,7 +201,7 @@ def pack(documents: DataFrame, tokenizer_json: str, size: int = 2048, end_id: in
     end = end_id.to_bytes(ID_BYTES, "little")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids_of, windows = word_ids(vocabulary.value), Windows(size)
+        ids_of, windows = word_ids(vocabulary.value, most_words), Windows(size)
         sequence = TaskContext.get().partitionId() << 32
         found: list[tuple] = []
 

@@ -22,6 +22,7 @@ from sidelines.session import written
 QUARTERS, BITS = 4, 16
 LEVELS = BITS + 1
 SEED = 42
+STEP = 512  # texts in memory as Python's own at a time
 _BIT = ((np.arange(256)[:, None] >> np.arange(8)) & 1).astype(np.int64)
 
 
@@ -46,7 +47,8 @@ def with_fingerprints(rows: DataFrame, text: str, shingle: int = 3) -> DataFrame
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = np.array([fingerprint(t, shingle) for t in batch.column(text).to_pylist()], np.uint64)
+            texts = (t for i in range(0, len(batch), STEP) for t in batch.column(text).slice(i, STEP).to_pylist())
+            found = np.fromiter((fingerprint(t, shingle) for t in texts), np.uint64, len(batch))
             columns = [batch.column(c) for c in kept] + [pa.array(found.view(np.int64))]
             yield pa.RecordBatch.from_arrays(columns, [*kept, "fp"])
 

@@ -125,3 +125,15 @@ def test_whole_documents_are_rarely_cut(spark, tokenizer):
 
 def test_the_vocabulary_marks_ends_of_words(tokenizer):
     assert json.loads(tokenizer)["model"]["end_of_word_suffix"] == "</w>"
+
+
+def test_the_pipelines_workers_keep_fewer_words(monkeypatch):
+    """The words that a worker keeps outlive the stage; in the pipeline other stages need that memory."""
+    import corpus_pipeline
+
+    seen = {}
+    monkeypatch.setattr(packing, "pack", lambda docs, tokenizer, **more: seen.update(more))
+    corpus_pipeline.packed(None, None, "")
+    assert seen["most_words"] <= 50_000
+    packing.word_ids.cache_clear()
+    assert packing.word_ids(packing.read_tokenizer(corpus_pipeline.public_tokenizers.path("word_bpe_49k.json")), 7).most_words == 7
