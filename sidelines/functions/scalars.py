@@ -142,8 +142,9 @@ def _unsigned(text: Column, type_: str) -> Column:
 
 def whole(c, type_: str = "long") -> Column:
     """A whole number, also one written with a fraction of zeros as in '1610612740.0'; anything else is NULL."""
-    value = _col(c).try_cast("decimal(38,6)")
-    return F.when(value == F.floor(value), value.try_cast(type_))
+    text, value = _col(c).cast("string"), _col(c).try_cast("decimal(38,6)")
+    digits = F.when(text.rlike("^[0-9]+$"), text.try_cast(type_))  # as most are written: the decimal takes far longer
+    return F.coalesce(digits, F.when(value == F.floor(value), value.try_cast(type_)))
 
 
 def parse_height(raw) -> Column:

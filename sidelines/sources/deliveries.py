@@ -14,6 +14,7 @@ from sidelines.sources.star import StarDomain
 
 _SCANS_PER_FILE = 4  # so many partitions of the order lines make three more files of a landed kind
 _RAW_ORDER = ["source_line", "source_team", "source_quantity", "source_price"]
+_LINE_ORDER = ["l_linenumber", "l_suppkey", "l_quantity", "l_extendedprice"]  # what these are made from
 
 
 def abbreviations(suppliers: DataFrame) -> DataFrame:
@@ -37,9 +38,10 @@ def bulk_files(d: StarDomain, folder: str) -> None:
         _twice_if(key % 5 == 0))
 
     player = F.col("player_id")
-    players = (d.raw_players.filter(player % 16 != 1).groupBy("player_id", "season")
-               .agg(F.min("full_name").alias("PLAYER_NAME"), F.min("team_id").alias("TEAM_ID"))
-               .select("PLAYER_NAME", player.alias("PLAYER_ID"), "TEAM_ID", F.col("season").alias("SEASON")))
+    name = F.when(player % 13 != 5, F.concat(F.lit("Player "), player.cast("string"))).alias("PLAYER_NAME")
+    # the name follows from the id: least of the numbers alone, rows are hashed, with a text they would all be sorted
+    players = (d.raw_players.filter(player % 16 != 1).groupBy("player_id", "season").agg(F.min("team_id").alias("TEAM_ID"))
+               .select(name, player.alias("PLAYER_ID"), "TEAM_ID", F.col("season").alias("SEASON")))
 
     day = F.col("game_date")
     games = d.raw_games.select(
@@ -49,10 +51,11 @@ def bulk_files(d: StarDomain, folder: str) -> None:
         F.col("away_score").alias("PTS_AWAY"))
 
     line = F.col("source_line")
-    lines = keyed.first_per_key(d.raw_stats, ["player_id", "game_id"], [F.col(c).asc_nulls_last() for c in _RAW_ORDER])
+    lines = d.raw_stats_of(keyed.first_per_key(d.table("lineitem"), ["l_partkey", "l_orderkey"],
+                                               [F.col(c).asc_nulls_last() for c in _LINE_ORDER]))
     details = lines.select(
         F.col("game_id").cast("long").alias("GAME_ID"), F.when(player % 16 != 1, F.col("team_id")).alias("TEAM_ID"),
-        player.alias("PLAYER_ID"), F.when(player % 13 != 5, F.concat(F.lit("Player "), player.cast("string"))).alias("PLAYER_NAME"),
+        player.alias("PLAYER_ID"), name,
         F.when(line <= 2, "G").alias("START_POSITION"), F.col("minutes").alias("MIN"), F.col("points").alias("PTS"),
         F.col("fgm").alias("FGM"), F.col("fga").alias("FGA"), F.col("ftm").alias("FTM"), F.col("fta").alias("FTA"),
         F.col("plus_minus").alias("PLUS_MINUS"), _twice_if(line == 1))

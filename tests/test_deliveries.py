@@ -54,3 +54,26 @@ def test_repeated_keys_are_counted_without_a_shuffle_of_keys(spark):
     assert rows(Q.load_report(kept, [Q.required("k")], kept)) == rows(Q.load_report(kept.limit(0), [Q.required("k")], kept.limit(0))) == []
     shuffles = [line for line in report._jdf.queryExecution().executedPlan().toString().splitlines() if "hashpartitioning" in line]
     assert shuffles and not any("hashpartitioning(k#" in line for line in shuffles)
+
+
+def test_box_scores_move_as_numbers(spark, tmp_path, monkeypatch):
+    """The first line of a player and contest is picked before its text is made."""
+    d, picked, first = _star(spark, tmp_path / "star"), [], deliveries.keyed.first_per_key
+    (spark.range(7).select(F.col("id").alias("s_suppkey"), F.lit("name").alias("s_name")).write.parquet(str(tmp_path / "star/supplier.parquet")))
+    monkeypatch.setattr(deliveries.keyed, "first_per_key", lambda df, keys, order: picked.append(df.dtypes) or first(df, keys, order))
+    deliveries.bulk_files(d, str(tmp_path / "bulk"))
+    assert {kind for name, kind in picked[-1] if name in ("l_partkey", "l_orderkey", *deliveries._LINE_ORDER)} <= {"bigint", "int", "double"}
+    assert "game_id" not in dict(picked[-1])
+    kept = spark.read.option("header", True).csv(str(tmp_path / "bulk/games_details.csv"))
+    expected = first(d.raw_stats, ["player_id", "game_id"], [F.col(c).asc_nulls_last() for c in deliveries._RAW_ORDER])
+    assert rows(kept.selectExpr("cast(PLAYER_ID as long)", "cast(GAME_ID as long)", "MIN").distinct()) == rows(
+        expected.selectExpr("player_id", "cast(game_id as long)", "minutes"))
+    players = spark.read.option("header", True).csv(str(tmp_path / "bulk/players.csv"))
+    named = d.raw_players.filter("player_id % 16 != 1").groupBy("player_id", "season").agg(F.min("full_name"), F.min("team_id"))
+    assert rows(players.selectExpr("cast(PLAYER_ID as long)", "cast(SEASON as int)", "PLAYER_NAME", "cast(TEAM_ID as long)")) == rows(named)
+
+
+def test_contests_move_once_by_their_id(spark, tmp_path):
+    plan = _star(spark, tmp_path / "star").games._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning(l_orderkey") == 1 and "hashpartitioning(l_orderkey#" in plan
+    assert "l_suppkey" not in " ".join(line.split("200")[0] for line in plan.splitlines() if "Exchange hashpartitioning" in line)
