@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Collection, Sequence
+from collections.abc import Callable, Collection, Sequence
 from datetime import date, timedelta
 
 from pyspark.errors import AnalysisException
@@ -15,7 +15,7 @@ from sidelines.operators.keyed import first_per_key
 from sidelines.schemas import table
 from sidelines.session import written
 
-_DAMAGED = "_damaged_line"
+DAMAGED = "_damaged_line"
 
 
 def read_csv(spark: SparkSession, path: str) -> DataFrame:
@@ -27,16 +27,18 @@ def read_csv(spark: SparkSession, path: str) -> DataFrame:
     return lower_names(df)
 
 
-def read_csv_checked(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+def read_csv_checked(spark: SparkSession, path: str,
+                     shaped: Callable[[DataFrame], DataFrame] | None = None) -> tuple[DataFrame, DataFrame]:
     """The file's sound rows, read once and staged, and ``(reason, n_rows)`` of its damaged lines: those with more or
-    fewer fields than the header, which is also where an unclosed quote ends."""
+    fewer fields than the header, which is also where an unclosed quote ends. ``shaped`` says what is staged of the rows; it
+    keeps the column ``DAMAGED``, and every line is held against the whole header, whatever else it keeps."""
     names = read_csv(spark, path).columns
-    schema = T.StructType([T.StructField(name, T.StringType()) for name in (*names, _DAMAGED)])
+    schema = T.StructType([T.StructField(name, T.StringType()) for name in (*names, DAMAGED)])
     raw = (spark.read.schema(schema).option("header", True).option("escape", '"').option("mode", "PERMISSIVE")
-           .option("columnNameOfCorruptRecord", _DAMAGED).csv(path))
-    staged = written(raw, "csv")
-    damaged = staged.filter(F.col(_DAMAGED).isNotNull()).agg(F.count("*").alias("n_rows")).filter("n_rows > 0")
-    return (staged.filter(F.col(_DAMAGED).isNull()).drop(_DAMAGED),
+           .option("columnNameOfCorruptRecord", DAMAGED).option("columnPruning", False).csv(path))
+    staged = written(shaped(raw) if shaped else raw, "csv")
+    damaged = staged.filter(F.col(DAMAGED).isNotNull()).agg(F.count("*").alias("n_rows")).filter("n_rows > 0")
+    return (staged.filter(F.col(DAMAGED).isNull()).drop(DAMAGED),
             damaged.select(F.lit("damaged line").alias("reason"), "n_rows"))
 
 

@@ -383,3 +383,44 @@ def test_landed_rows_are_shuffled_once_for_their_contests_and_copies(spark):
 def test_rows_that_never_waited_are_not_taken_out_of_the_waiting(spark, bulk, tables):
     loaders.load_bulk(spark, bulk, tables, through="games")
     assert {e["version"] for e in tables["games_waiting"]._entries()} == {1}
+
+
+def test_rows_with_references_are_staged_once_more_after_their_file(spark, bulk, tables, monkeypatch):
+    names, stage = [], loaders.written
+    monkeypatch.setattr(loaders, "written", lambda df, name: names.append(name) or stage(df, name))
+    loaders.load_bulk(spark, bulk, tables)
+    for table in ("games", "player_game_stats"):
+        assert [name for name in names if name.endswith(f"-{table}")] == [f"sound-{table}"]
+
+
+def test_contests_and_copies_share_a_shuffle(spark, bulk, tables, monkeypatch):
+    """Without a broadcast the rows of box scores move once by their contest, and not by player and contest besides."""
+    plans, stage = {}, loaders.written
+
+    def staged(df, name):
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        return stage(df, name)
+
+    monkeypatch.setattr(loaders, "written", staged)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        loaders.load_bulk(spark, bulk, tables)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    shuffles = [line for line in plans["sound-player_game_stats"].splitlines() if "Exchange hashpartitioning(" in line]
+    by = [line.split("hashpartitioning(")[1].split("#")[0] for line in shuffles]
+    assert by.count("game_id") == 1 and not any("player_id#" in line and "game_id#" in line.split("),")[0] for line in shuffles)
+    assert tables["player_game_stats"].read().count() == 2
+
+
+def test_a_load_up_to_the_contests_stages_the_players_of_box_scores_only(spark, bulk, tables, monkeypatch):
+    with open(f"{bulk}/games_details.csv", "a") as file:
+        file.write("21900001,1,10,Short\n21900001,1,10,Ann,G,18:06,20,5,4,8,15,too long\n")
+    columns, stage = [], files.written
+    monkeypatch.setattr(files, "written", lambda df, name: columns.append(df.columns) or stage(df, name))
+    run = loaders.load_bulk(spark, bulk, tables, through="games")
+    assert columns[0] == ["player_id", "team_id", "player_name", files.DAMAGED]
+    report = tables.load_report().filter(f"run = '{run}' and table_name = 'player_game_stats'")
+    assert rows(report, "reason", "n_rows") == [("damaged line", 2)]  # held against the whole header
+    assert rows(tables["players"].read(), "player_id", "full_name", "team_id") == [
+        (10, "Ann", 2), (11, "Bob", 1), (12, "Cal", 1), (13, "Dee", 2)]
