@@ -9,7 +9,6 @@ from __future__ import annotations
 
 import functools
 import json
-import re
 import zlib
 from collections.abc import Iterator
 
@@ -35,7 +34,7 @@ class WordIds:
     the older one, from which words that come again are taken over, and the one that was older goes.
     """
 
-    _ENDED = re.compile(rb"(.*[a-z])([^a-z0-9\x80-\xff]+)", re.DOTALL)
+    _PUNCTUATION = bytes(c for c in range(128) if not chr(c).isalnum())
 
     def __init__(self, tokenizer_json: str, most_words: int = 300_000):
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
@@ -54,12 +53,22 @@ class WordIds:
         tokenizer = tokenizer or self.tokenizer
         return np.array(tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
 
-    def _learn(self, words: list[bytes]) -> None:
+    def _taken_over(self, words: set[bytes]) -> set[bytes]:
+        """The words that neither table holds; those of the older one are known from now on."""
+        again = [w for w in words if w in self.older]  # an intersection would walk through the table
+        self.known.update(zip(again, map(self.older.__getitem__, again)))
+        return words.difference(again)
+
+    def _learn(self, words: set[bytes]) -> None:
         """Put words into the table: a word and the punctuation after it are looked up each for itself."""
-        self.known.update((w, self.older[w]) for w in words if w in self.older)
-        words = [w for w in words if w not in self.known]
-        parts = {w: m.groups() if not w.isalpha() and (m := self._ENDED.fullmatch(w)) else (w,) for w in words}
-        new = list({p for ps in parts.values() for p in ps}.difference(self.known))
+        words, ended = self._taken_over(words), {}
+        for w in words:
+            if not w.isalpha():
+                stem = w.rstrip(self._PUNCTUATION)
+                # other letters than small ones may end in a mark once they are normalised, which goes with the punctuation
+                if len(stem) < len(w) and (stem[-1:].isalpha() or not stem.isascii() and (t := stem.decode()).isalpha() and t[-1].islower()):
+                    ended[w] = stem, w[len(stem):]
+        new = self._taken_over(words.difference(ended).union(*ended.values()).difference(self.known))
         plain = [p for p in new if p.isalpha()]
         letters = [p for p in new if not p.isascii() and p.decode().isalpha()]
         for words, tokenizer in ((plain, self.bare), (letters, self.tokenizer)):  # each a single word to the tokenizer
@@ -73,9 +82,8 @@ class WordIds:
         for p in new:
             if p not in self.known:
                 self.known[p] = self._encode(p.decode()).tobytes()
-        for w, ps in parts.items():
-            if len(ps) > 1:
-                self.known[w] = self.known[ps[0]] + self.known[ps[1]]
+        look = self.known.__getitem__
+        self.known.update((w, look(stem) + look(end)) for w, (stem, end) in ended.items())
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         if len(self.known) > self.most_words:
@@ -83,7 +91,7 @@ class WordIds:
         whole = [any(a in t for a in self.added) for t in texts]  # an added token may be part of any word
         words = [[] if w else t.encode().lower().split() for t, w in zip(texts, whole)]
         new = set().union(*words).difference(self.known)
-        self._learn(list(new))
+        self._learn(new)
         look = self.known.__getitem__
         return [self._encode(t).tobytes() if w else b"".join(map(look, ws)) for t, w, ws in zip(texts, whole, words)]
 

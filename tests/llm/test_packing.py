@@ -137,3 +137,15 @@ def test_the_pipelines_workers_keep_fewer_words(monkeypatch):
     assert seen["most_words"] <= 50_000
     packing.word_ids.cache_clear()
     assert packing.word_ids(packing.read_tokenizer(corpus_pipeline.public_tokenizers.path("word_bpe_49k.json")), 7).most_words == 7
+
+
+def test_words_before_punctuation_are_learned_together(tokenizer, monkeypatch):
+    """A word that ends in any letter is learned with others, not by a call of its own, with and without punctuation after it."""
+    calls, encode = [], packing.WordIds._encode
+    monkeypatch.setattr(packing.WordIds, "_encode", lambda self, text, by=None: calls.append(text) or encode(self, text, by))
+    texts = ["viè. ertzß### éonréré. entrée, Ärger! plain, it's; l'été. x9è. 7è!", "é. ́. naïve; straße? ñ", "viè, plain. naïve!", "İ, aİ. ক়! 字, É. ÀÉ!"]
+    ids_of = packing.WordIds(tokenizer)
+    found = [ids_of([text])[0] for text in texts]
+    assert not {"viè.", "viè", "ertzß###", "éonréré.", "entrée,", "naïve;", "straße?"} & set(calls)
+    whole = packing.Tokenizer.from_str(tokenizer)
+    assert [list(packing.np.frombuffer(f, "<u4")) for f in found] == [whole.encode(t, add_special_tokens=False).ids for t in texts]
