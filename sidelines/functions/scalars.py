@@ -126,7 +126,11 @@ def parse_minutes(raw, live: bool = False) -> Column:
         minutes = F.regexp_extract(text, LIVE_CLOCK, 1).try_cast("int")
         seconds = F.regexp_extract(text, LIVE_CLOCK, 2).try_cast("int")
         clock = F.when(text.rlike(LIVE_CLOCK), F.round(minutes + seconds / 60, 2))
-        return F.when(text.contains(":"), F.coalesce(clock, F.lit(0.0))).otherwise(numeric_or_zero(text))
+        # as most are written: digits on both sides of the colon, without the patterns, which take far longer
+        before, after = (F.substring_index(text, ":", side).try_cast("int") for side in (1, -1))
+        plain = F.translate(text, "0123456789", "") == ":"
+        return (F.when(plain, F.coalesce(F.round(before + after / 60, 2), F.lit(0.0)))
+                .when(text.contains(":"), F.coalesce(clock, F.lit(0.0))).otherwise(numeric_or_zero(text)))
     parts = F.split(F.trim(text), ":")
     minutes, seconds = _unsigned(F.get(parts, F.lit(0)), "double"), _unsigned(F.get(parts, F.lit(1)), "int")
     parsed = (F.when(F.size(parts) == 1, F.floor(minutes).cast("double"))

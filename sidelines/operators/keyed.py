@@ -9,14 +9,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 
-def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
+def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column], few: bool = False) -> DataFrame:
     """Keep the first row of each key in a stated order.
 
     Spark limits each key to one row before the shuffle (WindowGroupLimit), so a key with very many copies
-    sends one row per input task.
+    sends one row per input task. It sorts all rows for that, which ``few`` copies, in number bounded by the caller, are not worth.
     """
     window = W.partitionBy(*keys).orderBy(*order)
-    return df.withColumn("_rank", F.row_number().over(window)).filter("_rank = 1").drop("_rank")
+    # a limit is found in a comparison with a literal only
+    first = F.col("_rank") == F.least("_rank", F.lit(1)) if few else F.col("_rank") == 1
+    return df.withColumn("_rank", F.row_number().over(window)).filter(first).drop("_rank")
 
 
 def upsert(existing: DataFrame, incoming: DataFrame, keys: Sequence[str]) -> DataFrame:

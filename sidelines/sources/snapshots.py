@@ -13,8 +13,9 @@ a time. ``delivery`` names what a version was made from, so that the same stream
 from __future__ import annotations
 
 import json
+import re
 from collections import defaultdict
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.errors import AnalysisException
@@ -28,8 +29,9 @@ from sidelines.session import remove_folder, written
 _LOG = "version long, kind string, part string, bucket int, path string, delivery string"
 # What a version is: all of the table, new bases of some buckets, deltas. A shortened log begins with a mark.
 _WHOLE, _BASE, _DELTA, _MARK = "whole", "base", "delta", "log"
-_PART, _BUCKET = "part_of_table", "bucket_of_part"
+_PART, _BUCKET = PLACE = "part_of_table", "bucket_of_part"
 _VERSION, _GONE = "_version", "_gone"  # of a stored row
+_ASIDE = "-"  # in place of a part: rows of a version's folder that are not in the table; no part has this name
 
 Bucket = tuple[str, int]
 
@@ -102,7 +104,12 @@ class SnapshotTable:
     # --- reading ---
 
     def read(self) -> DataFrame:
-        return self._merged(self._files(self._entries()).values())
+        entries = self._entries()
+        return self._merged(self._files(entries).values(), entries)
+
+    def holds_rows(self) -> bool:
+        """Whether any rows have been stored, or have been taken out again and are not yet compacted."""
+        return bool(self._files(self._entries()))
 
     def read_where(self, keys: DataFrame) -> DataFrame:
         """The rows of the buckets that ``keys`` (a few rows with the key columns) fall into."""
@@ -110,18 +117,30 @@ class SnapshotTable:
 
     def keys_among(self, rows: DataFrame) -> DataFrame | None:
         """Those of ``rows``, which have the key columns, whose key is stored or has been; None of a table without files."""
-        paths = sorted(path for files in self._files(self._entries()).values() for path in files.paths())
+        entries = self._entries()
+        paths = [path for files in self._files(entries).values() for path in files.paths()]
         if not paths:
             return None
-        return rows.join(self.spark.read.schema(self.stored).parquet(*paths).select(*self.keys).distinct(), self.keys, "left_semi")
+        return rows.join(self._files_at(self.stored, paths, entries).select(*self.keys).distinct(), self.keys, "left_semi")
 
     def _in(self, touched: set[Bucket]) -> DataFrame:
-        return self._merged(files for bucket, files in self._files(self._entries()).items() if bucket in touched)
+        entries = self._entries()
+        return self._merged((files for bucket, files in self._files(entries).items() if bucket in touched), entries)
 
     def _touched(self, rows: DataFrame) -> set[Bucket]:
         return {(r[0], r[1]) for r in rows.select(self.part, self.bucket).distinct().collect()}
 
-    def _merged(self, buckets: Iterable[_Files]) -> DataFrame:
+    def _files_at(self, schema: T.StructType, paths: Iterable[str], entries: Iterable[Row]) -> DataFrame:
+        """The rows of these buckets. A part of a version that is wanted whole is one path: there is one to list for each."""
+        wanted, parts = set(paths), defaultdict(set)
+        for e in entries:
+            if e["path"] is not None:
+                parts[e["path"].rpartition("/")[0]].add(e["path"])
+        whole = {part for part, there in parts.items() if there <= wanted}
+        paths = sorted({part if (part := path.rpartition("/")[0]) in whole else path for path in wanted})
+        return self.spark.read.schema(schema).option("recursiveFileLookup", "true").parquet(*paths)
+
+    def _merged(self, buckets: Iterable[_Files], entries: Iterable[Row] = ()) -> DataFrame:
         """The newest row of each key; buckets without deltas are read as they are."""
         plain, layered = [], []
         for files in buckets:
@@ -129,10 +148,9 @@ class SnapshotTable:
                 layered += files.paths()
             elif files.base is not None:
                 plain.append(files.base)
-        found = [self.spark.read.schema(self.schema).parquet(*sorted(plain))] if plain else []
+        found = [self._files_at(self.schema, plain, entries)] if plain else []
         if layered:
-            newest = keyed.first_per_key(self.spark.read.schema(self.stored).parquet(*sorted(layered)), self.keys,
-                                         [F.col(_VERSION).desc()])
+            newest = keyed.first_per_key(self._files_at(self.stored, layered, entries), self.keys, [F.col(_VERSION).desc()])
             found.append(newest.filter(~F.col(_GONE)).select(*self.schema.names))
         if not found:
             return self.spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in self.schema.fields])
@@ -140,27 +158,58 @@ class SnapshotTable:
 
     # --- writing ---
 
-    def _publish(self, rows: DataFrame, kind: str, delivery: str | None = None, gone: bool = False, unique: bool = False) -> None:
+    def _publish(self, rows: DataFrame, kind: str, delivery: str | None = None, gone: bool = False, unique: bool = False,
+                 kept: str | None = None, told: Callable[[DataFrame], None] | None = None) -> DataFrame:
         """Write ``rows`` as a version and put it into the log; the rows of a bucket come together. Rows known to be ``unique``
-        are the base of a bucket that has held nothing, so that reading it merges nothing."""
+        are the base of a bucket that has held nothing, so that reading it merges nothing. Returns the version's rows.
+
+        With ``kept``, a condition, the rows lie by part and bucket already (see ``placed``). Those that it does not hold for are
+        written beside the others, with the columns that only they need, and given to ``told`` before the version counts.
+        """
         entries = self._entries()
         held = self._files(entries)
         version = self._next(entries)
         folder = f"{self.root}/v{version:06d}"
         columns = [F.col(f.name).cast(f.dataType).alias(f.name) if f.name in rows.columns else F.lit(None).cast(f.dataType).alias(f.name)
                    for f in self.schema.fields]
-        stored = rows.select(*columns).select("*", F.lit(version).cast("long").alias(_VERSION), F.lit(gone).alias(_GONE),
-                                              self.part.alias(_PART), self.bucket.alias(_BUCKET))
+        marks = [F.lit(version).cast("long").alias(_VERSION), F.lit(gone).alias(_GONE)]
+        if kept is None:
+            more = []
+            stored = (rows.select(*columns).select("*", *marks, self.part.alias(_PART), self.bucket.alias(_BUCKET))
+                      .hint("rebalance", F.col(_PART), F.col(_BUCKET)))
+        else:
+            more = [f for f in rows.schema.fields if f.name not in (*self.schema.names, _PART, _BUCKET)]
+            # those aside in one file of a task
+            place = [F.when(F.expr(kept), F.col(c)).otherwise(F.lit(other)).alias(c) for c, other in ((_PART, _ASIDE), (_BUCKET, 0))]
+            stored = rows.select(*columns, *[f.name for f in more], *marks, *place)
         # a version without a row in the log is the rest of a failed attempt
-        (stored.hint("rebalance", F.col(_PART), F.col(_BUCKET)).write.mode("overwrite")
-         .partitionBy(_PART, _BUCKET).parquet(folder))
-        layout = T.StructType([*self.stored.fields, T.StructField(_PART, T.StringType()), T.StructField(_BUCKET, T.IntegerType())])
-        there = self.spark.read.schema(layout).parquet(folder).select(_PART, _BUCKET).distinct().collect()
+        stored.write.mode("overwrite").partitionBy(_PART, _BUCKET).parquet(folder)
+        layout = T.StructType([*self.stored.fields, *more, T.StructField(_PART, T.StringType()), T.StructField(_BUCKET, T.IntegerType())])
+        there = self.spark.read.schema(layout).parquet(folder)
+        if told is not None:
+            told(there.filter(F.col(_PART) == _ASIDE))
+        places = {(found[1], int(found[2])) for found in (re.search(f"/{_PART}=([^/]*)/{_BUCKET}=([0-9]+)/[^/]*$", file)
+                                                          for file in there.inputFiles()) if found and found[1] != _ASIDE}
         log = [(version, _BASE if unique and (part, bucket) not in held else kind, part, bucket, f"{folder}/{_PART}={part}/{_BUCKET}={bucket}", delivery)
-               for part, bucket in sorted(map(tuple, there))]
+               for part, bucket in sorted(places)]
         if kind == _WHOLE or not log:  # nothing of what was there before; a write without rows still counts as a version
             log.insert(0, (version, kind, None, None, None, delivery))
         self._log(version, log)
+        return there.filter(F.col(_PART) != _ASIDE).select(*self.schema.names)
+
+    def placed(self, rows: DataFrame) -> DataFrame:
+        """``rows``, which have the columns that part and bucket follow from, with both, shuffled by them."""
+        return rows.withColumns({_PART: self.part, _BUCKET: self.bucket}).repartition(_PART, _BUCKET)
+
+    def lacks(self, rows: DataFrame) -> list[str]:
+        """The columns that an upsert of ``rows`` would have to look up: those that they do not have, unless nothing is stored."""
+        lacking = [name for name in self.schema.names if name not in rows.columns]
+        return lacking if lacking and self.holds_rows() else []
+
+    def upsert_placed(self, rows: DataFrame, kept: str, told: Callable[[DataFrame], None], delivery: str | None = None) -> DataFrame:
+        """Upsert the ``placed`` rows that ``kept`` holds for, in the job that makes them; ``told`` gets the others, as written,
+        before the upsert counts. The kept ones must be unique on the key, and lack nothing (see ``lacks``). Returns these."""
+        return self._publish(rows, _DELTA, delivery, unique=True, kept=kept, told=told)
 
     def replace(self, df: DataFrame, delivery: str | None = None) -> None:
         self._publish(df, _WHOLE, delivery)
@@ -168,8 +217,8 @@ class SnapshotTable:
     def upsert(self, incoming: DataFrame, delivery: str | None = None, unique: bool = False) -> None:
         """Insert or overwrite by key. The incoming rows must be unique on the key; columns that they lack keep their value.
         With ``unique`` the caller has made sure of it, and a first write need not be merged when it is read."""
-        lacking = [name for name in self.schema.names if name not in incoming.columns]
-        if lacking and self._files(self._entries()):  # an empty table has no values to keep
+        lacking = self.lacks(incoming)
+        if lacking:  # an empty table has no values to keep
             staged = written(incoming, "staged")
             held = self._in(self._touched(staged)).select(*self.keys, *lacking)
             incoming = staged.join(held, self.keys, "left")
@@ -189,10 +238,11 @@ class SnapshotTable:
     def compact(self, most_deltas: int = 8) -> int:
         """Merge the buckets that have more deltas than this into new bases. Returns how many got one; a bucket whose rows
         are all gone gets none."""
-        crowded = [f for f in self._files(self._entries()).values() if len(f.deltas) > most_deltas]
+        entries = self._entries()
+        crowded = [f for f in self._files(entries).values() if len(f.deltas) > most_deltas]
         if not crowded:
             return 0
-        self._publish(self._merged(crowded), _BASE)
+        self._publish(self._merged(crowded, entries), _BASE)
         entries = self._entries()
         return sum(e["version"] == entries[-1]["version"] and e["path"] is not None for e in entries)
 

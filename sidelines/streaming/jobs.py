@@ -54,7 +54,7 @@ def ingest_landing(spark: SparkSession, landing: str, tables: loaders.WarehouseT
     concerned. A batch that is delivered again writes the same rows again.
     """
     kinds = {"header": (files.HEADER_FEED, ()), "line_score": (files.LINE_SCORE_FEED, ()),
-             "box": (files.BOX_FEED, files.BOX_COLUMNS), "tracking": (files.TRACKING_FEED, files.TRACKING_COLUMNS)}
+             "box": (files.BOX_FEED, files.BOX_COUNTS), "tracking": (files.TRACKING_FEED, files.TRACKING_COLUMNS)}
     kind = F.regexp_extract(F.col("_metadata.file_path"), f"/({'|'.join(kinds)})/(?:{files.DAY}=[^/]*/)?[^/]*$", 1)
 
     def apply(batch: DataFrame, batch_id: int) -> None:

@@ -140,3 +140,30 @@ def test_a_first_write_of_unique_rows_is_read_without_a_shuffle(spark, table):
     table.upsert(frame(spark, [("0022300001", 3)]), unique=True)  # on top of what is there
     assert shuffles() > 0
     assert sorted((r["game_id"], r["home_score"]) for r in table.read().collect()) == [("0022300001", 3), ("0022300002", 2)]
+
+
+def roots(df):
+    return list(df._jdf.queryExecution().analyzed().collectLeaves().head().relation().location().rootPaths().mkString("|").split("|"))
+
+
+def test_a_part_that_is_read_whole_is_one_path(spark, table):
+    """A path for each bucket made as many tasks list them, at every read."""
+    seasons = [f"00{s}{n:05d}" for s in (221, 222, 223) for n in range(400)]
+    table.upsert(frame(spark, [(g, 1) for g in seasons]), unique=True)
+    assert len(roots(table.read())) == 3 and table.read().count() == 1200
+    table.upsert(frame(spark, [("0022300399", 7)]))  # one bucket of a part is merged now, the other fifteen are not
+    assert len(table._files(table._entries())) == 48 and table.read().count() == 1200 and scores(table)["0022300399"] == 7
+    assert len(roots(table.read_where(frame(spark, [("0022100001", 0)])))) == 1
+
+
+def test_rows_set_aside_are_told_and_are_not_in_the_table(spark, table):
+    told = []
+    judged = table.placed(frame(spark, [("0022300001", 1), ("0022300002", 2), ("0022100001", 3)])).withColumn("reason", F.when(F.col("home_score") == 2, "odd"))
+    kept = table.upsert_placed(judged, "reason is null", lambda left: told.extend(rows(left, "game_id", "reason")))
+    assert told == [("0022300002", "odd")] and rows(kept, "game_id") == [("0022100001",), ("0022300001",)]
+    assert scores(table) == {"0022300001": 1, "0022100001": 3}
+    table.upsert(frame(spark, [("0022300001", 5)]))
+    assert scores(table) == {"0022300001": 5, "0022100001": 3}
+    table.compact(0)
+    table.vacuum()
+    assert scores(table) == {"0022300001": 5, "0022100001": 3}
