@@ -2,6 +2,7 @@ import json
 from datetime import date
 
 import pytest
+from pyspark.sql import functions as F
 
 from conftest import rows
 from sidelines.functions import scalars as S
@@ -424,3 +425,66 @@ def test_a_load_up_to_the_contests_stages_the_players_of_box_scores_only(spark,
     assert rows(report, "reason", "n_rows") == [("damaged line", 2)]  # held against the whole header
     assert rows(tables["players"].read(), "player_id", "full_name", "team_id") == [
         (10, "Ann", 2), (11, "Bob", 1), (12, "Cal", 1), (13, "Dee", 2)]
+
+
+ODD_LINES = ['{"PTS":NaN,"GAME_ID":1}', '{"PTS":"abc","FGM":2}', '[{"PTS":1}]', '{"PTS":1} x', "", "x", None, '{"PTS":null,"FGM":3}',
+             '{ "PTS" : 1, "MIN":"1:2"}', r'{"P\u0054S":4,"MIN":"1\u003a2"}', "{'PTS':3}", '{"PTS":1,"PTS":2}', '{"PTS":1',
+             '{"MIN":{"a":1},"PTS":2}', '{"Q":{"REB":5},"PTS":2}', '{"MIN":"REB:1","PTS":1,"START_POSITION":"a:b"}',
+             r'{"PTS":1,"MIN":"\u003a","REB":null}', '{"PTS":Infinity}', "{}", '{"GAME_ID":"7:1","REB":null,"PTS":5,"MIN":"1"}']
+
+
+def test_what_a_record_lacks_is_told_as_by_its_keys(spark):
+    lines = spark.createDataFrame([(i, line) for i, line in enumerate(ODD_LINES)], "i int, value string")
+    own = F.from_json("value", files.BOX_FEED).alias("row")
+    keyed = lines.select("i", "value", own, F.json_object_keys("value").alias("there"))
+    names = files.BOX_FEED.names
+    wanted = [F.when(F.col("there").isNotNull() & ~F.array_contains("there", n), F.lit(0.0)).otherwise(F.col(f"row.{n}")).alias(n)
+              if n in files.BOX_COLUMNS else F.col(f"row.{n}") for n in names]
+    found = files.from_lines(lines.select("value"), files.BOX_FEED, files.BOX_COLUMNS)
+    text = [F.col(n).cast("string") for n in names]
+    assert rows(found.select(*text)) == rows(keyed.select(*wanted).select(*text))
+
+
+def test_keys_are_read_again_only_of_records_that_are_not_full(spark, capsys):
+    """Whether columns are absent follows from the number of values; a second pass over each line made up a third of the parsing."""
+    lines = spark.createDataFrame([('{"GAME_ID":1,"MIN":"1:30","PTS":2}',)], "value string")
+    files.from_lines(lines, files.BOX_FEED, files.BOX_COUNTS).explain("formatted")
+    text = capsys.readouterr().out
+    assert "CASE WHEN NOT full" in text and set(files.BOX_COUNTS) == {"OREB", "DREB", "PLUS_MINUS"}
+
+
+def test_plain_clocks_are_read_as_the_pattern_reads_them(spark):
+    clocks = ["35:39", ":30", "3:", ":", "00:00", "7:5", "99999999999:1", "1:99999999999", "1:2:3", " 1:2", "+1:02", "-1:30", "12.5", "x", None]
+    minutes = dict(rows(spark.createDataFrame([(c,) for c in clocks], "c string").select("c", S.parse_minutes("c", live=True).alias("m"))))
+    assert minutes == {"35:39": 35.65, ":30": 0, "3:": 0, ":": 0, "00:00": 0, "7:5": 7.08, "99999999999:1": 0, "1:99999999999": 0,
+                       "1:2:3": 0, " 1:2": 1.03, "+1:02": 1.03, "-1:30": -0.5, "12.5": 12.5, "x": 0, None: 0}
+
+
+def staged_rows(spark, name):
+    """The names of the folders staged so far that hold rows of a table."""
+    from pathlib import Path
+    from sidelines.session import shared_dir
+    return {p.name for p in Path(shared_dir(spark)).iterdir() if p.name.startswith((f"load-{name}-", f"sound-{name}-", f"judged-{name}-"))}
+
+
+def test_rows_of_contests_go_into_their_table_in_the_job_that_reads_them(spark, tables, tmp_path):
+    landing, day = tmp_path / "landing", "2024-01-05"
+    write_json(landing / "header", [contest(day, "22300500")])
+    write_json(landing / "line_score", [score(day, 1, 100), score(day, 2, 90)])
+    # a copy, a row without a player, one of a contest of another day
+    write_json(landing / "box", [line("22300500", 10, 12), line("22300500", 10, 12), line("22300500", None, 3), line("22300999", 10, 9)])
+    write_json(landing / "tracking", [{"GAME_ID": "22300500", "PLAYER_ID": 10, "DIST": d} for d in (2.5, 2.5, 99.0)])
+    before = {name: staged_rows(spark, name) for name in ("player_game_stats", "player_tracking_stats")}
+    loaders.load_landed(spark, str(landing), tables, date(2024, 1, 1), date(2024, 1, 31))
+    assert before == {name: staged_rows(spark, name) for name in before}
+    assert rows(tables["player_game_stats"].read(), "game_id", "player_id", "points") == [("0022300500", 10, 12.0)]
+    assert rows(tables["player_tracking_stats"].read().selectExpr("player_id", "cast(distance_miles as double)")) == [(10, 2.5)]
+    report = rows(tables.load_report(), "table_name", "reason", "n_rows")
+    assert [r for r in report if r[0] != "games"] == [
+        ("player_game_stats", "missing player_id or game_id or team_id", 1), ("player_game_stats", "repeated key", 1),
+        ("player_tracking_stats", "implausible distance", 1), ("player_tracking_stats", "repeated key", 1)]
+    # a later load keeps what it does not know, and what it leaves out is in no table
+    tables["player_game_stats"].upsert(spark.createDataFrame([(10, "0022300500", 7.5)], "player_id long, game_id string, usage_rate double"))
+    loaders.load_landed(spark, str(landing), tables, date(2024, 1, 1), date(2024, 1, 31))
+    stats = tables["player_game_stats"].read().selectExpr("player_id", "points", "cast(usage_rate as double)")
+    assert rows(stats) == [(10, 12.0, 7.5)]
